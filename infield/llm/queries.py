@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from infield.llm import bpe, jaccard_join, language_id, quality
+from infield.llm import bpe, decontaminate, jaccard_join, language_id, quality
 from infield.llm.common import scan
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -33,6 +33,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark text, with that text."""
+    return decontaminate.leaks(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy of every document under the model of trusted text, and whether its language's quantiles keep it."""
     docs = scan(spark, sf_dir, "documents").select("doc_id", "lang", "text")
@@ -40,7 +45,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_jaccard_join, op3_language_id, op6_byte_bpe, op9_quality)}
+    return {f.__name__: f for f in (op2_jaccard_join, op3_language_id, op6_byte_bpe, op8_decontamination, op9_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
