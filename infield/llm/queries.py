@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from infield.llm import bpe, decontaminate, jaccard_join, language_id, quality
+from infield.llm import bpe, chat_windows, decontaminate, html_text, jaccard_join, language_id, licenses, neighbours, quality, url_filter
 from infield.llm.common import scan
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+#: The production rules of the URL filter.
+RULES = [url_filter.parse_rule(*r) for r in (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    return url_filter.judge(scan(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict", "score", "threshold")
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class, number of links and group of near copies of every document."""
     return jaccard_join.similar(scan(spark, sf_dir, "documents"))
@@ -23,6 +32,19 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(scan(spark, sf_dir, "documents"))
 
 
+def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, and of one made of control strings, read back from its formatted windows."""
+    probe = spark.sql("SELECT -1L AS conv_id, t.turn, t.role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    turns = scan(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat_windows.read_back(chat_windows.windows(turns))
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every 20th vector."""
+    vectors = scan(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's tokens and of what they decode to."""
     import public_tokenizers
@@ -33,6 +55,13 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license of every document, taken as a file in a directory of its source and language."""
+    docs = scan(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan_licenses(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark text, with that text."""
     return decontaminate.leaks(scan(spark, sf_dir, "documents"), scan(spark, sf_dir, "benchmark"))
@@ -44,8 +73,23 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, scan(spark, sf_dir, "labels")).select("doc_id", "lang", "cross_entropy", F.exp("cross_entropy").alias("perplexity"), "symbols", "keep")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = scan(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.main_text(pages, html_text.learn(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_jaccard_join, op3_language_id, op6_byte_bpe, op8_decontamination, op9_quality)}
+    named = [op1_url_filter, op2_jaccard_join, op3_language_id, op4_chat_windows, op5_neighbours, op6_byte_bpe, op7_licenses, op8_decontamination, op9_quality, op10_html_text]
+    found = {f.__name__: f for f in named}
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as e:
+        if e.name != "corpus_pipeline":
+            raise
+    else:
+        found["pipeline"] = corpus_pipeline.run
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
