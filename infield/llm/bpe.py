@@ -10,6 +10,7 @@ window with settled seams can change. Decoding concatenates the tokens' bytes.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from itertools import chain, islice
 
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 from infield.llm.common import text_list, transform_batches
 
 LEAF = 8  #: bytes that are merged directly
-CACHED_BYTES, CACHED_PIECES = 64, 400_000  #: pieces up to this length are remembered, this many in a task
+CACHED_BYTES, CACHED_PIECES = 64, 250_000  #: pieces up to this length are remembered, this many in a task
 STREAMED = 1_000_000  #: texts over this many characters are cut into pieces bit by bit
 
 
@@ -41,6 +42,7 @@ class TreeEncoder:
         self.tokens = {i: t for t, i in ranks.items()}
         self.seams: dict[tuple[int, int], bool] = {}
         self.nodes: dict[bytes, tuple[int, ...]] = {}
+        self.windows: dict[tuple[int, ...], tuple[int, ...]] = {}
 
     def merge(self, data: bytes) -> tuple[int, ...]:
         """The encoding by definition: merge the adjacent pair of lowest rank, leftmost first, while there is one."""
@@ -80,11 +82,22 @@ class TreeEncoder:
         """Whether token ``b`` after token ``a`` is the encoding of their bytes."""
         known = self.seams.get((a, b))
         if known is None:
-            if len(self.seams) > 2_000_000:
+            if len(self.seams) > CACHED_PIECES:
                 self.seams.clear()
             known = self.seams[a, b] = self.merge(self.tokens[a] + self.tokens[b]) == (a, b)
         return known
 
+    def window(self, ids: tuple[int, ...]) -> tuple[int, ...]:
+        """The encoding of the bytes of ``ids``; short ones are remembered."""
+        known = self.windows.get(ids)
+        if known is None:
+            known = self.merge(b"".join([self.tokens[t] for t in ids]))
+            if len(ids) <= 4:
+                if len(self.windows) > CACHED_PIECES:
+                    self.windows.clear()
+                self.windows[ids] = known
+        return known
+
     def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         if not left or not right:
             return left or right
@@ -92,7 +105,7 @@ class TreeEncoder:
             return left + right
         i = j = 1
         while True:
-            window = self.merge(b"".join([self.tokens[t] for t in left[-i:] + right[:j]]))
+            window = self.window(left[-i:] + right[:j])
             open_left = i < len(left) and not self.settled(left[-i - 1], window[0])
             open_right = j < len(right) and not self.settled(window[-1], right[j])
             if not open_left and not open_right:
@@ -196,6 +209,12 @@ class Spelling:
         return self.flat[at].tobytes()
 
 
+def vocabulary_spelling(name: str) -> Spelling:
+    """The tokens of a vocabulary by id; an id that is left out stands for no bytes."""
+    tokens = {i: t for t, i in read_ranks(SparkFiles.get(name)).items()}
+    return Spelling([tokens.get(i, b"") for i in range(max(tokens) + 1)])
+
+
 def id_rows(column: pa.ListArray) -> list[np.ndarray]:
     """The ids of each row; null has none."""
     if column.null_count:
@@ -214,8 +233,7 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", data: str = "decode
     name = ranks_path.rsplit("/", 1)[-1]
 
     def make():
-        tokens = {i: t for t, i in read_ranks(SparkFiles.get(name)).items()}
-        spelling = Spelling([tokens.get(i, b"") for i in range(max(tokens) + 1)])
+        spelling = vocabulary_spelling(name)
 
         def fn(column: pa.Array) -> list[pa.Array]:
             return [pa.array([spelling.joined(r) for r in id_rows(column)], pa.binary())]
@@ -225,26 +243,24 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", data: str = "decode
     return transform_batches(df, [ids], T.StructType([T.StructField(data, T.BinaryType(), True)]), make)
 
 
-def digests(df: DataFrame, ids: str = "ids", data: str = "decoded") -> DataFrame:
-    """n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 for each row."""
-    import hashlib
-
+def digests(df: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
+    """n_tokens, ids_sha256 (of the decimal ids joined by commas) and decoded_sha256 (of decode's bytes) for each row."""
+    df.sparkSession.sparkContext.addFile(ranks_path)
+    name = ranks_path.rsplit("/", 1)[-1]
     out = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def make():
-        numbers = Spelling([b"%d," % i for i in range(1 << 17)])
-
-        def text(row: np.ndarray) -> bytes:
-            return numbers.joined(row)[:-1] if not len(row) or row.max() < 1 << 17 else b",".join(b"%d" % i for i in row.tolist())
+        spelling = vocabulary_spelling(name)
+        numbers = Spelling([b"%d," % i for i in range(len(spelling.size))])
 
-        def fn(column: pa.Array, decoded: pa.Array) -> list:
+        def fn(column: pa.Array) -> list:
             rows = id_rows(column)
             return [
                 [len(r) for r in rows],
-                [hashlib.sha256(text(r)).hexdigest() for r in rows],
-                [hashlib.sha256(b or b"").hexdigest() for b in decoded.to_pylist()],
+                [hashlib.sha256(numbers.joined(r)[:-1]).hexdigest() for r in rows],
+                [hashlib.sha256(spelling.joined(r)).hexdigest() for r in rows],
             ]
 
         return fn
 
-    return transform_batches(df, [ids, data], out, make)
+    return transform_batches(df, [ids], out, make)

@@ -52,6 +52,14 @@ def semi_join(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return df.join(F.broadcast(keys) if few else keys, on, "left_semi")
 
 
+def pieces(batches: Iterator[pa.RecordBatch], size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows of about ``size`` bytes, so that what a task makes of them stays small."""
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * size / max(batch.nbytes, 1)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def append_columns(df: DataFrame, inputs: list[str], outputs: T.StructType, fn: Callable) -> DataFrame:
     """``df`` with the columns that ``fn`` makes from Arrow columns ``inputs``, a record batch at a time.
 
@@ -73,7 +81,7 @@ def transform_batches(df: DataFrame, inputs: list[str], outputs: T.StructType, m
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
+        for batch in pieces(batches):
             made = fn(*[batch.column(i) for i in inputs])
             keep = None
             if isinstance(made, tuple) and len(made) == 2 and not isinstance(made[0], pa.Array):

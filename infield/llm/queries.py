@@ -52,7 +52,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     docs = scan(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe.encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    return bpe.digests(bpe.decode(encoded, path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.digests(encoded, path).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
