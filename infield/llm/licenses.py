@@ -96,8 +96,8 @@ def scan_licenses(files: DataFrame, templates: dict[str, list[str]] = TEMPLATES)
     small = lambda df: F.broadcast(df) if df.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS else df
     own = marked.join(small(found.withColumnRenamed("header", "_header")), "_header", "left")
     speaking = own.where("license is not null and (_mostly or _named)").groupBy("_dir").agg(F.min_by(F.struct("license", "score"), F.struct(-F.col("score"), F.col("license"))).alias("told"))
-    above = marked.select("_dir").distinct().select("_dir", F.posexplode(_ancestors(F.col("_dir"))).alias("up", "from_dir"))
-    nearest = above.join(speaking.withColumnRenamed("_dir", "from_dir"), "from_dir").groupBy("_dir").agg(F.min_by(F.struct("from_dir", "told"), "up").alias("near"))
+    above = marked.select("_dir").distinct().select("_dir", F.explode(_ancestors(F.col("_dir"))).alias("from_dir"))
+    nearest = above.join(speaking.withColumnRenamed("_dir", "from_dir"), "from_dir").groupBy("_dir").agg(F.max_by(F.struct("from_dir", "told"), F.length("from_dir")).alias("near"))
     out = own.join(small(nearest), "_dir", "left")
     is_own = F.col("license").isNotNull()
     return out.select(
