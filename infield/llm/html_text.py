@@ -40,26 +40,28 @@ PARTS = {
 VOICES = {"comment", "comments", "commentlist", "reply", "replies", "respond", "responses", "disqus"}
 
 WORD, LINK, OUTSIDE = "word", "link word", "word apart"
+LEFT_OUT = "left out"  #: words and tags of an element that stands apart within content: they are dropped, at no cost
 MOST = 4.0  #: of a weight
 LEAST_WORD, LEAST_TAG = 0.3, 0.05  #: words score so much at least, tags minus so much at most
 UNKNOWN_TAG = -1.0
+#: Tags that texts are made of, which cost least where no labelled page says otherwise.
+TEXTUAL = INLINE | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "blockquote", "pre", "table", "tr", "td", "th", "figure", "figcaption", "article", "main"}
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, int]]:
-    """(kind, text or tag, whether it stands apart, whether a block ends here, depth of content elements) in page order.
+def tokens(page: str) -> Iterator[tuple[str, str, bool, bool]]:
+    """(kind, text, whether it stands apart, whether a block ends here) in page order.
 
-    kind is WORD, LINK or OUTSIDE for text, else the tag itself, as ``<p>`` or ``</p>``.
+    kind is WORD, LINK or OUTSIDE for text, LEFT_OUT for text and tags, else the tag itself, as ``<p>`` or ``</p>``.
     """
-    stack: list[tuple[str, bool, bool]] = []  # name, whether apart, whether by a comment's mark
-    at = end = 0
-    n = len(page)
+    stack: list[tuple[str, bool, bool, bool]] = []  # name, whether apart, whether by a comment's mark, whether in content
+    top = ("", False, False, False)
+    at, n = 0, len(page)
     while at < n:
         found = MARKUP.search(page, at)
         end = found.start() if found else n
         if end > at:
-            apart = bool(stack) and stack[-1][1]
-            kind = OUTSIDE if apart else LINK if any(s[0] == "a" for s in stack) else WORD
-            yield kind, page[at:end], apart, False, sum(s[0] in ("article", "main") for s in stack)
+            kind = (LEFT_OUT if top[3] else OUTSIDE) if top[1] else LINK if any(s[0] == "a" for s in stack) else WORD
+            yield kind, page[at:end], top[1], False
         if not found:
             return
         at = found.end()
@@ -67,28 +69,30 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, int]]:
             continue
         name = found[2].lower()
         if found[1]:
-            yield f"</{name}>", "", False, name not in INLINE, 0
+            left_out = top[1] and top[3]
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
                     break
+            top = stack[-1] if stack else ("", False, False, False)
+            yield LEFT_OUT if left_out else f"</{name}>", "", False, name not in INLINE
             continue
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\s*>?", re.I).search(page, at)
             at = close.end() if close else n
-            yield f"<{name}>", "", False, False, 0
+            yield LEFT_OUT if top[3] else f"<{name}>", "", False, False
             continue
-        yield f"<{name}>", "", False, name not in INLINE, 0
-        if name in VOID or found[3].endswith("/") and name not in ("p", "div"):
-            continue
-        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == name:
+        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and top[0] == name:
             stack.pop()
-        parent, voiced = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        apart, voice = stands_apart(name, found[3], any(s[0] in ("article", "main") for s in stack))
-        if name in ("article", "main") and not voice:
-            stack.append((name, voiced, voiced))
-        else:
-            stack.append((name, parent or apart, voiced or voice))
+            top = stack[-1] if stack else ("", False, False, False)
+        _, parent, voiced, content = top
+        apart, voice = stands_apart(name, found[3], content)
+        begins = name in ("article", "main") and not voice
+        now = (name, voiced if begins else parent or apart, voiced or voice, content or begins and not voiced)
+        yield LEFT_OUT if now[1] and content else f"<{name}>", "", False, name not in INLINE
+        if name not in VOID and not (found[3].endswith("/") and name not in ("p", "div")):
+            stack.append(now)
+            top = now
 
 
 def stands_apart(name: str, attributes: str, in_content: bool) -> tuple[bool, bool]:
@@ -118,13 +122,13 @@ def labelled_counts(page: str) -> dict[tuple[str, bool], int]:
         return {}
     counts: dict[tuple[str, bool], int] = {}
     inside = False
-    for kind, text, _, _, _ in tokens(page):
+    for kind, text, _, _ in tokens(page):
         if kind == f"<{label}>":
             inside = True
         elif kind == f"</{label}>":
             inside = False
         n = len(text.split()) if text else 0 if kind in (WORD, LINK, OUTSIDE) else 1
-        if n:
+        if n and kind != LEFT_OUT:
             counts[kind, inside] = counts.get((kind, inside), 0) + n
     return counts
 
@@ -152,21 +156,25 @@ def learn(pages: DataFrame, column: str = "html", least: int = 20) -> dict[str,
 
 def weights(counts: dict[str, tuple[int, int]]) -> dict[str, float]:
     inside, outside = (sum(c[i] for c in counts.values()) + 1 for i in (0, 1))
-    out = {WORD: 1.0, LINK: 0.3, OUTSIDE: -1.0}
+    out = {WORD: 1.0, LINK: 0.3, OUTSIDE: -1.0, LEFT_OUT: 0.0}
     for kind, (a, b) in counts.items():
         odds = max(-MOST, min(MOST, math.log((a + 0.5) / inside) - math.log((b + 0.5) / outside)))
         out[kind] = max(LEAST_WORD, odds) if kind in (WORD, LINK) else min(-LEAST_WORD, odds) if kind == OUTSIDE else min(-LEAST_TAG, odds)
     return out
 
 
+def default_weight(kind: str) -> float:
+    return -LEAST_TAG if kind.strip("</>") in TEXTUAL else UNKNOWN_TAG
+
+
 def extract(page: str, weight: dict[str, float]) -> str:
     """The blocks of the best region of a page, joined by an empty line; '' if it has no words."""
     found = list(tokens(page))
     best = total = 0.0
     start, region = 0, (0, 0)
-    for i, (kind, text, _, _, _) in enumerate(found):
+    for i, (kind, text, _, _) in enumerate(found):
         n = len(text.split()) if text else 0 if kind in (WORD, LINK, OUTSIDE) else 1
-        total += n * weight.get(kind, UNKNOWN_TAG)
+        total += n * (weight[kind] if kind in weight else default_weight(kind))
         if total > best:
             best, region = total, (start, i + 1)
         elif total <= 0:
@@ -180,7 +188,7 @@ def extract(page: str, weight: dict[str, float]) -> str:
             blocks.append(words)
         block.clear()
 
-    for kind, text, apart, ends, _ in found[region[0] : region[1]]:
+    for kind, text, apart, ends in found[region[0] : region[1]]:
         if ends:
             close()
         elif kind in ("<br>", "</br>", "<wbr>"):
