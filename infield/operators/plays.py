@@ -87,7 +87,7 @@ def from_text(events: DataFrame, bridge: DataFrame) -> DataFrame:
     away = F.first(F.when(marked, F.regexp_extract("_text", mark, 2)), ignorenulls=True).over(w)
     e = e.withColumns({"_home": home, "_away": away})
     pattern = F.concat(F.lit(r"\Q"), F.col("_home"), F.lit(r"\E\s*(\d+)-(\d+)\s*\Q"), F.col("_away"), F.lit(r"\E"))
-    told = lambda i: F.nullif(F.regexp_extract(F.col("_text"), pattern, F.lit(i)), F.lit("")).try_cast("long")
+    told = lambda i: F.nullif(F.call_function("regexp_extract", F.col("_text"), pattern, F.lit(i)), F.lit("")).try_cast("long")
     e = e.withColumns({"_h": F.when(F.col("_kind") != "0", told(1)), "_a": F.when(F.col("_kind") != "0", told(2))})
     new = F.when(F.col("_h").isNotNull() & F.col("_a").isNotNull(), F.struct(F.col("_h").alias("h"), F.col("_a").alias("a")))
     nil = F.struct(F.lit(0).cast("long").alias("h"), F.lit(0).cast("long").alias("a"))
