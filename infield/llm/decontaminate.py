@@ -75,6 +75,7 @@ class Benchmark:
     idf: np.ndarray
     basis: np.ndarray  #: words by latent dimensions
     weights: list[dict[int, float]] = field(default_factory=list)  #: of each item's words
+    totals: list[float] = field(default_factory=list)  #: sums of the weights
     passages: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.float32))  #: unit vectors
     owner: np.ndarray = field(default_factory=lambda: np.zeros(0, int))  #: item of each passage
     start: np.ndarray = field(default_factory=lambda: np.zeros(0, int))  #: its first word there
@@ -208,6 +209,7 @@ def prepare(docs: DataFrame, items: DataFrame) -> Benchmark | None:
             owner.append(i)
             start.append(a)
     out.weights = [dict(zip(w.tolist(), idf[np.searchsorted(vocabulary, w)].tolist(), strict=True)) for w in words]
+    out.totals = [sum(w.values()) for w in out.weights]
     spark = docs.sparkSession
     schema = T.StructType([T.StructField("columns", T.ArrayType(T.LongType())), T.StructField("weights", T.ArrayType(T.DoubleType()))])
     table = pa.table({"columns": pa.array([s[0] for s in sparse], pa.list_(pa.int64())), "weights": pa.array([s[1] for s in sparse], pa.list_(pa.float64()))})
@@ -216,11 +218,11 @@ def prepare(docs: DataFrame, items: DataFrame) -> Benchmark | None:
     latent = np.stack([np.asarray(w, np.float32) @ out.basis[c] for c, w in sparse])
     out.passages = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
     out.owner, out.start = np.array(owner), np.array(start)
-    # The rarer half of each passage's words, six at least, make a stretch worth a look where half of six meet.
+    # The rarest third of each passage's words, six at least, make a stretch worth a look where half of six meet.
     out.rare = np.zeros(len(vocabulary), bool)
     for c, _ in sparse:
         c = np.array(c)
-        out.rare[c[np.argsort(-idf[c], kind="stable")[: max(6, len(c) // 2)]]] = True
+        out.rare[c[np.argsort(-idf[c], kind="stable")[: max(6, len(c) // 3)]]] = True
     out.needed = min(3, *(-(-len(c) // 2) for c, _ in sparse)) if sparse else 3
     return out
 
@@ -273,12 +275,13 @@ class Finder:
                 begin = max(int(offsets[r]), s - int(b.start[p]) - PASSAGE)
                 stop = min(int(offsets[r + 1]), s + PASSAGE + len(words) - int(b.start[p]))
                 stretch = hashes[begin:stop].tolist()
+                there, weight = set(stretch), b.weights[item]
+                if sum([weight[w] for w in there if w in weight]) < TOLD * b.totals[item]:
+                    continue
                 share = common_subsequence(words, stretch) / len(words)
-                answer, there = b.answers[item], set(stretch)
+                answer = b.answers[item]
                 answered = len(answer & there) >= ANSWERED * len(answer)
-                weight = b.weights[item]
-                told = sum(weight[w] for w in there if w in weight) >= TOLD * sum(weight.values())
-                if told and (share >= COPIED or share >= REWORDED and cosine[k, p] >= NEAR and answered):
+                if share >= COPIED or share >= REWORDED and cosine[k, p] >= NEAR and answered:
                     done[r, item] = s + PASSAGE // 2
                     yield r, item, share, float(cosine[k, p]), begin - int(offsets[r])
 
