@@ -92,5 +92,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return found
 
 
+def _escaped_length(column: str) -> str:
+    """Length of an escaped text: a backslash more for each backslash and each control string."""
+    return f"(length({column}) + length({column}) - length(replace({column}, '\\', '')) + len(regexp_extract_all({column}, '</?s>|\\[/?INST\\]')))"
+
+
+CHAT_SQL = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+t AS (SELECT *, {len(chat_windows.OPEN + chat_windows.MIDDLE + chat_windows.CLOSE)} + {_escaped_length("role")} + {_escaped_length("text")} AS tokens, row_number() OVER w AS nth FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+p AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, min(CASE WHEN role = 'system' THEN nth END) OVER (PARTITION BY conv_id) AS system FROM t),
+s AS (SELECT conv_id, before // {chat_windows.SPAN} AS span, min(nth) AS first, min(before) AS start, sum(tokens) AS own FROM p GROUP BY ALL),
+h AS (SELECT s.conv_id, s.span, sum(p.tokens) AS old FROM s JOIN p ON p.conv_id IS NOT DISTINCT FROM s.conv_id AND p.nth < s.first AND (p.nth = p.system OR p.before >= s.start - {chat_windows.HISTORY}) GROUP BY ALL),
+f AS (SELECT s.conv_id, sum(s.own + coalesce(h.old, 0)) AS chars FROM s LEFT JOIN h ON h.conv_id IS NOT DISTINCT FROM s.conv_id AND h.span = s.span GROUP BY s.conv_id),
+a AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth) AS turns, coalesce(string_agg(text, '' ORDER BY nth) FILTER (WHERE role = 'assistant'), '') AS loss FROM t GROUP BY conv_id)
+SELECT a.conv_id, a.n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(f.chars AS BIGINT) AS formatted_chars FROM a JOIN f ON f.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Of the operators SQL can say chat formatting only; the others are models, searches or codes, tested against brute force."""
+    return {"op4_chat_windows": CHAT_SQL}
