@@ -81,15 +81,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [op1_url_filter, op2_jaccard_join, op3_language_id, op4_chat_windows, op5_neighbours, op6_byte_bpe, op7_licenses, op8_decontamination, op9_quality, op10_html_text]
-    found = {f.__name__: f for f in named}
-    try:
-        import corpus_pipeline
-    except ModuleNotFoundError as e:
-        if e.name != "corpus_pipeline":
-            raise
-    else:
-        found["pipeline"] = corpus_pipeline.run
-    return found
+    return {f.__name__: f for f in named}
 
 
 def _escaped_length(column: str) -> str:
