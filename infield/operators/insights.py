@@ -5,14 +5,16 @@ Each detector returns candidates of one schema, with the evidence query that giv
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from infield.functions import columns as fx
 from infield.operators.relational import streaks
+from infield.plans.semantic import guarded
 
 #: Thresholds of the detectors.
 THRESHOLDS = {
@@ -176,6 +178,32 @@ def detect(daily: DataFrame, contact: DataFrame, pitches: DataFrame, as_of: str,
     return ranked(out, top)
 
 
+# Verification -------------------------------------------------------------------------------------------
+
+TOLERANCE = 0.0005
+
+
+def recomputed(evidence: DataFrame, detector: str, metric: str, facts: Mapping) -> float | None:
+    """A candidate's value again, from the rows of its evidence query (a handful)."""
+    rows = evidence.collect()
+    if detector == "hitting_streak":
+        return float(len(rows)) if rows and all(r.h > 0 for r in rows) else None
+    pick = {
+        "change_vs_baseline": ("woba", lambda r: r["span"] == "recent"), "league_month_shift": (metric, lambda r: r["month"] == facts.get("month")), "cross_league_gap": (metric, lambda r: r["league_code"] == facts.get("first")),
+        "luck_gap": ("woba", lambda r: True), "new_pitch": ("share", lambda r: r["since"]), "velocity_change": ("velo", lambda r: r["since"]),
+    }
+    column, wanted = pick[detector]
+    found = [r[column] for r in rows if wanted(r)]
+    return float(found[0]) if found and found[0] is not None else None
+
+
+def verified(spark: SparkSession, row: Row, claim: float | None = None) -> bool:
+    """Whether a candidate's evidence gives its value again, and a claim about it, within TOLERANCE. Only read-only queries run."""
+    facts = json.loads(row.facts_json) | {"first": row.league_code.split("-")[0]}
+    again = recomputed(spark.sql(guarded(row.evidence_sql)), row.detector, row.metric, facts)
+    return again is not None and abs(again - row.value) <= TOLERANCE and (claim is None or abs(again - claim) <= TOLERANCE)
+
+
 # Pitch features -----------------------------------------------------------------------------------------
 
 #: Groups of pitch types, and swings and misses as the feature tables count them.

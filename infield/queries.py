@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from infield.functions import columns as fx
-from infield.operators import insights, ml, quality
+from infield.operators import gold, insights, ml, plays, quality
 from infield.operators import relational as r
 from infield.operators import silver as sv
 from infield.plans import semantic as sem
@@ -679,6 +679,117 @@ def K10_publishable_names(spark, sf_dir):
     return lake.publishable(e)
 
 
+# State machine, features and further shapes --------------------------------------------------------------
+
+_TRACKED = """p AS (SELECT user_id AS g, event_id // 7 AS ab, event_id % 7 AS pn, (event_id // 70) % 9 AS inning, CASE WHEN (event_id // 35) % 2 = 0 THEN 'Top' ELSE 'Bot' END AS half, (event_id // 7) % 3 AS outs, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN value > 50 THEN 2 ELSE 0 END AS bases,
+CASE event_type WHEN 'purchase' THEN '1B' WHEN 'view' THEN 'OUT' WHEN 'click' THEN 'K' WHEN 'error' THEN 'DP' ELSE 'UNKNOWN' END AS code, event_id % 5 AS score FROM events)"""
+
+
+def _tracked(spark, sf_dir) -> DataFrame:
+    e = t(spark, sf_dir, "events")
+    i = F.col("event_id")
+    whole = lambda n: F.floor(i / n).cast("long")
+    event = fx.first_match([(F.col("event_type") == k, v) for k, v in (("purchase", "single"), ("view", "field_out"), ("click", "strikeout"), ("error", "grounded_into_double_play"))], "")
+    return e.select(
+        F.col("user_id").cast("string").alias("game_pk"), whole(7).alias("at_bat_number"), (i % 7).alias("pitch_number"), (whole(70) % 9).alias("inning"), F.when(whole(35) % 2 == 0, "Top").otherwise("Bot").alias("inning_topbot"), (whole(7) % 3).alias("outs_when_up"),
+        F.when(i % 2 == 0, "x").alias("on_1b"), F.when(F.col("value") > 50, "y").alias("on_2b"), F.lit(None).cast("string").alias("on_3b"), event.alias("events"), F.lit(None).cast("string").alias("batter_id"), F.lit(None).cast("string").alias("pitcher_id"),
+        F.format_string('{"bat_score": %d, "post_bat_score": %d}', i % 5, i % 5 + 1).alias("raw_json"), F.date_format("ts", "yyyy-MM-dd").alias("dt"),
+    )
+
+
+@query(f"""WITH {_TRACKED}, a AS (SELECT g, ab, arg_min(p, pn) AS f, arg_max(p, pn) AS z FROM p GROUP BY g, ab), n AS (SELECT *, lead(f) OVER (PARTITION BY g ORDER BY ab) AS x FROM a),
+s AS (SELECT *, x IS NOT NULL AND x.inning = f.inning AND x.half = f.half AS same FROM n),
+c AS (SELECT *, CASE WHEN z.code = 'UNKNOWN' AND NOT same AND f.outs = 2 THEN 'TRUNCATED' ELSE z.code END AS event_type FROM s),
+o AS (SELECT *, CASE WHEN x IS NULL AND event_type = 'TRUNCATED' THEN 3 WHEN x IS NULL THEN least(3, f.outs + CASE event_type WHEN 'K' THEN 1 WHEN 'OUT' THEN 1 WHEN 'DP' THEN 2 ELSE 0 END) WHEN same THEN x.outs ELSE 3 END AS outs_after FROM c)
+SELECT {_id_sql("'game:mlb_statsapi:' || g")} AS game_id, ab AS play_order, event_type, f.outs AS outs_before, CAST(outs_after AS BIGINT) AS outs_after, CAST(f.bases AS BIGINT) AS base_before, CAST(CASE WHEN x IS NULL THEN CASE WHEN outs_after = 3 THEN 0 END WHEN same THEN x.bases ELSE 0 END AS BIGINT) AS base_after,
+CASE WHEN same THEN x.score ELSE z.score + 1 END - f.score AS runs FROM o""")
+def T01_plate_appearances(spark, sf_dir):
+    bridge = spark.createDataFrame([], gold.BRIDGE)
+    pas = plays.from_pitches(_tracked(spark, sf_dir), bridge)
+    return pas.select("game_id", "play_order", "event_type", "outs_before", "outs_after", F.col("base_state_before").alias("base_before"), F.col("base_state_after").alias("base_after"), F.col("runs_scored_on_play").alias("runs"))
+
+
+_SPANS = EV + ", s AS (SELECT user_id, event_type, count(*) FILTER (WHERE dt < '2024-01-16') AS early_n, count(*) FILTER (WHERE dt >= '2024-01-16') AS recent_n, sum(CASE WHEN dt < '2024-01-16' THEN value ELSE 0 END) AS early_v, sum(CASE WHEN dt >= '2024-01-16' THEN value ELSE 0 END) AS recent_v FROM ev GROUP BY ALL)"
+
+
+def _spans(spark, sf_dir) -> DataFrame:
+    rows = events(spark, sf_dir).select("dt", F.col("user_id").alias("player_id"), F.col("event_type").alias("pitch_type"), F.lit(1).alias("pitches"), (F.col("value") > 20).cast("int").alias("swings"), (F.col("value") > 100).cast("int").alias("whiffs"), F.col("value").alias("velo_sum"), F.lit(1).alias("velo_n"), F.col("value").alias("xwoba_value"), F.lit(1).alias("woba_den"))
+    return insights.pitcher_spans(rows, "2024-01-30", 15)
+
+
+@query(_SPANS + ", w AS (SELECT *, sum(early_n) OVER p AS e, sum(recent_n) OVER p AS r FROM s WINDOW p AS (PARTITION BY user_id)) SELECT user_id AS player_id, event_type AS pitch_type, round(CAST(early_n AS DOUBLE) / nullif(e, 0), 6) AS share_early, round(CAST(recent_n AS DOUBLE) / nullif(r, 0), 6) AS share_recent FROM w")
+def I06_pitch_shares(spark, sf_dir):
+    w = Window.partitionBy("player_id")
+    s = _spans(spark, sf_dir)
+    return s.select("player_id", "pitch_type", *[F.round(fx.ratio(f"{n}_pitches", F.sum(f"{n}_pitches").over(w)), 6).alias(f"share_{n}") for n in ("early", "recent")])
+
+
+@query(_SPANS + " SELECT user_id AS player_id, event_type AS pitch_type, round(recent_v / recent_n - early_v / early_n, 4) AS change FROM s WHERE event_type IN ('click', 'view') AND early_n >= 3 AND recent_n >= 3 AND abs(recent_v / recent_n - early_v / early_n) >= 15")
+def I07_velocity_change(spark, sf_dir):
+    change = fx.ratio("recent_velo_sum", "recent_velo_n") - fx.ratio("early_velo_sum", "early_velo_n")
+    s = _spans(spark, sf_dir).where("pitch_type in ('click', 'view') and early_velo_n >= 3 and recent_velo_n >= 3")
+    return s.withColumn("c", change).where(F.abs("c") >= 15).select("player_id", "pitch_type", F.round("c", 4).alias("change"))
+
+
+@query("SELECT user_id AS player_id, round(sum(value) / count(*) - sum(least(value, 100)) / count(*), 4) AS gap FROM events GROUP BY user_id HAVING count(*) >= 20 AND abs(sum(value) / count(*) - sum(least(value, 100)) / count(*)) >= 4")
+def I05_luck_gap(spark, sf_dir):
+    c = events(spark, sf_dir).select("dt", F.col("user_id").alias("player_id"), F.col("value").alias("woba_value"), F.least("value", F.lit(100.0)).alias("xwoba_value"), F.lit(1.0).alias("woba_den"), F.lit(1).alias("bip"), F.lit(0).alias("babip_hits"), F.lit(1).alias("xwoba_bip_n"))
+    found = insights.luck_gap(c, "2024-12-31", {"min_pa": 20, "min_abs_gap": 4.0})
+    return found.select(F.col("subject_id").alias("player_id"), F.col("delta").alias("gap"))
+
+
+@query("SELECT CASE WHEN c_custkey % 4 = 0 THEN 'player:source:s:' || c_custkey WHEN c_custkey % 4 = 1 THEN 'player:name:' || lower(c_name) || ':1990-01-01' WHEN c_custkey % 4 = 2 THEN 'player:name:' || lower(c_name) || ':team' END AS key, CASE c_custkey % 4 WHEN 0 THEN 0.9 WHEN 1 THEN 0.75 WHEN 2 THEN 0.5 END::DOUBLE AS confidence, c_custkey FROM customer")
+def N02_match_cascade(spark, sf_dir):
+    k = F.col("c_custkey") % 4
+    rows = t(spark, sf_dir, "customer").select("c_custkey", F.lit("s").alias("source"), F.when(k == 0, F.col("c_custkey").cast("string")).alias("source_id"), F.col("c_name").alias("name"), F.when(k == 1, "1990-01-01").alias("dob"), F.when(k == 2, "team").alias("team"))
+    return rows.withColumn("m", gold.match_key("player")).select("c_custkey", "m.key", "m.confidence")
+
+
+@query("SELECT p_partkey, CAST(p_size AS BIGINT) AS p_size, CAST(p_size AS BIGINT) AS whole FROM part")
+def K11_aligned(spark, sf_dir):
+    p = t(spark, sf_dir, "part").select("p_partkey", "p_size", F.col("p_size").cast("double").alias("whole"))
+    return lake.aligned(p, {"p_size": "bigint", "whole": "bigint"})
+
+
+@query(EV + " SELECT event_type AS league_code, substr(dt, 1, 7) AS month, count(*) AS pa, CAST(sum(CASE WHEN value > 100 THEN 1 ELSE 0 END) AS BIGINT) AS so FROM ev GROUP BY ALL")
+def A09_league_months(spark, sf_dir):
+    d = events(spark, sf_dir).select("dt", F.col("event_type").alias("league_code"), F.lit(1).alias("pa"), (F.col("value") > 100).cast("int").alias("so"), F.lit(0).alias("bb"), F.lit(0).alias("hr"))
+    return insights.league_months(d, "2024-12-31").select("league_code", "month", "pa", "so")
+
+
+@query("SELECT 'region' AS name, count(*) AS rows FROM region UNION ALL SELECT 'nation', count(*) FROM nation UNION ALL SELECT 'supplier', count(*) FROM supplier UNION ALL SELECT 'part', count(*) FROM part")
+def A16_row_counts(spark, sf_dir):
+    counts = [t(spark, sf_dir, n).agg(F.lit(n).alias("name"), F.count("*").alias("rows")) for n in ("region", "nation", "supplier", "part")]
+    return quality.union(counts)
+
+
+@query("""WITH pa AS (SELECT o_orderkey % 500 AS game_id, o_orderkey % 2 = 0 AS is_top_inning, count(*) FILTER (WHERE o_orderstatus <> 'P') AS pa, CAST(sum(o_custkey % 3) AS BIGINT) AS runs FROM orders GROUP BY ALL)
+SELECT game_id, is_top_inning, pa % 2 = 0 AS pa_match, true AS runs_match FROM pa""")
+def A24_reconcile(spark, sf_dir):
+    o = t(spark, sf_dir, "orders").select((F.col("o_orderkey") % 500).alias("game_id"), (F.col("o_orderkey") % 2 == 0).alias("is_top_inning"), F.when(F.col("o_orderstatus") == "P", "TRUNCATED").otherwise("OUT").alias("event_type"), (F.col("o_custkey") % 3).alias("runs_scored_on_play"), F.lit("d").alias("dt"))
+    counted = o.groupBy("game_id", "is_top_inning").agg(F.count_if(F.col("event_type") == "OUT").alias("pa"), F.sum("runs_scored_on_play").alias("runs"))
+    truth = counted.select("game_id", "is_top_inning", (F.col("pa") + F.col("pa") % 2).alias("pa"), "runs", F.lit(0).cast("long").alias("hits"))
+    return quality.reconcile(o, o, truth).select("game_id", "is_top_inning", "pa_match", "runs_match")
+
+
+@query("SELECT n_nationkey, ['Bases empty', '1st', '2nd', '1st & 2nd', '3rd', '1st & 3rd', '2nd & 3rd', 'Loaded'][n_nationkey % 8 + 1] AS runners FROM nation")
+def V08_labels(spark, sf_dir):
+    n = t(spark, sf_dir, "nation").select("n_nationkey", (F.col("n_nationkey") % 8).alias("base_state"), F.lit("2024-01-01").alias("dt"))
+    return sem.v_run_expectancy_daily({"run_expectancy_daily": n}).select("n_nationkey", "runners")
+
+
+@query(EV + " SELECT event_id, CASE WHEN dt <= '2024-01-10' THEN 'train' WHEN dt <= '2024-01-20' THEN 'validation' ELSE 'test' END AS split FROM ev WHERE value <= 200 AND event_id % 4 < 3")
+def V09_training_rows(spark, sf_dir):
+    e = events(spark, sf_dir).withColumns({"source": F.lit("mlb_statcast"), "base_state_before": F.lit(0), "outs_before": (F.col("event_id") % 4).cast("int"), "runs_to_end_of_inning": F.when(F.col("value") <= 200, 1)})
+    split = e.select("dt").distinct().withColumn("split", ml.split_of(F.col("dt"), ml.Splits("2024-01-10", "2024-01-20", 2)))
+    return sem.v_re_training({"fact_plate_appearance": e, "ml_split": split}).select("event_id", "split")
+
+
+@query("SELECT c_mktsegment AS segment, count(*) AS players, round(sum(c_acctbal), 2) AS total, round(max(c_acctbal), 2) AS best FROM customer GROUP BY 1")
+def E09_dashboard_totals(spark, sf_dir):
+    return t(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count("*").alias("players"), F.round(F.sum("c_acctbal"), 2).alias("total"), F.round(F.max("c_acctbal"), 2).alias("best"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

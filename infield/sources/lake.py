@@ -174,3 +174,29 @@ def write_each(tables: Mapping[str, DataFrame], write) -> dict[str, str]:
     if failed:
         raise RuntimeError(f"not published: {failed}")
     return failed
+
+
+def register(spark: SparkSession, root: str, tables: Mapping[str, str], database: str = "default") -> list[str]:
+    """Makes the folders of a lake tables of the catalog, with comments (table: comment); those that aren't there are skipped."""
+    made = []
+    for name, comment in sorted(tables.items()):
+        df = read(spark, root, name)
+        if df is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+            spark.catalog.createTable(f"{database}.{name}", path=f"{root}/{name}", source="parquet", description=comment)
+            spark.catalog.recoverPartitions(f"{database}.{name}")
+            made.append(name)
+    return made
+
+
+def logged(df: DataFrame, source: str, entity: str) -> DataFrame:
+    """One row for each request behind bronze rows, for the request log."""
+    return df.groupBy("dt", "response_checksum").agg(F.min("ingested_at_utc").alias("fetched_at"), F.count("*").alias("rows")).withColumns({"source": F.lit(source), "entity": F.lit(entity)})
+
+
+def seasons_to_refresh(changed: Sequence[str], published: Sequence[str]) -> list[str]:
+    """Published days whose season-to-date tables depend on the changed ones: all later days of the same year."""
+    first: dict[str, str] = {}
+    for d in changed:
+        first[d[:4]] = min(d, first.get(d[:4], d))
+    return sorted(p for p in published if p[:4] in first and p > first[p[:4]])

@@ -127,6 +127,14 @@ def test_append_new_and_latest_fetch(spark, tmp_path):
     assert lake.bronze(nothing).count() == 2
 
 
+def test_registered_tables_and_refresh(spark, tmp_path):
+    lake.write_days(spark.createDataFrame([("2026-01-01", 1)], "dt string, v long"), str(tmp_path), "reg_t", ["2026-01-01"])
+    assert lake.register(spark, str(tmp_path), {"reg_t": "a table", "absent": "none"}) == ["reg_t"]
+    assert spark.table("reg_t").first().v == 1
+    spark.sql("DROP TABLE reg_t")
+    assert lake.seasons_to_refresh(["2026-02-01"], ["2025-12-31", "2026-01-31", "2026-02-01", "2026-03-01"]) == ["2026-03-01"]
+
+
 def test_lossless_alignment(spark):
     df = spark.createDataFrame([(1, 2.0, None)], "a int, b double, c double").withColumn("d", F.lit(None))
     out = lake.aligned(df, {"a": "bigint", "b": "bigint", "d": "string"})
@@ -217,6 +225,8 @@ def test_streaks_and_changes(spark):
     assert streak.value == 15 and json.loads(streak.facts_json)["end_dt"] == "2026-05-30" and len(streak.insight_id) == 20
     df.createOrReplaceTempView("feature_batter_daily")
     assert spark.sql(sem.guarded(streak.evidence_sql)).count() == 15
+    assert all(insights.verified(spark, r) for r in found)
+    assert insights.verified(spark, streak, 15.0) and not insights.verified(spark, streak, 14.0)
 
 
 def test_pitch_components(spark):
