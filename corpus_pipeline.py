@@ -23,12 +23,19 @@ def language_identification(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near copies."""
-    found = jaccard_join.similar(docs)
-    extra = found.where("doc_id != group_id").select("doc_id").distinct()
-    extra = stored(extra)
-    few = extra.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
-    return docs.join(F.broadcast(extra) if few else extra, "doc_id", "left_anti").select(*COLUMNS)
+    """The document with the least id of each group of near copies, once if its row is repeated; rows without an id stay."""
+    found = jaccard_join.similar(docs).select("doc_id", "group_id").where("doc_id is not null")
+    rows = stored(found.groupBy("doc_id").agg(F.min("group_id").alias("group_id"), F.count("*").alias("n")))
+
+    def listed(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS else ids
+
+    kept = docs.join(listed(rows.where("doc_id != group_id").select("doc_id")), "doc_id", "left_anti").select(*COLUMNS)
+    repeated = rows.where("doc_id = group_id and n > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    repeated = listed(repeated)
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*COLUMNS)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from infield.llm import bpe, char_lm, language_id, quality, queries
@@ -184,3 +185,22 @@ def test_stages_return_the_columns_of_documents(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, DATA).columns == corpus_pipeline.COLUMNS, name
     assert np.all([len(s) == 2 for s in corpus_pipeline.STAGES])
+
+
+def test_pipeline_on_odd_documents(spark, tmp_path):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(80)
+    good = docs.where("length(text) > 300").first()
+    odd = [(None, good.text + " more", "en", None, None), (9001, None, "en", "s", 0), (9002, "", None, "s", 0), (9003, " \n", "de", "s", None), (9004, "a", None, None, 1), (good.doc_id, *good[1:])]
+    docs.unionByName(spark.createDataFrame(odd, docs.schema)).withColumns({"ids": F.lit("clash"), "keep": F.lit(1)}).write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    ids = [r.doc_id for r in out]
+    assert len(out) > 20 and not {9001, 9002, 9003} & set(ids)
+    assert len([i for i in ids if i is not None]) == len({i for i in ids if i is not None})
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
