@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from infield.llm.common import text_list, transform_batches
 
 LEAF = 8  #: bytes that are merged directly
-CACHED_BYTES, CACHED_PIECES = 64, 250_000  #: pieces up to this length are remembered, this many in a task
+CACHED_BYTES, CACHED_PIECES = 64, 200_000  #: pieces up to this length are remembered, this many in a task
 STREAMED = 1_000_000  #: texts over this many characters are cut into pieces bit by bit
 
 

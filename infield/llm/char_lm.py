@@ -76,7 +76,7 @@ def grams(syms: np.ndarray, order: int) -> np.ndarray:
 class Counter:
     """Counts of integers met in a stream, merged as they come; a bounded number is held before compaction."""
 
-    def __init__(self, held: int = 3_000_000):
+    def __init__(self, held: int = 1_500_000):
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
         self.size, self.held = 0, held
 
@@ -123,7 +123,7 @@ def count_grams(df: DataFrame, model: str, text: str, order: int, table: Callabl
                     made = grams(symbols(np.frombuffer(value.encode("utf-32-le", "surrogatepass"), "<u4"), to_symbol), order)
                     found.setdefault(name, []).append(made)
                     size += len(made)
-                    if size > 2_000_000:
+                    if size > 1_000_000:
                         for key, parts in found.items():
                             counters.setdefault(key, Counter()).add(np.concatenate(parts))
                         found, size = {}, 0

@@ -14,12 +14,21 @@ from pyspark.sql import types as T
 
 #: A set of keys up to this many rows is broadcast to filter a large table; beyond it, the join shuffles.
 MAX_BROADCAST_KEYS = 2_000_000
+BATCH_ROWS = 1_000  #: of an Arrow batch
+CUT_ROWS = 100_000  #: in a file of a checkpoint of a small table
 
 
 def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Has Spark hand texts to Python by BATCH_ROWS rows, where the session has its own default: 10,000 long ones fill memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) == 10_000:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset (tests)."""
     sc = spark.sparkContext
@@ -31,10 +40,36 @@ def shared_dir(spark: SparkSession) -> str:
     return (configured or sc.getCheckpointDir()).rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` with its lineage cut by a checkpoint in the shared folder.
+
+    It has two files for each core of the cluster, or fewer for about ``rows`` rows: CUT_ROWS in each.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    files = 2 * spark.sparkContext.defaultParallelism
+    return df.coalesce(files if rows is None else max(1, min(files, -(-rows // CUT_ROWS)))).checkpoint(eager=True)
+
+
+class Scratch:
+    """Keeps what is read more than once while a result is made, and lets go of it after: lost parts are computed again.
+
+    ``with Scratch() as s: ... s.keep(df) ... return cut(result)``
+    """
+
+    def __init__(self) -> None:
+        self.held: list[DataFrame] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for df in self.held:
+            df.unpersist()
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.held.append(df.persist())
+        return self.held[-1]
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -60,22 +95,16 @@ def pieces(batches: Iterator[pa.RecordBatch], size: int = 4_000_000) -> Iterator
             yield batch.slice(at, rows)
 
 
-def append_columns(df: DataFrame, inputs: list[str], outputs: T.StructType, fn: Callable) -> DataFrame:
-    """``df`` with the columns that ``fn`` makes from Arrow columns ``inputs``, a record batch at a time.
-
-    ``fn`` gets the input arrays and returns one array for each output field. A column of ``df`` with an
-    output's name is replaced. No shuffle; rows keep their partition.
-    """
-    return transform_batches(df, inputs, outputs, lambda: fn)
-
-
 def transform_batches(df: DataFrame, inputs: list[str], outputs: T.StructType, make: Callable) -> DataFrame:
-    """As append_columns, but ``make()`` is called once a task and returns ``fn``: for state such as caches.
+    """``df`` with the columns that a function makes from Arrow columns ``inputs``, a run of rows at a time.
 
-    Where ``fn`` returns a pair (arrays, keep), rows for which keep is false are dropped.
+    ``make()`` is called once a task and returns the function; it gets the input arrays and returns one array for
+    each output field, or a pair of those and of flags: rows whose flag is false are dropped. A column of ``df``
+    with an output's name is replaced. No shuffle; rows keep their partition.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    short_batches(df.sparkSession)
     rest = df.drop(*[f.name for f in outputs if f.name not in inputs])
     arrow_outputs = to_arrow_schema(outputs)
 
@@ -102,6 +131,7 @@ def each_group(df: DataFrame, key: str, fn: Callable, schema: T.StructType, part
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    short_batches(df.sparkSession)
     arrow_schema = to_arrow_schema(schema)
     dealt = df.repartition(partitions, key) if partitions else df.repartition(F.col(key))
 
