@@ -15,14 +15,15 @@ without emitting all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from infield.llm.common import MAX_BROADCAST_KEYS, WordHasher, cut, each_group, mix, shingles, stored
+from infield.llm.common import MAX_BROADCAST_KEYS, Scratch, WordHasher, cut, each_group, mix, shingles, stored
 from infield.llm.components import components
 
 WIDTH = 5
@@ -34,7 +35,7 @@ RUNS = 12
 LEVELS = 4
 SMALL = 96  #: sets of a node that are compared by brute force
 LOOSE = 0.6  #: share of equal values that makes a loose link; 4 standard deviations below the threshold
-CLOSE = 0.92  #: share that makes a set leave a large node
+CLOSE = 0.9  #: share that makes a set leave a large node
 BLOCK = 256  #: sets of a component that meet in one task
 
 
@@ -43,7 +44,7 @@ def _seeds(n: int, salt: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc, size, set_key, values): number of shingles, digest of their set and packed MinHash values of each text.
+    """(doc, size, set_key, values, sketch): number of shingles, digest of their set, MinHash values and a byte of each.
 
     A text of fewer than five words has one shingle of them all; one without words has size 0 and no values.
     """
@@ -55,26 +56,28 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
             ids = batch.column("doc")
             for first, hashes, offsets in words(batch.column("text")):
                 made, bounds = shingles(hashes, offsets, WIDTH)
-                size, keys, packed = [], [], []
+                size, keys, packed, sketches = [], [], [], []
                 for a, b in zip(bounds, bounds[1:], strict=False):
                     s = np.unique(made[a:b])
                     size.append(len(s))
                     if not len(s):
                         keys.append(None)
                         packed.append(None)
+                        sketches.append(None)
                         continue
                     keys.append(int(s.sum(dtype=np.uint64)).to_bytes(8, "big") + int(np.bitwise_xor.reduce(mix(s + np.uint64(7)))).to_bytes(8, "big"))
                     least = np.full(VALUES, np.iinfo(np.uint64).max, np.uint64)
                     for at in range(0, len(s), 4096):
                         np.minimum(least, (mix(s[at : at + 4096]) * factors[:, None]).min(axis=1), out=least)
-                    packed.append((least >> shift).astype(np.uint32).tobytes())
-                yield pa.RecordBatch.from_arrays([ids.slice(first, len(size)), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())], names=["doc", "size", "set_key", "values"])
+                    packed.append((least >> shift).astype(np.uint32).view(np.int32))
+                    sketches.append((least >> shift).astype(np.uint8).tobytes())
+                yield pa.RecordBatch.from_arrays([ids.slice(first, len(size)), pa.array(size, pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.list_(pa.int32())), pa.array(sketches, pa.binary())], names=["doc", "size", "set_key", "values", "sketch"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).mapInArrow(run, "doc long, size long, set_key binary, values binary")
+    return docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).mapInArrow(run, "doc long, size long, set_key binary, values array<int>, sketch binary")
 
 
 def _values(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, VALUES)
+    return column.flatten().to_numpy(zero_copy_only=False).view(np.uint32).reshape(-1, VALUES)
 
 
 def _children(nodes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,11 +119,14 @@ def _roots(linked: np.ndarray) -> np.ndarray:
 
 
 def _loose_links(table: pa.Table) -> dict | None:
-    """A spanning forest of the sets of one small node that share LOOSE of their values."""
-    docs, values = table.column("doc").to_numpy(), _values(table.column("values").combine_chunks())
+    """A spanning forest of the sets of one small node whose sketches agree at LOOSE of their places."""
+    docs = table.column("doc").to_numpy()
+    sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, VALUES)
+    by = np.argsort(docs)
+    docs, sketch = docs[by], sketch[by]
     linked = np.zeros((len(docs), len(docs)), bool)
     for i in range(len(docs)):
-        linked[i] = (values == values[i]).mean(axis=1) >= LOOSE
+        linked[i] = (sketch == sketch[i]).mean(axis=1) >= LOOSE
     root = _roots(linked)
     off = root != np.arange(len(docs))
     return {"a": docs[root[off]], "b": docs[off]} if off.any() else None
@@ -129,61 +135,75 @@ def _loose_links(table: pa.Table) -> dict | None:
 LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-@F.pandas_udf(T.DoubleType())
-def _equal_share(a, b):
-    import pandas as pd
+def _equal_share(a: Column | str, b: Column | str) -> Column:
+    """Share of the places at which two arrays of MinHash values agree."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / F.lit(float(VALUES))
 
-    x = np.frombuffer(b"".join(a), np.uint32).reshape(-1, VALUES)
-    y = np.frombuffer(b"".join(b), np.uint32).reshape(-1, VALUES)
-    return pd.Series((x == y).mean(axis=1))
+
+def _listed(df: DataFrame) -> DataFrame:
+    """``df`` to be broadcast if it has MAX_BROADCAST_KEYS rows at most."""
+    return F.broadcast(df) if df.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS else df
 
 
 def loose_links(sets: DataFrame) -> DataFrame:
-    """(a, b): links of sets (doc, values) that the chosen-path tree finds."""
-    found = []
-    rows = cut(descend(sets, True))
-    for level in range(LEVELS):
-        sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        met = cut(rows.join(sizes, "node").join(sets, "doc"))
-        small = met.where(F.col("size") <= SMALL)
-        found.append(cut(each_group(small.select("node", "doc", "values"), "node", _loose_links, LINK).distinct()))
-        large = met.where(F.col("size") > SMALL)
-        if large.isEmpty():
-            break
-        pivots = large.groupBy("node").agg(F.min_by(F.struct("doc", "values"), "doc").alias("pivot"))
-        beside = cut(large.join(pivots, "node").withColumn("share", _equal_share("values", "pivot.values")))
-        found.append(beside.where((F.col("share") >= LOOSE) & (F.col("doc") != F.col("pivot.doc"))).select(F.col("pivot.doc").alias("a"), F.col("doc").alias("b")).distinct())
-        rest = beside.where(F.col("share") < CLOSE).select("node", "doc", "values", "size")
-        if level + 1 < LEVELS:
-            rows = cut(descend(rest, False))
-        else:  # what is left of large nodes is compared in pairs of blocks
-            found.append(each_group(block_pairs(rest.select(F.col("node").alias("group"), "doc", "values"), SMALL).withColumnRenamed("pair", "node"), "node", _loose_links, LINK))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    """(a, b): links of sets (doc, values, sketch) that the chosen-path tree finds."""
+    with Scratch() as s:
+        found = []
+        rows = cut(descend(sets, True))
+        for level in range(LEVELS):
+            sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+            met = s.keep(rows.join(sizes, "node"))
+            small, large = met.where(F.col("size") <= SMALL), met.where(F.col("size") > SMALL)
+            found.append(each_group(small.join(sets.select("doc", "sketch"), "doc").select("node", "doc", "sketch"), "node", _loose_links, LINK))
+            if large.isEmpty():
+                break
+            large = s.keep(sets.join(_listed(large), "doc"))
+            pivots = large.groupBy("node").agg(F.min_by(F.struct("doc", "values"), "doc").alias("pivot"))
+            beside = cut(large.join(pivots, "node").withColumn("share", _equal_share("values", "pivot.values")).withColumn("pivot", F.col("pivot.doc")))
+            found.append(beside.where((F.col("share") >= LOOSE) & (F.col("doc") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("doc").alias("b")))
+            rest = beside.where(F.col("share") < CLOSE)
+            if level + 1 < LEVELS:
+                rows = cut(descend(rest.select("node", "doc", "values"), False))
+            else:  # what is left of large nodes is compared in pairs of blocks
+                pairs = block_pairs(rest.select(F.col("node").alias("group"), F.col("size").alias("members"), "doc", "sketch"), SMALL)
+                found.append(each_group(pairs.withColumnRenamed("pair", "node"), "node", _loose_links, LINK))
+        return cut(reduce(DataFrame.unionByName, found).distinct())
 
 
 def block_pairs(rows: DataFrame, block: int) -> DataFrame:
-    """Rows of each ``group`` dealt into blocks of about ``block``, each row once for each pair of blocks it is in.
+    """Rows of each ``group`` of ``members`` dealt into blocks of about ``block``, each row once for each pair of blocks it is in.
 
     Adds pair (the pair's key), i and j (its blocks, i <= j) and own (the row's block).
     """
-    sizes = rows.groupBy("group").agg(F.count("*").alias("members"))
-    sized = rows.join(sizes, "group").withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
+    sized = rows.withColumn("blocks", F.ceil(F.col("members") / block).cast("int"))
     owned = sized.withColumn("own", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
     dealt = owned.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).withColumn("pair", F.xxhash64("group", "i", "j")).drop("other", "blocks", "members")
 
 
+TOKEN = 5  #: bytes of a shingle's hash in a packed set: in a pair of blocks two of them hardly ever coincide
+
+
+def _packed(made: np.ndarray) -> bytes:
+    return np.unique(made).view(np.uint8).reshape(-1, 8)[:, :TOKEN].tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // TOKEN, 8), np.uint8)
+    out[:, :TOKEN] = np.frombuffer(data, np.uint8).reshape(-1, TOKEN)
+    return np.unique(out.view(np.uint64).ravel())
+
+
 COUNTED = T.StructType([T.StructField("doc", T.LongType()), T.StructField("links", T.LongType()), T.StructField("root", T.LongType())])
 
 
 def _exact_links(table: pa.Table) -> dict | None:
     """Number of partners of each linked set within one pair of blocks, and one set that links connect it with."""
+    _, first = np.unique(table.column("doc").to_numpy(), return_index=True)  # repeated rows count once
+    table = table.take(pa.array(first))
     docs, own = table.column("doc").to_numpy(), table.column("own").to_numpy()
     cross = table.column("i")[0].as_py() != table.column("j")[0].as_py()
-    made = [np.unique(np.frombuffer(b, np.uint64)) for b in table.column("set").to_pylist()]
+    made = [_unpacked(b) for b in table.column("set").to_pylist()]
     size = np.array([len(s) for s in made])
     token, inverse, count = np.unique(np.concatenate(made), return_inverse=True, return_counts=True)
     shared = count[inverse] > 1
@@ -212,22 +232,22 @@ def _exact_links(table: pa.Table) -> dict | None:
 def exact_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """(doc, links, root) of the texts of ``groups`` (node, root) that are linked: how many other ones they are similar to,
     and the least text of all that links connect them with. Repeated ids must have equal texts."""
-    groups = groups.select(F.col("node").alias("doc"), F.col("root").alias("group"))
-    few = groups.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
-    wanted = docs.join(F.broadcast(groups) if few else groups, "doc").select("group", "doc", "text")
+    sizes = groups.groupBy("root").agg(F.count("*").alias("members"))
+    groups = cut(groups.join(sizes, "root").select(F.col("node").alias("doc"), F.col("root").alias("group"), "members"))
+    wanted = docs.join(_listed(groups), "doc").select("group", "members", "doc", "text")
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHasher()
         for batch in batches:
             for first, hashes, offsets in words(batch.column("text")):
                 made, bounds = shingles(hashes, offsets, WIDTH)
-                packed = [made[a:b].tobytes() for a, b in zip(bounds, bounds[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([batch.column("group").slice(first, len(packed)), batch.column("doc").slice(first, len(packed)), pa.array(packed, pa.binary())], names=["group", "doc", "set"])
+                packed = [_packed(made[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(first, len(packed)) for c in ("group", "members", "doc")], pa.array(packed, pa.binary())], names=["group", "members", "doc", "set"])
 
-    dealt = block_pairs(stored(wanted.mapInArrow(sets, "group long, doc long, set binary")).dropDuplicates(["doc"]), BLOCK)
+    dealt = block_pairs(wanted.mapInArrow(sets, "group long, members long, doc long, set binary"), BLOCK)
     counted = cut(each_group(dealt.select("pair", "doc", "own", "i", "j", "set"), "pair", _exact_links, COUNTED))
     per_doc = counted.groupBy("doc").agg(F.sum("links").alias("links"))
-    roots = components(counted.select(F.col("doc").alias("a"), F.col("root").alias("b")))
+    roots = components(counted.select(F.col("doc").alias("a"), F.col("root").alias("b")), counted.count())
     return per_doc.join(roots, per_doc.doc == roots.node, "left").select("doc", "links", F.coalesce("root", "doc").alias("root"))
 
 
@@ -241,9 +261,10 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     marked = stored(signatures(docs, "doc", "text"))
-    classes = cut(marked.where("size > 0 and doc is not null").groupBy("set_key").agg(F.min("doc").alias("class_id"), F.first("values").alias("values")))
-    sets = cut(classes.select(F.col("class_id").alias("doc"), "values"))
-    groups = components(loose_links(sets))
+    classes = cut(marked.where("size > 0 and doc is not null").groupBy("set_key").agg(F.min("doc").alias("class_id"), F.first("values").alias("values"), F.first("sketch").alias("sketch")))
+    sets = classes.select(F.col("class_id").alias("doc"), "values", "sketch")
+    loose = loose_links(sets)
+    groups = components(loose, loose.count())
     linked = exact_links(docs, groups)
     linked = linked.withColumnRenamed("doc", "class_id")
     with_class = marked.select("doc", "size", "set_key").join(classes.select("set_key", "class_id"), "set_key", "left")
