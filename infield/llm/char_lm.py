@@ -136,27 +136,6 @@ def count_grams(df: DataFrame, model: str, text: str, order: int, table: Callabl
     return made.groupBy("model", "gram").agg(F.sum("n").alias("n"))
 
 
-def prune(counts: DataFrame, most: int) -> DataFrame:
-    """The n-grams of each model that occur often enough for about ``most`` of them at most to stay.
-
-    The least count to keep comes from a histogram of counts; all n-grams of that count or more stay, ties together.
-    """
-    level = F.when(F.col("n") < 64, F.col("n")).otherwise(F.floor(F.log2("n") * 8) + 16).cast("long")
-    rows = counts.groupBy("model", level.alias("level")).agg(F.count("*").alias("grams"), F.min("n").alias("least")).collect()
-    cut: dict[str, int] = {}
-    for name in {r.model for r in rows}:
-        total = 0
-        for r in sorted((r for r in rows if r.model == name), key=lambda r: -r.level):
-            if total and total + r.grams > most:
-                break
-            total += r.grams
-            cut[name] = r.least
-    if all(v <= 1 for v in cut.values()):
-        return counts
-    least = F.create_map(*[x for k, v in cut.items() for x in (F.lit(k), F.lit(v))])
-    return counts.where(F.col("n") >= least[F.col("model")])
-
-
 def discounts(by_count: dict[int, int]) -> tuple[float, float, float]:
     """The modified Kneser-Ney discounts of n-grams met once, twice and more often; by_count: n-grams by count 1 to 4."""
     n1, n2, n3, n4 = (by_count.get(i, 0) for i in (1, 2, 3, 4))
@@ -197,7 +176,7 @@ class SortedModel:
 
 
 def fit(keys: np.ndarray, counts: np.ndarray, order: int) -> SortedModel:
-    """Interpolated modified Kneser-Ney from the counts of the highest order (bounded by prune), on the driver."""
+    """Interpolated modified Kneser-Ney from the counts of the highest order, on the driver."""
     levels: list[tuple[np.ndarray, np.ndarray]] = [(keys, counts.astype(np.float64))] if len(keys) and (np.diff(keys) > 0).all() else [_merged(keys, counts.astype(np.float64))]
     for k in range(order - 1, 0, -1):  # lower orders count the different symbols that come before
         suffix = np.sort(levels[0][0] & mask(k))

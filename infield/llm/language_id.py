@@ -1,26 +1,24 @@
-"""Language identification with interpolated Kneser-Ney character models, one for each language.
+"""Language identification with interpolated modified Kneser-Ney character models, one for each language.
 
-Training counts the character 4-grams of every labelled training text in Spark. A model keeps the most frequent
-ones (MOST_GRAMS a language, so the models' size is bounded whatever the corpus) in sorted arrays of 64-bit keys.
-Prediction sums the log probabilities of all n-grams of a text, finds the least cross-entropy a character, and
-rejects texts whose cross-entropy lies far above what that language's model has on its own training counts.
+Training counts the character 4-grams of every labelled training text in Spark; all of them stay, as probability
+tables by language. Prediction joins the n-gram counts of the texts with these tables, partitioned by n-gram
+(``gram_join``), finds the least cross-entropy a character, and rejects texts whose cross-entropy lies far above what
+that language's model has on its own training counts.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from infield.llm.char_lm import SortedModel, count_grams, fit, grams, letter_table, prune, symbols
-from infield.llm.common import codepoints, collected_arrays, cut, text_list, transform_batches
+from infield.llm import gram_join
+from infield.llm.char_lm import count_grams, letter_table
+from infield.llm.common import MAX_BROADCAST_KEYS, cut
 
 ORDER = 4
-MOST_GRAMS = 250_000
 #: A text is rejected if its cross-entropy is over the model's own by SLACK nats a character and, for short texts,
 #: SPREAD standard deviations of a character's more.
 SLACK, SPREAD = 1.2, 4.0
@@ -30,39 +28,19 @@ UNKNOWN = "und"
 @dataclass
 class LanguageModels:
     languages: list[str]
-    models: list[SortedModel]
-    keys: np.ndarray  #: sorted n-grams seen in any language
-    logp: np.ndarray  #: a row for each key, a column for each language
-    mean: np.ndarray  #: of each language's cross-entropy a character on its own counts
-    deviation: np.ndarray
-
-    def score(self, asked: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Sum of log probabilities under each language of the sorted n-grams ``asked``, each met n times."""
-        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
-        hit = self.keys[at] == asked
-        total = n[hit] @ self.logp[at[hit]]
-        if not hit.all():
-            rest, m = asked[~hit], n[~hit]
-            total = total + np.array([m @ model.score(rest) for model in self.models])
-        return total
+    tables: gram_join.Tables
+    mean: list[float]  #: of each language's cross-entropy a character on its own counts
+    deviation: list[float]
 
 
 def train(df: DataFrame, lang: str = "lang", text: str = "text") -> LanguageModels:
     """Models of the languages of ``df``. Rows with a null language or an empty text teach nothing; no rows, no languages."""
-    counts = collected_arrays(prune(cut(count_grams(df, lang, text, ORDER, letter_table)), MOST_GRAMS))
-    languages = sorted(set(counts["model"]))
-    models, own = [], []
-    for name in languages:
-        mine = np.flatnonzero(counts["model"] == name)
-        mine = mine[np.argsort(counts["gram"][mine])]
-        keys, n = counts["gram"][mine], counts["n"][mine]
-        models.append(fit(keys, n, ORDER))
-        logp = models[-1].score(keys).astype(np.float64)
-        mean = -(n @ logp) / n.sum()
-        own.append((mean, np.sqrt(n @ (logp + mean) ** 2 / n.sum())))
-    keys = np.unique(counts["gram"])
-    logp = np.stack([m.score(keys) for m in models], axis=1) if models else np.zeros((0, 0), np.float32)
-    return LanguageModels(languages, models, keys, logp, np.array([o[0] for o in own]), np.array([o[1] for o in own]))
+    counts = cut(count_grams(df, lang, text, ORDER, letter_table))
+    tables = gram_join.probabilities(counts, ORDER)
+    n, logp = F.col("n"), F.col("logp")
+    own = counts.join(tables[-1][0], ["model", "gram"]).groupBy("model").agg((F.sum(n * logp) / F.sum(n)).alias("mean"), (F.sum(n * logp * logp) / F.sum(n)).alias("square")).collect()
+    own = sorted(own, key=lambda r: r.model)
+    return LanguageModels([r.model for r in own], tables, [-r["mean"] for r in own], [max(r.square - r["mean"] ** 2, 0.0) ** 0.5 for r in own])
 
 
 OUTPUTS = T.StructType(
@@ -80,33 +58,34 @@ def predict(df: DataFrame, models: LanguageModels, text: str = "text", only_acce
 
     A null text, or one without a letter, is ``und`` with score 0 and not accepted; so is every text where no
     language was learned. A tie goes to the language that sorts first. Equal texts get equal answers. Input
-    columns with these names are replaced, others stay. ``only_accepted`` keeps accepted rows only.
+    columns with these names are replaced, others stay. ``only_accepted`` keeps accepted rows only, without the new columns.
     """
-    shared = df.sparkSession.sparkContext.broadcast(models)
-
-    def make():
-        table, m = letter_table(), shared.value
-
-        def one(value: str) -> tuple[str, float, float | None, bool]:
-            syms = symbols(codepoints(value), table)
-            if not m.languages or not (syms != 32).any():
-                return UNKNOWN, 0.0, None, False
-            asked, n = np.unique(grams(syms, ORDER), return_counts=True)
-            length = n.sum()
-            entropy = -m.score(asked, n.astype(np.float64)) / length
-            best = int(np.argmin(entropy))
-            gap = np.exp((entropy[best] - entropy) * min(length, 64))
-            limit = m.mean[best] + SLACK + SPREAD * m.deviation[best] / np.sqrt(length)
-            return m.languages[best], float(1 / gap.sum()), float(entropy[best]), bool(entropy[best] <= limit)
-
-        def fn(column: pa.Array):
-            rows = [one(t) for t in text_list(column)]
-            arrays = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
-            return (arrays, np.array([r[3] for r in rows], bool)) if only_accepted else arrays
-
-        return fn
-
-    return transform_batches(df, [text], OUTPUTS, make)
+    names = [f.name for f in OUTPUTS]
+    rows = df.drop(*[n for n in names if n != text])
+    if not models.languages:
+        out = rows.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "cross_entropy": F.lit(None).cast("double"), "accepted": F.lit(False)})
+        return out.where("accepted") if only_accepted else out
+    languages, mean, deviation = (F.array(*map(F.lit, x)) for x in (models.languages, models.mean, models.deviation))
+    length = F.col("symbols")
+    entropy = F.transform("totals", lambda t: -t / length)
+    least = F.col("cross_entropy")
+    best = F.when(length > 0, F.array_position("entropy", least).cast("int"))
+    gaps = F.aggregate("entropy", F.lit(0.0), lambda s, e: s + F.exp((least - e) * F.least(length, F.lit(64))))
+    found = gram_join.sums(df, models.tables, models.languages, ORDER, letter_table, text).withColumn("entropy", F.when(length > 0, entropy)).withColumn("cross_entropy", F.array_min("entropy")).withColumn("best", best)
+    limit = F.element_at(mean, F.col("best")) + SLACK + SPREAD * F.element_at(deviation, F.col("best")) / F.sqrt(length)
+    said = found.select(
+        F.col("digest").alias("_digest"),
+        F.when(length > 0, F.element_at(languages, F.col("best"))).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(length > 0, 1 / gaps).otherwise(0.0).alias("score"),
+        "cross_entropy",
+        F.when(length > 0, least <= limit).otherwise(False).alias("accepted"),
+    )
+    rows = rows.withColumn("_digest", gram_join.digest(text))
+    if not only_accepted:
+        return rows.join(said, "_digest", "left").drop("_digest")
+    rejected = said.where(~F.col("accepted")).select("_digest")
+    few = rejected.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
+    return rows.join(F.broadcast(rejected) if few else rejected, "_digest", "left_anti").drop("_digest")
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -1,60 +1,40 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney character 5-gram model of trusted text.
 
-Counts of all trusted text are gathered in Spark. Discounts, back-off weights and probabilities come from joins of
-the count tables of neighbouring orders (``probabilities``). Scoring itself is a lookup, not a join: the model, which
-MOST_GRAMS bounds by leaving out the rarest n-grams, goes to all executors as sorted arrays, and the texts never move.
-Thresholds are quantiles of all trusted documents' scores by language.
+Counts of all trusted text are gathered in Spark, and all n-grams stay. Discounts, back-off weights and probabilities
+come from joins of the count tables of neighbouring orders, and texts are scored by a join of their n-gram counts with
+these tables, partitioned by n-gram (``gram_join``). Thresholds are quantiles of all trusted documents' scores by
+language.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from infield.llm.char_lm import BITS, SortedModel, count_grams, discounts, grams, mask, prune, raw_table, symbols
-from infield.llm.common import codepoints, collected_arrays, cut, semi_join, text_list, transform_batches
+from infield.llm import gram_join
+from infield.llm.char_lm import SortedModel, count_grams, raw_table
+from infield.llm.common import MAX_BROADCAST_KEYS, collected_arrays, cut, semi_join
 
 ORDER = 5
-MOST_GRAMS = 2_000_000
 PRIOR = 60  #: symbols at the trusted mean that every text is filled up with, so that short texts aren't judged by chance
 QUANTILES = (0.001, 0.995)  #: of trusted texts, by language; texts outside are rejected...
 MARGIN = 0.08  #: ... if they are so many nats a symbol beyond
 ANY = ""  #: the language of documents without one
 
 
-def probabilities(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """For each order from 1 the tables (gram, logp) and (context, weight) of the model of ``counts`` (gram, n)."""
-    rows_of = counts.count()
-    levels = [counts.select("gram", "n")]
-    for k in range(ORDER - 1, 0, -1):
-        levels.insert(0, cut(levels[0].groupBy(F.col("gram").bitwiseAND(F.lit(mask(k))).alias("gram")).agg(F.count("*").alias("n")), rows_of))
-    floor = 1.0 / (levels[0].count() + 1)
-    tables: list[tuple[DataFrame, DataFrame]] = []
-    for k, level in enumerate(levels):
-        few = {r.n: r["grams"] for r in level.where("n <= 4").groupBy("n").agg(F.count("*").alias("grams")).collect()}
-        d1, d2, d3 = discounts(few)
-        off = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        rows = level.select("gram", F.shiftright("gram", BITS).alias("context"), F.col("gram").bitwiseAND(F.lit(mask(k))).alias("suffix"), "n", off.alias("off"))
-        contexts = rows.groupBy("context").agg(F.sum("n").alias("total"), F.sum("off").alias("freed")).withColumn("gamma", F.col("freed") / F.col("total"))
-        if k:
-            lower = tables[-1][0].select(F.col("gram").alias("suffix"), F.exp("logp").alias("lower"))
-            joined = rows.join(contexts, "context").join(lower, "suffix")
-        else:
-            joined = rows.join(contexts, "context").withColumn("lower", F.lit(floor))
-        p = (F.col("n") - F.col("off")) / F.col("total") + F.col("gamma") * F.col("lower")
-        tables.append((cut(joined.select("gram", F.log(p).alias("logp")), rows_of), contexts.select("context", F.log("gamma").alias("weight"))))
-    return tables
-
-
-def load(tables: list[tuple[DataFrame, DataFrame]]) -> SortedModel:
-    """The tables, bounded by MOST_GRAMS, as sorted arrays."""
+def learn(trusted: DataFrame, text: str = "text") -> gram_join.Tables:
+    """The probability tables of all trusted text."""
+    counts = cut(count_grams(trusted.select(F.lit(ANY).alias("model"), text), "model", text, ORDER, raw_table))
+    return gram_join.probabilities(counts, ORDER)
+
+
+def load(tables: gram_join.Tables) -> SortedModel:
+    """The whole tables as sorted arrays on the driver: for small models only, scoring doesn't need it."""
     found: dict[str, list[np.ndarray]] = {"gram": [], "logp": [], "context": [], "weight": []}
     for probs, contexts in tables:
         for table, key, value in ((probs, "gram", "logp"), (contexts, "context", "weight")):
-            arrays = collected_arrays(table)
+            arrays = collected_arrays(table.select(key, value))
             by = np.argsort(arrays[key])
             found[key].append(arrays[key][by])
             found[value].append(arrays[value][by].astype(np.float32))
@@ -62,56 +42,27 @@ def load(tables: list[tuple[DataFrame, DataFrame]]) -> SortedModel:
 
 
 def train(trusted: DataFrame, text: str = "text") -> SortedModel:
-    counts = cut(count_grams(trusted.select(F.lit(ANY).alias("model"), text), "model", text, ORDER, raw_table))
-    return load(probabilities(prune(counts, MOST_GRAMS).select("gram", "n")))
-
-
-OUTPUTS = T.StructType([T.StructField("cross_entropy", T.DoubleType()), T.StructField("symbols", T.LongType()), T.StructField("keep", T.BooleanType())])
-
-
-def score(df: DataFrame, model: SortedModel, mean: dict[str, float] | None = None, limits: dict[str, tuple[float, float]] | None = None, text: str = "text", lang: str = "lang", only_kept: bool = False) -> DataFrame:
-    """``df`` with cross_entropy (nats a symbol), symbols and keep.
-
-    With ``mean`` (of trusted text by language) cross_entropy is the one of the text filled up by PRIOR symbols at
-    the mean; with ``limits`` keep tells whether it lies within its language's. An empty text has no symbols, a null
-    cross_entropy and keep false. A language without limits, or null, has those of ANY.
-    """
-    sent = df.sparkSession.sparkContext.broadcast(model)
-
-    def make():
-        table, m = raw_table(), sent.value
+    return load(learn(trusted, text))
 
-        def one(value: str, name: str | None):
-            syms = symbols(codepoints(value), table)
-            if len(syms) < 2:
-                return None, 0, False
-            asked, n = np.unique(grams(syms, ORDER), return_counts=True)
-            total, count = -float(n @ m.score(asked)), int(n.sum())
-            if mean is None:
-                return total / count, count, True
-            found = (total + PRIOR * mean.get(name or ANY, mean[ANY])) / (count + PRIOR)
-            low, high = limits.get(name or ANY, limits[ANY]) if limits else (-np.inf, np.inf)
-            return found, count, bool(low <= found <= high)
 
-        def fn(column: pa.Array, names: pa.Array):
-            rows = [one(t, n) for t, n in zip(text_list(column), names.to_pylist(), strict=True)]
-            arrays = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.float64(), pa.int64(), pa.bool_()))]
-            return (arrays, np.array([r[2] for r in rows], bool)) if only_kept else arrays
+def _of_language(values: dict[str, float], lang: Column) -> Column:
+    """The value of a language, or that of ANY."""
+    found = F.create_map(*[x for k, v in values.items() for x in (F.lit(k), F.lit(float(v)))])
+    return F.coalesce(found[lang], F.lit(float(values[ANY])))
 
-        return fn
 
-    return transform_batches(df, [text, lang], OUTPUTS, make)
+def _filled(mean: dict[str, float], lang: Column) -> Column:
+    """cross_entropy of a text filled up by PRIOR symbols at its language's mean; null for an empty one."""
+    return F.when(F.col("symbols") > 0, (PRIOR * _of_language(mean, lang) - F.col("total")) / (F.col("symbols") + PRIOR))
 
 
-def calibrate(trusted: DataFrame, model: SortedModel) -> tuple[dict[str, float], dict[str, tuple[float, float]]]:
-    """The mean and the limits by language (ANY: over all) from the scores of all trusted documents."""
-    scored = cut(score(trusted.select("lang", "text"), model).where("symbols > 0").select(F.coalesce("lang", F.lit(ANY)).alias("lang"), "cross_entropy", "symbols"))
+def calibrate(trusted: DataFrame) -> tuple[dict[str, float], dict[str, tuple[float, float]]]:
+    """The mean and the limits by language (ANY: over all) from all trusted documents (lang, total, symbols)."""
+    scored = cut(trusted.where("symbols > 0").select(F.coalesce("lang", F.lit(ANY)).alias("lang"), "total", "symbols"))
     both = scored.withColumn("lang", F.lit(ANY)).unionByName(scored.where(F.col("lang") != ANY))
-    mean = {r.lang: r["mean"] for r in both.groupBy("lang").agg((F.sum(F.col("cross_entropy") * F.col("symbols")) / F.sum("symbols")).alias("mean")).collect()}
+    mean = {r.lang: r["mean"] for r in both.groupBy("lang").agg((-F.sum("total") / F.sum("symbols")).alias("mean")).collect()}
     mean.setdefault(ANY, 0.0)
-    prior = F.create_map(*[x for k, v in mean.items() for x in (F.lit(k), F.lit(v))])[F.col("lang")]
-    filled = (F.col("cross_entropy") * F.col("symbols") + PRIOR * prior) / (F.col("symbols") + PRIOR)
-    rows = both.groupBy("lang").agg(F.percentile_approx(filled, list(QUANTILES), 10000).alias("q")).collect()
+    rows = both.groupBy("lang").agg(F.percentile_approx(_filled(mean, F.col("lang")), list(QUANTILES), 10000).alias("q")).collect()
     limits = {r.lang: (r.q[0] - MARGIN, r.q[1] + MARGIN) for r in rows}
     limits.setdefault(ANY, (-np.inf, np.inf))
     return mean, limits
@@ -129,9 +80,22 @@ def classify(docs: DataFrame, labels: DataFrame, only_kept: bool = False) -> Dat
     empty texts are rejected. Equal texts of one language get equal answers; ties at a limit are kept.
     """
     trusted = trusted_rows(docs, labels)
-    model = train(trusted)
-    if not len(model.grams[-1]):
+    tables = learn(trusted)
+    if tables[0][0].isEmpty():
         kept = docs.withColumns({"cross_entropy": F.lit(None).cast("double"), "symbols": F.length("text").cast("long"), "keep": F.coalesce(F.length(F.trim("text")) > 0, F.lit(False))})
         return kept.where("keep") if only_kept else kept
-    mean, limits = calibrate(trusted, model)
-    return score(docs, model, mean, limits, only_kept=only_kept)
+    scores = gram_join.sums(docs, tables, [ANY], ORDER, raw_table).select(F.col("digest").alias("_digest"), "symbols", F.col("totals")[0].alias("total"))
+    mean, limits = calibrate(trusted.select("lang", gram_join.digest().alias("_digest")).join(scores, "_digest"))
+    name = F.coalesce("lang", F.lit(ANY))
+    low, high = ({k: v[i] for k, v in limits.items()} for i in (0, 1))
+    keep = F.coalesce(F.col("cross_entropy").between(_of_language(low, name), _of_language(high, name)), F.lit(False))
+    rows = docs.drop("cross_entropy", "symbols", "keep").withColumn("_digest", gram_join.digest())
+
+    def judged(some: DataFrame) -> DataFrame:
+        return some.join(scores, "_digest", "left").withColumn("cross_entropy", _filled(mean, name)).withColumn("keep", keep).drop("total")
+
+    if not only_kept:
+        return judged(rows).drop("_digest")
+    rejected = cut(judged(rows.select("_digest", name.alias("_lang"), "lang").distinct()).where(~F.col("keep")).select("_digest", "_lang").distinct())
+    few = rejected.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
+    return rows.withColumn("_lang", name).join(F.broadcast(rejected) if few else rejected, ["_digest", "_lang"], "left_anti").drop("_digest", "_lang")
