@@ -1,9 +1,14 @@
+from pathlib import Path
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from infield.llm import char_lm, gram_join, language_id, quality
 from infield.llm.common import codepoints
 
+DATA = "/root/testdata/sf0.1"
+
 
 def fitted(texts, order, table):
     c = char_lm.Counter()
@@ -58,3 +63,16 @@ def test_sums_over_chunks_equal_a_lookup(spark, monkeypatch):
         n = len(char_lm.grams(char_lm.symbols(codepoints(r.text or ""), table), quality.ORDER))
         assert found.symbols == n
         assert not n or abs(-found.totals[0] / n - entropy(model, r.text, quality.ORDER, table)) < 1e-4
+
+
+@pytest.mark.skipif(not Path(DATA).exists(), reason="no test data")
+@pytest.mark.parametrize("left_out", ["en", "de"])
+def test_texts_of_a_language_that_was_not_learned_are_rejected(spark, left_out):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("length(text) >= 200")
+    held = language_id.held_out()
+    models = language_id.train(docs.where(~held & (F.col("lang") != left_out)).select("lang", "text"))
+    rows = language_id.predict(docs.where(held), models).select("lang", "accepted").collect()
+    foreign, known = ([r.accepted for r in rows if (r.lang == left_out) == f] for f in (True, False))
+    print(left_out, len(foreign), sum(foreign), len(known), sum(known))
+    assert len(foreign) > 10 and sum(foreign) <= 0.05 * len(foreign)
+    assert sum(known) >= 0.98 * len(known)
