@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from infield.llm.char_lm import BITS, count_grams, discounts, grams, mask, symbols
 from infield.llm.common import codepoints, cut, each_group, pieces, short_batches, text_list
 
-HELD = 6_000_000  #: n-grams of texts in a chunk, about
+HELD = 2_000_000  #: n-grams of texts in a chunk, about
 TEXTS = 8192  #: in a chunk at most
 HEAD = -1  #: in place of an n-gram: the row with the digests and lengths of a chunk's texts
 
@@ -103,7 +103,9 @@ def _chunk_rows(df: DataFrame, text: str, order: int, table: Callable[[], np.nda
 
             yield batch(pa.array([HEAD], pa.int64()), pa.array([b"".join(digests)], pa.binary()), pa.array([np.array(lengths, np.int64).tobytes()], pa.binary()))
             key, n = np.concatenate(keys), np.concatenate(counts)
-            owner = np.repeat(np.arange(len(keys), dtype=np.int64), [len(k) for k in keys])
+            owner = np.repeat(np.arange(len(keys), dtype=np.int32), [len(k) for k in keys])
+            keys.clear()
+            counts.clear()
             if len(n) and n.max() > 255:
                 times = -(-n // 255)
                 last = np.cumsum(times) - 1
