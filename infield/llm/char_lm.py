@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from infield.llm.common import mix
+
 BITS = 12
 SPACE = 32
 
@@ -22,6 +24,14 @@ def mask(order: int) -> int:
     return (1 << (BITS * order)) - 1
 
 
+BUCKETS = 4096  #: that n-grams are dealt to, by the last two symbols of their context
+
+
+def bucket_of(pairs: np.ndarray) -> np.ndarray:
+    """The bucket of each pair of symbols."""
+    return (mix(pairs.astype(np.uint64) + np.uint64(1)) % np.uint64(BUCKETS)).astype(np.int32)
+
+
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -101,7 +111,7 @@ class Counter:
 
 
 def count_grams(df: DataFrame, model: str, text: str, order: int, table: Callable[[], np.ndarray]) -> DataFrame:
-    """(model, gram, n): how often each n-gram occurs in all texts of a model. Counted in each task, then added up."""
+    """(bucket, model, gram, n): how often each n-gram occurs in all texts of a model. Counted in each task, then added up."""
     src = df.select(F.col(model).cast("string").alias("model"), F.col(text).alias("text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +123,7 @@ def count_grams(df: DataFrame, model: str, text: str, order: int, table: Callabl
                 keys, n = counters.pop(name).compact()
                 for a in range(0, len(keys), 200_000):
                     k = keys[a : a + 200_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(k), pa.string()), pa.array(k, pa.int64()), pa.array(n[a : a + 200_000].astype(np.int64))], names=["model", "gram", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket_of((k >> BITS) & mask(2))), pa.array([name] * len(k), pa.string()), pa.array(k, pa.int64()), pa.array(n[a : a + 200_000].astype(np.int64))], names=["bucket", "model", "gram", "n"])
 
         for batch in batches:
             found: dict[str, list[np.ndarray]] = {}
@@ -132,8 +142,8 @@ def count_grams(df: DataFrame, model: str, text: str, order: int, table: Callabl
             yield from flush([k for k, c in counters.items() if c.size > 2_000_000])
         yield from flush(list(counters))
 
-    made = src.mapInArrow(run, "model string, gram long, n long")
-    return made.groupBy("model", "gram").agg(F.sum("n").alias("n"))
+    made = src.mapInArrow(run, "bucket int, model string, gram long, n long")
+    return made.groupBy("bucket", "model", "gram").agg(F.sum("n").alias("n"))
 
 
 def discounts(by_count: dict[int, int]) -> tuple[float, float, float]:
@@ -175,37 +185,40 @@ class SortedModel:
         return out
 
 
+def extend(model: SortedModel, g: np.ndarray, n: np.ndarray, d: tuple[float, float, float]) -> None:
+    """Adds the next order to ``model``: its sorted n-grams, their counts and the discounts of counts 1, 2 and more."""
+    k = len(model.grams)
+    off = np.array([0.0, *d])[np.minimum(n, 3).astype(int)]
+    context = g >> BITS
+    first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(g) else np.zeros(0, int)
+    total = np.add.reduceat(n, first) if len(g) else n
+    freed = np.add.reduceat(off, first) if len(g) else n
+    spread = np.diff(np.concatenate([first, [len(g)]]))
+    gamma = freed / np.maximum(total, 1e-12)
+    lower = np.exp(model.floor) if k == 0 else np.exp(model.score(g & mask(k), k).astype(np.float64))
+    p = (n - off) / np.repeat(total, spread) + np.repeat(gamma, spread) * lower
+    model.grams.append(g)
+    model.logp.append(np.log(p).astype(np.float32))
+    model.contexts.append(context[first])
+    model.weight.append(np.log(gamma).astype(np.float32))
+
+
 def fit(keys: np.ndarray, counts: np.ndarray, order: int) -> SortedModel:
-    """Interpolated modified Kneser-Ney from the counts of the highest order, on the driver."""
-    levels: list[tuple[np.ndarray, np.ndarray]] = [(keys, counts.astype(np.float64))] if len(keys) and (np.diff(keys) > 0).all() else [_merged(keys, counts.astype(np.float64))]
+    """Interpolated modified Kneser-Ney from the counts of the highest order, in one process: for small models."""
+    levels = [merged(keys, counts.astype(np.float64))]
     for k in range(order - 1, 0, -1):  # lower orders count the different symbols that come before
-        suffix = np.sort(levels[0][0] & mask(k))
-        levels.insert(0, _merged(suffix, np.ones(len(suffix))))
-    symbols_seen = max(len(levels[0][0]), 1)
-    floor = -np.log(symbols_seen + 1.0)
-    model = SortedModel([], [], [], [], float(floor))
-    for k, (g, n) in enumerate(levels):
-        d = np.array([0.0, *discounts({i: int((n == i).sum()) for i in (1, 2, 3, 4)})])
-        off = d[np.minimum(n, 3).astype(int)]
-        context = g >> BITS
-        first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]])) if len(g) else np.zeros(0, int)
-        total = np.add.reduceat(n, first) if len(g) else n
-        freed = np.add.reduceat(off, first) if len(g) else n
-        spread = np.diff(np.concatenate([first, [len(g)]]))
-        gamma = freed / np.maximum(total, 1e-12)
-        lower = np.exp(floor) if k == 0 else np.exp(model.score(g & mask(k), k).astype(np.float64))
-        p = (n - off) / np.repeat(total, spread) + np.repeat(gamma, spread) * lower
-        model.grams.append(g)
-        model.logp.append(np.log(p).astype(np.float32))
-        model.contexts.append(context[first])
-        model.weight.append(np.log(gamma).astype(np.float32))
+        levels.insert(0, merged(levels[0][0] & mask(k), np.ones(len(levels[0][0]))))
+    model = SortedModel([], [], [], [], -float(np.log(max(len(levels[0][0]), 1) + 1.0)))
+    for g, n in levels:
+        extend(model, g, n, discounts({i: int((n == i).sum()) for i in (1, 2, 3, 4)}))
     return model
 
 
-def _merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    by = np.argsort(keys, kind="stable")
-    keys, n = keys[by], n[by]
+def merged(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different keys, and the sums of their numbers."""
     if not len(keys):
         return keys.astype(np.int64), n
+    by = np.argsort(keys, kind="stable")
+    keys, n = keys[by], n[by]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], np.add.reduceat(n, first)

@@ -1,14 +1,19 @@
-"""Sums of n-gram log probabilities by text, from a join of the texts' n-gram counts with whole probability tables.
+"""Sums of n-gram log probabilities by text, from a join of the texts' n-grams with whole sharded count tables.
 
-No model is gathered anywhere. Tasks turn chunks of texts into one row for each different n-gram of a chunk, with
-the texts that have it and how often; these rows meet the probabilities partitioned by n-gram; each task adds up its
-n-grams' share of each text, and the shares come back by chunk. Texts are known by a digest and never move.
+No model is gathered anywhere, and no n-gram is left out. An n-gram belongs to the shard of the last two symbols of its
+context: there lie all n-grams of order three and more that its probability backs off to, so a shard makes its part of
+the model from its counts alone, with the discounts and the small model of the two lowest orders, which all shards share.
+Tasks turn chunks of texts into n-grams with the texts that have them, dealt by shard; a shard adds up its share of
+each text's sum, and the shares come back by chunk. Texts are known by a digest and never move.
+
+A chunk is what one task makes of its rows, so the input's rows must come in the same order if a lost task is run again,
+as those of a scan do.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -17,205 +22,259 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from infield.llm.char_lm import BITS, count_grams, discounts, grams, mask, symbols
+from infield.llm.char_lm import BITS, BUCKETS, SortedModel, bucket_of, discounts, extend, grams, mask, merged, symbols
 from infield.llm.common import codepoints, cut, each_group, pieces, short_batches, text_list
 
-HELD = 2_000_000  #: n-grams of texts in a chunk, about
-TEXTS = 8192  #: in a chunk at most
-HEAD = -1  #: in place of an n-gram: the row with the digests and lengths of a chunk's texts
-
-Tables = list[tuple[DataFrame, DataFrame]]
+HELD = 3_000_000  #: symbols of texts in a chunk, about
+TEXTS = 60_000  #: in a chunk at most, so that their numbers fit 16 bits
+PIECE = 65_536  #: places of n-grams in a row that is sent, about: some 100 KB
+GRAMS = 1_000_000  #: n-grams of the count tables in a shard, about
+MODEL, TEXT, HEAD = 0, 1, 2  #: kinds of rows: counts; n-grams of a chunk; digests and lengths of its texts
 
 
 def digest(text: str = "text") -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
 
 
-def probabilities(counts: DataFrame, order: int) -> Tables:
-    """For each order from 1 the tables (model, gram, logp) and (model, context, weight) of the models of ``counts`` (model, gram, n)."""
-    rows_of = counts.count()
-    levels = [counts.select("model", "gram", "n")]
-    for k in range(order - 1, 0, -1):
-        levels.insert(0, cut(levels[0].groupBy("model", F.col("gram").bitwiseAND(F.lit(mask(k))).alias("gram")).agg(F.count("*").alias("n")), rows_of))
-    floors = floor_of(levels[0])
-    tables: Tables = []
-    for k, level in enumerate(levels):
-        few: dict[str, dict[int, int]] = {name: {} for name in floors}
-        for r in level.where("n <= 4").groupBy("model", "n").agg(F.count("*").alias("grams")).collect():
-            few[r.model][r.n] = r.grams
-        if few:
-            by_model = F.create_map(*[x for name, found in few.items() for x in (F.lit(name), F.array(*map(F.lit, discounts(found))))])[F.col("model")]
-            off = F.element_at(by_model, F.least("n", F.lit(3)).cast("int"))
-        else:
-            off = F.lit(0.5)
-        rows = level.select("model", "gram", F.shiftright("gram", BITS).alias("context"), F.col("gram").bitwiseAND(F.lit(mask(k))).alias("suffix"), "n", off.alias("off"))
-        contexts = rows.groupBy("model", "context").agg(F.sum("n").alias("total"), F.sum("off").alias("freed")).withColumn("gamma", F.col("freed") / F.col("total"))
-        joined = rows.join(contexts, ["model", "context"])
-        if k:
-            joined = joined.join(tables[-1][0].select("model", F.col("gram").alias("suffix"), F.exp("logp").alias("lower")), ["model", "suffix"])
-        else:
-            joined = joined.withColumn("lower", F.exp(floor_column(floors)))
-        p = (F.col("n") - F.col("off")) / F.col("total") + F.col("gamma") * F.col("lower")
-        tables.append((cut(joined.select("model", "gram", F.log(p).alias("logp")), rows_of), contexts.select("model", "context", F.log("gamma").alias("weight"))))
-    return tables
-
-
-def floor_of(symbols_seen: DataFrame) -> dict[str, float]:
-    """Log probability of an unseen symbol by model."""
-    return {r.model: -float(np.log(r.n + 1)) for r in symbols_seen.groupBy("model").agg(F.count("*").alias("n")).collect()}
-
-
-def floor_column(floors: dict[str, float]) -> Column:
-    return F.create_map(*[x for k, v in floors.items() for x in (F.lit(k), F.lit(v))])[F.col("model")] if floors else F.lit(0.0)
-
-
-def resolved(asked: DataFrame, tables: Tables) -> DataFrame:
-    """(model, gram, logp) of the n-grams ``asked`` of each model (model, gram), backed off where they weren't seen."""
-    done = []
-    rest = asked.select("model", "gram", F.col("gram").alias("suffix"), F.lit(0.0).alias("sum"))
-    for k in reversed(range(len(tables))):
-        probs, contexts = tables[k]
-        met = cut(rest.join(probs.withColumnRenamed("gram", "suffix"), ["model", "suffix"], "left"))
-        done.append(met.where("logp is not null").select("model", "gram", (F.col("sum") + F.col("logp")).alias("logp")))
-        missed = met.where("logp is null").withColumn("context", F.shiftright("suffix", BITS)).join(contexts, ["model", "context"], "left")
-        rest = missed.select("model", "gram", F.col("suffix").bitwiseAND(F.lit(mask(k))).alias("suffix"), (F.col("sum") + F.coalesce("weight", F.lit(0.0))).alias("sum"))
-    done.append(rest.select("model", "gram", (F.col("sum") + floor_column(floor_of(tables[0][0]))).alias("logp")))
-    return reduce(DataFrame.unionByName, done)
-
-
-def _chunk_rows(df: DataFrame, text: str, order: int, table: Callable[[], np.ndarray]) -> DataFrame:
-    """(chunk, gram, texts, counts): gaps between the numbers of a chunk's texts that have the n-gram, and how often each has it.
-
-    A gap is a byte, after a byte of 255 for each whole 255 of it; a count over 255 is dealt to several entries.
-    """
+@dataclass
+class Tables:
+    """The models of ``names``: whole counts (bucket, model, gram, n), and what all shards share."""
+
+    names: list[str]
+    counts: DataFrame
+    size: int  #: n-grams in counts
+    order: int
+    discounts: list[list[tuple[float, float, float]]]  #: by model, of orders 3 and up
+    low: list[SortedModel]  #: orders 1 and 2; their symbols have 12 bits each, which bounds them
+
+
+def learn(counts: DataFrame, order: int) -> Tables:
+    """Count-of-count discounts and the lowest orders from ``counts``; lower orders count the different symbols before."""
+    counts = cut(counts)
+    level, rows = counts.select("model", "gram", "n"), []
+    for k in range(order, 2, -1):
+        rows.append(level.where("n <= 4").groupBy("model", F.col("n").alias("key")).agg(F.count("*").alias("found")).withColumn("k", F.lit(k)))
+        level = level.groupBy("model", F.col("gram").bitwiseAND(F.lit(mask(k - 1))).alias("gram")).agg(F.count("*").alias("n"))
+    rows.append(level.select("model", F.col("gram").alias("key"), F.col("n").alias("found"), F.lit(2).alias("k")))
+    both = rows[0]
+    for other in rows[1:]:
+        both = both.unionByName(other)
+    told = both.toArrow()
+    model, k, key, found = (told.column(c).to_numpy(zero_copy_only=False) for c in ("model", "k", "key", "found"))
+    names = sorted(set(model.tolist()))
+    low, off = [], []
+    for name in names:
+        own = model == name
+        bigrams = merged(key[own & (k == 2)], found[own & (k == 2)].astype(np.float64))
+        first = merged(bigrams[0] & mask(1), np.ones(len(bigrams[0])))
+        base = SortedModel([], [], [], [], -float(np.log(len(first[0]) + 1.0)))
+        for g, n in (first, bigrams):
+            extend(base, g, n, discounts({i: int((n == i).sum()) for i in (1, 2, 3, 4)}))
+        low.append(base)
+        off.append([discounts(dict(zip(key[own & (k == j)].tolist(), found[own & (k == j)].tolist(), strict=True))) for j in range(3, order + 1)])
+    return Tables(names, counts, counts.count() if names else 0, order, off, low)
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of integers as bytes: planes of equal significance, compressed."""
+    planes = b"".join(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
+    head = np.array([len(arrays), *[len(a) for a in arrays], *[a.itemsize for a in arrays]], np.int64)
+    return head.tobytes() + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    head = np.frombuffer(data, np.int64, 1 + 2 * n)[1:]
+    planes = np.frombuffer(pa.decompress(data[8 * (1 + 2 * n) :], int((head[:n] * head[n:]).sum()), "zstd"), np.uint8)
+    out, at = [], 0
+    for length, size in zip(head[:n].tolist(), head[n:].tolist(), strict=True):
+        out.append(np.ascontiguousarray(planes[at : at + length * size].reshape(size, length).T).view(f"u{size}").ravel())
+        at += length * size
+    return out
+
+
+def _turned(gram: np.ndarray, order: int) -> np.ndarray:
+    """The n-gram with the last two symbols of its context first, so that those of a bucket are sorted side by side."""
+    front = gram >> (3 * BITS)
+    return (((gram >> BITS) & mask(2)) << (BITS * (order - 2))) | (front << BITS) | (gram & mask(1))
+
+
+def _turned_back(key: np.ndarray, order: int) -> np.ndarray:
+    pair, front = key >> (BITS * (order - 2)), (key >> BITS) & mask(order - 3)
+    return (front << (3 * BITS)) | (pair << BITS) | (key & mask(1))
+
+
+def _rows(k: list[int], kind: int, chunk: int, data: list[bytes], lengths: bytes | None = None) -> pa.RecordBatch:
+    n = len(k)
+    arrays = [pa.array(k, pa.int32()), pa.array([kind] * n, pa.int32()), pa.array([chunk] * n, pa.int64()), pa.array(data, pa.binary()), pa.array([lengths] * n, pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, names=["k", "kind", "chunk", "data", "lengths"])
+
+
+ROWS = "k int, kind int, chunk long, data binary, lengths binary"
+
+
+def _model_rows(tables: Tables, shards: int, copies: int) -> DataFrame:
+    """The counts in rows by shard, once for each copy of the shard."""
+    number = {name: i for i, name in enumerate(tables.names)}
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(waiting).combine_chunks()
+            gram, n = table.column("gram").to_numpy(), table.column("n").to_numpy()
+            model = np.array([number[x] for x in table.column("model").to_pylist()])
+            group = (table.column("bucket").to_numpy() % shards).astype(np.int64) * len(number) + model
+            by = np.lexsort((gram, group))
+            gram, n, group = gram[by], n[by], group[by]
+            starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+            for a, b in zip(starts, [*starts[1:], len(group)], strict=True):
+                shard, i = divmod(int(group[a]), len(number))
+                for at in range(a, b, PIECE):
+                    data = _packed(np.diff(gram[at : min(b, at + PIECE)], prepend=0), n[at : min(b, at + PIECE)].astype(np.int64))
+                    yield _rows([shard * copies + c for c in range(copies)], MODEL, i, [data] * copies)
+
+        for batch in batches:
+            waiting.append(batch)
+            if sum(b.num_rows for b in waiting) >= 400_000:
+                yield from close()
+                waiting = []
+        if waiting:
+            yield from close()
+
+    return tables.counts.mapInArrow(run, ROWS)
+
+
+def _text_rows(df: DataFrame, text: str, order: int, table: Callable[[], np.ndarray], shards: int, copies: int) -> DataFrame:
+    """For each chunk and shard its n-grams, how often each occurs, and gaps between the numbers of the texts where it does."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_symbol, chunk = table(), TaskContext.get().partitionId() << 32
         keys: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        lengths: list[int] = []
         digests: list[bytes] = []
         held = 0
 
         def close() -> Iterator[pa.RecordBatch]:
-            def batch(gram: pa.Array, texts: pa.Array, n: pa.Array) -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays([pa.array(np.full(len(gram), chunk, np.int64)), gram, texts, n], names=["chunk", "gram", "texts", "counts"])
-
-            yield batch(pa.array([HEAD], pa.int64()), pa.array([b"".join(digests)], pa.binary()), pa.array([np.array(lengths, np.int64).tobytes()], pa.binary()))
-            key, n = np.concatenate(keys), np.concatenate(counts)
-            owner = np.repeat(np.arange(len(keys), dtype=np.int32), [len(k) for k in keys])
+            lengths = np.array([len(x) for x in keys], np.int64)
+            copy = chunk % copies
+            yield _rows([chunk % shards * copies + copy], HEAD, chunk, [b"".join(digests)], lengths.tobytes())
+            key = np.concatenate(keys)
             keys.clear()
-            counts.clear()
-            if len(n) and n.max() > 255:
-                times = -(-n // 255)
-                last = np.cumsum(times) - 1
-                key, owner, whole = np.repeat(key, times), np.repeat(owner, times), n - 255 * (times - 1)
-                n = np.full(len(key), 255)
-                n[last] = whole
-            by = np.argsort(key, kind="stable")
-            key, owner, n = key[by], owner[by], n[by].astype(np.uint8)
             if not len(key):
                 return
-            start = np.concatenate([[True], key[1:] != key[:-1]])
+            key = _turned(key, order)
+            by = np.argsort(key, kind="stable")
+            key, owner = key[by], np.repeat(np.arange(len(lengths), dtype=np.uint16), lengths)[by]
+            del by
+            shard = (bucket_of(key >> (BITS * (order - 2))) % shards).astype(np.uint16)
+            if shards > 1:
+                by = np.argsort(shard, kind="stable")
+                key, owner, shard = key[by], owner[by], shard[by]
+            first = np.concatenate([[True], key[1:] != key[:-1]])
             gap = owner.copy()
-            gap[1:] -= np.where(start[1:], 0, owner[:-1])
-            ends = np.cumsum(gap // 255 + 1)
-            packed = np.full(ends[-1], 255, np.uint8)
-            packed[ends - 1] = gap % 255
-            first = np.flatnonzero(start)
-            edges = np.concatenate([first, [len(key)]]).astype(np.int32)
-            bytes_at = np.concatenate([[0], ends])[edges].astype(np.int32)
-            texts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bytes_at), pa.py_buffer(packed)])
-            ns = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(edges), pa.py_buffer(n)])
-            grams_met = pa.array(key[first])
-            for at in range(0, len(first), 50_000):
-                yield batch(grams_met[at : at + 50_000], texts[at : at + 50_000], ns[at : at + 50_000])
+            gap[1:] -= np.where(first[1:], np.uint16(0), owner[:-1])
+            starts = np.flatnonzero(first)
+            times = np.diff(np.append(starts, len(key)))
+            grams_met, of = key[starts], shard[starts]
+            cuts = np.flatnonzero((of[1:] != of[:-1]) | (starts[1:] // PIECE != starts[:-1] // PIECE)) + 1
+            at, data = [], []
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(starts)], strict=True):
+                end = starts[b] if b < len(starts) else len(key)
+                data.append(_packed(np.diff(grams_met[a:b], prepend=0), times[a:b].astype(np.uint32), gap[starts[a] : end]))
+                at.append(int(of[a]) * copies + copy)
+                if len(at) == 100:
+                    yield _rows(at, TEXT, chunk, data)
+                    at, data = [], []
+            if at:
+                yield _rows(at, TEXT, chunk, data)
 
         for batch in pieces(batches):
             for value, name in zip(text_list(batch.column("text")), batch.column("digest").to_pylist(), strict=True):
-                asked, n = np.unique(grams(symbols(codepoints(value), to_symbol), order), return_counts=True)
-                keys.append(asked)
-                counts.append(n)
-                lengths.append(int(n.sum()))
+                keys.append(grams(symbols(codepoints(value), to_symbol), order))
                 digests.append(name)
-                held += len(asked)
+                held += len(keys[-1])
                 if held >= HELD or len(keys) == TEXTS:
                     yield from close()
-                    keys, counts, lengths, digests, held = [], [], [], [], 0
+                    keys, digests, held = [], [], 0
                     chunk += 1
-        if keys:
+        if digests:
             yield from close()
 
     short_batches(df.sparkSession)
-    return df.select(F.col(text).alias("text"), digest(text).alias("digest")).mapInArrow(run, "chunk long, gram long, texts binary, counts binary")
-
-
-def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a binary column and each row's number of them."""
-    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]] if column.buffers()[2] is not None else np.zeros(0, np.uint8)
-    return data, np.diff(at)
-
-
-def _shares(met: DataFrame, width: int) -> DataFrame:
-    """(chunk, head, data, lengths): sums over one partition's n-grams for each text of a chunk, and the chunk's head."""
+    return df.select(F.col(text).alias("text"), digest(text).alias("digest")).mapInArrow(run, ROWS)
+
+
+def _shares(rows: DataFrame, tables: Tables) -> DataFrame:
+    """(chunk, head, data, lengths): for each chunk and shard the sums of its texts, and each chunk's head as it is."""
+    names, off, low, order = tables.names, tables.discounts, tables.low, tables.order
+    width = len(names)
+
+    def made(parts: list[list[tuple[np.ndarray, np.ndarray]]]) -> list[SortedModel]:
+        out = []
+        for i, own in enumerate(parts):
+            levels = [merged(np.concatenate([g for g, _ in own]), np.concatenate([n for _, n in own]).astype(np.float64)) if own else (np.zeros(0, np.int64), np.zeros(0))]
+            for k in range(order - 1, 2, -1):
+                levels.insert(0, merged(np.sort(levels[0][0] & mask(k)), np.ones(len(levels[0][0]))))
+            model = SortedModel(list(low[i].grams), list(low[i].logp), list(low[i].contexts), list(low[i].weight), low[i].floor)
+            for (g, n), d in zip(levels, off[i], strict=True):
+                extend(model, g, n, d)
+            out.append(model)
+        return out
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, last, used = np.zeros((TEXTS, width)), None, 0
+        place, models, parts = None, None, [[] for _ in names]
+        last, total = None, np.zeros((0, width))
 
         def row(chunk: int, head: bool, data: bytes, lengths: bytes | None) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([head]), pa.array([data], pa.binary()), pa.array([lengths], pa.binary())], names=["chunk", "head", "data", "lengths"])
 
         for batch in batches:
-            chunks = batch.column("chunk").to_numpy()
-            bounds = [0, *(np.flatnonzero(chunks[1:] != chunks[:-1]) + 1).tolist(), len(chunks)] if len(chunks) else [0]
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                if last is not None and chunks[a] != last and used:
-                    yield row(last, False, total[:used].astype(np.float32).tobytes(), None)
-                    total[:used], used = 0, 0
-                last = int(chunks[a])
-                part = batch.slice(a, b - a)
-                heads = part.column("gram").to_numpy() == HEAD
-                for i in np.flatnonzero(heads).tolist():
-                    yield row(last, True, part.column("texts")[i].as_py(), part.column("counts")[i].as_py())
-                if heads.any():
-                    part = part.filter(pa.array(~heads))
-                if not part.num_rows:
-                    continue
-                logp = part.column("logp").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-                gap, size = _bytes_of(part.column("texts"))
-                n, _ = _bytes_of(part.column("counts"))
-                of = np.repeat(np.arange(len(size)), size)
-                reached = np.cumsum(gap, dtype=np.int64)
-                begin = np.concatenate([[0], np.cumsum(size)[:-1]])
-                text = reached - (reached[begin] - gap[begin])[of]
-                real = gap != 255
-                text, of = text[real], of[real]
-                high = int(text.max()) + 1
-                for j in range(width):
-                    total[:high, j] += np.bincount(text, weights=n * logp[of, j], minlength=high)
-                used = max(used, high)
-        if last is not None and used:
-            yield row(last, False, total[:used].astype(np.float32).tobytes(), None)
-
-    return met.mapInArrow(run, "chunk long, head boolean, data binary, lengths binary")
-
-
-def sums(df: DataFrame, tables: Tables, models: list[str], order: int, table: Callable[[], np.ndarray], text: str = "text") -> DataFrame:
+            for k, kind, chunk, i in zip(batch.column("k").to_pylist(), batch.column("kind").to_pylist(), batch.column("chunk").to_pylist(), range(batch.num_rows), strict=True):
+                if (k, chunk) != last or kind == MODEL:
+                    if len(total):
+                        yield row(last[1], False, total.astype(np.float32).tobytes(), None)
+                    last, total = (k, chunk), np.zeros((0, width))
+                if k != place:
+                    place, models, parts = k, None, [[] for _ in names]
+                data = batch.column("data")[i].as_py()
+                if kind == HEAD:
+                    yield row(chunk, True, data, batch.column("lengths")[i].as_py())
+                elif kind == MODEL:
+                    gaps, n = _unpacked(data)
+                    parts[chunk].append((np.cumsum(gaps.view(np.int64)), n.view(np.int64)))
+                else:
+                    if models is None:
+                        models, parts = made(parts), []
+                    gaps, times, gap = _unpacked(data)
+                    asked, times = _turned_back(np.cumsum(gaps.view(np.int64)), order), times.astype(np.int64)
+                    reached, begin = np.cumsum(gap, dtype=np.int64), np.concatenate([[0], np.cumsum(times)[:-1]])
+                    text = reached - np.repeat(reached[begin] - gap[begin], times)
+                    high = int(text.max()) + 1
+                    if high > len(total):
+                        total = np.concatenate([total, np.zeros((high - len(total), width))])
+                    for j, model in enumerate(models):
+                        total[:high, j] += np.bincount(text, weights=np.repeat(model.score(asked).astype(np.float64), times), minlength=high)
+        if len(total):
+            yield row(last[1], False, total.astype(np.float32).tobytes(), None)
+
+    return rows.mapInArrow(run, "chunk long, head boolean, data binary, lengths binary")
+
+
+def sums(df: DataFrame, tables: Tables, table: Callable[[], np.ndarray], text: str = "text") -> DataFrame:
     """(digest, symbols, totals): for each different text its number of n-grams and the sum of their log probabilities by model.
 
-    Equal texts have one row. Null is an empty text, with 0 symbols.
+    Equal texts have one row. Null is an empty text, with 0 symbols. Shards grow in number with the count tables; each
+    is copied so often that all cores have work, and a chunk meets one copy of each.
     """
-    asked = cut(count_grams(df.select(F.lit("").alias("model"), F.col(text).alias("text")), "model", "text", order, table).select("gram"))
-    by_model = resolved(asked.withColumn("model", F.explode(F.array(*map(F.lit, models)))), tables)
-    number = F.create_map(*[x for i, name in enumerate(models) for x in (F.lit(name), F.lit(i))])[F.col("model")]
-    vectors = by_model.groupBy("gram").agg(F.transform(F.array_sort(F.collect_list(F.struct(number.alias("i"), "logp"))), lambda x: x["logp"]).alias("logp"))
-    met = _chunk_rows(df, text, order, table).join(vectors, "gram", "left").sortWithinPartitions("chunk")
-    width = len(models)
+    width = len(tables.names)
+    shards = min(BUCKETS, max(1, -(-tables.size // GRAMS)))
+    copies = max(1, -(-2 * df.sparkSession.sparkContext.defaultParallelism // shards))
+    asked = _text_rows(df, text, tables.order, table, shards, copies)
+    met = _model_rows(tables, shards, copies).unionByName(asked).repartition(shards * copies, "k").sortWithinPartitions("k", "kind", "chunk")
 
     def whole(rows: pa.Table) -> dict:
-        head = np.flatnonzero(rows.column("head").to_numpy())[0]
-        digests, lengths = rows.column("data")[int(head)].as_py(), np.frombuffer(rows.column("lengths")[int(head)].as_py(), np.int64)
+        head = int(np.flatnonzero(rows.column("head").to_numpy())[0])
+        digests, lengths = rows.column("data")[head].as_py(), np.frombuffer(rows.column("lengths")[head].as_py(), np.int64)
         total = np.zeros((len(lengths), width))
         for i, data in enumerate(rows.column("data").to_pylist()):
             if i != head:
@@ -227,4 +286,4 @@ def sums(df: DataFrame, tables: Tables, models: list[str], order: int, table: Ca
         return {"digest": names, "symbols": lengths, "totals": vectors}
 
     schema = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("symbols", T.LongType()), T.StructField("totals", T.ArrayType(T.DoubleType()))])
-    return cut(each_group(_shares(met, width), "chunk", whole, schema).dropDuplicates(["digest"]))
+    return cut(each_group(_shares(met, tables), "chunk", whole, schema).dropDuplicates(["digest"]))

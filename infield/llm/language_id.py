@@ -1,9 +1,9 @@
 """Language identification with interpolated modified Kneser-Ney character models, one for each language.
 
-Training counts the character 4-grams of every labelled training text in Spark; all of them stay, as probability
-tables by language. Prediction joins the n-gram counts of the texts with these tables, partitioned by n-gram
-(``gram_join``), finds the least cross-entropy a character, and rejects texts whose cross-entropy lies above what
-texts of that language and length have that weren't trained on.
+Training counts the character 4-grams of every labelled training text in Spark but those of one text in SHARE, which
+set the limits of the rejection. All n-grams stay; texts meet their counts by shard, and each shard keeps its part of
+the models as sorted arrays (``gram_join``). A text's language is that of the least cross-entropy a character; it is
+rejected if that lies above what texts of that language and length have that the models didn't learn.
 """
 
 from __future__ import annotations
@@ -19,12 +19,13 @@ from infield.llm.char_lm import count_grams, letter_table
 from infield.llm.common import MAX_BROADCAST_KEYS, cut
 
 ORDER = 4
-#: One in SHARE of the training texts, by hash, sets the limits: models that weren't trained on them score them, and a
-#: limit is the QUANTILE of their cross-entropy over the model's own mean, in units of ``_spread``, plus MARGIN nats for
-#: what lies beyond it: higher quantiles of small samples are single, perhaps mislabelled, texts. It is taken by language and length (powers of two) where ENOUGH texts are there, else
-#: over all languages, or all lengths, or both; with no such text at all it is NO_SAMPLE spreads and SLACK nats.
+#: One in SHARE of the training texts, by hash, sets the limits: a limit is the QUANTILE of their cross-entropy over
+#: their language's mean, in units of ``_spread``, plus MARGIN nats for what lies beyond it: higher quantiles of small
+#: samples are single, perhaps mislabelled, texts. It is taken by language and length (powers of two) where ENOUGH
+#: texts are there, else over all languages, or all lengths, or both.
 SHARE, QUANTILE, MARGIN, ENOUGH = 8, 0.99, 0.25, 200
-NO_SAMPLE, SLACK = 4.0, 1.2
+#: Languages of which the sample has fewer than FEW texts, and lengths without a limit, have NO_SAMPLE spreads and SLACK nats.
+FEW, NO_SAMPLE, SLACK = 20, 4.0, 1.2
 TOPIC = 400  #: characters after which a text's mean varies with its topic rather than by chance
 LENGTHS = 32
 UNKNOWN = "und"
@@ -34,19 +35,10 @@ UNKNOWN = "und"
 class LanguageModels:
     languages: list[str]
     tables: gram_join.Tables
-    mean: list[float]  #: of each language's cross-entropy a character on its own counts
-    deviation: list[float]
-    limits: list[list[float]]  #: of each language's excess over the mean, in spreads, by length; MARGIN or SLACK comes on top
-    slack: float = MARGIN
-
-
-def _fit(counts: DataFrame) -> tuple[list[str], gram_join.Tables, list[float], list[float]]:
-    """Languages, tables, and mean and deviation of a character's cross-entropy on the counts (model, gram, n) themselves."""
-    tables = gram_join.probabilities(counts, ORDER)
-    n, logp = F.col("n"), F.col("logp")
-    own = counts.join(tables[-1][0], ["model", "gram"]).groupBy("model").agg((F.sum(n * logp) / F.sum(n)).alias("mean"), (F.sum(n * logp * logp) / F.sum(n)).alias("square")).collect()
-    own = sorted(own, key=lambda r: r.model)
-    return [r.model for r in own], tables, [-r["mean"] for r in own], [max(r.square - r["mean"] ** 2, 1e-6) ** 0.5 for r in own]
+    mean: list[float]  #: of each language's cross-entropy a character
+    deviation: list[float]  #: of the excess over the mean, in spreads of one character
+    limits: list[list[float]]  #: of each language's excess over the mean, in spreads, by length
+    slack: list[float]  #: that comes on top, in nats: MARGIN or SLACK
 
 
 def _spread(deviation: Column, length: Column) -> Column:
@@ -58,38 +50,61 @@ def _length_class(length: Column) -> Column:
     return F.least(F.floor(F.log2(length)), F.lit(LENGTHS - 1)).cast("int")
 
 
-def _calibrated(sample: DataFrame, counts: DataFrame, languages: list[str]) -> tuple[list[list[float]], float]:
-    """The limits of each language by length, from texts (model, text) that aren't in ``counts``; and what comes on top in nats."""
-    names, tables, mean, deviation = _fit(counts)
-    by_level: dict[tuple[str | None, int | None], tuple[int, float]] = {}
-    if names:
-        number = F.create_map(*[x for i, name in enumerate(names) for x in (F.lit(name), F.lit(i))])[F.col("model")]
-        scored = sample.select("model", gram_join.digest().alias("digest")).join(gram_join.sums(sample, tables, names, ORDER, letter_table), "digest").withColumn("at", number).where("symbols > 0 and at is not null")
-        length, of = F.col("symbols"), F.col("at") + 1
-        excess = -F.element_at("totals", of) / length - F.element_at(F.array(*map(F.lit, mean)), of)
-        z = excess / _spread(F.element_at(F.array(*map(F.lit, deviation)), of), length)
-        rows = cut(scored.select("model", _length_class(length).alias("class"), z.alias("z")))
-        for r in rows.cube("model", "class").agg(F.count("*").alias("n"), F.percentile_approx("z", QUANTILE, 10000).alias("z")).collect():
-            by_level[r.model, r["class"]] = r.n, r.z
-    if not by_level or not by_level.get((None, None), (0, 0))[0]:
-        return [[NO_SAMPLE] * LENGTHS for _ in languages], SLACK
+def sampled(text: str = "text") -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(SHARE)) == 0  # equal texts stay together
 
-    def limit(name: str, k: int) -> float:
-        levels = (by_level.get(key, (0, 0.0)) for key in ((name, k), (None, k), (name, None)))
-        return next((z for n, z in levels if n >= ENOUGH), by_level[None, None][1])
 
-    return [[limit(name, k) for k in range(LENGTHS)] for name in languages], MARGIN
+def _values(pairs: dict[str, float], key: Column, default: float) -> Column:
+    return F.coalesce(F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), F.lit(float(v)))])[key], F.lit(default)) if pairs else F.lit(default)
 
 
 def train(df: DataFrame, lang: str = "lang", text: str = "text") -> LanguageModels:
-    """Models of the languages of ``df``, with limits. Rows with a null language or an empty text teach nothing; no rows, no languages."""
+    """Models of the languages of ``df``, with limits. Rows with a null language or an empty text teach nothing; no rows, no languages.
+
+    A language all of whose texts are in the sample teaches by them as well.
+    """
     rows = df.select(F.col(lang).cast("string").alias("model"), F.col(text).alias("text")).where("model is not null")
-    sampled = F.pmod(F.xxhash64("text"), F.lit(SHARE)) == 0  # equal texts stay together
-    counts = cut(count_grams(rows.select(F.concat(F.when(sampled, "1").otherwise("0"), "model").alias("model"), "text"), "model", "text", ORDER, letter_table))
-    named = counts.select(F.col("model").startswith("1").alias("sampled"), F.expr("substring(model, 2)").alias("model"), "gram", "n")
-    languages, tables, mean, deviation = _fit(cut(named.groupBy("model", "gram").agg(F.sum("n").alias("n"))))
-    limits, slack = _calibrated(rows.where(sampled), named.where("not sampled"), languages)
-    return LanguageModels(languages, tables, mean, deviation, limits, slack)
+    counted = lambda some: count_grams(some, "model", "text", ORDER, letter_table)
+    tables = gram_join.learn(counted(rows.where(~sampled())), ORDER)
+    late = rows.where(sampled() & ~F.col("model").isin(tables.names) & (F.length("text") > 0))
+    if not late.isEmpty():
+        tables = gram_join.learn(tables.counts.unionByName(counted(late)), ORDER)
+    if not tables.names:
+        return LanguageModels([], tables, [], [], [], [])
+    names = tables.names
+    number = F.create_map(*[x for i, name in enumerate(names) for x in (F.lit(name), F.lit(i + 1))])[F.col("model")]
+
+    def scored(some: DataFrame) -> DataFrame:
+        found = some.select("model", gram_join.digest().alias("digest")).join(gram_join.sums(some, tables, letter_table), "digest").withColumn("of", number).where("symbols > 0 and of is not null")
+        return cut(found.select("model", "symbols", (-F.element_at("totals", F.col("of"))).alias("total")))
+
+    sample = scored(rows.where(sampled()))
+    own = {r.model: r for r in sample.groupBy("model").agg(F.count("*").alias("n"), (F.sum("total") / F.sum("symbols")).alias("mean")).where(F.col("n") >= FEW).collect()}
+    mean = {name: r["mean"] for name, r in own.items()}
+    scarce = [name for name in names if name not in own]
+    if scarce:  # what taught them has to do
+        for r in scored(rows.where(F.col("model").isin(scarce))).groupBy("model").agg((F.sum("total") / F.sum("symbols")).alias("mean")).collect():
+            mean[r.model] = r["mean"]
+    excess = F.col("total") / F.col("symbols") - _values(mean, F.col("model"), 0.0)
+    rest = sample.where(~F.col("model").isin(scarce)).withColumn("excess", excess)
+    unit = 1 / F.col("symbols") + 1 / TOPIC
+    deviation = {r.model: max(r.d, 1e-3) for r in rest.groupBy("model").agg(F.sqrt(F.avg(F.col("excess") ** 2 / unit)).alias("d")).collect()}
+    z = rest.select("model", _length_class(F.col("symbols")).alias("class"), (F.col("excess") / _spread(_values(deviation, F.col("model"), 1.0), F.col("symbols"))).alias("z"))
+    by_level = {(r.model, r["class"]): (r.n, r.z) for r in z.cube("model", "class").agg(F.count("*").alias("n"), F.percentile_approx("z", QUANTILE, 10000).alias("z")).collect()}
+
+    def limit(name: str, k: int) -> float:
+        levels = (by_level.get(key, (0, 0.0)) for key in ((name, k), (None, k), (name, None), (None, None)))
+        return next((z for n, z in levels if n >= ENOUGH), NO_SAMPLE)
+
+    usual = max(deviation.values(), default=1.0)
+    return LanguageModels(
+        names,
+        tables,
+        [mean.get(name, 0.0) for name in names],
+        [deviation.get(name, usual) for name in names],
+        [[NO_SAMPLE if name in scarce else limit(name, k) for k in range(LENGTHS)] for name in names],
+        [SLACK if name in scarce else MARGIN for name in names],
+    )
 
 
 OUTPUTS = T.StructType(
@@ -114,16 +129,16 @@ def predict(df: DataFrame, models: LanguageModels, text: str = "text", only_acce
     if not models.languages:
         out = rows.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "cross_entropy": F.lit(None).cast("double"), "accepted": F.lit(False)})
         return out.where("accepted") if only_accepted else out
-    languages, mean, deviation = (F.array(*map(F.lit, x)) for x in (models.languages, models.mean, models.deviation))
+    languages, mean, deviation, slack = (F.array(*map(F.lit, x)) for x in (models.languages, models.mean, models.deviation, models.slack))
     limits = F.array(*[F.array(*map(F.lit, x)) for x in models.limits])
     length = F.col("symbols")
     entropy = F.transform("totals", lambda t: -t / length)
     least = F.col("cross_entropy")
     best = F.when(length > 0, F.array_position("entropy", least).cast("int"))
     gaps = F.aggregate("entropy", F.lit(0.0), lambda s, e: s + F.exp((least - e) * F.least(length, F.lit(64))))
-    found = gram_join.sums(df, models.tables, models.languages, ORDER, letter_table, text).withColumn("entropy", F.when(length > 0, entropy)).withColumn("cross_entropy", F.array_min("entropy")).withColumn("best", best)
+    found = gram_join.sums(df, models.tables, letter_table, text).withColumn("entropy", F.when(length > 0, entropy)).withColumn("cross_entropy", F.array_min("entropy")).withColumn("best", best)
     of = F.col("best")
-    limit = F.element_at(mean, of) + models.slack + F.element_at(F.element_at(limits, of), _length_class(length) + 1) * _spread(F.element_at(deviation, of), length)
+    limit = F.element_at(mean, of) + F.element_at(slack, of) + F.element_at(F.element_at(limits, of), _length_class(length) + 1) * _spread(F.element_at(deviation, of), length)
     said = found.select(
         F.col("digest").alias("_digest"),
         F.when(length > 0, F.element_at(languages, F.col("best"))).otherwise(UNKNOWN).alias("lang_pred"),

@@ -1,9 +1,8 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney character 5-gram model of trusted text.
 
-Counts of all trusted text are gathered in Spark, and all n-grams stay. Discounts, back-off weights and probabilities
-come from joins of the count tables of neighbouring orders, and texts are scored by a join of their n-gram counts with
-these tables, partitioned by n-gram (``gram_join``). Thresholds are quantiles of all trusted documents' scores by
-language.
+Counts of trusted text are gathered in Spark, and all n-grams stay; texts are scored by a join of their n-grams with
+these counts, dealt by shard (``gram_join``). One in SHARE of the trusted texts, by hash, doesn't teach the model:
+thresholds are quantiles of those texts' scores by language, which the model judges as it judges any other text.
 """
 
 from __future__ import annotations
@@ -13,36 +12,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from infield.llm import gram_join
-from infield.llm.char_lm import SortedModel, count_grams, raw_table
-from infield.llm.common import MAX_BROADCAST_KEYS, collected_arrays, cut, semi_join
+from infield.llm.char_lm import count_grams, raw_table
+from infield.llm.common import MAX_BROADCAST_KEYS, cut, semi_join
 
 ORDER = 5
 PRIOR = 60  #: symbols at the trusted mean that every text is filled up with, so that short texts aren't judged by chance
-QUANTILES = (0.001, 0.995)  #: of trusted texts, by language; texts outside are rejected...
+SHARE, ENOUGH = 5, 200  #: a language with fewer held-out texts has the limits of all languages together
+QUANTILES = (0.001, 0.995)  #: of held-out trusted texts, by language; texts outside are rejected...
 MARGIN = 0.08  #: ... if they are so many nats a symbol beyond
 ANY = ""  #: the language of documents without one
 
 
-def learn(trusted: DataFrame, text: str = "text") -> gram_join.Tables:
-    """The probability tables of all trusted text."""
-    counts = cut(count_grams(trusted.select(F.lit(ANY).alias("model"), text), "model", text, ORDER, raw_table))
-    return gram_join.probabilities(counts, ORDER)
-
+def held_out(text: str = "text") -> Column:
+    """Whether a trusted text sets the limits rather than teaching: equal texts stay together."""
+    return F.pmod(F.xxhash64(text, F.lit(11)), F.lit(SHARE)) == 0
 
-def load(tables: gram_join.Tables) -> SortedModel:
-    """The whole tables as sorted arrays on the driver: for small models only, scoring doesn't need it."""
-    found: dict[str, list[np.ndarray]] = {"gram": [], "logp": [], "context": [], "weight": []}
-    for probs, contexts in tables:
-        for table, key, value in ((probs, "gram", "logp"), (contexts, "context", "weight")):
-            arrays = collected_arrays(table.select(key, value))
-            by = np.argsort(arrays[key])
-            found[key].append(arrays[key][by])
-            found[value].append(arrays[value][by].astype(np.float32))
-    return SortedModel(found["gram"], found["logp"], found["context"], found["weight"], -float(np.log(len(found["gram"][0]) + 1.0)))
 
-
-def train(trusted: DataFrame, text: str = "text") -> SortedModel:
-    return load(learn(trusted, text))
+def learn(trusted: DataFrame, text: str = "text") -> gram_join.Tables:
+    """The count tables of all of ``trusted``."""
+    return gram_join.learn(count_grams(trusted.select(F.lit(ANY).alias("model"), text), "model", text, ORDER, raw_table), ORDER)
 
 
 def _of_language(values: dict[str, float], lang: Column) -> Column:
@@ -56,13 +44,14 @@ def _filled(mean: dict[str, float], lang: Column) -> Column:
     return F.when(F.col("symbols") > 0, (PRIOR * _of_language(mean, lang) - F.col("total")) / (F.col("symbols") + PRIOR))
 
 
-def calibrate(trusted: DataFrame) -> tuple[dict[str, float], dict[str, tuple[float, float]]]:
-    """The mean and the limits by language (ANY: over all) from all trusted documents (lang, total, symbols)."""
-    scored = cut(trusted.where("symbols > 0").select(F.coalesce("lang", F.lit(ANY)).alias("lang"), "total", "symbols"))
+def calibrate(scored: DataFrame) -> tuple[dict[str, float], dict[str, tuple[float, float]]]:
+    """The mean and the limits by language (ANY: over all) from texts (lang, total, symbols) that don't teach the model."""
+    scored = cut(scored.where("symbols > 0").select(F.coalesce("lang", F.lit(ANY)).alias("lang"), "total", "symbols"))
     both = scored.withColumn("lang", F.lit(ANY)).unionByName(scored.where(F.col("lang") != ANY))
-    mean = {r.lang: r["mean"] for r in both.groupBy("lang").agg((-F.sum("total") / F.sum("symbols")).alias("mean")).collect()}
+    rows = both.groupBy("lang").agg((-F.sum("total") / F.sum("symbols")).alias("mean"), F.count("*").alias("n")).where((F.col("n") >= ENOUGH) | (F.col("lang") == ANY))
+    mean = {r.lang: r["mean"] for r in rows.collect()}
     mean.setdefault(ANY, 0.0)
-    rows = both.groupBy("lang").agg(F.percentile_approx(_filled(mean, F.col("lang")), list(QUANTILES), 10000).alias("q")).collect()
+    rows = both.where(F.col("lang").isin(list(mean))).groupBy("lang").agg(F.percentile_approx(_filled(mean, F.col("lang")), list(QUANTILES), 10000).alias("q")).collect()
     limits = {r.lang: (r.q[0] - MARGIN, r.q[1] + MARGIN) for r in rows}
     limits.setdefault(ANY, (-np.inf, np.inf))
     return mean, limits
@@ -80,12 +69,16 @@ def classify(docs: DataFrame, labels: DataFrame, only_kept: bool = False) -> Dat
     empty texts are rejected. Equal texts of one language get equal answers; ties at a limit are kept.
     """
     trusted = trusted_rows(docs, labels)
-    tables = learn(trusted)
-    if tables[0][0].isEmpty():
+    tables = learn(trusted.where(~held_out()))
+    if not tables.names:  # no text teaches: too few are trusted to hold any out, or none are
+        tables = learn(trusted)
+    if not tables.names:
         kept = docs.withColumns({"cross_entropy": F.lit(None).cast("double"), "symbols": F.length("text").cast("long"), "keep": F.coalesce(F.length(F.trim("text")) > 0, F.lit(False))})
         return kept.where("keep") if only_kept else kept
-    scores = gram_join.sums(docs, tables, [ANY], ORDER, raw_table).select(F.col("digest").alias("_digest"), "symbols", F.col("totals")[0].alias("total"))
-    mean, limits = calibrate(trusted.select("lang", gram_join.digest().alias("_digest")).join(scores, "_digest"))
+    scores = gram_join.sums(docs, tables, raw_table).select(F.col("digest").alias("_digest"), "symbols", F.col("totals")[0].alias("total"))
+    known = cut(trusted.select("lang", held_out().alias("held"), gram_join.digest().alias("_digest")).join(scores, "_digest").select("lang", "held", "total", "symbols"))
+    held = known.where("held")
+    mean, limits = calibrate(known if held.where("symbols > 0").isEmpty() else held)
     name = F.coalesce("lang", F.lit(ANY))
     low, high = ({k: v[i] for k, v in limits.items()} for i in (0, 1))
     keep = F.coalesce(F.col("cross_entropy").between(_of_language(low, name), _of_language(high, name)), F.lit(False))

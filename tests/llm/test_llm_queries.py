@@ -131,12 +131,13 @@ def fitted(texts, table, order):
     return char_lm.fit(*counter.compact(), order)
 
 
-def plain_quality(docs, labels):
+def plain_quality(docs, labels, held):
     table = char_lm.raw_table()
     good = {r.doc_id for r in labels if r.quality == 1}
     trusted = [d for d in docs if d.doc_id in good and d.text]
-    model = fitted([d.text for d in trusted], table, quality.ORDER)
-    scored = [(d.lang, *entropy(model, d.text, table, quality.ORDER)) for d in trusted]
+    model = fitted([d.text for d in trusted if d.text not in held], table, quality.ORDER)
+    scored = [(d.lang, *entropy(model, d.text, table, quality.ORDER)) for d in trusted if d.text in held]
+    scored += [(quality.ANY, t, n) for _, t, n in scored]
     limits, means = {}, {}
     for lang in {s[0] for s in scored}:
         mine = [s for s in scored if s[0] == lang]
@@ -147,7 +148,8 @@ def plain_quality(docs, labels):
     out = []
     for d in docs:
         t, n = entropy(model, d.text or "", table, quality.ORDER)
-        if n and limits[d.lang][0] <= (t + quality.PRIOR * means[d.lang]) / (n + quality.PRIOR) <= limits[d.lang][1]:
+        lang = d.lang if sum(s[0] == d.lang for s in scored) >= quality.ENOUGH else quality.ANY
+        if n and limits[lang][0] <= (t + quality.PRIOR * means[lang]) / (n + quality.PRIOR) <= limits[lang][1]:
             out.append(d)
     return out
 
@@ -167,7 +169,8 @@ def plain_language(docs):
 
 
 def test_pipeline_equals_plain_stages(spark, table, tokens):
-    docs = plain_quality(table("documents"), table("labels"))
+    held = {r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").where(quality.held_out()).select("text").collect()}
+    docs = plain_quality(table("documents"), table("labels"), held)
     docs = plain_language(docs)
     groups = brute_force([(d.doc_id, d.text) for d in docs])
     docs = [d for d in docs if groups[d.doc_id][2] == d.doc_id]

@@ -40,16 +40,6 @@ def test_counter_adds_up():
     assert dict(zip(keys.tolist(), n.tolist(), strict=True)) == dict(zip(*(x.tolist() for x in np.unique(values, return_counts=True)), strict=True))
 
 
-def test_spark_and_numpy_models_agree(spark):
-    rng = random.Random(2)
-    texts = [text_of(rng, lang, 30) for lang in SYLLABLES for _ in range(10)]
-    df = spark.createDataFrame([(t,) for t in texts], "text string")
-    ours = quality.train(df)
-    other = char_lm.fit(*counted(texts, quality.ORDER, char_lm.raw_table()), quality.ORDER)
-    asked = np.unique(char_lm.grams(char_lm.symbols(codepoints("Then ein eau 123 ###"), char_lm.raw_table()), quality.ORDER))
-    assert np.allclose(ours.score(asked), other.score(asked), atol=1e-4)
-
-
 def test_language_of_held_out_texts(spark):
     rng = random.Random(3)
     rows = [(i, text_of(rng, lang, rng.choice([5, 60])), lang, "x") for i, lang in enumerate(list(SYLLABLES) * 120)]
