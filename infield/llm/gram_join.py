@@ -146,19 +146,23 @@ def _model_rows(tables: Tables, shards: int, copies: int) -> DataFrame:
 
 
 def _text_rows(df: DataFrame, text: str, order: int, table: Callable[[], np.ndarray], shards: int, copies: int) -> DataFrame:
-    """For each chunk and shard its n-grams, how often each occurs, and gaps between the numbers of the texts where it does."""
+    """For each chunk and shard its n-grams, how often each occurs, and gaps between the numbers of the texts where it does.
+
+    A chunk has each different text once, by rising mean symbol: texts of a language lie together, and gaps are small.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_symbol, chunk = table(), TaskContext.get().partitionId() << 32
         keys: list[np.ndarray] = []
         digests: list[bytes] = []
+        met: set[bytes] = set()
         held = 0
 
         def close() -> Iterator[pa.RecordBatch]:
-            lengths = np.array([len(x) for x in keys], np.int64)
+            by = np.argsort([(x & mask(1)).mean() if len(x) else 0.0 for x in keys], kind="stable")
+            key, lengths = np.concatenate([keys[i] for i in by]), np.array([len(keys[i]) for i in by], np.int64)
             copy = chunk % copies
-            yield _rows([chunk % shards * copies + copy], HEAD, chunk, [b"".join(digests)], lengths.tobytes())
-            key = np.concatenate(keys)
+            yield _rows([chunk % shards * copies + copy], HEAD, chunk, [b"".join([digests[i] for i in by])], lengths.tobytes())
             keys.clear()
             if not len(key):
                 return
@@ -190,12 +194,16 @@ def _text_rows(df: DataFrame, text: str, order: int, table: Callable[[], np.ndar
 
         for batch in pieces(batches):
             for value, name in zip(text_list(batch.column("text")), batch.column("digest").to_pylist(), strict=True):
+                if name in met:
+                    continue
+                met.add(name)
                 keys.append(grams(symbols(codepoints(value), to_symbol), order))
                 digests.append(name)
                 held += len(keys[-1])
                 if held >= HELD or len(keys) == TEXTS:
                     yield from close()
                     keys, digests, held = [], [], 0
+                    met.clear()
                     chunk += 1
         if digests:
             yield from close()
@@ -264,13 +272,15 @@ def sums(df: DataFrame, tables: Tables, table: Callable[[], np.ndarray], text: s
     """(digest, symbols, totals): for each different text its number of n-grams and the sum of their log probabilities by model.
 
     Equal texts have one row. Null is an empty text, with 0 symbols. Shards grow in number with the count tables; each
-    is copied so often that all cores have work, and a chunk meets one copy of each.
+    is copied so often that all cores have work, and a chunk meets one copy of each. Four partitions for each of them
+    leave few with more than one.
     """
     width = len(tables.names)
     shards = min(BUCKETS, max(1, -(-tables.size // GRAMS)))
-    copies = max(1, -(-2 * df.sparkSession.sparkContext.defaultParallelism // shards))
+    tasks = max(2 * df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions() // 8)
+    copies = max(1, -(-tasks // shards))
     asked = _text_rows(df, text, tables.order, table, shards, copies)
-    met = _model_rows(tables, shards, copies).unionByName(asked).repartition(shards * copies, "k").sortWithinPartitions("k", "kind", "chunk")
+    met = _model_rows(tables, shards, copies).unionByName(asked).repartition(4 * shards * copies, "k").sortWithinPartitions("k", "kind", "chunk")
 
     def whole(rows: pa.Table) -> dict:
         head = int(np.flatnonzero(rows.column("head").to_numpy())[0])
