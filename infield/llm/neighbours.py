@@ -1,31 +1,35 @@
 """Approximate nearest neighbours by inner product with collision-counting hashing.
 
-Vectors are scaled by the largest norm and lifted to the unit sphere by one more component, which makes the largest
-inner product the least distance. A block of vectors is indexed by VALUES single projections, each a sorted array.
-For a query the window around its own projection, in each array, tells which vectors collide with it; windows are
-widened (virtual rehashing) until enough vectors exceed the collision threshold, and those are verified: exact inner
-products of the original vectors in double precision.
-
-The stated query set meets all vectors in pairs of blocks of bounded size; a query's best of all blocks are merged.
+Vectors of about the same norm are scaled by the largest of these norms and lifted to the unit sphere by one more
+component, which makes the largest inner product the least distance. A block of such vectors is indexed once, by
+PROJECTIONS single projections, each a sorted array. For a query the window around its own projection, in each array,
+tells which vectors collide with it. Windows are widened (virtual rehashing), and only what they gain is counted; a
+vector that collides in THRESHOLD of the projections is verified: its exact inner product, in double precision. The
+search of a block ends when the k-th best distance verified is one that the windows find, by the normal distribution
+of projections, with the stated safety.
+
+Blocks are of bounded size, and queries stream past them. A block is copied only where there are more cores than blocks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from statistics import NormalDist
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from infield.llm.common import each_group
+PROJECTIONS = 256
+THRESHOLD = 0.5  #: of the projections, for a vector to be verified
+SAFETY = 1.1  #: standard deviations of the number of collisions by which a vector at the final distance exceeds the threshold
+WIDER = 1.03  #: factor of the next windows
+BLOCK = 32_768  #: vectors of a block, about
+TOGETHER = 32  #: queries that are searched for at once
 
-PROJECTIONS = 64
-FIRST, WIDER = 1.2, 1.25  #: half width of the first windows on the unit sphere, and the factor of the next
-COLLISIONS = 41  #: of the projections, for a vector to be verified
-SHARE, LEAST = 0.3, 800  #: of a block's vectors, and vectors, that must exceed it before widening ends
-BLOCK, QUERIES = 16_384, 1_024  #: vectors and queries that meet in a task
-
-FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType())])
+FOUND = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("verified", T.LongType())])
 
 
 def usable(vectors: DataFrame, embedding: str = "embedding") -> DataFrame:
@@ -35,68 +39,172 @@ def usable(vectors: DataFrame, embedding: str = "embedding") -> DataFrame:
     return vectors.where(F.col("vec_id").isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0))
 
 
-def search_block(data: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, top: float, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The best k of one block for each query: query ids, vector ids and scores."""
-    n, dim = data.shape
-    drawn = np.random.default_rng(dim).standard_normal((dim + 1, PROJECTIONS))
-    lift = np.sqrt(np.maximum(0.0, 1.0 - (data * data).sum(axis=1) / top**2))
-    shadows = (data / top) @ drawn[:dim] + lift[:, None] * drawn[dim]
-    order = np.ascontiguousarray(np.argsort(shadows, axis=0, kind="stable").T)
-    sorted_shadows = np.ascontiguousarray(np.take_along_axis(shadows, order.T, axis=0).T)
-    centres = (queries / np.linalg.norm(queries, axis=1, keepdims=True)) @ drawn[:dim]
-    enough = min(n, max(LEAST, int(SHARE * n) + k))
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for q in range(len(queries)):
-        half = FIRST
-        while True:
-            missed = []
-            for j in range(PROJECTIONS):
-                a, b = np.searchsorted(sorted_shadows[j], (centres[q, j] - half, centres[q, j] + half))
-                missed += [order[j, :a], order[j, b:]]
-            collisions = PROJECTIONS - np.bincount(np.concatenate(missed), minlength=n)
-            chosen = np.flatnonzero(collisions >= COLLISIONS)
-            if len(chosen) >= enough or half > 8:
-                break
-            half *= WIDER
-        chosen = chosen[ids[chosen] != query_ids[q]]
-        rough = data[chosen] @ queries[q]
-        if len(chosen) > k:  # exact ties stay together
-            least = np.partition(rough, -k)[-k]
-            chosen = chosen[rough >= least - 1e-9 * max(1.0, abs(least))]
-        score = (data[chosen] * queries[q]).sum(axis=1)
-        best = np.lexsort((ids[chosen], -score))[:k]
-        out.append((np.full(len(best), query_ids[q]), ids[chosen[best]], score[best]))
-    return tuple(np.concatenate([o[i] for o in out]) for i in range(3))
+def lengths(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Largest component and norm in units of it, of each row: neither overflows."""
+    largest = np.abs(rows).max(axis=1)
+    return largest, np.sqrt(((rows / largest[:, None]) ** 2).sum(axis=1))
+
+
+class Block:
+    """The index of some vectors of one length."""
+
+    def __init__(self, data: np.ndarray, ids: np.ndarray):
+        self.data, self.ids, self.repeated = data, ids, len(np.unique(ids)) < len(ids)
+        n, dim = data.shape
+        largest, norm = lengths(data)
+        top = int(np.argmax(np.log2(largest) + np.log2(norm)))
+        # in units of the longest vector, in an order that neither overflows nor underflows early
+        self.scaled = data / largest[top] / norm[top]
+        lift = np.sqrt(np.maximum(0.0, 1.0 - (self.scaled**2).sum(axis=1)))
+        self.drawn = np.random.default_rng(dim).standard_normal((dim + 1, PROJECTIONS))
+        shadows = (self.scaled @ self.drawn[:dim] + lift[:, None] * self.drawn[dim]).astype(np.float32).T
+        self.order = np.argsort(shadows, axis=1, kind="stable").astype(np.int32)
+        self.sorted = np.take_along_axis(shadows, self.order, axis=1)
+        self.least = int(np.ceil(THRESHOLD * PROJECTIONS))
+        share = THRESHOLD + SAFETY * (THRESHOLD * (1 - THRESHOLD) / PROJECTIONS) ** 0.5
+        self.reach = NormalDist().inv_cdf((1 + share) / 2)  # half width of the windows that find what is at distance 1
+        self.half = 0.6
+
+    def search(self, queries: np.ndarray, query_ids: np.ndarray, k: int) -> dict[str, np.ndarray]:
+        """The best ``k`` different ids for each query."""
+        n, dim = self.data.shape
+        largest, norm = lengths(queries)
+        unit = queries / largest[:, None] / norm[:, None]
+        centres = (unit @ self.drawn[:dim]).astype(np.float32)
+        half = np.full(len(queries), self.half)
+        hits, seen = np.zeros((len(queries), n), np.int16), np.zeros((len(queries), n), bool)
+        for q in range(len(queries)):
+            seen[q, self.ids == query_ids[q]] = True  # a query's own row is no candidate
+        verified: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in queries]
+        near: list[np.ndarray] = [np.zeros(0)] * len(queries)
+        before: dict[int, tuple[list[int], list[int]]] = {}
+        active = list(range(len(queries)))
+        while active:
+            width = half[active].astype(np.float32)
+            low = np.stack([np.searchsorted(s, c - width, "left") for s, c in zip(self.sorted, centres[active].T, strict=True)])
+            high = np.stack([np.searchsorted(s, c + width, "right") for s, c in zip(self.sorted, centres[active].T, strict=True)])
+            rest = []
+            for i, q in enumerate(active):
+                a, b = low[:, i].tolist(), high[:, i].tolist()
+                old = before.get(q)
+                if old is None:
+                    gained = [o[x:y] for o, x, y in zip(self.order, a, b, strict=True)]
+                else:
+                    gained = [o[x:y] for o, x, y in zip(self.order, a, old[0], strict=True)] + [o[x:y] for o, x, y in zip(self.order, old[1], b, strict=True)]
+                hits[q] += np.bincount(np.concatenate(gained), minlength=n).astype(np.int16)
+                before[q] = a, b
+                new = np.flatnonzero((hits[q] >= self.least) & ~seen[q])
+                seen[q, new] = True
+                verified[q].append(new)
+                near[q] = np.concatenate([near[q], self.scaled[new] @ unit[q]])
+                if not self._done(near[q], verified[q], k, half[q]) and not (low[:, i].max() == 0 and high[:, i].min() == n):
+                    rest.append(q)
+            half[rest] *= WIDER
+            active = rest
+        self.half = float(np.median(half)) / WIDER**2  # where the next queries begin
+        out: list[tuple] = []
+        for q in range(len(queries)):
+            at = np.concatenate(verified[q])
+            with np.errstate(over="ignore", invalid="ignore"):
+                score = (self.data[at] * queries[q]).sum(axis=1)
+            by = np.lexsort((self.ids[at], np.where(np.isnan(score), np.inf, -score)))
+            at, score = at[by], score[by]
+            if self.repeated:
+                _, first = np.unique(self.ids[at], return_index=True)
+                first.sort()
+                at, score = at[first], score[first]
+            m = min(k, len(at))
+            out.append((np.full(m, query_ids[q]), self.ids[at[:m]], score[:m], np.full(m, len(by))))
+        return {name: np.concatenate([o[i] for o in out]) for i, name in enumerate(FOUND.names)}
+
+    def _done(self, near: np.ndarray, verified: list[np.ndarray], k: int, half: float) -> bool:
+        if len(near) < k:
+            return False
+        if self.repeated:
+            at = np.concatenate(verified)
+            by = np.argsort(-near, kind="stable")
+            _, first = np.unique(self.ids[at[by]], return_index=True)
+            near = near[by[first]]
+            if len(near) < k:
+                return False
+        best = np.partition(near, -k)[-k]
+        return bool(np.sqrt(max(0.0, 2 - 2 * best)) * self.reach <= half)
+
+
+def _search(pairs: DataFrame, k: int) -> DataFrame:
+    """The answers of each ``pair`` of a block (its vectors come first) and queries, streamed from sorted partitions."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, block, waiting = None, None, []
+
+        def vectors(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+            ids = batch.column("vec_id").to_numpy()
+            return batch.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1), ids
+
+        for batch in batches:
+            pair = batch.column("pair").to_numpy()
+            asks = batch.column("asks").to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((pair[1:] != pair[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(pair)], strict=True):
+                if a == b:
+                    continue
+                if pair[a] != last:
+                    last, block, waiting = pair[a], None, []
+                data, ids = vectors(batch.slice(a, b - a))
+                if not asks[a]:
+                    waiting.append((data, ids))
+                    continue
+                if block is None and waiting:
+                    block, waiting = Block(np.concatenate([w[0] for w in waiting]), np.concatenate([w[1] for w in waiting])), []
+                if block is not None:
+                    for at in range(0, len(ids), TOGETHER):
+                        found = block.search(data[at : at + TOGETHER], ids[at : at + TOGETHER], k)
+                        yield pa.RecordBatch.from_arrays([pa.array(found[f.name], pa.float64() if f.name == "score" else pa.int64()) for f in FOUND], names=FOUND.names)
+
+    return pairs.sortWithinPartitions("pair", "asks", "vec_id").mapInArrow(run, FOUND)
+
+
+def norm_class(embedding: Column) -> Column:
+    """The exponent of two of a vector's norm, without overflow."""
+    largest = F.aggregate(embedding, F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x)))
+    return F.floor(F.log2(largest) + F.log2(F.aggregate(embedding, F.lit(0.0), lambda s, x: s + (x / largest) * (x / largest))) / 2).cast("int")
+
+
+def found_in_blocks(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """query_id, vec_id, score and verified (vectors of the block that were) of the best k of each block for each query."""
+    spark = vectors.sparkSession
+    cols = [F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")]
+    vectors, queries = usable(vectors).select(*cols), usable(queries).select(*cols)
+    kind = F.struct(F.size("embedding").alias("dim"), norm_class(F.col("embedding")).alias("class"))
+    classes = vectors.groupBy(kind.alias("kind")).count().collect()  # a row for each length and power of two
+    if not classes:
+        return spark.createDataFrame([], FOUND)
+    classes.sort(key=lambda r: (r.kind.dim, r.kind["class"]))
+    first, blocks, of_dim = 0, {}, {}
+    for r in classes:
+        n = -(-r["count"] // BLOCK)
+        blocks[r.kind.dim, r.kind["class"]] = first, n
+        of_dim.setdefault(r.kind.dim, []).extend(range(first, first + n))
+        first += n
+    slices = max(1, -(-2 * spark.sparkContext.defaultParallelism // first))
+    place = F.create_map(*[x for (d, c), (at, n) in blocks.items() for x in (F.struct(F.lit(d).alias("dim"), F.lit(c).alias("class")), F.struct(F.lit(at).alias("at"), F.lit(n).alias("n")))])[kind]
+    block = place["at"] + F.pmod(F.xxhash64("vec_id", F.lit(7)), place["n"])
+    met = F.create_map(*[x for d, own in of_dim.items() for x in (F.lit(d), F.array(*map(F.lit, own)))])[F.size("embedding")]
+    stored = vectors.select(block.alias("block"), F.lit(False).alias("asks"), "vec_id", "embedding").withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    asking = queries.select(F.explode(met).alias("block"), F.lit(True).alias("asks"), "vec_id", "embedding").withColumn("slice", F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(slices)))
+    pairs = stored.unionByName(asking).withColumn("pair", (F.col("block") * slices + F.col("slice")).cast("long")).select("pair", "asks", "vec_id", "embedding")
+    return _search(pairs.repartition(4 * first * slices, "pair"), k)
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` nearest of ``vectors`` found for each of ``queries`` (both vec_id, embedding).
 
     A query's own row (same id) is no candidate. Scores are inner products of the vectors as given, in double
-    precision; ties go to the smaller id, equal vectors all count. Vectors that usable() leaves out take no part;
-    vectors meet only those of their own length.
+    precision; ties go to the smaller id, a product that is no number comes last. Repeated rows count once; of
+    different vectors with the same id the best counts, as a candidate and as a query. Vectors that usable() leaves out
+    take no part; vectors meet only those of their own length.
     """
-    cols = [F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")]
-    vectors, queries = usable(vectors).select(*cols), usable(queries).select(*cols)
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x))
-    n, top = vectors.agg(F.count("*"), F.max(norm)).first()
-    asked = queries.count()
-    blocks, asks = max(1, -(-n // BLOCK)), max(1, -(-asked // QUERIES))
-    place = lambda col, parts: F.pmod(F.xxhash64(col, F.lit(7)), F.lit(parts))
-    pair = lambda b, q: F.xxhash64(F.size("embedding"), b * F.lit(asks) + q)
-    stored = vectors.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(asks - 1)))).select(pair(place("vec_id", blocks), F.col("q")).alias("pair"), F.lit(False).alias("asks"), "vec_id", "embedding")
-    asking = queries.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(pair(F.col("b"), place("vec_id", asks)).alias("pair"), F.lit(True).alias("asks"), "vec_id", "embedding")
-
-    def search(table: pa.Table) -> dict | None:
-        asks_ = table.column("asks").to_numpy(zero_copy_only=False)
-        ids = table.column("vec_id").to_numpy()
-        flat = table.column("embedding").combine_chunks()
-        flat = flat.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-        if asks_.all() or not asks_.any():
-            return None
-        found = search_block(flat[~asks_], ids[~asks_], flat[asks_], ids[asks_], float(top), k)
-        return dict(zip(FOUND.names, found, strict=True))
-
-    found = each_group(stored.unionByName(asking), "pair", search, FOUND)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = found_in_blocks(vectors, queries, k)
+    best = found.groupBy("query_id", "vec_id").agg(F.max(F.when(F.isnan("score"), -float("inf")).otherwise(F.col("score"))).alias("order"), F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("order"), "vec_id"))
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -253,3 +253,30 @@ def test_html_odd_pages(spark):
     assert [rows[i][0] for i in (0, 1, 2, 7, 8)] == [""] * 5
     assert rows[3][0] == "no markup at all" and rows[6][0] == "unclosed bold" and rows[11][0] == html.unescape("&lt;b&gt; &amp &#65;")
     assert rows[9][0] == "deep" and rows[12][1] == 999_999
+
+
+def test_huge_vectors_and_repeated_ids(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.standard_normal(2).tolist()) for i in range(0, 300)]
+    rows += [(400, [1e200, 1e200]), (401, [1e-200, -1e-200]), (402, [1e308, 1e308]), (20, rows[20][1]), (20, rows[20][1]), (39, [50.0, 0.1]), (39, [0.1, 60.0])]
+    found = found_by(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 5)
+    many = {}
+    for i, v in rows:
+        many.setdefault(i, []).append(np.array(v))
+    for q in (20, 40, 400):
+        with np.errstate(over="ignore", invalid="ignore"):
+            score = {i: max(float(a @ b) for a in many[q] for b in vs) for i, vs in many.items() if i != q}
+        best = sorted(score, key=lambda i: (-score[i] if score[i] == score[i] else np.inf, i))[:5]
+        assert [v for _, v, _ in found[q]] == best, q
+
+
+def test_few_vectors_are_verified():
+    """Clustered vectors: most of a block is never looked at, and the nearest are found."""
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((200, 32))
+    data = centres[np.arange(8000) % 200] + 0.3 * rng.standard_normal((8000, 32))
+    ids = np.arange(8000)
+    found = neighbours.Block(data, ids).search(data[:60], ids[:60], 10)
+    truth = {q: set(np.argsort(-np.where(ids == q, -np.inf, data @ data[q]), kind="stable")[:10].tolist()) for q in range(60)}
+    hits = sum(len(truth[q] & set(found["vec_id"][found["query_id"] == q].tolist())) for q in range(60))
+    assert hits >= 0.9 * 600 and found["verified"].mean() <= 0.05 * 8000
