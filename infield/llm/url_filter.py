@@ -1,27 +1,22 @@
 """URL filter: rules first, then a ratio of character language models.
 
-URLs that a rule decides teach two variable-order Markov models over host and path, one of accepted and one of
-rejected URLs. Their counts live in tables of SLOTS hashed contexts an order, so the models' size doesn't grow with
-the corpus. Other URLs are judged by the difference of the two log likelihoods a character, against a threshold
-that is calibrated on rule-decided URLs the models weren't trained on.
+URLs that a rule decides teach two variable-order Markov models over the whole URL, one of accepted and one of rejected
+URLs: exact counts of contexts up to four characters, smoothed by interpolating the shorter ones (Kneser-Ney). Counts
+grow with the URLs; URLs meet them by shard (``gram_join``). Other URLs are judged by the difference of the two log
+likelihoods a character, against a threshold that is calibrated on rule-decided URLs the models weren't trained on.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from infield.llm.common import mix, text_list, transform_batches
+from infield.llm import gram_join
+from infield.llm.char_lm import count_grams
+from infield.llm.common import MAX_BROADCAST_KEYS
 
-ORDERS = 5  #: longest context in characters
-SLOTS = 1 << 16  #: hashed (context, character) counts an order and model; contexts have as many
-SMOOTHING = 0.6  #: weight of a shorter context's estimate against one more observation
-CHARACTERS = 96.0  #: of the uniform distribution that all contexts end in
+ORDER = 5  #: characters of the longest n-gram
 MOST_RULES = 1_000
 BINS, RANGE = 400, 4.0  #: of the histogram for calibration, in nats a character each way
 
@@ -53,79 +48,10 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Colu
     return text, verdict
 
 
-def slots(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """For each character of a URL and each order, the slots of (context, character) and of the context."""
-    cps = np.frombuffer(("\x02" * ORDERS + text + "\x03").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    n = len(cps) - ORDERS
-    state = np.full(n, 0x51ED270B, np.uint64)
-    grams, contexts = np.empty((ORDERS + 1, n), np.int64), np.empty((ORDERS + 1, n), np.int64)
-    last = cps[ORDERS:]
-    for k in range(ORDERS + 1):
-        if k:
-            state = mix(state + cps[ORDERS - k : ORDERS - k + n] * np.uint64(0x9E3779B97F4A7C15))
-        contexts[k] = (state % np.uint64(SLOTS)).astype(np.int64)
-        grams[k] = (mix(state ^ (last * np.uint64(0xC2B2AE3D27D4EB4F))) % np.uint64(SLOTS)).astype(np.int64)
-    return grams, contexts
-
-
-def counts(urls: DataFrame) -> np.ndarray:
-    """Counts by class (0 accepted, 1 rejected), order, kind (0 with the character, 1 context) and slot, from all ``urls`` (url, verdict)."""
-    shape = (2, ORDERS + 1, 2, SLOTS)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(shape, np.int64)
-        for batch in batches:
-            for text, verdict in zip(text_list(batch.column("url")), batch.column("verdict").to_pylist(), strict=True):
-                grams, contexts = slots(text)
-                mine = total[0 if verdict == "allow" else 1]
-                for k in range(ORDERS + 1):
-                    np.add.at(mine[k, 0], grams[k], 1)
-                    np.add.at(mine[k, 1], contexts[k], 1)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total.ravel()[some])], names=["slot", "n"])
-
-    summed = urls.select("url", "verdict").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(shape, np.float64)
-    out.ravel()[summed.column("slot").to_numpy()] = summed.column("n").to_numpy()
-    return out
-
-
-def ratio(text: str, model: np.ndarray) -> float:
-    """(log likelihood as an accepted URL - as a rejected one) / characters; 0 for an empty one."""
-    if not text:
-        return 0.0
-    grams, contexts = slots(text)
-    total = []
-    for counted in model:
-        p = np.full(grams.shape[1], 1 / CHARACTERS)
-        for k in range(ORDERS + 1):
-            p = (counted[k, 0][grams[k]] + SMOOTHING * p) / (np.maximum(counted[k, 1][contexts[k]], counted[k, 0][grams[k]]) + SMOOTHING)
-        total.append(np.log(p).sum())
-    return float((total[0] - total[1]) / grams.shape[1])
-
-
-SCORE = T.StructType([T.StructField("score", T.DoubleType())])
-
-
-def scored(df: DataFrame, model: np.ndarray, url: str) -> DataFrame:
-    sent = df.sparkSession.sparkContext.broadcast(model)
-
-    def make():
-        known: dict[str, float] = {}
-
-        def fn(column: pa.Array) -> list:
-            out = []
-            for text in text_list(column):
-                if text not in known:
-                    if len(known) > 50_000:
-                        known.clear()
-                    known[text] = ratio(text, sent.value)
-                out.append(known[text])
-            return [out]
-
-        return fn
-
-    return transform_batches(df, [url], SCORE, make)
+def url_table() -> np.ndarray:
+    """Symbol of each code point of a URL: itself, folded to 12 bits."""
+    cp = np.arange(0x110000)
+    return np.where(cp < 4096, cp, 4095 - cp % 2048).astype(np.uint16)
 
 
 def threshold(held: DataFrame) -> float:
@@ -147,17 +73,23 @@ def judge(pages: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     Models and threshold come from the rows that a rule decides, half each by a hash of the URL, repeated rows
     counting each time. Where no rule decides, the verdict is allow from the threshold on; if rules accept nothing
     or reject nothing, there is nothing to tell them apart by, and it is allow. A null or malformed URL has an empty
-    host and path and the score 0. Input columns with these names are replaced.
+    host and path, a null or empty one the score 0. Input columns with these names are replaced.
     """
+    names = ("host", "path", "rule", "verdict", "score", "threshold")
+    rows = pages.drop(*[n for n in names if n != url])
     host, path = url_parts(F.col(url))
-    parts = pages.withColumns({"host": host, "path": path})
-    text, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    ruled = parts.withColumns({"rule": text, "verdict": verdict, "_key": F.concat("host", "path")})
-    taught = ruled.where(F.col("verdict").isNotNull()).select(F.col("_key").alias("url"), "verdict")
-    half = F.pmod(F.xxhash64("url", F.lit(3)), F.lit(2)) == 0
-    model = counts(taught.where(half))
-    both = bool(model[0].any() and model[1].any())
-    limit = threshold(scored(taught.where(~half), model, "url")) if both else -RANGE
-    out = scored(ruled, model, "_key") if both else ruled.withColumn("score", F.lit(0.0))
-    own = F.when(F.col("score") >= limit, "allow").otherwise("block")
-    return out.withColumns({"verdict": F.coalesce("verdict", own), "threshold": F.lit(limit)}).drop("_key")
+    text, verdict = rule_of(F.col("_host"), F.col("_path"), rules)
+    ruled = rows.withColumn("_url", F.col(url)).withColumns({"_host": host, "_path": path}).withColumns({"_rule": text, "_verdict": verdict})
+    taught = ruled.where(F.col("_verdict").isNotNull()).select("_url", F.col("_verdict").alias("verdict"), (F.pmod(F.xxhash64("_url", F.lit(3)), F.lit(2)) == 0).alias("teaches"))
+    tables = gram_join.learn(count_grams(taught.where("teaches"), "verdict", "_url", ORDER, url_table), ORDER)
+    score, limit = F.lit(0.0), -RANGE
+    if tables.names == ["allow", "block"]:
+        found = gram_join.sums(ruled, tables, url_table, "_url")
+        scores = found.select(F.col("digest").alias("_digest"), F.when(F.col("symbols") > 0, (F.col("totals")[0] - F.col("totals")[1]) / F.col("symbols")).otherwise(0.0).alias("_score"))
+        limit = threshold(taught.where("not teaches").select("verdict", gram_join.digest("_url").alias("_digest")).join(scores, "_digest").withColumnRenamed("_score", "score"))
+        few = scores.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
+        ruled = ruled.withColumn("_digest", gram_join.digest("_url")).join(F.broadcast(scores) if few else scores, "_digest", "left")
+        score = F.col("_score")
+    own = F.when(score >= limit, "allow").otherwise("block")
+    rest = [F.col(c) for c in rows.columns if c not in names]
+    return ruled.select(*rest, F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.coalesce("_verdict", own).alias("verdict"), score.alias("score"), F.lit(limit).alias("threshold"))

@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from infield.llm import chat_windows, decontaminate, html_text, licenses, neighbours, url_filter
 
@@ -280,3 +281,31 @@ def test_few_vectors_are_verified():
     truth = {q: set(np.argsort(-np.where(ids == q, -np.inf, data @ data[q]), kind="stable")[:10].tolist()) for q in range(60)}
     hits = sum(len(truth[q] & set(found["vec_id"][found["query_id"] == q].tolist())) for q in range(60))
     assert hits >= 0.9 * 600 and found["verified"].mean() <= 0.05 * 8000
+
+
+def test_url_scores_equal_models_of_all_urls(spark, monkeypatch):
+    """The method's own verdicts against two whole models fitted in one process; and very long, empty and null URLs."""
+    from infield.llm import char_lm, gram_join
+    from infield.llm.common import codepoints
+
+    monkeypatch.setattr(gram_join, "GRAMS", 300)
+    rng = random.Random(8)
+    urls = [f"https://{rng.choice(['good', 'bad'])}.org/{rng.choice('abc')}{rng.randint(1, 999)}?q={rng.randint(1, 9)}#{rng.choice('xyz')}" for _ in range(500)]
+    urls += ["https://other.net/a1?q=1", "https://other.net/" + "ab/" * 20_000, "", None, "no scheme", "https://élan.net/漢"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    rules = [url_filter.parse_rule("allow", "good.org/"), url_filter.parse_rule("block", "bad.org/")]
+    rows = sorted(url_filter.judge(df, rules).collect(), key=lambda r: r.page_id)
+    teaches = {r.url for r in df.where(F.pmod(F.xxhash64("url", F.lit(3)), F.lit(2)) == 0).collect()}
+    table, models = url_filter.url_table(), []
+    made = lambda u: char_lm.grams(char_lm.symbols(codepoints(u or ""), table), url_filter.ORDER)
+    for host in ("good", "bad"):
+        c = char_lm.Counter()
+        for u in urls:
+            if u and f"//{host}.org" in u and u in teaches:
+                c.add(made(u))
+        models.append(char_lm.fit(*c.compact(), url_filter.ORDER))
+    for r in rows:
+        g = made(r.url)
+        want = float(models[0].score(g).astype(float).sum() - models[1].score(g).astype(float).sum()) / len(g) if len(g) else 0.0
+        assert r.score == pytest.approx(want, abs=1e-3)
+        assert r.rule or r.verdict == ("allow" if r.score >= r.threshold else "block")
