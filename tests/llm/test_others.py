@@ -309,3 +309,45 @@ def test_url_scores_equal_models_of_all_urls(spark, monkeypatch):
         want = float(models[0].score(g).astype(float).sum() - models[1].score(g).astype(float).sum()) / len(g) if len(g) else 0.0
         assert r.score == pytest.approx(want, abs=1e-3)
         assert r.rule or r.verdict == ("allow" if r.score >= r.threshold else "block")
+
+
+def test_regions_are_the_best_there_are():
+    rng = random.Random(9)
+    for _ in range(300):
+        scores = [rng.randint(-4, 4) for _ in range(rng.randint(0, 30))]
+        made = html_text.regions(scores)
+        sums = [sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)]
+        assert max((r[2] for r in made), default=0) == max([0, *sums])
+        assert all(sum(scores[a:b]) == s for a, b, s in made) and all(x[1] <= y[0] for x, y in zip(made, made[1:], strict=False))
+    assert len(html_text.regions([1, -4] * 100_000)) == 100_000
+
+
+WORDS = "The committee met on Tuesday and agreed that the harbour should be dredged before the winter storms arrive. "
+LONG = [f"{WORDS * 3}Part {i}." for i in range(6)]
+BODY = "".join(f"<p>{x}</p>" for x in LONG)
+SIDE = "Trending now: ten things to buy this week " * 25
+LINKS = "".join(f"<li><a href='/{i}'>Go to page {i}</a></li>" for i in range(40))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><div>{''.join(f'<p>{x}</p>' for x in LONG[:3])}</div><div class='sidebar'>{SIDE}</div><div>{''.join(f'<p>{x}</p>' for x in LONG[3:])}</div></body>",
+        f"<article>{''.join(f'<p>{x}</p>' for x in LONG[:4])}<section id='related-work'><p>{LONG[4]}</p><p>{LONG[5]}</p></section></article>",
+        f"<body><nav><ul>{LINKS}</ul></nav><main>{BODY}</main><aside>{SIDE}</aside></body>",
+        f"<body><table><tr><td><ul>{LINKS}</ul></td><td>{BODY}</td></tr></table><div id='footer'>{SIDE}</div></body>",
+        f"<body><div class='cookie-notice'>We use cookies. <button>OK</button></div><div id='content'>{BODY}</div><div id='comments'><p>{SIDE}</p><p>{SIDE}</p></div></body>",
+        f"<body><header><h2>Site</h2><ul>{LINKS}</ul></header><section>{BODY}</section><form><label>Mail</label><input><p>{SIDE}</p></form></body>",
+        f"<body><div role='navigation'>{LINKS}</div><article><div class='share'><a href='#'>Share this</a></div>{BODY}<div class='related'><ul>{LINKS}</ul></div></article></body>",
+        f"<body><article>{BODY}</article><section class='comments'><article><p>{SIDE}</p></article><article><p>{SIDE}</p></article></section></body>",
+        f"<html><head><title>x</title></head><body><center><font>{'<br><br>'.join(LONG)}</font></center></body></html>",
+        f"<body><div class='post'>{''.join(f'<p>{x}</p>' for x in LONG[:2])}<div class='ad'>{SIDE}</div>{''.join(f'<p>{x}</p>' for x in LONG[2:])}</div><div class='popup'>{SIDE}</div></body>",
+        f"<body><article><div class='notice'>This article is old.</div>{BODY}<my-widget>x</my-widget></article></body>",
+        f"<body><div class='banner-history'>{BODY}</div></body>",
+    ],
+)
+def test_html_layouts_keep_all_of_the_article(page):
+    text = html_text.extract(page, html_text.weights({}))
+    assert all(x.strip() in text for x in LONG)
+    for word in ("Trending", "Go to page", "cookies", "Share", "is old", "Site"):
+        assert word not in text
