@@ -254,7 +254,8 @@ def test_quality_checks(spark):
 
 # Guarded SQL, streaming ---------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("sql", ["DROP TABLE t", "SELECT 1; SELECT 2", "WITH x AS (SELECT 1) INSERT INTO t SELECT * FROM x", "SELECT * FROM parquet.`/etc`", "SELECT * FROM read_files('/x')", "/* x */ DELETE FROM t", "SELECT reflect('a', 'b')"])
+@pytest.mark.parametrize("sql", ["DROP TABLE t", "SELECT 1; SELECT 2", "WITH x AS (SELECT 1) INSERT INTO t SELECT * FROM x", "SELECT * FROM parquet.`/etc`", "SELECT * FROM read_files('/x')", "/* x */ DELETE FROM t", "SELECT reflect('a', 'b')",
+        "SELECT '--' AS a, * FROM parquet.`/root/x`", "SELECT '--', reflect('a', 'b')", "SELECT '/*' AS a, reflect('x') /* '*/", "SELECT \"'\" AS a, reflect('x', \"'\")", "SELECT r'\\', reflect('a', '')", "SELECT 'open", "SELECT * FROM `a.b/c`", "SELECT '\\'' , reflect('a')", "SELECT /* ' */ reflect('a') -- '"])
 def test_refused_sql(sql):
     with pytest.raises(sem.RequestError):
         sem.guarded(sql)
@@ -262,6 +263,7 @@ def test_refused_sql(sql):
 
 def test_allowed_sql():
     assert sem.guarded(" SELECT 'drop table; x' AS a ;") == "SELECT 'drop table; x' AS a"
+    assert sem.guarded("SELECT `a`, 'it''s -- no; comment' AS b FROM t -- parquet.`x`")
 
 
 def test_stream_of_days(spark, tmp_path):
