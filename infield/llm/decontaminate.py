@@ -3,8 +3,8 @@
 Benchmark texts are cut into passages. Words are weighted by TF-IDF, with document frequencies from all documents.
 A distributed randomised SVD of the passages gives a latent space; stretches of documents with several rare words
 of the benchmark are folded into it and compared with all passages by cosine. Every candidate is checked on the
-words themselves: the longest common subsequence of the whole benchmark text and the stretch around the match, and
-for paraphrases whether the answer, the text's last sentence, is there too.
+words themselves: the longest common subsequence of the whole benchmark text, or of a passage of a longer one, and the
+stretch around the match, and for paraphrases whether the answer, the text's last sentence, is there too.
 
 Large benchmarks are worked off in slices, so that what goes to the executors is bounded by SLICE.
 """
@@ -32,6 +32,7 @@ COSINE = 0.4  #: of candidates
 COPIED = 0.6  #: share of a benchmark text's words that a copy has in order
 REWORDED, ANSWERED = 0.4, 0.75  #: the same for a paraphrase, and the share of the answer's words that it has
 NEAR = 0.55  #: cosine of a paraphrase
+PART, PART_WORDS = 0.85, 24  #: share of a passage's words in order that tells a copy of part of a longer text, and words of such a passage at least
 TOLD = 0.5  #: share of a benchmark text's words, by inverse document frequency, that must be there in any order
 
 
@@ -276,6 +277,11 @@ class Finder:
                 stop = min(int(offsets[r + 1]), s + PASSAGE + len(words) - int(b.start[p]))
                 stretch = hashes[begin:stop].tolist()
                 there, weight = set(stretch), b.weights[item]
+                passage = words[int(b.start[p]) : int(b.start[p]) + PASSAGE]
+                if len(words) > len(passage) >= PART_WORDS and sum([w in there for w in passage]) >= PART * len(passage) and common_subsequence(passage, stretch) >= PART * len(passage):
+                    done[r, item] = s + PASSAGE // 2
+                    yield r, item, common_subsequence(words, stretch) / len(words), float(cosine[k, p]), begin - int(offsets[r])
+                    continue
                 if sum([weight[w] for w in there if w in weight]) < TOLD * b.totals[item]:
                     continue
                 share = common_subsequence(words, stretch) / len(words)

@@ -351,3 +351,14 @@ def test_html_layouts_keep_all_of_the_article(page):
     assert all(x.strip() in text for x in LONG)
     for word in ("Trending", "Go to page", "cookies", "Share", "is old", "Site"):
         assert word not in text
+
+
+def test_a_passage_of_a_long_benchmark_text_is_found(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    item = [word() for _ in range(200)]
+    common = [word() for _ in range(300)]
+    rest = lambda: [rng.choice(common) for _ in range(80)]
+    docs = [(1, " ".join(rest() + item[70:130] + rest())), (2, " ".join(rest() + item[70:80] + rest())), (3, " ".join(rest())), (4, " ".join(item))]
+    found = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(9, " ".join(item))], "item_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {1, 4}
