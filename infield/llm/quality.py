@@ -44,8 +44,8 @@ def _filled(mean: dict[str, float], lang: Column) -> Column:
     return F.when(F.col("symbols") > 0, (PRIOR * _of_language(mean, lang) - F.col("total")) / (F.col("symbols") + PRIOR))
 
 
-def calibrate(scored: DataFrame) -> tuple[dict[str, float], dict[str, tuple[float, float]]]:
-    """The mean and the limits by language (ANY: over all) from texts (lang, total, symbols) that don't teach the model."""
+def calibrate(scored: DataFrame, taught: DataFrame) -> tuple[dict[str, float], dict[str, tuple[float, float]]]:
+    """The mean and the limits by language (ANY: over all) from texts (lang, total, symbols) that don't teach the model, and those that do."""
     scored = cut(scored.where("symbols > 0").select(F.coalesce("lang", F.lit(ANY)).alias("lang"), "total", "symbols"))
     both = scored.withColumn("lang", F.lit(ANY)).unionByName(scored.where(F.col("lang") != ANY))
     rows = both.groupBy("lang").agg((-F.sum("total") / F.sum("symbols")).alias("mean"), F.count("*").alias("n")).where((F.col("n") >= ENOUGH) | (F.col("lang") == ANY))
@@ -54,6 +54,11 @@ def calibrate(scored: DataFrame) -> tuple[dict[str, float], dict[str, tuple[floa
     rows = both.where(F.col("lang").isin(list(mean))).groupBy("lang").agg(F.percentile_approx(_filled(mean, F.col("lang")), list(QUANTILES), 10000).alias("q")).collect()
     limits = {r.lang: (r.q[0] - MARGIN, r.q[1] + MARGIN) for r in rows}
     limits.setdefault(ANY, (-np.inf, np.inf))
+    # Texts that teach are known by heart, and so are their copies: the lower limit lets them pass.
+    both = taught.withColumn("lang", F.lit(ANY)).unionByName(taught.where(F.coalesce("lang", F.lit(ANY)) != ANY)).where(F.col("lang").isin(list(mean)) & (F.col("symbols") > 0))
+    for r in both.groupBy("lang").agg(F.percentile_approx(_filled(mean, F.col("lang")), QUANTILES[0], 10000).alias("q")).collect():
+        low, high = limits[r.lang]
+        limits[r.lang] = min(low, r.q - MARGIN), high
     return mean, limits
 
 
@@ -78,7 +83,7 @@ def classify(docs: DataFrame, labels: DataFrame, only_kept: bool = False) -> Dat
     scores = gram_join.sums(docs, tables, raw_table).select(F.col("digest").alias("_digest"), "symbols", F.col("totals")[0].alias("total"))
     known = cut(trusted.select("lang", held_out().alias("held"), gram_join.digest().alias("_digest")).join(scores, "_digest").select("lang", "held", "total", "symbols"))
     held = known.where("held")
-    mean, limits = calibrate(known if held.where("symbols > 0").isEmpty() else held)
+    mean, limits = calibrate(known if held.where("symbols > 0").isEmpty() else held, known.where("not held"))
     name = F.coalesce("lang", F.lit(ANY))
     low, high = ({k: v[i] for k, v in limits.items()} for i in (0, 1))
     keep = F.coalesce(F.col("cross_entropy").between(_of_language(low, name), _of_language(high, name)), F.lit(False))
