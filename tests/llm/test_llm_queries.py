@@ -145,6 +145,8 @@ def plain_quality(docs, labels, held):
         filled = sorted((t + quality.PRIOR * means[lang]) / (n + quality.PRIOR) for _, t, n in mine)
         at = lambda q, filled=filled: filled[max(0, math.ceil(q * len(filled)) - 1)]
         limits[lang] = at(quality.QUANTILES[0]) - quality.MARGIN, at(quality.QUANTILES[1]) + quality.MARGIN
+        own = [entropy(model, d.text, table, quality.ORDER) for d in trusted if d.text not in held and lang in (d.lang, quality.ANY)]
+        limits[lang] = min([limits[lang][0], *[(t + quality.PRIOR * means[lang]) / (n + quality.PRIOR) - quality.MARGIN for t, n in own]]), limits[lang][1]
     out = []
     for d in docs:
         t, n = entropy(model, d.text or "", table, quality.ORDER)
