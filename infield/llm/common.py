@@ -230,6 +230,11 @@ class WordHasher:
 
     def __call__(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Yields (first row, word hashes, offsets of each row's words) for runs of rows; null is empty."""
+        for a, _, _, hashes, at, _ in self.words(column):
+            yield a, hashes, at
+
+    def words(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Yields (first row, bytes, offsets of the rows in them, word hashes, offsets of each row's words, first bytes of the words)."""
         if column.null_count:
             column = column.fill_null("")
         column = column.cast(pa.large_string())
@@ -237,12 +242,13 @@ class WordHasher:
         data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None else np.zeros(0, np.uint8)
         limit = 1 << 20
         for a, b in slices(np.diff(offsets), limit):
-            yield a, *self.hash_rows(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            rows, edges = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            yield a, rows, edges, *self.hash_rows(rows, edges)
 
-    def hash_rows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def hash_rows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         n = len(data)
         if not n:
-            return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+            return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64)
         self._grow(n)
         low = self.lower[data]
         latin = np.flatnonzero(data[:-1] == 0xC3) + 1
@@ -262,7 +268,7 @@ class WordHasher:
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((low.astype(np.uint64) + np.uint64(1)) * self.powers[:n], out=sums[1:])
         hashes = mix((sums[ends] - sums[starts]) * self.inverses[starts])
-        return hashes, np.searchsorted(starts, offsets)
+        return hashes, np.searchsorted(starts, offsets), starts
 
 
 def shingles(hashes: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

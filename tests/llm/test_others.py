@@ -174,6 +174,75 @@ def test_licenses(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def _plain_licenses(texts):
+    """Licence and score of each text by dictionaries: every unit against every template."""
+    import math
+    import re
+
+    words = lambda t: re.findall(r"[a-z0-9\x80-\U0010ffff]+", t.lower())
+    terms = lambda ws: set(ws) | set(zip(ws, ws[1:], strict=False))
+    templates = [(name, terms(words(t))) for name in sorted(licenses.TEMPLATES) for t in (f"SPDX-License-Identifier: {name}", *licenses.TEMPLATES[name])]
+    known = set().union(*[t for _, t in templates])
+    docs = [terms(words(t or "")) for t in texts]
+    idf = {k: math.log((len(texts) + 1) / (1 + sum(k in d for d in docs))) + 0.5 for k in known}
+    other = sum(idf.values()) / len(idf)
+    norm = lambda t: math.sqrt(sum(idf[k] ** 2 for k in t))
+    out = []
+    for text in texts:
+        text, best = text or "", None
+        gap, stop, line = r"\n[ \t\r#*/;%-]*(?=\n)", r"(?<=[.!?])(?=\s)", r"[\n\r]"
+        for cuts in (None, gap, f"{gap}|{stop}", line, f"{line}|{stop}"):
+            for unit in re.split(cuts, text) if cuts else [text]:
+                ws = words(unit)
+                mine = terms(ws) & known
+                if not mine:
+                    continue
+                length = math.sqrt(norm(mine) ** 2 + sum(w not in known for w in ws) * other**2)
+                by_name = {}
+                for name, t in templates:
+                    cosine = norm(mine & t) ** 2 / (length * norm(t))
+                    if cosine >= licenses.LEAST:
+                        by_name[name] = max(by_name.get(name, (0, 0)), (round(cosine**2 * norm(t), 9), cosine))
+                first, *others = sorted(by_name.items(), key=lambda kv: (-kv[1][0], kv[0])) or [None]
+                if first and (not others or others[0][1][0] <= first[1][0] * (1 - licenses.MARGIN)) and (best is None or (-first[1][0], first[0]) < best[0]):
+                    best = ((-first[1][0], first[0]), round(min(first[1][1], 1.0), 9))
+        out.append((best[0][1], best[1]) if best else (None, None))
+    return out
+
+
+def test_licenses_equal_plain_search_and_tell_versions(spark):
+    full = {name: max(texts, key=len) for name, texts in licenses.TEMPLATES.items()}
+    texts = ["Copyright (c) 2020 Jo Doe\n\n" + full["MIT"], "Copyright 2021, some company\n" + full["BSD-3-Clause"], full["BSD-2-Clause"], full["ISC"]]
+    named = ["MIT", "BSD-3-Clause", "BSD-2-Clause", "ISC"]
+    texts.append("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n\n                            Preamble\n\n  The GNU General Public License is a free, copyleft license for\nsoftware and other kinds of works.\n")
+    texts += [full["GPL-2.0"], "int main() { return 0; }\n// " + full["Apache-2.0"] + "\nint other;", "This work is licensed under the GNU General Public License, version 1.", "SPDX-License-Identifier: WTFPL"]
+    named += ["GPL-3.0", "GPL-2.0", "Apache-2.0", None, None]
+    texts += ["", None, "x", "\n\n\n", "word " * 30_000 + "\nReleased under the MIT License.\n" + "more " * 30_000, "the use of the software " * 2_000]
+    named += [None, None, None, None, "MIT", None]
+    texts += ["plain words of some file about nothing, number %d" % i for i in range(40)]
+    df = spark.createDataFrame([(i, f"d{i}/file", t) for i, t in enumerate(texts)], "n long, path string, text string").repartition(3)
+    rows = {r.n: r for r in licenses.scan_licenses(df).collect()}
+    for i, (name, score) in enumerate(_plain_licenses(texts)):
+        own = rows[i].found == "header"
+        assert (rows[i].license if own else None) == name, i
+        assert not own or abs(rows[i].score - score) < 1e-6
+        assert i >= len(named) or name == named[i], i
+
+
+def test_licenses_are_inherited_as_by_a_walk(spark):
+    import os
+
+    paths = [f"{a}/{b}/{c}" for a in ("p", "q", "r") for b in ("x", "x/y", "z/w/v") for c in ("one.py", "LICENSE", "two.py")] + ["LICENSE", "p/LICENSE", "alone.py"]
+    own = {p: name for p, name in zip([p for p in paths if p.endswith("LICENSE")], ["MIT", None, "ISC", None, "BSD-2-Clause", None, None, "Unlicense", None, None, "CC-BY-4.0"], strict=True)}
+    rows = spark.createDataFrame([(p, licenses.TEMPLATES[own[p]][0] if own.get(p) else "nothing to say") for p in paths], "path string, text string")
+    speaks = {os.path.dirname(p): name for p, name in own.items() if name}
+    for r in licenses.scan_licenses(rows).collect():
+        at = os.path.dirname(r.path)
+        while at and at not in speaks:
+            at = os.path.dirname(at)
+        assert r.license == (own.get(r.path) or speaks.get(at)), r
+
+
 # Decontamination ----------------------------------------------------------------------------------------
 
 def words(rng, n):
