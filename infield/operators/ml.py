@@ -155,32 +155,36 @@ def fit(rows: DataFrame, label: str, inputs: Sequence[str], l2: float, version:
     """Logistic regression with a penalty on all but the intercept, by Newton's method.
 
     A step is one aggregate over all rows: gradient and Hessian sums, at most a few hundred numbers, whatever the rows.
+    The scaled inputs are kept, on disk where memory is short, while it runs.
     """
     k = len(inputs)
     stats = rows.agg(*[f(prefix + n).alias(f"{a}_{n}") for n in inputs for a, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
     means = [stats[f"m_{n}"] or 0.0 for n in inputs]
     deviations = [s if (s := stats[f"s_{n}"]) and s * s > 1e-12 else 1.0 for n in inputs]
     z = [F.coalesce((F.col(prefix + n) - m) / s, F.lit(0.0)) for n, m, s in zip(inputs, means, deviations, strict=True)]
-    scaled = rows.select(F.lit(1.0).alias("z0"), *[c.alias(f"z{i}") for i, c in enumerate(z, 1)], F.col(label).cast("double").alias("y"))
+    scaled = rows.select(F.lit(1.0).alias("z0"), *[c.alias(f"z{i}") for i, c in enumerate(z, 1)], F.col(label).cast("double").alias("y")).persist()
     beta = np.zeros(k + 1)
     penalty = np.diag([0.0] + [l2] * k)
-    for _ in range(most):
-        linear = sum((F.col(f"z{i}") * float(b) for i, b in enumerate(beta)), F.lit(0.0))
-        p = scaled.withColumn("p", fx.sigmoid(linear))
-        pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
-        row = p.agg(*[F.sum((F.col("y") - F.col("p")) * F.col(f"z{i}")).alias(f"g{i}") for i in range(k + 1)], *[F.sum(F.col("p") * (1 - F.col("p")) * F.col(f"z{i}") * F.col(f"z{j}")).alias(f"h{i}_{j}") for i, j in pairs]).first()
-        if row["g0"] is None:
-            raise ValueError("no rows to train on")
-        gradient = np.array([row[f"g{i}"] for i in range(k + 1)]) - penalty @ beta
-        hessian = penalty.copy()
-        for i, j in pairs:
-            hessian[i, j] += row[f"h{i}_{j}"]
-            if i != j:
-                hessian[j, i] += row[f"h{i}_{j}"]
-        step = np.linalg.solve(hessian + 1e-12 * np.eye(k + 1), gradient)
-        beta = beta + step
-        if np.abs(step).max() < tolerance:
-            break
+    try:
+        for _ in range(most):
+            linear = sum((F.col(f"z{i}") * float(b) for i, b in enumerate(beta)), F.lit(0.0))
+            p = scaled.withColumn("p", fx.sigmoid(linear))
+            pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+            row = p.agg(*[F.sum((F.col("y") - F.col("p")) * F.col(f"z{i}")).alias(f"g{i}") for i in range(k + 1)], *[F.sum(F.col("p") * (1 - F.col("p")) * F.col(f"z{i}") * F.col(f"z{j}")).alias(f"h{i}_{j}") for i, j in pairs]).first()
+            if row["g0"] is None:
+                raise ValueError("no rows to train on")
+            gradient = np.array([row[f"g{i}"] for i in range(k + 1)]) - penalty @ beta
+            hessian = penalty.copy()
+            for i, j in pairs:
+                hessian[i, j] += row[f"h{i}_{j}"]
+                if i != j:
+                    hessian[j, i] += row[f"h{i}_{j}"]
+            step = np.linalg.solve(hessian + 1e-12 * np.eye(k + 1), gradient)
+            beta = beta + step
+            if np.abs(step).max() < tolerance:
+                break
+    finally:
+        scaled.unpersist()
     return Model(list(inputs), [round(m, 8) for m in means], [round(s, 8) for s in deviations], [round(float(b), 8) for b in beta[1:]], round(float(beta[0]), 8), l2, version)
 
 

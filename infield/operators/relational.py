@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Cols = Sequence[str | Column]
+STRETCHES = 64  #: that ranks over a whole table are dealt to
 
 
 def keep_first(df: DataFrame, keys: Cols, order: Cols) -> DataFrame:
@@ -76,7 +77,7 @@ def streaks(df: DataFrame, entity: Cols, order: Cols, hit: Column, day: str) ->
 def interleave(df: DataFrame, side: str, score: str, tie: str, out: str = "position") -> DataFrame:
     """Numbers rows round robin over the sides: each side's best first, sides by their best score.
 
-    Only the numbering of the rounds is global, over as many rows as a report has.
+    For the rows of a report, a bounded top k that the caller has taken: their numbering is one global window.
     """
     within = Window.partitionBy(side).orderBy(F.desc(score), tie)
     placed = df.withColumn("_round", F.row_number().over(within)).withColumn("_best", F.first(score).over(within))
@@ -157,10 +158,21 @@ def dense_running_sums(daily: DataFrame, days: DataFrame, keys: Sequence[str], d
 
 
 def tied_rank_auc(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
-    """Area under the ROC curve by average ranks. Ranks come from the distinct scores, so only those are in one window."""
+    """Area under the ROC curve by average ranks.
+
+    The distinct scores are cut into STRETCHES stretches at about equal counts; a rank is that within the stretch,
+    summed by window, plus the rows of the stretches before. So a window holds one stretch of one group, or the totals
+    of the stretches, and never all scores.
+    """
     scores = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*groups, score).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
-    w = Window.partitionBy(*groups).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = scores.withColumn("r", F.coalesce(F.sum("n").over(w), F.lit(0)) + (F.col("n") + 1) / F.lit(2.0))
+    at = F.broadcast(scores.agg(F.percentile_approx(F.col(score).cast("double"), [i / STRETCHES for i in range(1, STRETCHES)]).alias("_cuts")))
+    scores = scores.join(at).withColumn("_stretch", F.size(F.filter("_cuts", lambda c: c < F.col(score).cast("double")))).drop("_cuts")
+    before = Window.partitionBy(*groups).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    totals = scores.groupBy(*groups, "_stretch").agg(F.sum("n").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    same = [F.col(f"s.{g}").eqNullSafe(F.col(f"t.{g}")) for g in groups]
+    scores = scores.alias("s").join(totals.alias("t"), reduce(lambda a, b: a & b, [*same, F.col("s._stretch") == F.col("t._stretch")])).select("s.*", "t._before")
+    w = Window.partitionBy(*groups, "_stretch").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = scores.withColumn("r", F.col("_before") + F.coalesce(F.sum("n").over(w), F.lit(0)) + (F.col("n") + 1) / F.lit(2.0))
     p, n = F.sum("pos"), F.sum(F.col("n") - F.col("pos"))
     area = (F.sum(F.col("pos") * F.col("r")) - p * (p + 1) / F.lit(2.0)) / F.nullif(p.cast("double") * n, F.lit(0.0))
     return ranked.groupBy(*groups).agg(area.alias("auc"), p.alias("positives"), n.alias("negatives"))

@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from infield.functions import columns as fx
 from infield.operators.relational import keep_first
@@ -17,6 +18,18 @@ GAMES = """struct<dates:array<struct<games:array<struct<gamePk:string,officialDa
 teams:struct<home:struct<score:string,team:struct<id:string,name:string>>,away:struct<score:string,team:struct<id:string,name:string>>>>>>>>"""
 
 
+def arrival(df: DataFrame) -> Column:
+    """What rows came first: file, place in it, order within its split, however Spark packs files into tasks.
+
+    A frame that isn't read right from files has the order of its partitions.
+    """
+    try:
+        df.select("_metadata.file_path")
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    return F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("nth"))
+
+
 def _parsed(bronze: DataFrame, schema: str) -> DataFrame:
     return bronze.select("dt", F.from_json("body_text", schema).alias("j")).where("j is not null")
 
@@ -30,7 +43,7 @@ def mlb_games(bronze: DataFrame) -> DataFrame:
 def mlb_rosters(bronze: DataFrame) -> DataFrame:
     """Rosters, whose body holds the response as JSON text once more; the first row of a team's player wins."""
     inner = F.coalesce(F.get_json_object("body_text", "$.body_text"), F.col("body_text"))
-    r = bronze.select("dt", F.monotonically_increasing_id().alias("nth"), F.from_json(inner, "struct<teamId:string,roster:array<struct<person:struct<id:string,fullName:string>,position:struct<abbreviation:string>>>>").alias("j"))
+    r = bronze.select("dt", arrival(bronze).alias("nth"), F.from_json(inner, "struct<teamId:string,roster:array<struct<person:struct<id:string,fullName:string>,position:struct<abbreviation:string>>>>").alias("j"))
     rows = r.select("dt", "nth", F.col("j.teamId").alias("team_id"), F.posexplode("j.roster").alias("at", "p")).select("dt", "nth", "at", "team_id", F.col("p.person.id").alias("player_id"), F.col("p.person.fullName").alias("player_name"), F.col("p.position.abbreviation").alias("position")).where("player_id is not null")
     return keep_first(rows, ["dt", "team_id", "player_id"], ["nth", "at"]).drop("nth", "at")
 
@@ -78,8 +91,9 @@ PITCH_NUMBERS = {"at_bat_number": "long", "pitch_number": "long", "inning": "lon
 
 def pitches(rows: DataFrame) -> DataFrame:
     """Tracked pitches from CSV rows: cast, without those that lack a game, the first of each game, at-bat and number."""
+    rows = rows.withColumn("_nth", arrival(rows))
     typed = rows.withColumns({c: fx.to_long(c) if t == "long" else fx.to_double(c) for c, t in PITCH_NUMBERS.items() if c in rows.columns}).where(fx.present("game_pk"))
-    return keep_first(typed.withColumn("_nth", F.monotonically_increasing_id()), ["game_pk", "at_bat_number", "pitch_number"], ["_nth"]).drop("_nth")
+    return keep_first(typed, ["game_pk", "at_bat_number", "pitch_number"], ["_nth"]).drop("_nth")
 
 
 def pitch_repeats(rows: DataFrame) -> DataFrame:
@@ -144,16 +158,17 @@ def zipped_rows(rows: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def kbo_batting(rows: DataFrame) -> DataFrame:
-    """rows (game_id, team_id, names: array of cells, lines: array of AB, R, H, RBI cells, dt); batters without at-bats are no rows."""
+    """rows (game_id, team_id, names: array of cells, lines: array of AB, R, H, RBI cells, dt); batters without a name, four cells or at-bats are no rows."""
     z = zipped_rows(rows, "names", "lines")
     at = lambda i, name: fx.to_long(F.get("lines", F.lit(i))).alias(name)
-    return z.select("game_id", "team_id", F.element_at("names", -1).alias("player_name"), at(0, "ab"), at(1, "r"), at(2, "h"), at(3, "rbi"), "dt").where("ab > 0")
+    return z.select("game_id", "team_id", F.element_at("names", -1).alias("player_name"), at(0, "ab"), at(1, "r"), at(2, "h"), at(3, "rbi"), F.size("lines").alias("_cells"), "dt").where(fx.present("player_name") & (F.col("_cells") >= 4) & (F.col("ab") > 0)).drop("_cells")
 
 
 def by_header(rows: DataFrame, header: str, cells: str, wanted: dict[str, str]) -> DataFrame:
-    """Cells looked up by their header's text, not their place."""
-    m = F.map_from_arrays(F.transform(header, lambda h: F.trim(h)), cells)
-    return rows.withColumn("_m", m).withColumns({name: F.try_element_at("_m", F.lit(text)) for name, text in wanted.items()}).drop("_m", header, cells)
+    """Cells looked up by their header's text, not their place; the last of equal headers counts, a missing cell is null."""
+    zipped = F.arrays_zip(F.col(header).alias("h"), F.col(cells).alias("c"))
+    cell = lambda text: F.try_element_at(F.filter("_z", lambda z: F.trim(z["h"]) == text), F.lit(-1))["c"]
+    return rows.withColumn("_z", zipped).withColumns({name: cell(text) for name, text in wanted.items()}).drop("_z", header, cells)
 
 
 def retrosheet(rows: DataFrame, renamed: dict[str, str], numbers: list[str]) -> DataFrame:
@@ -191,4 +206,4 @@ def normalise(source: str, entity: str, bronze: DataFrame) -> DataFrame:
 
 
 def input_order(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.monotonically_increasing_id())))
+    return df.withColumn("_nth", arrival(df)).withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("_nth"))).drop("_nth")

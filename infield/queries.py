@@ -572,13 +572,13 @@ STAR_METRICS = {
 
 @query(_STAR + " SELECT segment, nation, count(*) AS lines, round(sum(l_extendedprice) / nullif(sum(l_quantity), 0), 4) AS unit_price FROM s WHERE nation <> 'nothing' AND day BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND l_returnflag IN ('R', 'A') GROUP BY ALL HAVING count(*) > 3")
 def C_metric_request(spark, sf_dir):
-    req = sem.MetricRequest(["lines", "price_per_unit"], ["segment", "nation"], [("nation", "ne", "nothing")], "1995-01-01", "1996-12-31", [("lines", "gt", 3)], aliases={"price_per_unit": "unit_price"})
+    req = sem.MetricRequest(["lines", "price_per_unit"], ["segment", "nation"], [("nation", "ne", "nothing")], ("1995-01-01", "1996-12-31"), [("lines", "gt", 3)], names={"price_per_unit": "unit_price"})
     return sem.compile_request(req, _star(spark, sf_dir), STAR_METRICS, STAR_VIEW)
 
 
 @query("SELECT l_returnflag AS returned, count(*) AS lines, round(sum(l_quantity), 4) AS quantity FROM lineitem GROUP BY 1 ORDER BY lines DESC NULLS LAST LIMIT 2")
 def O01_order_and_limit(spark, sf_dir):
-    req = sem.MetricRequest(["lines", "quantity"], ["returned"], [("returned", "not_null", None)], order_by=[("lines", "desc")], limit=2)
+    req = sem.MetricRequest(["lines", "quantity"], ["returned"], [("returned", "not_null", None)], order=[("lines", "desc")], most=2)
     return sem.compile_request(req, _star(spark, sf_dir), STAR_METRICS, STAR_VIEW)
 
 

@@ -27,13 +27,22 @@ def periods(listed: DataFrame, unit: str) -> DataFrame:
 
 
 def read(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """A table, or None if it isn't there. Files of different schemas are merged; sentinel rows of empty days are dropped."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    """A table, or None if it isn't there or has no file; sentinel rows of empty days are dropped.
+
+    With a declared ``schema`` no footer is opened; without one, the files' schemas are merged. Other errors are raised.
+    """
+    inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    was = spark.conf.get(inference)
+    spark.conf.set(inference, "false")
     try:
-        reader = spark.read.option("mergeSchema", "true")
-        df = (reader.schema(schema) if schema is not None else reader).parquet(f"{root}/{table}")
-    except AnalysisException:
+        reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
+        df = reader.parquet(f"{root}/{table}")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
+    finally:
+        spark.conf.set(inference, was)
     return without_sentinels(df)
 
 
@@ -103,15 +112,16 @@ def write_days(df: DataFrame, root: str, table: str, covered: Sequence[str], for
     """Replaces the days ``covered`` of a table by ``df``, in one job; a covered day without rows ends up empty.
 
     Without ``force`` days that exist stay as they are. Dynamic overwrite leaves days without new rows alone, so
-    those are deleted by name.
+    those are deleted by name, after the write. Which days have rows is found before it, as ``df`` may read this very
+    table.
     """
     spark = df.sparkSession
     there = read(spark, root, table)
     existing = set() if there is None else {r.dt for r in there.select("dt").distinct().collect()}
     wanted = [d for d in covered if force or d not in existing]
     rows = df.where(F.col("dt").isin(wanted)).withColumn("ingested_at_utc", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(f"{root}/{table}")
     made = {r.dt for r in rows.select("dt").distinct().collect()}
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(f"{root}/{table}")
     for d in sorted(set(wanted) & existing - made):
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/dt={d}")
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

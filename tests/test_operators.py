@@ -274,3 +274,52 @@ def test_stream_of_days(spark, tmp_path):
     stream = daily.first_of_key(daily.arrivals(spark, str(tmp_path / "in"), df.schema), ["k"], "at", "1 hour")
     daily.run_once(stream, lambda batch, n: seen.extend(batch.collect()), str(tmp_path / "cp")).awaitTermination()
     assert sorted(r.k for r in seen) == [0, 1, 2, 3, 4]
+
+
+def test_days_written_from_the_table_itself(spark, tmp_path):
+    root = str(tmp_path)
+    lake.write_days(spark.createDataFrame([("2026-01-01", 1), ("2026-01-02", 2)], "dt string, v long"), root, "own", ["2026-01-01", "2026-01-02"])
+    own = lake.read(spark, root, "own")
+    lake.write_days(own.where("v = 2").withColumn("v", F.col("v") * 10).drop("ingested_at_utc"), root, "own", ["2026-01-01", "2026-01-02"])
+    assert [(r.dt, r.v) for r in lake.read(spark, root, "own").collect()] == [("2026-01-02", 20)]
+
+
+def test_reading_leaves_the_session_alone_and_tells_absence_from_faults(spark, tmp_path):
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    was = spark.conf.get(key)
+    assert lake.read(spark, str(tmp_path), "nowhere") is None
+    assert spark.conf.get(key) == was
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "part.parquet").write_text("no parquet")
+    with pytest.raises(Exception, match=r"(?i)footer|parquet"):
+        lake.read(spark, str(tmp_path), "bad").collect()
+
+
+def test_auc_equals_average_ranks_over_many_scores(spark):
+    rows = [(g, ((i * 7919) % 997) / 997.0 if g else float(i % 5), (i * 31 + g) % 3 == 0) for g in (0, 1) for i in range(1_500)]
+    df = spark.createDataFrame([(g, s, int(y)) for g, s, y in rows], "g long, s double, y long")
+
+    def area(some):
+        pos, neg = [s for s, y in some if y], [s for s, y in some if not y]
+        return sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+
+    assert relational.tied_rank_auc(df, "s", "y").first().auc == pytest.approx(area([(s, y) for _, s, y in rows]))
+    by = {r.g: r.auc for r in relational.tied_rank_auc(df, "s", "y", ["g"]).collect()}
+    assert by == {g: pytest.approx(area([(s, y) for h, s, y in rows if h == g])) for g in (0, 1)}
+
+
+def test_headers_that_repeat_or_are_uneven(spark):
+    df = spark.createDataFrame([(["ERA", " IP", "ERA"], ["1", "2", "3"]), (["IP", "ERA"], ["5"]), (["IP"], ["6", "7"]), ([], []), (None, None)], "h array<string>, c array<string>")
+    assert [(r.era, r.ip) for r in silver.by_header(df, "h", "c", {"era": "ERA", "ip": "IP"}).collect()] == [("3", "2"), (None, "5"), (None, "6"), (None, None), (None, None)]
+
+
+def test_first_pitch_is_the_files_first_however_it_is_split(spark, tmp_path):
+    rows = ["game_pk,at_bat_number,pitch_number,release_speed"] + [f"g,{i % 50},1,{i}" for i in range(4_000)]
+    (tmp_path / "p.csv").write_text("\n".join(rows))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        kept = silver.pitches(lake.csv_rows(spark, str(tmp_path)))
+        assert sorted(r.release_speed for r in kept.collect()) == [float(i) for i in range(50)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)

@@ -83,20 +83,20 @@ def test_run_expectancy(tables, spark):
 def test_batting_metrics(tables):
     batter = tables["fact_plate_appearance"].where("event_type = 'HR'").first().batter_id
     who = [("batter_id", "eq", batter)]
-    row = metric(tables, ["pa", "ab", "hits", "doubles", "triples", "home_runs", "walks", "strikeouts", "total_bases", "avg", "obp", "slg", "ops", "bb_pct", "k_pct", "runs_on_play", "re24"], filters=who)[0]
+    row = metric(tables, ["pa", "ab", "hits", "doubles", "triples", "home_runs", "walks", "strikeouts", "total_bases", "avg", "obp", "slg", "ops", "bb_pct", "k_pct", "runs_on_play", "re24"], where=who)[0]
     assert (row.pa, row.ab, row.hits, row.doubles, row.triples, row.home_runs, row.walks, row.strikeouts, row.total_bases) == (6, 5, 3, 1, 0, 1, 1, 1, 7)
     assert (row.avg, row.obp, row.slg, row.ops) == pytest.approx((0.6, 4 / 6, 1.4, 4 / 6 + 1.4))
     assert (row.bb_pct, row.k_pct, row.runs_on_play, row.re24) == pytest.approx((1 / 6, 1 / 6, 3, 1.0))
-    re24 = {r.event_type: r.re24 for r in metric(tables, ["re24"], ["event_type"], filters=who)}
+    re24 = {r.event_type: r.re24 for r in metric(tables, ["re24"], ["event_type"], where=who)}
     assert (re24["1B"], re24["HR"], re24["K"], re24["TRUNCATED"]) == pytest.approx((1.0, 1.0, -1.0, 0.0))
-    assert metric(tables, ["pa"], filters=[("batter_id", "eq", "x' OR 1=1 --")])[0].pa is None
+    assert metric(tables, ["pa"], where=[("batter_id", "eq", "x' OR 1=1 --")])[0].pa is None
     assert {r.team_name: r.pa for r in metric(tables, ["pa"], ["team_name"])} == {"New York": 6, "Boston": 1}
 
 
 def test_team_and_pitching_metrics(tables):
     rows = {r.team_name: r for r in metric(tables, ["games_played", "wins", "losses", "ties", "win_pct", "run_differential"], ["team_name"])}
     assert (rows["New York"].games_played, rows["New York"].wins, rows["New York"].ties, rows["New York"].win_pct, rows["New York"].run_differential) == (2, 1, 1, 1.0, 3)
-    star = metric(tables, ["games_played"], filters=[("season_phase", "eq", "allstar")])
+    star = metric(tables, ["games_played"], where=[("season_phase", "eq", "allstar")])
     assert star[0].games_played == 2
     row = metric(tables, ["outs_recorded", "ip_display", "era", "whip"])[0]
     assert (row.outs_recorded, row.ip_display) == (21, "7.0") and (row.era, row.whip) == pytest.approx((27 * 3 / 21, 3 * 8 / 21))
@@ -114,8 +114,9 @@ def test_every_metric_by_every_dimension_plans(tables):
 @pytest.mark.parametrize(
     "request_",
     [
-        sem.MetricRequest([]), sem.MetricRequest(["nope"]), sem.MetricRequest(["pa", "era"]), sem.MetricRequest(["pa"], ["nope"]), sem.MetricRequest(["pa"], ["inning", "inning"]), sem.MetricRequest(["pa"], aliases={"pa": "a b"}), sem.MetricRequest(["pa"], filters=[("inning", "in", [])]),
-        sem.MetricRequest(["pa"], filters=[("inning", "eq", None)]), sem.MetricRequest(["pa"], filters=[("inning", "eq", "x")]), sem.MetricRequest(["pa"], filters=[("inning", "like", 1)]), sem.MetricRequest(["pa"], having=[("hits", "gt", 1)]), sem.MetricRequest(["pa"], order_by=[("hits", "asc")]), sem.MetricRequest(["pa"], start="never"),
+        sem.MetricRequest([]), sem.MetricRequest(["nope"]), sem.MetricRequest(["pa", "era"]), sem.MetricRequest(["pa"], ["nope"]), sem.MetricRequest(["pa"], ["inning", "inning"]), sem.MetricRequest(["pa"], names={"pa": "a b"}), sem.MetricRequest(["pa"], where=[("inning", "in", [])]),
+        sem.MetricRequest(["pa"], where=[("inning", "eq", None)]), sem.MetricRequest(["pa"], where=[("inning", "eq", "x")]), sem.MetricRequest(["pa"], where=[("inning", "like", 1)]), sem.MetricRequest(["pa"], groups=[("hits", "gt", 1)]), sem.MetricRequest(["pa"], order=[("hits", "asc")]), sem.MetricRequest(["pa"], days=("never", None)),
+        sem.MetricRequest(["pa"], where=[("inning", "gt", 1.5)]), sem.MetricRequest(["pa"], where=[("inning", "in", [1, "one"])]), sem.MetricRequest(["pa"], where=[("game_date", "eq", 3)]), sem.MetricRequest(["pa"], where=[("inning", "eq", object())]),
     ],
 )
 def test_refused_requests(tables, request_):
