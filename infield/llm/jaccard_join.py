@@ -37,6 +37,7 @@ LEVELS = 4
 SMALL = 96  #: sets of a node that are compared by brute force
 LOOSE = 0.6  #: share of equal values that makes a loose link; 4 standard deviations below the threshold
 CLOSE = 0.9  #: share that makes a set leave a large node
+PART = 1024  #: sets of a large node that meet its pivot in one task
 BLOCK = 256  #: sets of a component that meet in one task
 
 
@@ -159,8 +160,7 @@ def loose_links(sets: DataFrame) -> DataFrame:
             if large.isEmpty():
                 break
             large = s.keep(sets.join(_listed(large), "doc"))
-            pivots = large.groupBy("node").agg(F.min_by(F.struct("doc", "values"), "doc").alias("pivot"))
-            beside = cut(large.join(pivots, "node").withColumn("share", _equal_share("values", "pivot.values")).withColumn("pivot", F.col("pivot.doc")))
+            beside = cut(beside_pivots(large).withColumn("share", _equal_share("values", "pivot.values")).withColumn("pivot", F.col("pivot.doc")))
             found.append(beside.where((F.col("share") >= LOOSE) & (F.col("doc") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("doc").alias("b")))
             rest = beside.where(F.col("share") < CLOSE)
             if level + 1 < LEVELS:
@@ -171,6 +171,19 @@ def loose_links(sets: DataFrame) -> DataFrame:
         return cut(reduce(DataFrame.unionByName, found).distinct())
 
 
+def beside_pivots(large: DataFrame) -> DataFrame:
+    """Rows (node, size, doc, values and more) of large nodes, each with its node's pivot (doc, values).
+
+    A node's rows are dealt into parts of about PART by their id, and its pivot goes to each part: however many sets a
+    node holds, no task gets them all.
+    """
+    pivots = large.groupBy("node").agg(F.min_by(F.struct("doc", "values"), "doc").alias("pivot"), F.first("size").alias("_size"))
+    parts = F.ceil(F.col("_size") / PART).cast("int")
+    dealt = pivots.select("node", "pivot", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
+    own = F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / PART).cast("int")).cast("int")
+    return large.withColumn("_part", own).join(dealt, ["node", "_part"]).drop("_part")
+
+
 def block_pairs(rows: DataFrame, block: int) -> DataFrame:
     """Rows of each ``group`` of ``members`` dealt into blocks of about ``block``, each row once for each pair of blocks it is in.
 

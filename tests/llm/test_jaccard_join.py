@@ -86,3 +86,10 @@ def test_components(spark):
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(found[i] == 0 for i in [*range(61), 100])
     assert found[200] == found[201] == 200
+
+
+def test_each_row_of_a_large_node_meets_its_pivot_once(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PART", 7)
+    rows = [(1, 50, doc, [doc]) for doc in range(50)] + [(2, 3, doc, [doc]) for doc in range(90, 93)]
+    found = jaccard_join.beside_pivots(spark.createDataFrame(rows, "node long, size long, doc long, values array<int>")).collect()
+    assert sorted((r.node, r.doc, r.pivot.doc) for r in found) == sorted((n, d, 0 if n == 1 else 90) for n, _, d, _ in rows)
