@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from infield.llm.common import mix
+from infield.llm.common import mix, tidy
 
 BITS = 12
 SPACE = 32
@@ -114,6 +114,7 @@ def count_grams(df: DataFrame, model: str, text: str, order: int, table: Callabl
     """(bucket, model, gram, n): how often each n-gram occurs in all texts of a model. Counted in each task, then added up."""
     src = df.select(F.col(model).cast("string").alias("model"), F.col(text).alias("text"))
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters: dict[str, Counter] = {}
         to_symbol = table()

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -95,6 +96,23 @@ def pieces(batches: Iterator[pa.RecordBatch], size: int = 4_000_000) -> Iterator
             yield batch.slice(at, rows)
 
 
+def give_back() -> None:
+    """Returns memory that is free to the system: of Arrow's pool, and of the C library where it can (glibc)."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(ctypes.CDLL(None), "malloc_trim"):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """An Arrow map that gives its memory back at a task's end: Spark keeps Python workers from stage to stage."""
+
+    def tidied(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 def transform_batches(df: DataFrame, inputs: list[str], outputs: T.StructType, make: Callable) -> DataFrame:
     """``df`` with the columns that a function makes from Arrow columns ``inputs``, a run of rows at a time.
 
@@ -108,6 +126,7 @@ def transform_batches(df: DataFrame, inputs: list[str], outputs: T.StructType, m
     rest = df.drop(*[f.name for f in outputs if f.name not in inputs])
     arrow_outputs = to_arrow_schema(outputs)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in pieces(batches):
@@ -139,6 +158,7 @@ def each_group(df: DataFrame, key: str, fn: Callable, schema: T.StructType, part
         merged = [np.concatenate([p[n] for p in parts]) for n in arrow_schema.names]
         return pa.RecordBatch.from_arrays([pa.array(m, t) for m, t in zip(merged, arrow_schema.types, strict=True)], schema=arrow_schema)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
         last = None

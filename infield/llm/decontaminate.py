@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from infield.llm.common import WordHasher, mix, transform_batches
+from infield.llm.common import WordHasher, mix, tidy, transform_batches
 
 SLICE = 10_000_000  #: characters of benchmark text that are searched for at once
 PASSAGE, STRIDE = 32, 16  #: words
@@ -95,6 +95,7 @@ def document_frequencies(docs: DataFrame, vocabulary: np.ndarray) -> tuple[np.nd
     """In how many of all documents each word occurs, and the number of documents."""
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hasher, rows = Lookup(sent.value), WordHasher(), 0
         found = np.zeros(len(sent.value), np.int64)
@@ -326,6 +327,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     for bench in benchmarks(docs, items):
         sent = docs.sparkSession.sparkContext.broadcast(bench)
 
+        @tidy
         def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             finder = Finder(sent.value)
             for batch in batches:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from infield.llm.char_lm import BITS, BUCKETS, SortedModel, bucket_of, discounts, extend, grams, mask, merged, symbols
-from infield.llm.common import codepoints, cut, each_group, pieces, short_batches, text_list
+from infield.llm.common import codepoints, cut, each_group, pieces, short_batches, text_list, tidy
 
 HELD = 3_000_000  #: symbols of texts in a chunk, about
 TEXTS = 60_000  #: in a chunk at most, so that their numbers fit 16 bits
@@ -117,6 +117,7 @@ def _model_rows(tables: Tables, shards: int, copies: int) -> DataFrame:
     """The counts in rows by shard, once for each copy of the shard."""
     number = {name: i for i, name in enumerate(tables.names)}
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
 
@@ -151,6 +152,7 @@ def _text_rows(df: DataFrame, text: str, order: int, table: Callable[[], np.ndar
     A chunk has each different text once, by rising mean symbol: texts of a language lie together, and gaps are small.
     """
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_symbol, chunk = table(), TaskContext.get().partitionId() << 32
         keys: list[np.ndarray] = []
@@ -229,6 +231,7 @@ def _shares(rows: DataFrame, tables: Tables) -> DataFrame:
             out.append(model)
         return out
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, models, parts = None, None, [[] for _ in names]
         last, total = None, np.zeros((0, width))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from infield.llm.common import text_list, transform_batches
+from infield.llm.common import text_list, tidy, transform_batches
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -179,6 +179,7 @@ def learn(pages: DataFrame, column: str = "html", least: int = 20) -> dict[str,
     There are at most two kinds for each name in KNOWN and a few more, whatever the pages hold. Kinds met fewer than ``least`` times keep the default. Without labelled pages all weights are defaults.
     """
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[str, bool], int] = {}
         for batch in batches:

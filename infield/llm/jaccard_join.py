@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from infield.llm.common import MAX_BROADCAST_KEYS, Scratch, WordHasher, cut, each_group, mix, shingles, stored
+from infield.llm.common import MAX_BROADCAST_KEYS, Scratch, WordHasher, cut, each_group, mix, shingles, stored, tidy
 from infield.llm.components import components
 
 WIDTH = 5
@@ -51,6 +51,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     A text of fewer than five words has one shingle of them all; one without words has size 0 and no values.
     """
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHasher()
         factors, shift = _seeds(VALUES, 1) | np.uint64(1), np.uint64(32)
@@ -94,6 +95,7 @@ def _children(nodes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.nda
 def descend(rows: DataFrame, first: bool) -> DataFrame:
     """(node, doc, values) of the next level from (node, doc, values), or of the first from (doc, values)."""
 
+    @tidy
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roots = _seeds(RUNS, 99)
         for batch in batches:
@@ -250,6 +252,7 @@ def exact_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
     groups = cut(groups.join(sizes, "root").select(F.col("node").alias("doc"), F.col("root").alias("group"), "members"))
     wanted = docs.join(_listed(groups), "doc").select("group", "members", "doc", "text")
 
+    @tidy
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHasher()
         for batch in batches:
