@@ -240,9 +240,11 @@ _SIDES = "SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_returnflag, c.c_
 @query(f"SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'R' THEN away ELSE home END AS batting, CASE WHEN l_returnflag = 'R' THEN home ELSE away END AS fielding FROM ({_SIDES})")
 def J05_conditional_fill(spark, sf_dir):
     li = t(spark, sf_dir, "lineitem").join(t(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(t(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    top = F.col("l_returnflag") == "R"
-    pick = lambda a, b: F.when(top, F.col(a)).otherwise(F.col(b))
-    return li.select("l_orderkey", "l_linenumber", "l_partkey", pick("s_nationkey", "c_nationkey").alias("batting"), pick("c_nationkey", "s_nationkey").alias("fielding"))
+    li = li.withColumn("game_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))  # lines may be numbered alike
+    none = F.lit(None).cast(li.schema["c_nationkey"].dataType)
+    games = li.select("game_id", F.lit("2024-01-01").alias("dt"), F.col("c_nationkey").alias("home_team_id"), F.col("s_nationkey").alias("away_team_id"))
+    pas = li.select("game_id", "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_returnflag") == "R").alias("is_top_inning"), none.alias("batting_team_id"), none.alias("fielding_team_id"))
+    return plays.with_teams(pas, games).select("l_orderkey", "l_linenumber", "l_partkey", F.col("batting_team_id").alias("batting"), F.col("fielding_team_id").alias("fielding"))
 
 
 @query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
@@ -265,8 +267,9 @@ def U03_day_difference(spark, sf_dir):
 
 @query("SELECT o_orderkey, 0 AS side, o_custkey AS team_id FROM orders UNION ALL SELECT o_orderkey, 1, o_custkey + 1 FROM orders")
 def N05_unpivot_sides(spark, sf_dir):
-    o = t(spark, sf_dir, "orders")
-    return o.select("o_orderkey", F.posexplode(F.array(F.col("o_custkey"), F.col("o_custkey") + 1)).alias("side", "team_id"))
+    name = F.col("o_orderkey").cast("string")
+    games = t(spark, sf_dir, "orders").select(F.lit("2024-01-01").alias("dt"), F.col("o_custkey").alias("home_team_id"), (F.col("o_custkey") + 1).alias("away_team_id"), name.alias("home_team_name"), name.alias("away_team_name"))
+    return gold.game_sides(games).select(F.col("name").cast("long").alias("o_orderkey"), "side", F.col("source_id").cast("long").alias("team_id"))
 
 
 _SCD_PREV = "SELECT CASE WHEN c_custkey % 5 = 0 THEN 'gone' ELSE 'k' END || c_custkey AS key, c_name AS name, c_mktsegment AS segment, c_nationkey AS nation, '2024-01-01' AS valid_from_dt, CASE WHEN c_custkey % 13 = 0 THEN '2024-01-05' END AS valid_to_dt, c_custkey % 13 <> 0 AS is_current, c_custkey AS n FROM customer"
@@ -310,9 +313,10 @@ def V06_two_sided(spark, sf_dir):
 
 @query(EV + " SELECT dt, user_id, count(*) AS pa, count(*) FILTER (WHERE event_type = 'purchase') AS h, count(*) FILTER (WHERE event_type IN ('purchase', 'click')) AS ab, CAST(round(sum(CASE event_type WHEN 'purchase' THEN 0.88 WHEN 'click' THEN 1.25 ELSE 0 END), 6) AS DOUBLE) AS weight FROM ev GROUP BY ALL")
 def A01_day_lines(spark, sf_dir):
-    e = F.col("event_type")
-    weight = F.when(e == "purchase", 0.88).when(e == "click", 1.25).otherwise(0.0)
-    return events(spark, sf_dir).groupBy("dt", "user_id").agg(F.count("*").alias("pa"), F.count_if(e == "purchase").alias("h"), F.count_if(e.isin("purchase", "click")).alias("ab"), F.round(F.sum(weight), 6).alias("weight"))
+    e, cfg = F.col("event_type"), ml.Breakout(sources=("mlb_statcast",), woba_weights={"1B": 0.88, "K": 1.25})
+    code = F.when(e == "purchase", "1B").when(e == "click", "K").otherwise("BB")
+    pas = events(spark, sf_dir).select("dt", F.lit("mlb_statcast").alias("source"), F.col("user_id").cast("string").alias("batter_id"), code.alias("event_type"))
+    return ml.batter_daily(pas, cfg).select("dt", F.col("player_id").cast("long").alias("user_id"), "pa", F.col("h").cast("long").alias("h"), F.col("ab").cast("long").alias("ab"), F.col("woba_value").alias("weight"))
 
 
 @query(EV + " SELECT dt, event_type, count(*) AS pa_count, round(sum(value), 4) AS runs FROM ev WHERE value BETWEEN 0 AND 300 GROUP BY ALL")
@@ -397,8 +401,8 @@ def A20_pivot(spark, sf_dir):
 
 @query(EV + ", f AS (SELECT event_type, dt, max(value) AS m FROM ev GROUP BY ALL HAVING max(value) > 480) SELECT event_type, string_agg(dt, ',' ORDER BY dt) AS days FROM f GROUP BY event_type")
 def A22_failing_days(spark, sf_dir):
-    f = events(spark, sf_dir).groupBy("event_type", "dt").agg(F.max("value").alias("m")).where("m > 480")
-    return f.groupBy("event_type").agg(F.concat_ws(",", F.sort_array(F.collect_set("dt"))).alias("days"))
+    checked = events(spark, sf_dir).groupBy(F.col("event_type").alias("check_name"), "dt").agg(F.when(F.max("value") > 480, "fail").otherwise("pass").alias("status"))
+    return quality.failing_days(checked).select(F.col("check_name").alias("event_type"), "days")
 
 
 @query("WITH o AS (SELECT l_orderkey, count(*) AS n, greatest(3, max(l_linenumber)) AS innings FROM lineitem GROUP BY 1) SELECT round(avg(CAST(n AS DOUBLE) * 9.0 / innings), 6) AS per_nine FROM o")
@@ -632,13 +636,31 @@ def I03_month_shift(spark, sf_dir):
     return pairs.select("event_type", F.round(fx.proportion_z(F.col("x"), F.col("n"), F.col("px"), F.col("pn")), 4).alias("z"))
 
 
-@query("""WITH s AS (SELECT event_type, count(*) AS n, count(*) FILTER (WHERE value > 100) AS x FROM events GROUP BY 1)
-SELECT a.event_type || '-' || b.event_type AS pair, round((CAST(a.x AS DOUBLE) / a.n - CAST(b.x AS DOUBLE) / b.n) / sqrt(greatest((CAST(a.x + b.x AS DOUBLE) / (a.n + b.n)) * (1 - CAST(a.x + b.x AS DOUBLE) / (a.n + b.n)) * (1.0 / a.n + 1.0 / b.n), 1e-12)), 4) AS z FROM s a JOIN s b ON a.event_type < b.event_type""")
+_LEVELS = {"so": 100, "bb": 50, "hr": 200}
+
+
+def _level_days(rows: DataFrame) -> DataFrame:
+    """Daily lines of event types as leagues: values beyond a level as strikeouts, walks and home runs."""
+    return rows.groupBy(F.col("event_type").alias("league_code"), "dt").agg(F.count("*").alias("pa"), *[F.count_if(F.col("value") > v).alias(c) for c, v in _LEVELS.items()])
+
+
+_RATE_ROWS = """unnest([{'m': 'k_rate', 'x': count(*) FILTER (WHERE value > 100)}, {'m': 'bb_rate', 'x': count(*) FILTER (WHERE value > 50)}, {'m': 'hr_rate', 'x': count(*) FILTER (WHERE value > 200)}], recursive := true)"""
+_RATE_Z = "abs((CAST(a.x AS DOUBLE) / a.n - CAST(b.x AS DOUBLE) / b.n) / sqrt(greatest((CAST(a.x + b.x AS DOUBLE) / (a.n + b.n)) * (1 - CAST(a.x + b.x AS DOUBLE) / (a.n + b.n)) * (1.0 / a.n + 1.0 / b.n), 1e-12)))"
+
+
+@query(f"""WITH s AS (SELECT event_type, count(*) AS n, {_RATE_ROWS} FROM events GROUP BY 1)
+SELECT a.event_type || '-' || b.event_type AS pair, a.m AS metric, round({_RATE_Z}, 3) AS score FROM s a JOIN s b ON a.event_type < b.event_type AND a.m = b.m""")
 def I04_pairs(spark, sf_dir):
-    s = t(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value") > 100).alias("x"))
-    side = lambda p: s.select(*[F.col(c).alias(f"{p}_{c}") for c in s.columns])
-    pairs = side("a").join(side("b"), F.col("a_event_type") < F.col("b_event_type"))  # a row a type, after aggregation
-    return pairs.select(F.concat_ws("-", "a_event_type", "b_event_type").alias("pair"), F.round(fx.proportion_z(F.col("a_x"), F.col("a_n"), F.col("b_x"), F.col("b_n")), 4).alias("z"))
+    found = insights.cross_league_gap(_level_days(events(spark, sf_dir)), "2024-12-31", {"min_season_pa": 1, "min_abs_z": 0.0})
+    return found.select(F.col("subject_id").alias("pair"), "metric", "score")
+
+
+@query(f"""WITH s AS (SELECT event_type, (day(ts) - 1) // 10 AS part, count(*) AS n, {_RATE_ROWS} FROM events GROUP BY 1, 2), o AS (SELECT *, dense_rank() OVER (PARTITION BY event_type ORDER BY part DESC) AS back FROM s)
+SELECT a.event_type AS league, a.m AS metric, round({_RATE_Z}, 3) AS score FROM o a JOIN o b ON a.event_type = b.event_type AND a.m = b.m AND a.back = 1 AND b.back = 2""")
+def W14_league_shift(spark, sf_dir):
+    month = F.concat(F.lit("2024-0"), (F.floor((F.dayofmonth("ts") - 1) / 10) + 1).cast("string"), F.lit("-01"))
+    found = insights.league_month_shift(_level_days(events(spark, sf_dir).withColumn("dt", month)), "2024-12-31", {"min_month_pa": 1, "min_abs_z": 0.0})
+    return found.select(F.col("subject_id").alias("league"), "metric", "score")
 
 
 @query(EV + """, s AS (SELECT user_id, dt >= '2024-01-16' AS late, count(*) AS n, count(*) FILTER (WHERE event_type = 'purchase') AS p, count(*) FILTER (WHERE event_type = 'click') AS c, count(*) FILTER (WHERE event_type = 'view') AS v FROM ev GROUP BY ALL), u AS (SELECT user_id, late, n, unnest([{'d': 'buys', 'x': p}, {'d': 'clicks', 'x': c}, {'d': 'views', 'x': v}]) AS r FROM s),
