@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from infield.functions import columns as fx
 from infield.operators.relational import streaks
-from infield.plans.semantic import guarded
+from infield.plans.guard import guarded
 
 #: Thresholds of the detectors.
 THRESHOLDS = {
@@ -157,16 +157,6 @@ def ranked(found: DataFrame, top: int = TOP) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).drop("_side", "_round", "_best")
 
 
-def drivers(before: DataFrame, since: DataFrame, keys: list[str], rates: Mapping[str, tuple[str, str]], least: float = 2.0, top: int = 3, min_n: int = 20) -> DataFrame:
-    """Which rates (name: numerator, denominator) of each key changed most: the ``top`` by absolute z, ``least`` at least."""
-    both = before.select(*keys, *[F.col(c).alias("b_" + c) for c in before.columns if c not in keys]).join(since.select(*keys, *[F.col(c).alias("s_" + c) for c in since.columns if c not in keys]), keys)
-    each = F.array(*[F.struct(F.lit(n).alias("driver"), F.col("b_" + a).alias("x1"), F.col("b_" + b).alias("n1"), F.col("s_" + a).alias("x2"), F.col("s_" + b).alias("n2")) for n, (a, b) in rates.items()])
-    rows = both.select(*keys, F.explode(each).alias("r")).select(*keys, "r.*").where((F.col("n1") >= min_n) & (F.col("n2") >= min_n))
-    rows = rows.withColumn("z", fx.proportion_z(F.col("x2"), F.col("n2"), F.col("x1"), F.col("n1"), 1e-9)).where(F.abs("z") >= least)
-    w = Window.partitionBy(*keys).orderBy(F.desc(F.abs("z")), "driver")
-    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select(*keys, "driver", fx.ratio("x1", "n1").alias("before"), fx.ratio("x2", "n2").alias("since"), "z", "rank")
-
-
 def detect(daily: DataFrame, contact: DataFrame, pitches: DataFrame, as_of: str, thresholds: Mapping[str, Mapping] = THRESHOLDS, top: int = TOP) -> DataFrame:
     """All detectors' candidates, ranked."""
     sources = {"luck_gap": contact, "new_pitch": pitches, "velocity_change": pitches}
@@ -200,47 +190,5 @@ def recomputed(evidence: DataFrame, detector: str, metric: str, facts: Mapping)
 def verified(spark: SparkSession, row: Row, claim: float | None = None) -> bool:
     """Whether a candidate's evidence gives its value again, and a claim about it, within TOLERANCE. Only read-only queries run."""
     facts = json.loads(row.facts_json) | {"first": row.league_code.split("-")[0]}
-    again = recomputed(spark.sql(guarded(row.evidence_sql)), row.detector, row.metric, facts)
+    again = recomputed(spark.sql(guarded(spark, row.evidence_sql)), row.detector, row.metric, facts)
     return again is not None and abs(again - row.value) <= TOLERANCE and (claim is None or abs(again - claim) <= TOLERANCE)
-
-
-# Pitch features -----------------------------------------------------------------------------------------
-
-#: Groups of pitch types, and swings and misses as the feature tables count them.
-GROUPS = {"fastball": ["FF", "SI", "FC", "FA"], "breaking": ["SL", "ST", "CU", "KC", "SV", "CS"], "offspeed": ["CH", "FS", "FO", "SC"]}
-FEATURE_SWINGS = ["swinging_strike", "swinging_strike_blocked", "missed_bunt", "foul", "foul_tip", "foul_bunt", "bunt_foul_tip", "hit_into_play"]
-
-
-def pitch_components(pitches: DataFrame) -> DataFrame:
-    """``pitches`` with the additive parts of the feature tables, read once from raw_json."""
-    raw = lambda name: F.get_json_object("raw_json", f"$.{name}").try_cast("double")
-    swing, whiff = F.coalesce(F.col("description").isin(*FEATURE_SWINGS), F.lit(False)), F.coalesce(F.col("description").isin(*fx.WHIFFS), F.lit(False))
-    n = lambda c: F.coalesce(c, F.lit(False)).cast("int")
-    zone, speed, angle = raw("zone"), raw("launch_speed"), F.degrees(F.atan2(raw("hc_x") - 125.42, 198.27 - raw("hc_y")))
-    inside, outside, stand = zone.between(1, 9), zone >= 11, F.get_json_object("raw_json", "$.stand")
-    played = F.col("description").startswith("hit_into_play")
-    den = F.coalesce(raw("woba_denom"), F.lit(0.0))
-    woba = F.when(den > 0, F.coalesce(raw("woba_value"), F.lit(0.0))).otherwise(0.0)
-    expected = F.when(den > 0, F.coalesce(raw("estimated_woba_using_speedangle"), raw("woba_value"), F.lit(0.0))).otherwise(0.0)
-    group = fx.first_match([(F.col("pitch_type").isin(*types), g) for g, types in GROUPS.items()], "other")
-    return pitches.withColumns({
-        "pitch_group": group, "pitches": F.lit(1), "in_zone": n(inside), "out_zone": n(outside), "swings": n(swing), "whiffs": n(whiff), "zone_swings": n(inside & swing), "chases": n(outside & swing), "zone_contact": n(inside & swing & ~whiff), "in_play": n(played),
-        "hard_hit": n(played & (speed >= 95)), "barrels": n(played & (raw("launch_speed_angle") == 6)), "tracked_balls": n(played & speed.isNotNull()), "pulled": n(played & F.when(stand == "R", angle < -15).when(stand == "L", angle > 15)), "sprayed": n(played & angle.isNotNull()),
-        "velo_sum": F.coalesce(F.col("release_speed"), F.lit(0.0)), "velo_n": n(F.col("release_speed").isNotNull()), "spin_sum": F.coalesce(raw("release_spin_rate"), F.lit(0.0)), "spin_n": n(raw("release_spin_rate").isNotNull()), "woba_den": den, "woba_value": woba, "xwoba_value": expected,
-        "xwoba_bip_n": n((den > 0) & raw("estimated_woba_using_speedangle").isNotNull()), "babip_hits": F.coalesce(raw("babip_value"), F.lit(0.0)).cast("int"), "bip": n((F.get_json_object("raw_json", "$.bb_type") != "") & played),
-    })
-
-
-PARTS = ["pitches", "in_zone", "out_zone", "swings", "whiffs", "zone_swings", "chases", "zone_contact", "in_play", "hard_hit", "barrels", "tracked_balls", "pulled", "sprayed", "velo_sum", "velo_n", "spin_sum", "spin_n", "woba_den", "woba_value", "xwoba_value"]
-
-
-def feature_tables(components: DataFrame) -> dict[str, DataFrame]:
-    """The daily sums by pitcher and pitch type, by batter and pitch group, and of contact by batter."""
-    sums = lambda cols: [F.round(F.sum(c), 6).alias(c) for c in cols]
-    return {
-        "feature_pitch_daily": components.where("pitcher_id is not null and pitch_type is not null").groupBy("dt", F.col("pitcher_id").alias("player_id"), "pitch_type").agg(*sums(PARTS)),
-        "feature_batter_pitch_daily": components.where("batter_id is not null").groupBy("dt", F.col("batter_id").alias("player_id"), "pitch_group").agg(*sums(PARTS)),
-        "feature_contact_daily": components.where("batter_id is not null and woba_den > 0").groupBy("dt", F.col("batter_id").alias("player_id")).agg(*sums(["woba_value", "xwoba_value", "woba_den", "xwoba_bip_n", "bip", "babip_hits"])),
-    }
-
-

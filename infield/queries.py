@@ -6,13 +6,15 @@ pitches, ``orders`` for games, ``customer`` for players, ``nation`` and ``region
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from infield.functions import columns as fx
+from infield.operators import drivers as dr
 from infield.operators import gold, insights, ml, plays, quality
+from infield.operators import pitch_features as pf
 from infield.operators import relational as r
 from infield.operators import silver as sv
 from infield.plans import semantic as sem
@@ -349,10 +351,64 @@ def A06_group_relative(spark, sf_dir):
     return u.select("user_id", "event_type", F.round(own, 6).alias("own"), F.round(league, 6).alias("league"), F.round(own - league, 4).alias("above"))
 
 
-@query("""SELECT l_suppkey, p_brand, count(*) AS pitches, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS whiffs, round(sum(l_quantity), 4) AS velo_sum FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL""")
+#: Lines as pitches, with a raw record of texts and numbers; and the same as columns.
+_PITCH = """p AS (SELECT strftime(l_shipdate, '%Y-%m-%d') AS dt, 'p' || (l_partkey % 50) AS pitcher, 'b' || l_suppkey AS batter, ['FF', 'SL', 'CH', 'XX', 'SI', ''][(l_orderkey + l_partkey) % 6 + 1] AS type,
+CASE l_orderkey % 6 WHEN 0 THEN 'swinging_strike' WHEN 1 THEN 'foul' WHEN 2 THEN 'ball' WHEN 3 THEN 'hit_into_play' WHEN 4 THEN 'hit_into_play' ELSE 'called_strike' END AS what, nullif(l_partkey % 15, 0) AS zone,
+['ground_ball', 'line_drive', 'fly_ball', 'popup', '', '', ''][(l_orderkey + l_linenumber) % 7 + 1] AS kind, l_linenumber % 3 <> 0 AS counted, CAST(CASE WHEN CAST(l_quantity AS BIGINT) % 4 = 0 THEN 0.0 ELSE 0.9 END AS DOUBLE) AS woba, CASE WHEN CAST(l_quantity AS BIGINT) % 5 > 0 THEN l_quantity / 50 END AS xwoba,
+CASE WHEN l_partkey % 11 > 0 THEN 60 + l_quantity END AS ev, l_quantity - 20 AS la, l_orderkey % 7 AS class, CASE WHEN l_partkey % 13 > 0 THEN degrees(atan2(100 + l_quantity - 125.42, 198.27 - 150)) END AS angle, l_linenumber % 3 AS stand, l_orderkey % 10 = 3 AS homer, l_orderkey % 2 AS babip, 80 + l_quantity / 4 AS velo FROM lineitem),
+f AS (SELECT *, what IN ('swinging_strike', 'foul', 'hit_into_play') AS swing, what = 'swinging_strike' AS whiff, coalesce(zone BETWEEN 1 AND 9, false) AS inside, coalesce(zone >= 11, false) AS outside, what = 'hit_into_play' OR kind <> '' AS play,
+coalesce(CASE WHEN stand = 1 THEN angle > 15 ELSE angle < -15 END, false) AS side, CASE WHEN type IN ('FF', 'SI') THEN 'fastball' WHEN type = 'SL' THEN 'breaking' WHEN type = 'CH' THEN 'offspeed' ELSE 'other' END AS grp FROM p)"""
+_PARTS = {
+    "pitches": "1", "swings": "swing", "whiffs": "whiff", "zone_pitches": "inside", "zone_swings": "inside AND swing", "zone_whiffs": "inside AND whiff", "chase_pitches": "outside", "chase_swings": "outside AND swing", "bip": "play", "hard_hit": "play AND ev >= 95", "barrels": "play AND class = 6",
+    "ev_sum": "CASE WHEN play THEN coalesce(ev, 0.0) ELSE 0.0 END", "ev_n": "play AND ev IS NOT NULL", "la_sum": "CASE WHEN play THEN la ELSE 0.0 END", "la_n": "play", "gb": "kind = 'ground_ball'", "ld": "kind = 'line_drive'", "fb": "kind = 'fly_ball'", "pu": "kind = 'popup'", "pulled": "play AND side", "pulled_air": "play AND side AND kind IN ('line_drive', 'fly_ball')",
+    "woba_value": "CASE WHEN counted THEN woba ELSE 0.0 END", "xwoba_value": "CASE WHEN counted THEN coalesce(xwoba, woba) ELSE 0.0 END", "woba_den": "counted",
+}
+
+
+def _part_sum(part: str) -> str:
+    return f"sum({part})" if part.startswith("CASE") else f"CAST(sum(CAST(coalesce(CAST({part} AS BOOLEAN), false) AS INTEGER)) AS BIGINT)"
+
+
+_PART_SUMS = ", ".join(f"{f'round({_part_sum(v)}, 4)' if v.startswith('CASE') else _part_sum(v)} AS {k}" for k, v in _PARTS.items())
+
+
+def _pitches(spark, sf_dir) -> DataFrame:
+    li = t(spark, sf_dir, "lineitem")
+    k, n, p, q = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"))
+    pick = lambda values, i: F.get(F.array(*[F.lit(v) for v in values]), i.cast("int"))
+    raw = {
+        "zone": F.when(p % 15 > 0, p % 15), "woba_denom": F.when(n % 3 > 0, "1"), "woba_value": F.when(q.cast("long") % 4 > 0, F.lit(0.9)), "estimated_woba_using_speedangle": F.when(q.cast("long") % 5 > 0, (q / 50).cast("string")).otherwise("null"), "launch_speed": F.when(p % 11 > 0, (60 + q).cast("string")).otherwise(""),
+        "launch_angle": q - 20, "launch_speed_angle": k % 7, "hc_x": 100 + q, "hc_y": F.when(p % 13 > 0, F.lit(150)), "stand": F.when(n % 3 == 1, "L").when(n % 3 == 2, "R"), "babip_value": k % 2, "bb_type": pick(["ground_ball", "line_drive", "fly_ball", "popup", "", "", ""], (k + n) % 7),
+        "description": F.lit("hit_into_play"), "pitch_type": F.when((k + p) % 6 == 4, "SI"), "release_speed": F.when(k % 2 == 0, (80 + q / 4).cast("string")),
+    }
+    return li.select(
+        F.lit("g").alias("game_pk"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("dt"), F.concat(F.lit("p"), (p % 50).cast("string")).alias("pitcher_id"), F.concat(F.lit("b"), F.col("l_suppkey").cast("string")).alias("batter_id"), pick(["FF", "SL", "CH", "XX", "", ""], (k + p) % 6).alias("pitch_type"),
+        pick(["swinging_strike", "foul", "ball", "hit_into_play", "", "called_strike"], k % 6).alias("description"), F.when(k % 2 == 1, 80 + q / 4).alias("release_speed"), F.when(k % 10 == 3, "home_run").otherwise("single").alias("events"), F.to_json(F.struct(*[v.alias(c) for c, v in raw.items()])).alias("raw_json"),
+    )
+
+
+def _features(spark, sf_dir, name: str) -> DataFrame:
+    return pf.feature_tables(pf.pitch_components(_pitches(spark, sf_dir)))[name]
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(c, 4).alias(c) if kind == "double" else c for c, kind in df.dtypes])
+
+
+@query(f"WITH {_PITCH} SELECT dt, pitcher AS player_id, type AS pitch_type, {_PART_SUMS}, round(sum(velo), 4) AS velo_sum, count(*) AS velo_n FROM f WHERE type <> '' GROUP BY ALL")
+def P25_pitch_components(spark, sf_dir):
+    return _rounded(_features(spark, sf_dir, "feature_pitch_daily").drop("spin_sum", "spin_n", "league_code", "source"))
+
+
+@query(f"WITH {_PITCH} SELECT dt, batter AS player_id, grp AS pitch_group, {_PART_SUMS} FROM f WHERE type <> '' GROUP BY ALL")
 def A07_component_sums(spark, sf_dir):
-    li = t(spark, sf_dir, "lineitem").join(t(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    return li.groupBy("l_suppkey", "p_brand").agg(F.count("*").alias("pitches"), F.sum((F.col("l_returnflag") == "R").cast("int")).alias("whiffs"), F.round(F.sum("l_quantity"), 4).alias("velo_sum"))
+    return _rounded(_features(spark, sf_dir, "feature_batter_pitch_daily").drop("league_code", "source"))
+
+
+@query(f"""WITH {_PITCH} SELECT dt, batter AS player_id, round(sum(woba), 4) AS woba_value, round(sum(coalesce(xwoba, woba)), 4) AS xwoba_value, count(*) AS woba_den, count(*) FILTER (WHERE play AND xwoba IS NOT NULL) AS xwoba_bip_n,
+count(*) FILTER (WHERE play AND NOT homer) AS bip, count(*) FILTER (WHERE play AND NOT homer AND babip > 0) AS babip_hits FROM f WHERE counted GROUP BY ALL""")
+def A07_contact_sums(spark, sf_dir):
+    return _rounded(_features(spark, sf_dir, "feature_contact_daily").drop("league_code", "source"))
 
 
 @query(EV + " SELECT user_id, CASE WHEN dt >= '2024-01-15' THEN 'recent' ELSE 'early' END AS span, count(*) AS n, round(sum(value), 4) AS total FROM ev GROUP BY ALL")
@@ -663,15 +719,54 @@ def W14_league_shift(spark, sf_dir):
     return found.select(F.col("subject_id").alias("league"), "metric", "score")
 
 
-@query(EV + """, s AS (SELECT user_id, dt >= '2024-01-16' AS late, count(*) AS n, count(*) FILTER (WHERE event_type = 'purchase') AS p, count(*) FILTER (WHERE event_type = 'click') AS c, count(*) FILTER (WHERE event_type = 'view') AS v FROM ev GROUP BY ALL), u AS (SELECT user_id, late, n, unnest([{'d': 'buys', 'x': p}, {'d': 'clicks', 'x': c}, {'d': 'views', 'x': v}]) AS r FROM s),
-j AS (SELECT b.user_id, b.r.d AS driver, b.r.x AS x1, b.n AS n1, a.r.x AS x2, a.n AS n2 FROM u b JOIN u a ON a.user_id = b.user_id AND a.r.d = b.r.d AND a.late AND NOT b.late WHERE a.n >= 10 AND b.n >= 10),
-z AS (SELECT *, (CAST(x2 AS DOUBLE) / n2 - CAST(x1 AS DOUBLE) / n1) / sqrt(greatest((CAST(x1 + x2 AS DOUBLE) / (n1 + n2)) * (1 - CAST(x1 + x2 AS DOUBLE) / (n1 + n2)) * (1.0 / n1 + 1.0 / n2), 1e-9)) AS z FROM j)
-SELECT user_id, driver, round(z, 4) AS z, CAST(row_number() OVER (PARTITION BY user_id ORDER BY abs(z) DESC, driver) AS BIGINT) AS rank FROM z WHERE abs(z) >= 1 QUALIFY rank <= 2""")
+def _statistics_sql(sides: str, keys: str, only: Iterable[str] = (), offset: str = "0") -> str:
+    """z of each statistic of a relation with since_ and before_ sums; ``keys`` are its key columns."""
+    rows = []
+    for i, st in enumerate(dr.STATISTICS):
+        if only and st.name not in only:
+            continue
+        m1, m2 = f"CAST(since_{st.top} AS DOUBLE) / since_{st.bottom}", f"CAST(before_{st.top} AS DOUBLE) / before_{st.bottom}"
+        pooled = f"(CAST(since_{st.top} + before_{st.top} AS DOUBLE) / (since_{st.bottom} + before_{st.bottom}))"
+        spread = f"sqrt(greatest({pooled} * (1 - {pooled}), 1e-9))" if st.kind == dr.PROPORTION else str(st.spread)
+        rows.append(f"SELECT {keys}, {offset} + {i} AS nth, '{st.name}' AS metric, round({m1}, {st.places}) AS since, round({m2}, {st.places}) AS before, round(({m1} - {m2}) / ({spread} * sqrt(1.0 / since_{st.bottom} + 1.0 / before_{st.bottom})), 2) AS z FROM {sides} WHERE since_{st.bottom} >= {st.least} AND before_{st.bottom} >= {st.least}")
+    return " UNION ALL ".join(rows)
+
+
+def _side_sums(when: str) -> str:
+    return ", ".join(f"coalesce(sum(CASE WHEN {on} THEN {f'({v})' if v.startswith('CASE') else f'CAST(coalesce(CAST({v} AS BOOLEAN), false) AS INTEGER)'} END), 0) AS {side}_{k}" for side, on in (("since", when), ("before", f"NOT ({when})")) for k, v in _PARTS.items())
+
+
+_AS_OF, _SPLIT_DAY = "1995-12-31", "1995-07-01"
+_SEASON = f"FROM f WHERE type <> '' AND dt BETWEEN '1995-01-01' AND '{_AS_OF}'"
+_CLEAREST = "SELECT {keys}, metric, since, before, z, CAST(row_number() OVER (PARTITION BY {keys} ORDER BY abs(z) DESC, nth) AS INTEGER) AS rank FROM z WHERE abs(z) >= 0.5 QUALIFY rank <= 3"
+
+
+@query(f"""WITH {_PITCH}, a AS (SELECT batter, {_side_sums(f"dt >= '{_SPLIT_DAY}'")} {_SEASON} GROUP BY batter), g AS (SELECT batter, grp, {_side_sums(f"dt >= '{_SPLIT_DAY}'")} {_SEASON} AND grp <> 'other' GROUP BY ALL),
+z AS (SELECT batter, nth, metric, since, before, z FROM ({_statistics_sql('a', 'batter')}) UNION ALL SELECT batter, nth, grp || '_' || metric, since, before, z FROM ({_statistics_sql('g', 'batter, grp', dr.BY_GROUP, "CASE grp WHEN 'fastball' THEN 100 WHEN 'breaking' THEN 200 ELSE 300 END")}))
+{_CLEAREST.format(keys="batter")}""")
 def I08_drivers(spark, sf_dir):
-    e = events(spark, sf_dir)
-    sums = lambda part: part.groupBy("user_id").agg(F.count("*").alias("n"), *[F.count_if(F.col("event_type") == k).alias(a) for k, a in (("purchase", "p"), ("click", "c"), ("view", "v"))])
-    found = insights.drivers(sums(e.where("dt < '2024-01-16'")), sums(e.where("dt >= '2024-01-16'")), ["user_id"], {"buys": ("p", "n"), "clicks": ("c", "n"), "views": ("v", "n")}, least=1.0, top=2, min_n=10)
-    return found.select("user_id", "driver", F.round("z", 4).alias("z"), F.col("rank").cast("long").alias("rank"))
+    """Batters' changes since a day, overall and by pitch group."""
+    features = _features(spark, sf_dir, "feature_batter_pitch_daily")
+    splits = t(spark, sf_dir, "supplier").select(F.concat(F.lit("b"), F.col("s_suppkey").cast("string")).alias("player_id"), F.lit(_SPLIT_DAY).alias("since"))
+    found = dr.clearest(dr.batter_change(features, splits, _AS_OF, 1000, 0.0).drop("rank"), ["player_id"], 3, 0.5)
+    return found.select(F.col("player_id").alias("batter"), "metric", "since", "before", "z", "rank")
+
+
+@query(f"""WITH {_PITCH}, o AS (SELECT batter, {", ".join(f"sum(CAST(coalesce(({v}), 0) AS DOUBLE)) AS {k}" if v.startswith("CASE") else f"sum(CAST(coalesce(CAST({v} AS BOOLEAN), false) AS INTEGER)) AS {k}" for k, v in _PARTS.items())} {_SEASON} GROUP BY batter),
+s AS (SELECT batter, {", ".join(f"{k} AS since_{k}, sum({k}) OVER () AS before_{k}" for k in _PARTS)} FROM o), z AS ({_statistics_sql("s", "batter", dr.VS_LEAGUE)}) {_CLEAREST.format(keys="batter")}""")
+def I08_against_league(spark, sf_dir):
+    features = _features(spark, sf_dir, "feature_batter_pitch_daily")
+    found = dr.clearest(dr.batter_vs_league(features, features.select("player_id"), _AS_OF, 1000, 0.0).drop("rank"), ["player_id"], 3, 0.5)
+    return found.select(F.col("player_id").alias("batter"), "metric", "since", "before", "z", "rank")
+
+
+@query(f"""WITH {_PITCH}, a AS (SELECT pitcher, {_side_sums(f"dt >= '{_SPLIT_DAY}'")} {_SEASON} GROUP BY pitcher), n AS (SELECT pitcher, {_side_sums("type = 'SL'")} {_SEASON} AND dt >= '{_SPLIT_DAY}' GROUP BY pitcher),
+z AS ({_statistics_sql("a", "pitcher", dr.OF_PITCHER)} UNION ALL SELECT pitcher, nth, 'new_pitch_' || metric, since, before, z FROM ({_statistics_sql("n", "pitcher", dr.OF_PITCH, "100")})) {_CLEAREST.format(keys="pitcher")}""")
+def I08_pitchers(spark, sf_dir):
+    features = _features(spark, sf_dir, "feature_pitch_daily")
+    splits = features.select("player_id").distinct().select("player_id", F.lit(_SPLIT_DAY).alias("since"), F.lit("SL").alias("pitch_type"))
+    found = dr.clearest(dr.pitcher_change(features, splits, _AS_OF, 1000, 0.0).drop("rank"), ["player_id"], 3, 0.5)
+    return found.select(F.col("player_id").alias("pitcher"), "metric", "since", "before", "z", "rank")
 
 
 # Quality ------------------------------------------------------------------------------------------------
