@@ -39,9 +39,10 @@ def _of_language(values: dict[str, float], lang: Column) -> Column:
     return F.coalesce(found[lang], F.lit(float(values[ANY])))
 
 
-def _filled(mean: dict[str, float], lang: Column) -> Column:
+def _filled(mean: dict[str, float], lang: Column, within: str = "") -> Column:
     """cross_entropy of a text filled up by PRIOR symbols at its language's mean; null for an empty one."""
-    return F.when(F.col("symbols") > 0, (PRIOR * _of_language(mean, lang) - F.col("total")) / (F.col("symbols") + PRIOR))
+    total, symbols = F.col(f"{within}total"), F.col(f"{within}symbols")
+    return F.when(symbols > 0, (PRIOR * _of_language(mean, lang) - total) / (symbols + PRIOR))
 
 
 def calibrate(scored: DataFrame, taught: DataFrame) -> tuple[dict[str, float], dict[str, tuple[float, float]]]:
@@ -71,7 +72,8 @@ def classify(docs: DataFrame, labels: DataFrame, only_kept: bool = False) -> Dat
     """``docs`` with cross_entropy, symbols and keep.
 
     ``labels`` (doc_id, quality) tell which documents are trusted; with none, every non-empty text is kept. Null and
-    empty texts are rejected. Equal texts of one language get equal answers; ties at a limit are kept.
+    empty texts are rejected. Equal texts of one language get equal answers; ties at a limit are kept. Columns of ``docs``
+    called like the three are replaced, others stay; names that begin with _quality_ are the operator's own.
     """
     trusted = trusted_rows(docs, labels)
     tables = learn(trusted.where(~held_out()))
@@ -80,20 +82,21 @@ def classify(docs: DataFrame, labels: DataFrame, only_kept: bool = False) -> Dat
     if not tables.names:
         kept = docs.withColumns({"cross_entropy": F.lit(None).cast("double"), "symbols": F.length("text").cast("long"), "keep": F.coalesce(F.length(F.trim("text")) > 0, F.lit(False))})
         return kept.where("keep") if only_kept else kept
-    scores = gram_join.sums(docs, tables, raw_table).select(F.col("digest").alias("_digest"), "symbols", F.col("totals")[0].alias("total"))
-    known = cut(trusted.select("lang", held_out().alias("held"), gram_join.digest().alias("_digest")).join(scores, "_digest").select("lang", "held", "total", "symbols"))
+    scores = gram_join.sums(docs, tables, raw_table).select(F.col("digest").alias("_quality_digest"), F.struct("symbols", F.col("totals")[0].alias("total")).alias("_quality_score"))
+    known = cut(trusted.select("lang", held_out().alias("held"), gram_join.digest().alias("_quality_digest")).join(scores, "_quality_digest").select("lang", "held", "_quality_score.total", "_quality_score.symbols"))
     held = known.where("held")
     mean, limits = calibrate(known if held.where("symbols > 0").isEmpty() else held, known.where("not held"))
     name = F.coalesce("lang", F.lit(ANY))
     low, high = ({k: v[i] for k, v in limits.items()} for i in (0, 1))
     keep = F.coalesce(F.col("cross_entropy").between(_of_language(low, name), _of_language(high, name)), F.lit(False))
-    rows = docs.drop("cross_entropy", "symbols", "keep").withColumn("_digest", gram_join.digest())
+    rows = docs.drop("cross_entropy", "symbols", "keep").withColumn("_quality_digest", gram_join.digest())
 
     def judged(some: DataFrame) -> DataFrame:
-        return some.join(scores, "_digest", "left").withColumn("cross_entropy", _filled(mean, name)).withColumn("keep", keep).drop("total")
+        scored = some.join(scores, "_quality_digest", "left").withColumns({"cross_entropy": _filled(mean, name, "_quality_score."), "symbols": F.col("_quality_score.symbols")})
+        return scored.withColumn("keep", keep).drop("_quality_score")
 
     if not only_kept:
-        return judged(rows).drop("_digest")
-    rejected = cut(judged(rows.select("_digest", name.alias("_lang"), "lang").distinct()).where(~F.col("keep")).select("_digest", "_lang").distinct())
+        return judged(rows).drop("_quality_digest")
+    rejected = cut(judged(rows.select("_quality_digest", name.alias("_quality_lang"), "lang").distinct()).where(~F.col("keep")).select("_quality_digest", "_quality_lang").distinct())
     few = rejected.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS
-    return rows.withColumn("_lang", name).join(F.broadcast(rejected) if few else rejected, ["_digest", "_lang"], "left_anti").drop("_digest", "_lang")
+    return rows.withColumn("_quality_lang", name).join(F.broadcast(rejected) if few else rejected, ["_quality_digest", "_quality_lang"], "left_anti").drop("_quality_digest", "_quality_lang")

@@ -106,3 +106,12 @@ def test_quality_without_labels_or_documents(corpus):
 def test_discounts_are_between_zero_and_their_count():
     for counts in ({1: 10, 2: 5, 3: 2, 4: 1}, {1: 1}, {}, {1: 3, 2: 30}):
         assert all(0 < d < i for i, d in enumerate(char_lm.discounts(counts), 1))
+
+
+def test_quality_of_documents_with_columns_of_its_names(spark):
+    rows = [(i, f"plain words of an ordinary text number {i} for the model", "en", 5.0, "mine", "d") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, total double, symbols string, digest string")
+    labels = spark.createDataFrame([(i, 1) for i in range(50)], "doc_id long, quality int")
+    for kept in (False, True):
+        out = quality.classify(docs, labels, only_kept=kept).collect()
+        assert len(out) >= 50 and {(r.total, r.digest) for r in out} == {(5.0, "d")}
