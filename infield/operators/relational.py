@@ -158,24 +158,35 @@ def dense_running_sums(daily: DataFrame, days: DataFrame, keys: Sequence[str], d
 
 
 def tied_rank_auc(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
-    """Area under the ROC curve by average ranks.
+    """Area under the ROC curve by average ranks: auc, positives and negatives of each group.
 
-    The distinct scores are cut into STRETCHES stretches at about equal counts; a rank is that within the stretch,
-    summed by window, plus the rows of the stretches before. So a window holds one stretch of one group, or the totals
-    of the stretches, and never all scores.
+    The distinct scores are counted once, and kept until the areas are known. Those of a group are cut into STRETCHES
+    stretches at about equal counts; a rank is that within the stretch, summed by window, plus the rows of the stretches
+    before. So a window holds one stretch of one group, or the totals of a group's stretches, and never all scores.
     """
-    scores = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(*groups, score).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
-    at = F.broadcast(scores.agg(F.percentile_approx(F.col(score).cast("double"), [i / STRETCHES for i in range(1, STRETCHES)]).alias("_cuts")))
-    scores = scores.join(at).withColumn("_stretch", F.size(F.filter("_cuts", lambda c: c < F.col(score).cast("double")))).drop("_cuts")
-    before = Window.partitionBy(*groups).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    totals = scores.groupBy(*groups, "_stretch").agg(F.sum("n").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    same = [F.col(f"s.{g}").eqNullSafe(F.col(f"t.{g}")) for g in groups]
-    scores = scores.alias("s").join(totals.alias("t"), reduce(lambda a, b: a & b, [*same, F.col("s._stretch") == F.col("t._stretch")])).select("s.*", "t._before")
-    w = Window.partitionBy(*groups, "_stretch").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = scores.withColumn("r", F.col("_before") + F.coalesce(F.sum("n").over(w), F.lit(0)) + (F.col("n") + 1) / F.lit(2.0))
-    p, n = F.sum("pos"), F.sum(F.col("n") - F.col("pos"))
-    area = (F.sum(F.col("pos") * F.col("r")) - p * (p + 1) / F.lit(2.0)) / F.nullif(p.cast("double") * n, F.lit(0.0))
-    return ranked.groupBy(*groups).agg(area.alias("auc"), p.alias("positives"), n.alias("negatives"))
+    key = F.struct(*[F.col(g) for g in groups], F.lit(0).alias("_one"))
+    scores = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(key.alias("_key"), F.col(score).cast("double").alias("_score")).agg(F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
+    scores = scores.persist()
+    cuts = scores.groupBy("_key").agg(F.percentile_approx("_score", [i / STRETCHES for i in range(1, STRETCHES)]).alias("_cuts"))
+    same = F.col("s._key").eqNullSafe(F.col("c._key"))
+    placed = scores.alias("s").join(cuts.alias("c"), same).select("s.*", F.size(F.filter("_cuts", lambda c: c < F.col("_score"))).alias("_stretch"))
+    totals = placed.groupBy("_key", "_stretch").agg(F.sum("n").alias("_n"))
+    before = Window.partitionBy("_key").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("_key", "_stretch", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    w = Window.partitionBy("_key", "_stretch").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = placed.select("_key", "_stretch", "n", "pos", (F.coalesce(F.sum("n").over(w), F.lit(0)) + (F.col("n") + 1) / F.lit(2.0)).alias("_rank"))
+    # ranks within a stretch, and what lies before it, add up by stretch
+    parts = ranked.groupBy("_key", "_stretch").agg(F.sum(F.col("pos") * F.col("_rank")).alias("_inside"), F.sum("pos").alias("_pos"), F.sum(F.col("n") - F.col("pos")).alias("_neg"))
+    parts = parts.alias("p").join(totals.alias("t"), F.col("p._key").eqNullSafe(F.col("t._key")) & (F.col("p._stretch") == F.col("t._stretch"))).select("p.*", "t._before")
+    p, n = F.sum("_pos"), F.sum("_neg")
+    area = (F.sum(F.col("_inside") + F.col("_pos") * F.col("_before")) - p * (p + 1) / F.lit(2.0)) / F.nullif(p.cast("double") * n, F.lit(0.0))
+    found = parts.groupBy("_key").agg(area.alias("auc"), p.alias("positives"), n.alias("negatives")).select(*[F.col(f"_key.{g}").alias(g) for g in groups], "auc", "positives", "negatives")
+    if not groups:  # one row, of nulls if there is nothing to rank
+        found = found.agg(F.max("auc").alias("auc"), F.max("positives").alias("positives"), F.max("negatives").alias("negatives"))
+    found = found.persist()
+    found.count()  # a row a group, made now
+    scores.unpersist()
+    return found
 
 
 def unpivot(df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str, value: str) -> DataFrame:

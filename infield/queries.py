@@ -6,7 +6,8 @@ pitches, ``orders`` for games, ``customer`` for players, ``nation`` and ``region
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import uuid
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from infield.operators import gold, insights, ml, plays, quality
 from infield.operators import pitch_features as pf
 from infield.operators import relational as r
 from infield.operators import silver as sv
+from infield.plans import publish
 from infield.plans import semantic as sem
 from infield.sources import lake
 
@@ -48,14 +50,16 @@ EV = "WITH ev AS (SELECT *, strftime(ts, '%Y-%m-%d') AS dt FROM events)"
 
 # Scans --------------------------------------------------------------------------------------------------
 
-@query("SELECT strftime(d, '%Y-%m-%d') AS dt FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-03-01', INTERVAL 1 DAY) g(d)")
+@query(EV + " SELECT strftime(d, '%Y-%m-%d') AS dt FROM (SELECT unnest(generate_series(CAST(min(dt) AS TIMESTAMP), CAST(max(dt) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM ev)")
 def S01_day_partitions(spark, sf_dir):
-    return lake.days(spark, "2024-01-01", "2024-03-01")
+    """The days from a table's first to its last, with those on which nothing happened."""
+    first, last = events(spark, sf_dir).agg(F.min("dt"), F.max("dt")).first()
+    return lake.days(spark, first, last)
 
 
-@query("SELECT DISTINCT strftime(date_trunc('month', d), '%Y-%m-%d') AS dt FROM generate_series(TIMESTAMP '2023-11-20', TIMESTAMP '2024-03-01', INTERVAL 1 DAY) g(d)")
+@query("SELECT DISTINCT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS dt FROM orders")
 def S02_month_partitions(spark, sf_dir):
-    return lake.periods(lake.days(spark, "2023-11-20", "2024-03-01"), "month")
+    return lake.periods(t(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt")).distinct(), "month")
 
 
 @query("SELECT event_id, raw AS raw_json FROM (SELECT event_id, props AS raw FROM events)")
@@ -239,13 +243,14 @@ def J03_left_plus_anti(spark, sf_dir):
 _SIDES = "SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_returnflag, c.c_nationkey AS home, s.s_nationkey AS away FROM lineitem l JOIN orders ON l_orderkey = o_orderkey JOIN customer c ON o_custkey = c_custkey JOIN supplier s ON l_suppkey = s_suppkey"
 
 
-@query(f"SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'R' THEN away ELSE home END AS batting, CASE WHEN l_returnflag = 'R' THEN home ELSE away END AS fielding FROM ({_SIDES})")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_returnflag = 'R' THEN o_custkey % 25 ELSE c_nationkey END AS batting, CASE WHEN l_returnflag = 'R' THEN c_nationkey ELSE o_custkey % 25 END AS fielding
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
 def J05_conditional_fill(spark, sf_dir):
-    li = t(spark, sf_dir, "lineitem").join(t(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(t(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    li = li.withColumn("game_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))  # lines may be numbered alike
-    none = F.lit(None).cast(li.schema["c_nationkey"].dataType)
-    games = li.select("game_id", F.lit("2024-01-01").alias("dt"), F.col("c_nationkey").alias("home_team_id"), F.col("s_nationkey").alias("away_team_id"))
-    pas = li.select("game_id", "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_returnflag") == "R").alias("is_top_inning"), none.alias("batting_team_id"), none.alias("fielding_team_id"))
+    """Orders as games of a customer's nation at home, lines as plate appearances."""
+    o = t(spark, sf_dir, "orders").join(t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    games = o.select(F.col("o_orderkey").alias("game_id"), F.lit("2024-01-01").alias("dt"), F.col("c_nationkey").cast("long").alias("home_team_id"), (F.col("o_custkey") % 25).cast("long").alias("away_team_id"))
+    none = F.lit(None).cast("long")
+    pas = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("game_id"), "l_orderkey", "l_linenumber", "l_partkey", (F.col("l_returnflag") == "R").alias("is_top_inning"), none.alias("batting_team_id"), none.alias("fielding_team_id"))
     return plays.with_teams(pas, games).select("l_orderkey", "l_linenumber", "l_partkey", F.col("batting_team_id").alias("batting"), F.col("fielding_team_id").alias("fielding"))
 
 
@@ -515,12 +520,118 @@ def L09_score(spark, sf_dir):
     return t(spark, sf_dir, "events").withColumn("x_value", F.col("value")).select("event_id", F.round(model.score(), 6).alias("score"))
 
 
-@query()
+def _newton_sql(grid: Sequence[float], steps: int = 8) -> str:
+    """Newton's method for an intercept and two standardised inputs, written out step by step; a step solves three equations."""
+    ctes = ["x AS MATERIALIZED (SELECT CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END AS y, (value - avg(value) OVER ()) / stddev_pop(value) OVER () AS u, (hour(ts) - avg(hour(ts)) OVER ()) / stddev_pop(hour(ts)) OVER () AS v FROM events)"]
+    for g, l2 in enumerate(grid):
+        ctes.append(f"b{g}_0 AS MATERIALIZED (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS c)")
+        for i in range(steps):
+            ctes.append(f"s{g}_{i} AS MATERIALIZED (SELECT any_value(a) AS a, any_value(b) AS b, any_value(c) AS c, sum(y - p) AS g0, sum((y - p) * u) - {l2} * any_value(b) AS g1, sum((y - p) * v) - {l2} * any_value(c) AS g2, sum(w) AS h00, sum(w * u) AS h01, sum(w * v) AS h02, sum(w * u * u) + {l2} AS h11, sum(w * u * v) AS h12, sum(w * v * v) + {l2} AS h22 FROM (SELECT *, p * (1 - p) AS w FROM (SELECT *, 1 / (1 + exp(-(a + b * u + c * v))) AS p FROM x, b{g}_{i})))")
+            det = "(h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02))"
+            ctes.append(f"b{g}_{i + 1} AS MATERIALIZED (SELECT a + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / {det} AS a, b + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / {det} AS b, c + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / {det} AS c FROM s{g}_{i})")
+    rows = " UNION ALL ".join(f"SELECT {l2}::DOUBLE AS l2, unnest(['intercept', 'value', 'hour']) AS name, unnest([round(a, 4), round(b, 4), round(c, 4)]) AS coefficient FROM b{g}_{steps}" for g, l2 in enumerate(grid))
+    return f"WITH {', '.join(ctes)} {rows}"
+
+
+_GRID = [0.1, 10.0, 1000.0]
+
+
+def _hours(spark, sf_dir) -> DataFrame:
+    return t(spark, sf_dir, "events").withColumns({"y": (F.col("event_type") == "purchase").cast("int"), "x_value": F.col("value"), "x_hour": F.hour("ts").cast("double")})
+
+
+def _coefficients(spark, models: Sequence[ml.Model]) -> DataFrame:
+    rows = [(m.l2, n, round(b, 4)) for m in models for n, b in zip(["intercept", *m.inputs], [m.intercept, *m.coefficients], strict=True)]
+    return spark.createDataFrame(rows, "l2 double, name string, coefficient double")
+
+
+@query(_newton_sql([1.0]).replace("SELECT 1.0::DOUBLE AS l2, ", "SELECT "))
 def L06_logistic_fit(spark, sf_dir):
-    e = t(spark, sf_dir, "events").withColumns({"y": (F.col("event_type") == "purchase").cast("int"), "x_value": F.col("value"), "x_hour": F.hour("ts").cast("double")})
-    model = ml.fit(e, "y", ["value", "hour"], 1.0)
-    rows = [(n, b) for n, b in zip(["intercept", *model.inputs], [model.intercept, *model.coefficients], strict=True)]
-    return spark.createDataFrame(rows, "name string, coefficient double")
+    return _coefficients(spark, [ml.fit(_hours(spark, sf_dir), "y", ["value", "hour"], 1.0)]).drop("l2")
+
+
+@query(_newton_sql(_GRID))
+def L07_penalty_grid(spark, sf_dir):
+    """The models of all penalties, fitted together."""
+    return _coefficients(spark, ml.fit_grid(_hours(spark, sf_dir), "y", ["value", "hour"], _GRID))
+
+
+@query("""WITH s AS (SELECT CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS y, unnest([{'name': 'recent_minus_base_woba', 's': value - 100.0}, {'name': 'base_woba_below_league', 's': -CAST(hour(ts) AS DOUBLE)}, {'name': 'home_runs_of_the_day', 's': CAST(event_id % 7 AS DOUBLE)}], recursive := true) FROM events),
+r AS (SELECT *, rank() OVER (PARTITION BY name ORDER BY s) + (count(*) OVER (PARTITION BY name, s) - 1) / 2.0 AS rk FROM s)
+SELECT name, round((sum(CASE WHEN y = 1 THEN rk END) - CAST(sum(y) AS DOUBLE) * (sum(y) + 1) / 2.0) / (CAST(sum(y) AS DOUBLE) * sum(1 - y)), 9) AS auc, CAST(sum(y) AS BIGINT) AS positives, CAST(sum(1 - y) AS BIGINT) AS negatives FROM r GROUP BY name""")
+def L10_heuristics(spark, sf_dir):
+    """The areas under the curves of several rankings, in one pass."""
+    e = t(spark, sf_dir, "events").select((F.col("event_type") == "purchase").alias("y"), F.col("value").alias("f_recent_woba"), F.lit(100.0).alias("f_base_woba"), F.hour("ts").alias("f_base_woba_vs_league"), (F.col("event_id") % 7).alias("f_day_hr"))
+    return ml.heuristic_aucs(e, "y").select("name", F.round("auc", 9).alias("auc"), "positives", "negatives")
+
+
+_ASOF = ml.Breakout(baseline_days=8, recent_days=3, label_days=5, min_baseline_pa=4, min_label_pa=2, margin_woba=0.05)
+_ASOF_SPLITS = ml.Splits("2024-01-12", "2024-01-20", 5)
+
+
+def _asof_lines(spark, sf_dir) -> DataFrame:
+    """Users' days: values over a level as hits and so on."""
+    e = events(spark, sf_dir)
+    over = lambda v: F.count_if(F.col("value") > v)
+    zero = F.lit(0).cast("long")
+    made = {"pa": F.count("*"), "ab": over(10), "h": over(60), "doubles": over(100), "triples": over(150), "hr": over(200), "bb": over(20), "so": over(30), "woba_den": F.count("*"), "woba_value": F.round(F.sum("value") / 100, 6)}
+    return e.groupBy("dt", F.col("user_id").alias("player_id"), F.when(F.col("user_id") % 3 == 0, "NPB").otherwise("MLB").alias("league_code")).agg(*[v.alias(k) for k, v in made.items()]).withColumns({"hbp": zero, "sf": zero, "sh": zero})
+
+
+def _days_published(spark, sf_dir) -> DataFrame:
+    return events(spark, sf_dir).where("dt <> '2024-01-19'").select("dt").distinct()
+
+
+def _asof_sum(column: str, first: int, last: int) -> str:
+    return f"coalesce(sum(CASE WHEN CAST(l.dt AS DATE) - CAST(d.dt AS DATE) BETWEEN {first} AND {last} THEN {column} END), 0)"
+
+
+@query(EV + f""", l AS (SELECT dt, user_id AS player_id, CASE WHEN user_id % 3 = 0 THEN 'NPB' ELSE 'MLB' END AS league_code, count(*) AS pa, count(*) FILTER (WHERE value > 10) AS ab, count(*) FILTER (WHERE value > 60) AS h, count(*) FILTER (WHERE value > 100) AS doubles, count(*) FILTER (WHERE value > 150) AS triples, count(*) FILTER (WHERE value > 200) AS hr,
+count(*) FILTER (WHERE value > 20) AS bb, count(*) FILTER (WHERE value > 30) AS so, CAST(round(sum(value) / 100, 6) AS DECIMAL(38, 6)) AS woba_value FROM ev GROUP BY ALL), p AS (SELECT DISTINCT dt FROM ev WHERE dt <> '2024-01-19'), d AS (SELECT dt FROM p WHERE dt BETWEEN '2024-01-05' AND '2024-01-26'),
+w AS (SELECT d.dt, player_id, league_code, {_asof_sum("pa", -7, 0)} AS base_pa, {_asof_sum("so", -7, 0)} AS base_so, {_asof_sum("bb", -7, 0)} AS base_bb, {_asof_sum("ab", -7, 0)} AS base_ab, {_asof_sum("h", -7, 0)} AS base_h, {_asof_sum("hr", -7, 0)} AS base_hr, {_asof_sum("doubles + 2 * triples + 3 * hr", -7, 0)} AS extra, {_asof_sum("1", -7, 0)} AS base_days,
+CAST({_asof_sum("woba_value", -7, 0)} AS DOUBLE) AS base_value, {_asof_sum("pa", -2, 0)} AS recent_pa, CAST({_asof_sum("woba_value", -2, 0)} AS DOUBLE) AS recent_value, {_asof_sum("hr", 0, 0)} AS day_hr, {_asof_sum("pa", 1, 5)} AS label_pa, CAST({_asof_sum("woba_value", 1, 5)} AS DOUBLE) AS label_value
+FROM d JOIN l ON CAST(l.dt AS DATE) - CAST(d.dt AS DATE) BETWEEN -7 AND 5 GROUP BY ALL), g AS (SELECT *, round(sum(base_value) OVER n / sum(base_pa) OVER n, 6) AS league, (SELECT count(*) FROM p WHERE CAST(p.dt AS DATE) - CAST(w.dt AS DATE) BETWEEN 1 AND 5) = 5 AS done FROM w WINDOW n AS (PARTITION BY dt, league_code)),
+r AS (SELECT *, round(base_value / base_pa, 6) AS base_woba, CASE WHEN label_pa > 0 THEN round(label_value / label_pa, 6) END AS label_woba FROM g WHERE base_pa >= 4)
+SELECT dt, player_id, league_code, CAST(base_pa AS BIGINT) AS f_base_pa, base_woba AS f_base_woba, round(base_so / CAST(base_pa AS DOUBLE), 6) AS f_base_k_rate, round(base_bb / CAST(base_pa AS DOUBLE), 6) AS f_base_bb_rate, round(extra / nullif(CAST(base_ab AS DOUBLE), 0), 6) AS f_base_iso, CASE WHEN base_ab - base_so - base_hr > 0 THEN round((base_h - base_hr) / CAST(base_ab - base_so - base_hr AS DOUBLE), 6) END AS f_base_babip,
+CAST(base_days AS BIGINT) AS f_base_days, CAST(recent_pa AS BIGINT) AS f_recent_pa, CASE WHEN recent_pa > 0 THEN round(recent_value / recent_pa, 6) END AS f_recent_woba, league AS f_league_base_woba, CAST(day_hr AS BIGINT) AS f_day_hr, CASE WHEN NOT done THEN 'pending' WHEN label_pa >= 2 AND label_woba IS NOT NULL THEN 'labeled' ELSE 'insufficient_pa' END AS label_status,
+CASE WHEN done THEN CAST(label_pa AS BIGINT) END AS label_pa, CASE WHEN done AND label_pa >= 2 AND label_woba IS NOT NULL THEN round(label_woba - base_woba, 6) >= 0.05 - 1e-9 END AS label_breakout, CASE WHEN dt <= '2024-01-07' THEN 'train' WHEN dt <= '2024-01-12' THEN 'embargo' WHEN dt <= '2024-01-15' THEN 'validation' WHEN dt <= '2024-01-20' THEN 'embargo' ELSE 'test' END AS split FROM r""")
+def L01_example_range(spark, sf_dir):
+    """Features and labels of every published day of a range, by prefix sums in one pass."""
+    found = ml.example_range(_asof_lines(spark, sf_dir), _days_published(spark, sf_dir), "2024-01-05", "2024-01-26", _ASOF, _ASOF_SPLITS)
+    rates = ["f_base_woba", "f_base_k_rate", "f_base_bb_rate", "f_base_iso", "f_base_babip", "f_recent_woba", "f_league_base_woba"]
+    return found.select("dt", "player_id", "league_code", "f_base_pa", *rates, "f_base_days", "f_recent_pa", "f_day_hr", "label_status", "label_pa", "label_breakout", "split")
+
+
+# Publishing ---------------------------------------------------------------------------------------------
+
+@query("""WITH p AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS dt FROM orders), c AS (SELECT dt FROM p WHERE dt LIKE '%-06-13'), f AS (SELECT substr(dt, 1, 4) AS y, min(dt) AS dt FROM c GROUP BY 1),
+b AS (SELECT DISTINCT p.dt FROM p JOIN c ON CAST(p.dt AS DATE) - CAST(c.dt AS DATE) BETWEEN -4 AND 5) SELECT unnest(['fact_plate_appearance', 'run_expectancy_daily', 'feature_batter_daily']) AS table_name, dt FROM c
+UNION ALL SELECT 'run_expectancy', p.dt FROM p JOIN f ON substr(p.dt, 1, 4) = f.y AND p.dt >= f.dt UNION ALL SELECT unnest(['ml_breakout', 'ml_breakout_score']), dt FROM b""")
+def D05_affected_days(spark, sf_dir):
+    """Every table's days that follow from plate appearances that changed on the 13th of each June."""
+    days = t(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt")).distinct()
+    changed = days.where(F.col("dt").endswith("-06-13")).select(F.lit("fact_plate_appearance").alias("table_name"), "dt")
+    return publish.affected_rows(changed, days, publish.derived_tables(6, 4, {}))
+
+
+@query(EV + """, d AS (SELECT dt, CAST(event_id % 8 AS BIGINT) AS base_state, CAST(event_id % 3 AS BIGINT) AS outs, count(*) AS n, sum(CAST(floor(value) AS BIGINT) % 5 + CASE WHEN dt = '2024-01-10' THEN 1 ELSE 0 END) AS r FROM ev GROUP BY ALL), p AS (SELECT DISTINCT dt FROM ev), f AS (SELECT base_state, outs, min(dt) AS first FROM d GROUP BY ALL)
+SELECT p.dt, f.base_state, f.outs, CAST(sum(coalesce(n, 0)) OVER w AS BIGINT) AS pa_count, CAST(sum(coalesce(r, 0)) OVER w AS BIGINT) AS runs FROM f JOIN p ON p.dt >= f.first LEFT JOIN d ON d.dt = p.dt AND d.base_state = f.base_state AND d.outs = f.outs WINDOW w AS (PARTITION BY f.base_state, f.outs ORDER BY p.dt)""")
+def D07_range_publish(spark, sf_dir):
+    """Run expectancy as it is published after one day changed: that day and the season after it are written again."""
+    e = events(spark, sf_dir)
+    pas = lambda more: e.select("dt", F.lit("mlb_statcast").alias("source"), (F.col("event_id") % 8).alias("base_state_before"), (F.col("event_id") % 3).alias("outs_before"), (F.floor("value").cast("long") % 5 + more).alias("runs_to_end_of_inning"))
+    builds = {
+        "run_expectancy_daily": lambda read, days: gold.run_expectancy_daily(read("fact_plate_appearance").where(F.col("dt").isin(days))),
+        "run_expectancy": lambda read, days: gold.run_expectancy(read("run_expectancy_daily").drop("ingested_at_utc"), read("fact_plate_appearance").select("dt").distinct()),
+    }
+    tables = [tb for tb in publish.derived_tables(30, 14, builds) if tb.name in builds]
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').removeprefix('file:')}/range-{uuid.uuid4().hex}"
+    days = sorted(r.dt for r in e.select("dt").distinct().collect())
+    lake.write_days(pas(0), root, "fact_plate_appearance", days)
+    publish.publish(spark, root, tables, {"fact_plate_appearance": days}, days)
+    lake.write_days(pas(1).where("dt = '2024-01-10'"), root, "fact_plate_appearance", ["2024-01-10"])
+    publish.publish(spark, root, tables, {"fact_plate_appearance": ["2024-01-10"]}, days)
+    return lake.read(spark, root, "run_expectancy").select("dt", F.col("base_state").cast("long").alias("base_state"), F.col("outs").cast("long").alias("outs"), "pa_count", "runs")
 
 
 # Scalars, silver shapes ---------------------------------------------------------------------------------
@@ -880,13 +991,16 @@ def A16_row_counts(spark, sf_dir):
     return quality.union(counts)
 
 
-@query("""WITH pa AS (SELECT o_orderkey % 500 AS game_id, o_orderkey % 2 = 0 AS is_top_inning, count(*) FILTER (WHERE o_orderstatus <> 'P') AS pa, CAST(sum(o_custkey % 3) AS BIGINT) AS runs FROM orders GROUP BY ALL)
-SELECT game_id, is_top_inning, pa % 2 = 0 AS pa_match, true AS runs_match FROM pa""")
+@query("""WITH pa AS (SELECT l_orderkey AS game_id, l_linenumber % 2 = 0 AS top, count(*) FILTER (WHERE l_returnflag <> 'A') AS pa, CAST(sum(CAST(l_quantity AS BIGINT) % 3) AS BIGINT) AS runs, count(*) FILTER (WHERE l_returnflag = 'R') AS hits FROM lineitem GROUP BY ALL),
+truth AS (SELECT o_orderkey AS game_id, side = 1 AS top, o_orderkey % 4 AS pa, o_custkey % 5 AS runs, o_orderkey % 3 AS hits FROM orders, range(2) g(side))
+SELECT game_id, top AS is_top_inning, coalesce(pa.pa = t.pa, false) AS pa_match, coalesce(pa.runs = t.runs, false) AS runs_match, coalesce(pa.hits = t.hits, false) AS hits_match FROM truth t LEFT JOIN pa USING (game_id, top)""")
 def A24_reconcile(spark, sf_dir):
-    o = t(spark, sf_dir, "orders").select((F.col("o_orderkey") % 500).alias("game_id"), (F.col("o_orderkey") % 2 == 0).alias("is_top_inning"), F.when(F.col("o_orderstatus") == "P", "TRUNCATED").otherwise("OUT").alias("event_type"), (F.col("o_custkey") % 3).alias("runs_scored_on_play"), F.lit("d").alias("dt"))
-    counted = o.groupBy("game_id", "is_top_inning").agg(F.count_if(F.col("event_type") == "OUT").alias("pa"), F.sum("runs_scored_on_play").alias("runs"))
-    truth = counted.select("game_id", "is_top_inning", (F.col("pa") + F.col("pa") % 2).alias("pa"), "runs", F.lit(0).cast("long").alias("hits"))
-    return quality.reconcile(o, o, truth).select("game_id", "is_top_inning", "pa_match", "runs_match")
+    """Lines as plate appearances against totals that the orders state."""
+    pas = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("game_id"), (F.col("l_linenumber") % 2 == 0).alias("is_top_inning"), F.when(F.col("l_returnflag") == "A", "TRUNCATED").when(F.col("l_returnflag") == "R", "1B").otherwise("OUT").alias("event_type"), (F.col("l_quantity").cast("long") % 3).alias("runs_scored_on_play"), F.lit("d").alias("dt"))
+    o = t(spark, sf_dir, "orders")
+    truth = o.select(F.col("o_orderkey").alias("game_id"), F.explode(F.array(F.lit(True), F.lit(False))).alias("is_top_inning"), (F.col("o_orderkey") % 4).alias("pa"), (F.col("o_custkey") % 5).alias("runs"), (F.col("o_orderkey") % 3).alias("hits"))
+    games = o.select(F.col("o_orderkey").alias("game_id"), F.lit("d").alias("dt"))
+    return quality.reconcile(pas, games, truth).select("game_id", "is_top_inning", "pa_match", "runs_match", "hits_match")
 
 
 @query("SELECT n_nationkey, ['Bases empty', '1st', '2nd', '1st & 2nd', '3rd', '1st & 3rd', '2nd & 3rd', 'Loaded'][n_nationkey % 8 + 1] AS runners FROM nation")
