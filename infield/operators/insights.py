@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from infield.functions import columns as fx
+from infield.operators.evidence import BATTER, CONTACT, PITCH, proof
 from infield.operators.relational import streaks
 from infield.plans.guard import guarded
 
@@ -30,12 +31,12 @@ TOP = 10
 RATES = {"k_rate": "so", "bb_rate": "bb", "hr_rate": "hr"}
 
 
-def candidate(rows: DataFrame, detector: str, as_of: str, league: Column, subject_type: str, subject: Column, metric: Column, value: Column, baseline: Column | None, size: Column, score: Column, facts: Mapping[str, Column], evidence: Column) -> DataFrame:
+def candidate(rows: DataFrame, detector: str, as_of: str, league: Column, subject_type: str, subject: Column, metric: Column, value: Column, baseline: Column | None, size: Column, score: Column, facts: Mapping[str, Column], evidence: Column, *proofs: Column) -> DataFrame:
     none = F.lit(None).cast("double")
     return rows.select(
         fx.short_hash(F.lit(detector), F.lit(as_of), league, subject, metric).alias("insight_id"), F.lit(detector).alias("detector"), league.alias("league_code"), F.lit(subject_type).alias("subject_type"), subject.alias("subject_id"), metric.alias("metric"), F.round(value.cast("double"), 4).alias("value"),
         (none if baseline is None else F.round(baseline.cast("double"), 4)).alias("baseline"), (none if baseline is None else F.round(value.cast("double") - baseline, 4)).alias("delta"), size.cast("long").alias("sample_size"), F.round(score.cast("double"), 3).alias("score"),
-        F.to_json(F.struct(*[c.alias(k) for k, c in sorted(facts.items())])).alias("facts_json"), evidence.alias("evidence_sql"), F.lit(as_of).alias("dt"),
+        F.to_json(F.struct(*[c.alias(k) for k, c in sorted(facts.items())])).alias("facts_json"), evidence.alias("evidence_sql"), F.array(*proofs).alias("evidence"), F.lit(as_of).alias("dt"),
     )
 
 
@@ -44,6 +45,17 @@ def _days(as_of: str, recent: int) -> tuple[str, str]:
     return f"{day.year}-01-01", (day - timedelta(days=recent - 1)).isoformat()
 
 
+def _both(value: str, baseline: str, source: str, top: str, bottom: str, start: str, split: str, as_of: str, **rows: Column) -> list[Column]:
+    """Proofs of a value of the days since ``split`` and of the baseline before it."""
+    before = (date.fromisoformat(split) - timedelta(days=1)).isoformat()
+    return [proof("value", F.round(value, 4), source, top, bottom, F.lit(split), F.lit(as_of), **rows), proof("baseline", F.round(baseline, 4), source, top, bottom, F.lit(start), F.lit(before), **rows)]
+
+
+def _rate_proofs(role: str, expected: Column, league: Column, first: Column, last: Column) -> Column:
+    """The proof of whichever rate a row is about."""
+    return fx.first_match([(F.col("metric") == m, proof(role, F.round(expected, 4), BATTER, c, "pa", first, last, league=league)) for m, c in RATES.items()], None)
+
+
 def _text(template: str, *cols: Column | str) -> Column:
     return F.format_string(template, *cols)
 
@@ -56,7 +68,9 @@ def hitting_streaks(daily: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
     rows = runs.join(last, ["player_id", "end_dt"]).where((F.col("length") >= cfg["min_games"]) & (F.col("end_dt") >= since))
     n = F.col("length")
     sql = _text("SELECT dt, pa, h FROM feature_batter_daily WHERE player_id = '%s' AND dt BETWEEN '%s' AND '%s' AND pa > 0 ORDER BY dt", "player_id", "start_dt", "end_dt")
-    return candidate(rows, "hitting_streak", as_of, F.col("league_code"), "player", F.col("player_id"), F.lit("hitting_streak_games"), n, None, n, n, {"games": n, "start_dt": F.col("start_dt"), "end_dt": F.col("end_dt"), "active": F.lit(True)}, sql)
+    span = {"player": F.col("player_id"), "first": F.col("start_dt"), "last": F.col("end_dt")}
+    proofs = [proof("value", n, BATTER, "hit_days", None, **span), proof("unbroken", F.lit(0.0), BATTER, "miss_days", None, **span)]
+    return candidate(rows, "hitting_streak", as_of, F.col("league_code"), "player", F.col("player_id"), F.lit("hitting_streak_games"), n, None, n, n, {"games": n, "start_dt": F.col("start_dt"), "end_dt": F.col("end_dt"), "active": F.lit(True)}, sql, *proofs)
 
 
 def change_vs_baseline(daily: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
@@ -69,7 +83,7 @@ def change_vs_baseline(daily: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
     rows = sums.withColumns({"now": now, "was": was, "z": z}).where((F.col("recent_pa") >= cfg["min_recent_pa"]) & (F.col("base_pa") >= cfg["min_baseline_pa"]) & (F.abs("z") >= cfg["min_abs_z"]))
     sql = _text(f"SELECT CASE WHEN dt >= '{split}' THEN 'recent' ELSE 'baseline' END AS span, sum(pa) AS pa, sum(woba_value) / sum(woba_den) AS woba FROM feature_batter_daily WHERE player_id = '%s' AND dt BETWEEN '{start}' AND '{as_of}' GROUP BY 1", "player_id")
     facts = {"direction": F.when(F.col("z") > 0, "up").otherwise("down"), "recent_days": F.lit(cfg["recent_days"]), "recent_pa": F.col("recent_pa"), "baseline_pa": F.col("base_pa"), "z": F.round("z", 2)}
-    return candidate(rows, "change_vs_baseline", as_of, F.col("league_code"), "player", F.col("player_id"), F.lit("woba"), F.col("now"), F.col("was"), F.col("recent_pa"), F.abs("z"), facts, sql)
+    return candidate(rows, "change_vs_baseline", as_of, F.col("league_code"), "player", F.col("player_id"), F.lit("woba"), F.col("now"), F.col("was"), F.col("recent_pa"), F.abs("z"), facts, sql, *_both("now", "was", BATTER, "woba_value", "woba_den", start, split, as_of, player=F.col("player_id"), league=F.col("league_code")))
 
 
 def league_months(daily: DataFrame, as_of: str) -> DataFrame:
@@ -91,8 +105,10 @@ def league_month_shift(daily: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
     both = months.select("league_code", "month", F.lag("month").over(w).alias("previous"), F.lead("month").over(w).isNull().alias("newest"), *[F.col(c).alias("now_" + c) for c in ("pa", "so", "bb", "hr")], *[F.lag(c).over(w).alias("was_" + c) for c in ("pa", "so", "bb", "hr")])
     rows = _rates(both.where("newest and previous is not null"), ["league_code", "month", "previous"], ("now", "was")).where(F.abs("z") >= cfg["min_abs_z"])
     sql = _text("SELECT substr(dt, 1, 7) AS month, sum(so) / sum(pa) AS k_rate, sum(bb) / sum(pa) AS bb_rate, sum(hr) / sum(pa) AS hr_rate FROM feature_batter_daily WHERE league_code = '%s' AND substr(dt, 1, 7) IN ('%s', '%s') GROUP BY 1", "league_code", "previous", "month")
+    span = lambda m: (F.greatest(F.concat(m, F.lit("-01")), F.lit(_days(as_of, 1)[0])), F.least(F.concat(m, F.lit("-31")), F.lit(as_of)))
+    proofs = [_rate_proofs(role, fx.ratio(x, n), F.col("league_code"), *span(F.col(m))) for role, x, n, m in (("value", "x1", "n1", "month"), ("baseline", "x2", "n2", "previous"))]
     facts = {"month": F.col("month"), "previous_month": F.col("previous"), "month_pa": F.col("n1"), "previous_pa": F.col("n2"), "z": F.round("z", 2)}
-    return candidate(rows, "league_month_shift", as_of, F.col("league_code"), "league", F.col("league_code"), F.col("metric"), fx.ratio("x1", "n1"), fx.ratio("x2", "n2"), F.col("n1"), F.abs("z"), facts, sql)
+    return candidate(rows, "league_month_shift", as_of, F.col("league_code"), "league", F.col("league_code"), F.col("metric"), fx.ratio("x1", "n1"), fx.ratio("x2", "n2"), F.col("n1"), F.abs("z"), facts, sql, *proofs)
 
 
 def cross_league_gap(daily: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
@@ -101,8 +117,9 @@ def cross_league_gap(daily: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
     side = lambda p: season.select(F.col("league_code").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in ("pa", "so", "bb", "hr")])
     rows = _rates(side("a").join(side("b"), F.col("a") < F.col("b")), ["a", "b"], ("a", "b")).where(F.abs("z") >= cfg["min_abs_z"])
     pair = F.concat_ws("-", "a", "b")
+    proofs = [_rate_proofs(role, fx.ratio(x, n), F.col(side), F.lit(f"{as_of[:4]}-01-01"), F.lit(as_of)) for role, x, n, side in (("value", "x1", "n1", "a"), ("baseline", "x2", "n2", "b"))]
     sql = _text(f"SELECT league_code, sum(so) / sum(pa) AS k_rate, sum(bb) / sum(pa) AS bb_rate, sum(hr) / sum(pa) AS hr_rate FROM feature_batter_daily WHERE league_code IN ('%s', '%s') AND dt BETWEEN '{as_of[:4]}-01-01' AND '{as_of}' GROUP BY 1", "a", "b")
-    return candidate(rows, "cross_league_gap", as_of, pair, "league_pair", pair, F.col("metric"), fx.ratio("x1", "n1"), fx.ratio("x2", "n2"), F.least("n1", "n2"), F.abs("z"), {"z": F.round("z", 2), "season": F.lit(int(as_of[:4]))}, sql)
+    return candidate(rows, "cross_league_gap", as_of, pair, "league_pair", pair, F.col("metric"), fx.ratio("x1", "n1"), fx.ratio("x2", "n2"), F.least("n1", "n2"), F.abs("z"), {"z": F.round("z", 2), "season": F.lit(int(as_of[:4]))}, sql, *proofs)
 
 
 def luck_gap(contact: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
@@ -111,8 +128,9 @@ def luck_gap(contact: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
     rows = sums.withColumns({"woba": fx.ratio("woba_value", "woba_den"), "xwoba": fx.ratio("xwoba_value", "woba_den")}).withColumn("gap", F.col("woba") - F.col("xwoba"))
     rows = rows.where((F.col("woba_den") >= cfg["min_pa"]) & (F.col("xwoba_bip_n") > 0) & (F.abs("gap") >= cfg["min_abs_gap"]))
     sql = _text(f"SELECT sum(woba_value) / sum(woba_den) AS woba, sum(xwoba_value) / sum(woba_den) AS xwoba, sum(woba_den) AS pa FROM feature_contact_daily WHERE player_id = '%s' AND dt BETWEEN '{start}' AND '{as_of}'", "player_id")
+    proofs = [proof(role, F.round(c, 4), CONTACT, f"{c}_value", "woba_den", F.lit(start), F.lit(as_of), player=F.col("player_id")) for role, c in (("value", "woba"), ("baseline", "xwoba"))]
     facts = {"direction": F.when(F.col("gap") > 0, "lucky").otherwise("unlucky"), "babip": F.round(fx.ratio("babip_hits", "bip"), 4), "pa": F.col("woba_den").cast("long")}
-    return candidate(rows, "luck_gap", as_of, F.lit("MLB"), "player", F.col("player_id"), F.lit("woba_minus_xwoba"), F.col("woba"), F.col("xwoba"), F.col("woba_den"), F.abs("gap") * F.sqrt("woba_den"), facts, sql)
+    return candidate(rows, "luck_gap", as_of, F.lit("MLB"), "player", F.col("player_id"), F.lit("woba_minus_xwoba"), F.col("woba"), F.col("xwoba"), F.col("woba_den"), F.abs("gap") * F.sqrt("woba_den"), facts, sql, *proofs)
 
 
 def pitcher_spans(pitches: DataFrame, as_of: str, recent: int) -> DataFrame:
@@ -135,7 +153,7 @@ def new_pitch(pitches: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
     score = (F.col("share_recent") - F.col("share_early")) * 10 + F.greatest(F.lit(0.0), better) * 10 + F.greatest(F.lit(0.0), F.col("whiff_recent") - F.col("whiff_early")) * 5
     sql = _text(f"SELECT dt >= '{split}' AS since, sum(CASE WHEN pitch_type = '%s' THEN pitches ELSE 0 END) / sum(pitches) AS share FROM feature_pitch_daily WHERE player_id = '%s' AND dt BETWEEN '{as_of[:4]}-01-01' AND '{as_of}' GROUP BY 1", "pitch_type", "player_id")
     facts = {"pitch_type": F.col("pitch_type"), "since": F.lit(split), "whiff_rate_before": F.round("whiff_early", 4), "whiff_rate_since": F.round("whiff_recent", 4), "xwoba_against_before": F.round("xwoba_early", 4), "xwoba_against_since": F.round("xwoba_recent", 4)}
-    return candidate(rows, "new_pitch", as_of, F.lit("MLB"), "player", F.col("player_id"), F.concat(F.lit("pitch_share:"), "pitch_type"), F.col("share_recent"), F.col("share_early"), F.col("all_recent_pitches"), score, facts, sql)
+    return candidate(rows, "new_pitch", as_of, F.lit("MLB"), "player", F.col("player_id"), F.concat(F.lit("pitch_share:"), "pitch_type"), F.col("share_recent"), F.col("share_early"), F.col("all_recent_pitches"), score, facts, sql, *_both("share_recent", "share_early", PITCH, "pitches", "pitches", f"{as_of[:4]}-01-01", split, as_of, player=F.col("player_id"), of_type=F.col("pitch_type")))
 
 
 def velocity_change(pitches: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
@@ -145,7 +163,7 @@ def velocity_change(pitches: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
     rows = t.where((F.col("early_velo_n") >= cfg["min_pitches"]) & (F.col("recent_velo_n") >= cfg["min_pitches"]) & (F.abs("change") >= cfg["min_abs_mph"]))
     sql = _text(f"SELECT dt >= '{split}' AS since, sum(velo_sum) / sum(velo_n) AS velo FROM feature_pitch_daily WHERE player_id = '%s' AND pitch_type = '%s' AND dt BETWEEN '{as_of[:4]}-01-01' AND '{as_of}' GROUP BY 1", "player_id", "pitch_type")
     facts = {"pitch_type": F.col("pitch_type"), "direction": F.when(F.col("change") > 0, "up").otherwise("down"), "since": F.lit(split), "pitches_before": F.col("early_velo_n"), "pitches_since": F.col("recent_velo_n")}
-    return candidate(rows, "velocity_change", as_of, F.lit("MLB"), "player", F.col("player_id"), F.concat(F.lit("velo:"), "pitch_type"), F.col("recent"), F.col("early"), F.col("recent_velo_n"), F.abs("change"), facts, sql)
+    return candidate(rows, "velocity_change", as_of, F.lit("MLB"), "player", F.col("player_id"), F.concat(F.lit("velo:"), "pitch_type"), F.col("recent"), F.col("early"), F.col("recent_velo_n"), F.abs("change"), facts, sql, *_both("recent", "early", PITCH, "velo_sum", "velo_n", f"{as_of[:4]}-01-01", split, as_of, player=F.col("player_id"), pitch_type=F.col("pitch_type")))
 
 
 def ranked(found: DataFrame, top: int = TOP) -> DataFrame:

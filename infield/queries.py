@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from infield.functions import columns as fx
 from infield.operators import drivers as dr
-from infield.operators import gold, insights, ml, plays, quality
+from infield.operators import evidence, gold, insights, ml, plays, quality
 from infield.operators import pitch_features as pf
 from infield.operators import relational as r
 from infield.operators import silver as sv
-from infield.plans import publish
+from infield.plans import checks, publish
 from infield.plans import semantic as sem
 from infield.sources import lake
 
@@ -880,6 +880,45 @@ def I08_pitchers(spark, sf_dir):
     return found.select(F.col("player_id").alias("pitcher"), "metric", "since", "before", "z", "rank")
 
 
+_WOBA_DAYS = EV + """, d AS (SELECT dt, user_id AS player, count(*) AS pa, round(sum(value) / 100, 6) AS v FROM ev GROUP BY ALL),
+s AS (SELECT player, sum(pa) FILTER (WHERE dt >= '2024-01-17') AS n1, sum(v) FILTER (WHERE dt >= '2024-01-17') AS v1, sum(pa) FILTER (WHERE dt < '2024-01-17') AS n0, sum(v) FILTER (WHERE dt < '2024-01-17') AS v0 FROM d WHERE dt <= '2024-01-30' GROUP BY 1),
+c AS (SELECT player, round(v1 / n1, 4) AS value, round(v0 / n0, 4) AS baseline FROM s WHERE n1 >= 10 AND n0 >= 10 AND abs((v1 / n1 - v0 / n0) / (0.5 * sqrt(1.0 / n1 + 1.0 / n0))) >= 0.3)"""
+
+
+def _change_candidates(spark, sf_dir) -> tuple[DataFrame, dict[str, DataFrame]]:
+    e = events(spark, sf_dir)
+    zero = F.lit(0).cast("long")
+    daily = e.groupBy("dt", F.col("user_id").cast("string").alias("player_id")).agg(F.count("*").alias("pa"), F.count_if(F.col("value") > 60).alias("h"), F.round(F.sum("value") / 100, 6).alias("woba_value")).withColumns({"league_code": F.lit("MLB"), "woba_den": F.col("pa"), "so": zero, "bb": zero, "hr": zero})
+    found = insights.change_vs_baseline(daily, "2024-01-30", {"recent_days": 14, "min_recent_pa": 10, "min_baseline_pa": 10, "min_abs_z": 0.3, "woba_sd_per_pa": 0.5})
+    return found, {evidence.BATTER: daily}
+
+
+@query(_WOBA_DAYS + " SELECT CAST(player AS VARCHAR) AS subject_id, value + CASE WHEN player % 3 = 0 THEN 0.01 ELSE 0 END AS value, CAST(2 AS BIGINT) AS checks, CAST(CASE WHEN player % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS wrong, player % 3 <> 0 AS verified FROM c")
+def I09_evidence(spark, sf_dir):
+    """All candidates' numbers made again in one aggregate; every third states a wrong one."""
+    found, sources = _change_candidates(spark, sf_dir)
+    off = F.col("subject_id").cast("long") % 3 == 0
+    stated = found.withColumn("evidence", F.transform("evidence", lambda p: p.withField("expected", p["expected"] + F.when(off & (p["role"] == "value"), 0.01).otherwise(0.0))))
+    told = stated.select("insight_id", "subject_id", (F.col("value") + F.when(off, 0.01).otherwise(0.0)).alias("value"))
+    return told.join(evidence.verified(stated, sources), "insight_id").drop("insight_id")
+
+
+@query(_WOBA_DAYS + """, n AS (SELECT *, c_name AS name FROM c LEFT JOIN customer ON c_custkey = player) SELECT CAST(player AS VARCHAR) AS subject_id, name AS subject_name,
+list_filter([CASE WHEN player % 4 = 1 THEN 'number not in the evidence: 0.9999' END, CASE WHEN name IS NULL THEN 'subject not in the evidence: nobody' END, CASE WHEN player % 4 = 2 THEN 'no hashtags' END], lambda x: x IS NOT NULL) AS problems FROM n""")
+def I11_finding_checks(spark, sf_dir):
+    """Posts about candidates: a wrong number, an unknown name and a hashtag are found."""
+    found, sources = _change_candidates(spark, sf_dir)
+    players = t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("player_id"), F.col("c_name").alias("primary_name"))
+    known = evidence.named(found.withColumn("rank", F.lit(1)), players)
+    kind, name = F.col("subject_id").cast("long") % 4, F.coalesce("subject_name", F.lit("nobody"))
+    # names end in digits, which are no statement: posts name subjects without them
+    plain = known.withColumn("subject_name", F.regexp_replace("subject_name", "#.*", ""))
+    number = F.when(kind == 1, "0.9999").otherwise(F.col("value").cast("string"))
+    post = F.concat(F.regexp_replace(name, "#.*", ""), F.lit(" stands at "), number, F.when(kind == 2, " #wow").otherwise(""))
+    posts = known.select("subject_id", "subject_name", F.col("insight_id").alias("finding_id"), post.alias("post"), F.array(F.regexp_replace(name, "#.*", "")).alias("subjects"), F.array("insight_id").alias("cites"))
+    return evidence.check_findings(posts, plain, evidence.verified(found, sources)).select("subject_id", "subject_name", "problems")
+
+
 # Quality ------------------------------------------------------------------------------------------------
 
 @query("""WITH d AS (SELECT count(*) AS v FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)), f AS (SELECT count(*) AS v FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)), g AS (SELECT count(*) FILTER (WHERE l_discount < 0 OR l_discount > 0.08) AS v FROM lineitem)
@@ -907,6 +946,46 @@ def K10_publishable_names(spark, sf_dir):
     return lake.publishable(e)
 
 
+_MEASURED = [
+    checks.Measure("orders", "orders"), checks.Measure("repeated", "orders", checks.repeats("o_custkey")), checks.Measure("open", "orders", where="o_orderstatus = 'O'"),
+    checks.Measure("lines", "lines"), checks.Measure("returned", "lines", where="l_returnflag = 'R'"), checks.Measure("cheap", "lines", "min(l_quantity)", empty="cast(null as double)"),
+]
+_CHECKED = [
+    checks.Check("lines without orders", "lines", "orders > 0", "lines > 0"), checks.Check("one order a customer", "repeated", "repeated = 0"), checks.Check("returned share", "returned / nullif(lines, 0)", "returned / nullif(lines, 0) <= 0.5", "lines > 0", checks.SOFT),
+    checks.Check("smallest line", "cheap", "cheap >= 1", "lines > 0"), checks.Check("days with orders", "count_if(orders > 0)", "count_if(orders > 0) > 30", whole=True),
+]
+
+
+def _dated_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    dated = lambda name, c: t(spark, sf_dir, name).withColumn("dt", F.date_format(c, "yyyy-MM-dd"))
+    return {"orders": dated("orders", "o_orderdate").where("o_orderkey % 3 > 0"), "lines": dated("lineitem", "l_shipdate")}
+
+
+@query("""WITH o AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS dt, count(*) AS orders, count(o_custkey) - count(DISTINCT o_custkey) AS repeated FROM orders WHERE o_orderkey % 3 > 0 GROUP BY 1), l AS (SELECT strftime(l_shipdate, '%Y-%m-%d') AS dt, count(*) AS lines, count(*) FILTER (WHERE l_returnflag = 'R') AS returned, min(l_quantity) AS cheap FROM lineitem GROUP BY 1),
+d AS (SELECT dt, coalesce(orders, 0) AS orders, coalesce(repeated, 0) AS repeated, coalesce(lines, 0) AS lines, coalesce(returned, 0) AS returned, cheap FROM o FULL JOIN l USING (dt) WHERE dt BETWEEN '1994-01-01' AND '1995-12-31')
+SELECT dt, 'lines without orders' AS check_name, 'hard' AS severity, CAST(lines AS DOUBLE) AS value, CASE WHEN lines = 0 THEN 'skip' WHEN orders > 0 THEN 'pass' ELSE 'fail' END AS status FROM d UNION ALL SELECT dt, 'one order a customer', 'hard', repeated, CASE WHEN repeated = 0 THEN 'pass' ELSE 'fail' END FROM d
+UNION ALL SELECT dt, 'returned share', 'soft', CASE WHEN lines > 0 THEN CAST(returned AS DOUBLE) / lines END, CASE WHEN lines = 0 THEN 'skip' WHEN CAST(returned AS DOUBLE) / lines <= 0.5 THEN 'pass' ELSE 'fail' END FROM d UNION ALL SELECT dt, 'smallest line', 'hard', cheap, CASE WHEN lines = 0 THEN 'skip' WHEN cheap >= 1 THEN 'pass' ELSE 'fail' END FROM d
+UNION ALL SELECT NULL, 'days with orders', 'hard', count(*) FILTER (WHERE orders > 0), CASE WHEN count(*) FILTER (WHERE orders > 0) > 30 THEN 'pass' ELSE 'fail' END FROM d""")
+def G10_compiled_checks(spark, sf_dir):
+    """Declared checks of every day of two tables, by one aggregate a table."""
+    return checks.run(checks.by_day(_dated_tables(spark, sf_dir), _MEASURED, "1994-01-01", "1995-12-31"), _CHECKED)
+
+
+@query("SELECT DISTINCT strftime(l_shipdate, '%Y-%m-%d') AS dt FROM lineitem WHERE strftime(l_shipdate, '%Y-%m-%d') NOT IN (SELECT strftime(o_orderdate, '%Y-%m-%d') FROM orders WHERE o_orderkey % 3 > 0)")
+def J16_dates_without_games(spark, sf_dir):
+    """Days of lines without orders, from the measures of days; no rows are joined."""
+    daily = checks.by_day(_dated_tables(spark, sf_dir), [m for m in _MEASURED if m.name in ("orders", "lines")], "0000", "9999")
+    return checks.run(daily, _CHECKED[:1]).where("status = 'fail'").select("dt")
+
+
+@query("""WITH e AS (SELECT *, strftime(ts, '%Y-%m-%d') AS dt FROM events) SELECT 'events' AS table_name, unnest([{'measure': 'days', 'value': CAST(count(DISTINCT dt) AS DOUBLE)}, {'measure': 'rows', 'value': CAST(count(*) AS DOUBLE)}, {'measure': 'repeated', 'value': CAST(count(*) - count(DISTINCT (dt, user_id, event_type)) AS DOUBLE)},
+{'measure': 'first_dt', 'value': CAST(CAST(min(dt) AS DATE) - DATE '1970-01-01' AS DOUBLE)}, {'measure': 'last_dt', 'value': CAST(CAST(max(dt) AS DATE) - DATE '1970-01-01' AS DOUBLE)}, {'measure': 'null:props', 'value': round(avg(CASE WHEN props IS NULL OR trim(props) IN ('', '[]', '{}') THEN 1.0 ELSE 0.0 END), 6)}, {'measure': 'null:kind', 'value': round(avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END), 6)}], recursive := true) FROM e""")
+def G11_silver_audit(spark, sf_dir):
+    e = events(spark, sf_dir).withColumn("kind", F.when(F.col("event_type") == "error", "").otherwise(F.col("event_type")))
+    found = checks.silver_audit({"events": (e, ["user_id", "event_type"], ["props", "kind"])})
+    return found.select("table_name", "measure", F.round("value", 6).alias("value"))
+
+
 # State machine, features and further shapes --------------------------------------------------------------
 
 _TRACKED = """p AS (SELECT user_id AS g, event_id // 7 AS ab, event_id % 7 AS pn, (event_id // 70) % 9 AS inning, CASE WHEN (event_id // 35) % 2 = 0 THEN 'Top' ELSE 'Bot' END AS half, (event_id // 7) % 3 AS outs, CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN value > 50 THEN 2 ELSE 0 END AS bases,
