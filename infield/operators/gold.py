@@ -78,19 +78,25 @@ def game_sides(games: DataFrame) -> DataFrame:
 
 
 def collected(silver: Silver) -> DataFrame:
-    """Records for resolve(): players of rosters and bios (no staff), Korean names, and both teams of every game."""
+    """Records for resolve(): players of rosters and bios (no staff), Korean names, and both teams of every game.
+
+    ``nth`` puts rosters before bios, and equal ids of one entity in the order of their content, so that which comes first
+    does not depend on how rows are dealt.
+    """
     parts = []
-    for (source, entity), df in silver.items():
+    order = {"games": 0, "rosters": 0, "player_bios": 1}
+    for (source, entity), df in sorted(silver.items(), key=lambda kv: kv[0]):
+        at = lambda *content, part=order.get(entity, 2): F.struct(F.lit(part).alias("part"), F.to_json(F.struct(*[F.coalesce(c.cast("string"), F.lit("\uffff")).alias(f"c{i}") for i, c in enumerate(content)])).alias("row")).alias("nth")
         league = F.lit(fx.SOURCE_LEAGUE.get(source))
         if entity == "games":
             sides = game_sides(df)
-            parts.append(sides.select(F.lit("team").alias("entity_type"), F.lit(source).alias("source"), "source_id", "name", F.lit(None).cast("string").alias("dob"), F.lit(None).cast("string").alias("team"), league.alias("league"), "dt", F.monotonically_increasing_id().alias("nth")))
+            parts.append(sides.select(F.lit("team").alias("entity_type"), F.lit(source).alias("source"), "source_id", "name", F.lit(None).cast("string").alias("dob"), F.lit(None).cast("string").alias("team"), league.alias("league"), "dt", at(F.col("name"))))
         elif entity in ("rosters", "player_bios"):
             players = df.where(F.coalesce(_have(df, "role"), F.lit("player")) == "player")
-            parts.append(players.select(F.lit("player").alias("entity_type"), F.lit(source).alias("source"), F.col("player_id").cast("string").alias("source_id"), F.col("player_name").alias("name"), _have(df, "dob").alias("dob"), _have(df, "team_id").alias("team"), league.alias("league"), "dt", F.monotonically_increasing_id().alias("nth")))
+            parts.append(players.select(F.lit("player").alias("entity_type"), F.lit(source).alias("source"), F.col("player_id").cast("string").alias("source_id"), F.col("player_name").alias("name"), _have(df, "dob").alias("dob"), _have(df, "team_id").alias("team"), league.alias("league"), "dt", at(F.col("player_name"), _have(df, "dob"), _have(df, "team_id"))))
         elif source == "kbo_api" and entity.startswith("boxscore"):
             keyed = named_players(df)
-            parts.append(keyed.select(F.lit("player").alias("entity_type"), F.lit(source).alias("source"), F.col("player_key").alias("source_id"), F.col("player_name").alias("name"), F.lit(None).cast("string").alias("dob"), F.col("team_id").cast("string").alias("team"), league.alias("league"), "dt", F.monotonically_increasing_id().alias("nth")))
+            parts.append(keyed.select(F.lit("player").alias("entity_type"), F.lit(source).alias("source"), F.col("player_key").alias("source_id"), F.col("player_name").alias("name"), F.lit(None).cast("string").alias("dob"), F.col("team_id").cast("string").alias("team"), league.alias("league"), "dt", at(F.col("player_name"), F.col("team_id"))))
     return _union(parts)
 
 

@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from infield import gold_queries, registry
 from infield.functions import columns as fx
 from infield.operators import drivers as dr
 from infield.operators import evidence, gold, insights, ml, plays, quality
@@ -20,34 +21,9 @@ from infield.operators import relational as r
 from infield.operators import silver as sv
 from infield.plans import checks, publish
 from infield.plans import semantic as sem
+from infield.registry import EV, Query, events, query, t
 from infield.sources import lake
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t(spark, sf_dir, "events").withColumn("dt", F.date_format("ts", "yyyy-MM-dd"))
-
-
-EV = "WITH ev AS (SELECT *, strftime(ts, '%Y-%m-%d') AS dt FROM events)"
-
-
 # Scans --------------------------------------------------------------------------------------------------
 
 @query(EV + " SELECT strftime(d, '%Y-%m-%d') AS dt FROM (SELECT unnest(generate_series(CAST(min(dt) AS TIMESTAMP), CAST(max(dt) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM ev)")
@@ -1100,9 +1076,12 @@ def E09_dashboard_totals(spark, sf_dir):
     return t(spark, sf_dir, "customer").groupBy(F.col("c_mktsegment").alias("segment")).agg(F.count("*").alias("players"), F.round(F.sum("c_acctbal"), 2).alias("total"), F.round(F.max("c_acctbal"), 2).alias("best"))
 
 
+assert gold_queries  # registers its queries, too
+
+
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return dict(registry.SQL)

@@ -6,9 +6,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
+from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -73,15 +75,112 @@ def bronze(df: DataFrame) -> DataFrame:
     return latest_fetch(df, ["dt"], "response_checksum", "ingested_at_utc")
 
 
-def json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Records of JSON files; unreadable ones are dropped."""
-    return spark.read.schema(schema).option("multiLine", "true").option("mode", "DROPMALFORMED").json(path)
+CORRUPT = "_corrupt_record"
+
+
+def json_records(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:
+    """Records of JSON files, a list or a single object each, with the file of each; an unreadable one keeps a row.
+
+    Such a row has its text in _corrupt_record and nulls elsewhere. counted_write() counts these rows and leaves them out;
+    readable() leaves them out uncounted.
+    """
+    reader = spark.read.schema(f"{schema}, {CORRUPT} string").option("multiLine", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(path if isinstance(path, str) else list(path)).withColumn("file", F.col("_metadata.file_path"))
+
+
+def json_lines(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:
+    """The same for files of one record a line, which tasks share."""
+    reader = spark.read.schema(f"{schema}, {CORRUPT} string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(path if isinstance(path, str) else list(path)).withColumn("file", F.col("_metadata.file_path"))
+
+
+def readable(records: DataFrame) -> DataFrame:
+    return records.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+AUDIT = "stage string, table_name string, started_at_utc string, seconds double, rows long, bad_rows long, bad_files long, days long, status string, error string, dt string"
+
+
+def append_audit(spark: SparkSession, root: str, row: Mapping[str, object], table: str = "audit_run") -> None:
+    """Adds one row to the run audit, which is never rewritten."""
+    schema = T._parse_datatype_string(AUDIT)
+    spark.createDataFrame([tuple(row.get(f.name) for f in schema)], schema).coalesce(1).write.mode("append").partitionBy("dt").parquet(f"{root}/{table}")
+
+
+def counted_write(records: DataFrame, root: str, table: str, covered: Sequence[str], stage: str, make: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, object]:
+    """Writes the days ``covered`` of a table from ``records``, and what was read and left out to the run audit.
+
+    Rows, corrupt rows and their files, and the days that came are counted by the job that writes, by observation: the
+    input is read once. ``make`` turns readable records into rows (with dt). Days outside ``covered`` are left out. A covered
+    day without rows ends up empty. If the write fails, the audit says so and the error is raised.
+    """
+    spark = records.sparkSession
+    started, clock = datetime.now(UTC), time.perf_counter()
+    read_in, written = Observation(), Observation()
+    bad = F.col(CORRUPT).isNotNull() if CORRUPT in records.columns else F.lit(False)
+    file = F.col("file") if "file" in records.columns else F.lit(None).cast("string")
+    seen = records.observe(read_in, F.count("*").alias("read"), F.count_if(bad).alias("bad_rows"), F.size(F.collect_set(F.when(bad, file))).alias("bad_files"))
+    good = seen.where(~bad).drop(CORRUPT, "file")
+    rows = make(good).where(F.col("dt").isin(list(covered))).withColumn("ingested_at_utc", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    rows = rows.observe(written, F.count("*").alias("rows"), F.collect_set("dt").alias("days"))
+    told: dict[str, object] = {"stage": stage, "table_name": table, "started_at_utc": started.strftime("%Y-%m-%dT%H:%M:%SZ"), "dt": started.strftime("%Y-%m-%d")}
+    try:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(f"{root}/{table}")
+        a, b = read_in.get, written.get
+        _empty_days(spark, root, table, set(covered) - set(b["days"]))
+        told |= {"rows": b["rows"], "bad_rows": a["bad_rows"], "bad_files": a["bad_files"], "days": len(b["days"]), "status": "partial" if a["bad_rows"] else "ok"}
+    except Exception as e:
+        append_audit(spark, root, told | {"seconds": round(time.perf_counter() - clock, 3), "status": "failed", "error": str(e)[:200]})
+        raise
+    append_audit(spark, root, told | {"seconds": round(time.perf_counter() - clock, 3)})
+    return told
+
+
+def _empty_days(spark: SparkSession, root: str, table: str, days: set[str]) -> None:
+    """Deletes days by name: dynamic overwrite leaves those without new rows alone."""
+    for d in sorted(days):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/dt={d}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def csv_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", "true").csv(path)
 
 
+def listing(spark: SparkSession, root: str, names: str = "*.csv") -> DataFrame:
+    """path, size and modified of the files under ``root``, and the season in each one's path (its last four digits there that are a year).
+
+    Files are listed, not read.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", "true").load(root)
+    years = F.regexp_extract_all("path", F.lit(r"(?<!\d)((?:18|19|20)\d\d)(?!\d)"), F.lit(1))
+    return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"), F.try_element_at(years, F.lit(-1)).cast("int").alias("season"))
+
+
+def iso_day(column: str | Column) -> Column:
+    """A day as ISO text from ISO text, digits or the start of a time stamp; null for anything else."""
+    c = F.trim((F.col(column) if isinstance(column, str) else column).cast("string"))
+    digits = F.regexp_replace(c, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return F.nullif(F.regexp_extract(digits, r"^(\d{4}-\d{2}-\d{2})", 1), F.lit(""))
+
+
+def csv_range(spark: SparkSession, root: str, schema: str, date_column: str | None, start: str, end: str, names: str = "*.csv") -> DataFrame | None:
+    """Rows of sharded CSV files from ``start`` to ``end``, with dt and file; None if no file may have any.
+
+    Only files of the range's seasons, or of none, are opened, whatever there is beside them; the rest of the range is a
+    filter on the day. Without a date column rows count for their file's season. Files whose header is not ``schema``'s are
+    an error, as columns would be taken for others.
+    """
+    first, last = int(start[:4]), int(end[:4])
+    chosen = listing(spark, root, names).where(F.col("season").isNull() | F.col("season").between(first, last)).select("path").collect()  # a row a file
+    if not chosen:
+        return None
+    df = spark.read.schema(schema).option("header", "true").option("enforceSchema", "false").csv(sorted(r.path for r in chosen)).withColumn("file", F.col("_metadata.file_path"))
+    if date_column is None:
+        return df
+    return df.withColumn("dt", iso_day(date_column)).where(F.col("dt").between(start, end))
+
+
 def on_day(df: DataFrame, column: str, dt: str) -> DataFrame:
     """Rows whose date column is the day, as ISO text, as digits, or as the start of a time stamp."""
     c = F.col(column).cast("string")
@@ -122,9 +221,7 @@ def write_days(df: DataFrame, root: str, table: str, covered: Sequence[str], for
     rows = df.where(F.col("dt").isin(wanted)).withColumn("ingested_at_utc", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     made = {r.dt for r in rows.select("dt").distinct().collect()}
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(f"{root}/{table}")
-    for d in sorted(set(wanted) & existing - made):
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/dt={d}")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _empty_days(spark, root, table, set(wanted) & existing - made)
 
 
 def publish_range(layer: DataFrame, root: str, table: str, start: str, end: str) -> None:
