@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from infield.operators import entities as en
 from infield.operators import gold
 from infield.plans import dashboard as db
 from infield.plans import semantic as sem
@@ -206,6 +207,66 @@ def E10_run_expectancy_of_season(spark, sf_dir):
     return db.run_expectancy_of_season(matrix, 2024).select("dt", "league_code", "base_state", "outs", "pa_count", "runs")
 
 
+# Entities -----------------------------------------------------------------------------------------------
+
+def _batched(spark, sf_dir) -> DataFrame:
+    """Events as responses of a day for each user, batched as the source's games are; every 13th response is no JSON."""
+    e = events(spark, sf_dir)
+    record = F.struct(F.col("event_id").cast("string").alias("PlayerID"), "value")
+    one = e.groupBy("dt", F.col("user_id").cast("string").alias("game_id")).agg(F.to_json(F.struct(F.sort_array(F.collect_list(record)).alias("data"))).alias("body_text"))
+    one = one.withColumn("body_text", F.when(F.col("game_id").cast("long") % 13 == 0, "<html>").otherwise(F.col("body_text")))
+    return one.groupBy("dt").agg(F.to_json(F.struct(F.collect_list(F.struct("game_id", "body_text")).alias("games"))).alias("body_text"))
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS dt, CAST(user_id AS VARCHAR) AS game_id, event_id, value FROM events WHERE user_id % 13 > 0")
+def P11_game_stats(spark, sf_dir):
+    """Records of batched responses by game, whole and with their JSON."""
+    rows = en.normalised(en.by_name(en.NPB, "game_batter_stats"), _batched(spark, sf_dir))
+    return rows.select("dt", "game_id", F.get_json_object("raw_json", "$.PlayerID").cast("long").alias("event_id"), F.get_json_object("raw_json", "$.value").cast("double").alias("value"))
+
+
+@query("SELECT '1995-01-01' AS dt, CAST(n_nationkey AS VARCHAR) AS team_id, n_name AS team_name, CAST(n_regionkey AS BIGINT) AS w, CAST(0 AS BIGINT) AS l, CASE WHEN n_nationkey % 2 = 0 THEN CAST(n_nationkey AS BIGINT) END AS t, '.' || n_nationkey AS pct FROM nation")
+def P11_standings(spark, sf_dir):
+    """Standings by their specification: typed columns, zeros kept."""
+    k = F.col("n_nationkey")
+    n = t(spark, sf_dir, "nation").select(F.lit("1995-01-01").alias("dt"), F.struct(k.alias("TeamID"), F.col("n_name").alias("TeamName"), F.col("n_regionkey").alias("Win"), F.lit(0).alias("Lose"), F.when(k % 2 == 0, k.cast("string")).otherwise("-").alias("Tie"), F.concat(F.lit("."), k.cast("string")).alias("WinRate")).alias("r"))
+    body = n.groupBy("dt").agg(F.to_json(F.struct(F.collect_list("r").alias("standings"))).alias("body_text"))
+    return en.normalised(en.by_name(en.NPB, "standings"), body).select("dt", "team_id", "team_name", "w", "l", "t", "pct")
+
+
+@query("SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS dt, CAST(o_custkey AS VARCHAR) AS team_id FROM orders WHERE o_custkey % 10 > 0")
+def N08_fan_out(spark, sf_dir):
+    """Each id that a day's records name, once, whatever the number of records."""
+    c = F.col("o_custkey")
+    raw = t(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"), F.to_json(F.struct(F.when(c % 2 == 0, F.when(c % 10 == 0, "").otherwise(c.cast("string"))).alias("TeamID"), F.when(c % 2 == 1, c).alias("team_id"))).alias("raw_json"))
+    return en.fan_out(en.by_name(en.NPB, "rosters"), raw, ["TeamID", "team_id"])
+
+
+@query("WITH l AS (SELECT strftime(o_orderdate, '%Y-%m-%d') AS dt, CAST(o_custkey AS VARCHAR) AS player_id, min(o_orderstatus) AS name FROM orders GROUP BY ALL), r AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS dt, CAST(o_custkey AS VARCHAR) AS player_id FROM orders WHERE o_orderstatus = 'F') SELECT dt, player_id, name FROM l ANTI JOIN r USING (dt, player_id)")
+def J04_unlisted(spark, sf_dir):
+    """Players of the season's list who are on no roster of the day."""
+    o = t(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"), F.col("o_custkey").cast("string").alias("player_id"), F.col("o_orderstatus").alias("name"))
+    return en.unlisted(o, o.where("name = 'F'"))
+
+
+@query("SELECT DISTINCT 'txn' || o_orderkey AS transaction, CASE WHEN o_orderkey % 4 > 0 THEN 't' || (o_custkey % 25) END AS team, 'p' || o_custkey AS player, o_orderstatus AS transaction_type, strftime(o_orderdate, '%Y-%m-%d') AS effective_dt FROM orders")
+def P21_transactions(spark, sf_dir):
+    """Moves with the bridge's ids; those that the bridge lacks are derived, which the query leaves out."""
+    o, c = t(spark, sf_dir, "orders"), F.col("o_custkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    moves = o.select(F.col("o_orderkey").cast("string").alias("transaction_id"), F.when(F.col("o_orderkey") % 4 > 0, (c % 25).cast("string")).alias("team_id"), c.cast("string").alias("player_id"), F.col("o_orderstatus").alias("type_desc"), day.alias("date"), F.concat(F.lit("txn"), F.col("o_orderkey").cast("string")).alias("description"), day.alias("dt"))
+    entries = lambda kind, prefix, ids: ids.select(F.lit(kind).alias("entity_type"), F.lit("mlb_statsapi").alias("source"), F.col("id").cast("string").alias("source_id"), F.concat(F.lit(prefix), F.col("id").cast("string")).alias("canonical_id"))
+    bridge = entries("team", "t", o.select((c % 25).alias("id")).distinct()).unionByName(entries("player", "p", o.select(c.alias("id")).distinct()))
+    found = gold.fact_transaction(moves.unionByName(moves.where("team_id is null")), bridge)
+    return found.select(F.col("details").alias("transaction"), F.col("team_id").alias("team"), F.col("player_id").alias("player"), "transaction_type", "effective_dt")
+
+
+@query("SELECT o_orderkey, round(o_totalprice / 7, 6) AS share, strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderkey % 2 = 0 AS even FROM orders")
+def P27_json_safe(spark, sf_dir):
+    o = t(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_totalprice") / 7).alias("share"), F.to_date("o_orderdate").alias("day"), (F.col("o_orderkey") % 2 == 0).alias("even"))
+    return sem.json_safe(o)
+
+
 # Files --------------------------------------------------------------------------------------------------
 
 def _folder(spark, name: str) -> str:

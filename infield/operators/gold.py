@@ -204,6 +204,15 @@ def fact_roster(silver: Silver, bridge: DataFrame) -> DataFrame:
     return _union(parts).dropDuplicates()
 
 
+def fact_transaction(transactions: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Moves of players; repeated rows of a day count once."""
+    r = transactions.withColumnsRenamed({"team_id": "_team", "player_id": "_player"})
+    r = plays.with_entity(plays.with_entity(r, bridge, "team", "mlb_statsapi", "_team", "team_id"), bridge, "player", "mlb_statsapi", "_player", "player_id")
+    return r.select(
+        fx.canonical_id(F.concat(F.lit("txn:"), F.col("transaction_id").cast("string"))).alias("transaction_id"), F.lit("MLB").alias("league_code"), "team_id", "player_id", F.col("type_desc").alias("transaction_type"), F.col("date").alias("effective_dt"), F.col("description").alias("details"), "dt", F.lit("mlb_statsapi").alias("source"),
+    ).dropDuplicates()
+
+
 def fact_pitch(pitches: DataFrame, bridge: DataFrame) -> DataFrame:
     p = pitches.withColumnsRenamed({"batter_id": "_b", "pitcher_id": "_p"})
     p = plays.with_entity(plays.with_entity(p, bridge, "player", "mlb_statsapi", "_b", "batter_id"), bridge, "player", "mlb_statsapi", "_p", "pitcher_id")

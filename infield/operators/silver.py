@@ -137,7 +137,7 @@ def npb_plays(rows: DataFrame) -> DataFrame:
 
 def npb_standings(rows: DataFrame) -> DataFrame:
     """Standings; a zero is a zero, pct and games behind are text."""
-    return rows.select(_json("TeamID", "team_id").alias("team_id"), fx.to_long(_json("Win", "w")).alias("w"), fx.to_long(_json("Lose", "l")).alias("l"), fx.to_long(_json("Draw", "t")).alias("t"), _json("WinAvg", "pct").alias("pct"), _json("GameDiff", "gb").alias("gb"), "dt")
+    return rows.select(_json("TeamID", "team_id").alias("team_id"), fx.to_long(_json("Win", "w")).alias("w"), fx.to_long(_json("Lose", "l")).alias("l"), fx.to_long(_json("Tie", "Draw", "t")).alias("t"), _json("WinRate", "WinAvg", "pct").alias("pct"), _json("GameBehind", "GameDiff", "gb").alias("gb"), "dt")
 
 
 def kbo_games(rows: DataFrame) -> DataFrame:
