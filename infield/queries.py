@@ -61,11 +61,9 @@ def S17_range_scan(spark, sf_dir):
     return lake.between(events(spark, sf_dir), "2024-01-10", "2024-01-16").select("event_id", "dt", "user_id", "value")
 
 
-@query("WITH o AS (SELECT c_mktsegment, o_orderkey, o_orderdate, max(o_orderdate) OVER (PARTITION BY c_mktsegment) AS m FROM orders JOIN customer ON o_custkey = c_custkey) SELECT c_mktsegment, o_orderkey, o_orderdate FROM o WHERE o_orderdate = m")
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS dt FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)")
 def S18_latest_snapshot(spark, sf_dir):
-    o = t(spark, sf_dir, "orders").join(t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    newest = o.groupBy("c_mktsegment").agg(F.max("o_orderdate").alias("o_orderdate"))
-    return o.join(newest, ["c_mktsegment", "o_orderdate"], "left_semi").select("c_mktsegment", "o_orderkey", "o_orderdate")
+    return lake.as_of(t(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt")))
 
 
 @query(EV + " SELECT event_id, user_id FROM ev WHERE dt = (SELECT max(dt) FROM ev)")
@@ -73,9 +71,11 @@ def F04_newest_day(spark, sf_dir):
     return r.latest_snapshot(events(spark, sf_dir)).select("event_id", "user_id")
 
 
-@query(EV + " SELECT max(dt) AS dt FROM ev WHERE dt < '2024-01-15'")
+@query(EV + " SELECT event_id, dt FROM ev WHERE dt = (SELECT max(dt) FROM ev WHERE dt < '2024-01-15')")
 def S18_day_before(spark, sf_dir):
-    return events(spark, sf_dir).where(F.col("dt") < "2024-01-15").agg(F.max("dt").alias("dt"))
+    """The rows of the newest day before a day."""
+    e = events(spark, sf_dir).select("event_id", "dt")
+    return lake.as_of(e, lake.newest_before(e, "2024-01-15"))
 
 
 # De-duplication and ordered state -----------------------------------------------------------------------
@@ -113,13 +113,12 @@ def A03_state_value(spark, sf_dir):
     return rows.groupBy("event_type", "nth").agg(F.count("*").alias("n"), F.round(F.sum("rest"), 4).alias("total"), F.round(F.sum("rest") / F.count("*"), 4).alias("expected"))
 
 
-@query(EV + """, d AS (SELECT dt, event_type, count(*) AS n, sum(value) AS total FROM ev WHERE value < 50 GROUP BY ALL), days AS (SELECT DISTINCT dt FROM ev), f AS (SELECT event_type, min(dt) AS first FROM d GROUP BY event_type)
-SELECT days.dt, f.event_type, CAST(sum(coalesce(d.n, 0)) OVER w AS BIGINT) AS n, round(sum(coalesce(d.total, 0)) OVER w, 4) AS total FROM f JOIN days ON days.dt >= f.first LEFT JOIN d ON d.dt = days.dt AND d.event_type = f.event_type WINDOW w AS (PARTITION BY f.event_type ORDER BY days.dt)""")
+@query(EV + """, d AS (SELECT dt, event_id % 8 AS base_state, event_id % 3 AS outs, count(*) AS n, sum(CAST(floor(value) AS BIGINT) % 7) AS r FROM ev WHERE value BETWEEN 0 AND 300 GROUP BY ALL), days AS (SELECT DISTINCT dt FROM ev), f AS (SELECT base_state, outs, min(dt) AS first FROM d GROUP BY ALL)
+SELECT days.dt, CAST(f.base_state AS BIGINT) AS base_state, CAST(f.outs AS BIGINT) AS outs, CAST(sum(coalesce(d.n, 0)) OVER w AS BIGINT) AS pa_count, CAST(sum(coalesce(d.r, 0)) OVER w AS BIGINT) AS runs FROM f JOIN days ON days.dt >= f.first LEFT JOIN d ON d.dt = days.dt AND d.base_state = f.base_state AND d.outs = f.outs WINDOW w AS (PARTITION BY f.base_state, f.outs ORDER BY days.dt)""")
 def A03_cumulative(spark, sf_dir):
-    e = events(spark, sf_dir).withColumn("season", F.substring("dt", 1, 4))
-    daily = e.where("value < 50").groupBy("dt", "season", "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
-    out = r.dense_running_sums(daily, e.select("dt", "season").distinct(), ["event_type"], "dt", "season", ["n", "total"])
-    return out.select("dt", "event_type", "n", F.round("total", 4).alias("total"))
+    """The season so far of each state on each day, days without one of its rows included."""
+    pas = _states(spark, sf_dir)
+    return gold.run_expectancy(gold.run_expectancy_daily(pas), pas.select("dt")).select("dt", F.col("base_state").cast("long").alias("base_state"), F.col("outs").cast("long").alias("outs"), "pa_count", "runs")
 
 
 @query(EV + " SELECT event_id, lead(event_type) OVER w AS next_event_type, lead(value) OVER w AS next_value FROM ev WINDOW w AS (PARTITION BY user_id, dt ORDER BY ts, event_id)")
@@ -162,9 +161,11 @@ def W07_streaks(spark, sf_dir):
 @query(_DAYS + """, i AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY dt) - row_number() OVER (PARTITION BY user_id, hit ORDER BY dt) AS g FROM d), s AS (SELECT user_id, min(dt) AS start_dt, max(dt) AS end_dt, count(*) AS length FROM i WHERE hit = 1 GROUP BY user_id, g),
 l AS (SELECT user_id, max(dt) AS end_dt FROM d GROUP BY user_id) SELECT user_id, start_dt, end_dt, length FROM s JOIN l USING (user_id, end_dt) WHERE length >= 2 AND end_dt >= '2024-01-28'""")
 def I01_active_streaks(spark, sf_dir):
-    d = _hit_days(spark, sf_dir)
-    last = d.groupBy("user_id").agg(F.max("dt").alias("end_dt"))
-    return r.streaks(d, ["user_id"], ["dt"], F.col("hit") == 1, "dt").join(last, ["user_id", "end_dt"]).where("length >= 2 and end_dt >= '2024-01-28'").select("user_id", "start_dt", "end_dt", "length")
+    """Streaks that are still on, as candidates."""
+    daily = _hit_days(spark, sf_dir).select("dt", F.col("user_id").cast("string").alias("player_id"), F.lit("MLB").alias("league_code"), F.lit(1).alias("pa"), F.col("hit").alias("h"))
+    found = insights.hitting_streaks(daily, "2024-01-30", {"min_games": 2, "max_days_since_last_game": 2})
+    fact = lambda name: F.get_json_object("facts_json", f"$.{name}").alias(name)
+    return found.select(F.col("subject_id").cast("long").alias("user_id"), fact("start_dt"), fact("end_dt"), F.col("value").cast("long").alias("length"))
 
 
 @query("""WITH c AS (SELECT c_custkey, c_mktsegment, c_acctbal, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) AS n FROM customer), b AS (SELECT *, max(c_acctbal) OVER (PARTITION BY c_mktsegment) AS best FROM c WHERE n <= 6)
@@ -202,10 +203,11 @@ def X02_short_hash(spark, sf_dir):
     return t(spark, sf_dir, "customer").select(fx.short_hash("c_custkey", "c_name").alias("id"), "c_custkey")
 
 
-@query("SELECT o_orderkey, coalesce(c_name, 'derived:' || o_custkey) AS player FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o_custkey = c_custkey")
+@query(f"SELECT o_orderkey, coalesce(c_name, {_id_sql(chr(39) + 'player:source:tpch:' + chr(39) + ' || o_custkey')}) AS player FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o_custkey = c_custkey")
 def J01_bridge_or_hash(spark, sf_dir):
-    bridge = t(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    return t(spark, sf_dir, "orders").join(bridge, "o_custkey", "left").select("o_orderkey", F.coalesce("c_name", F.concat(F.lit("derived:"), F.col("o_custkey").cast("string"))).alias("player"))
+    """Ids of the bridge, else derived ones."""
+    bridge = t(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.lit("player").alias("entity_type"), F.lit("tpch").alias("source"), F.col("c_custkey").cast("string").alias("source_id"), F.col("c_name").alias("canonical_id"))
+    return plays.with_entity(t(spark, sf_dir, "orders"), bridge, "player", "tpch", "o_custkey", "player").select("o_orderkey", "player")
 
 
 @query("""WITH o AS (SELECT o_custkey AS k, count(*) AS orders FROM orders WHERE o_totalprice > 300000 GROUP BY 1), c AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -c_custkey END AS k, c_name AS name FROM customer)
@@ -302,9 +304,16 @@ def A01_day_lines(spark, sf_dir):
     return ml.batter_daily(pas, cfg).select("dt", F.col("player_id").cast("long").alias("user_id"), "pa", F.col("h").cast("long").alias("h"), F.col("ab").cast("long").alias("ab"), F.col("woba_value").alias("weight"))
 
 
-@query(EV + " SELECT dt, event_type, count(*) AS pa_count, round(sum(value), 4) AS runs FROM ev WHERE value BETWEEN 0 AND 300 GROUP BY ALL")
+def _states(spark, sf_dir) -> DataFrame:
+    """Events as plate appearances of a state; beyond a value their runs are unknown."""
+    i = F.col("event_id")
+    return events(spark, sf_dir).select("dt", F.lit("mlb_statcast").alias("source"), (i % 8).alias("base_state_before"), (i % 3).alias("outs_before"), F.when(F.col("value").between(0, 300), F.floor("value").cast("long") % 7).alias("runs_to_end_of_inning"))
+
+
+@query(EV + " SELECT dt, 'MLB' AS league_code, CAST(event_id % 8 AS BIGINT) AS base_state, CAST(event_id % 3 AS BIGINT) AS outs, count(*) AS pa_count, CAST(sum(CAST(floor(value) AS BIGINT) % 7) AS BIGINT) AS runs FROM ev WHERE value BETWEEN 0 AND 300 GROUP BY ALL")
 def A02_daily_counts(spark, sf_dir):
-    return events(spark, sf_dir).where(F.col("value").between(0, 300)).groupBy("dt", "event_type").agg(F.count("*").alias("pa_count"), F.round(F.sum("value"), 4).alias("runs"))
+    """Counts and runs of each day and state; what says no state or runs doesn't count."""
+    return gold.run_expectancy_daily(_states(spark, sf_dir)).select("dt", "league_code", F.col("base_state").cast("long").alias("base_state"), F.col("outs").cast("long").alias("outs"), "pa_count", "runs")
 
 
 @query(EV + " SELECT user_id, round(coalesce(sum(value), 0), 4) AS value, CAST(coalesce(sum(n), 0) AS BIGINT) AS n FROM (SELECT *, 1 AS n FROM ev) WHERE dt BETWEEN '2024-01-14' AND '2024-01-20' GROUP BY user_id")
@@ -619,10 +628,15 @@ def P05_measures(spark, sf_dir):
     return t(spark, sf_dir, "customer").select("c_custkey", sv.height_cm(height).cast("double").alias("height_cm"), sv.weight_kg((150 + k % 90).cast("string")).alias("weight_kg"))
 
 
-@query("SELECT n_nationkey, n_regionkey AS line FROM nation")
+@query("SELECT 'g' || n_regionkey AS game_id, CASE WHEN n_nationkey % 2 = 0 THEN 'h' ELSE 'a' END AS team_id, 'p' || n_nationkey AS player_id, CAST(n_nationkey AS BIGINT) AS ab, CAST(n_nationkey % 4 AS BIGINT) AS h, CAST(NULL AS BIGINT) AS rbi FROM nation WHERE n_nationkey > 0")
 def P07_map_values(spark, sf_dir):
-    n = t(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("ID"), F.col("n_nationkey").cast("string")), F.struct("n_nationkey")))).alias("players"))
-    return n.select(F.explode(F.map_values("players")).alias("p"), F.col("n_regionkey").alias("line")).select("p.n_nationkey", "line")
+    """Box scores, whose players are the values of a map by id; who didn't bat has no line."""
+    k = F.col("n_nationkey")
+    line = F.struct(F.struct(F.concat(F.lit("p"), k.cast("string")).alias("id")).alias("person"), F.struct(F.struct(k.cast("string").alias("atBats"), (k % 4).alias("hits"), F.lit("-").alias("rbi")).alias("batting")).alias("stats"))
+    n = t(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("game")).agg(*[F.map_from_entries(F.collect_list(F.when(k % 2 == odd, F.struct(F.concat(F.lit("ID"), k.cast("string")), line)))).alias(side) for side, odd in (("home", 0), ("away", 1))])
+    team = lambda side: F.struct(F.struct(F.lit("h" if side == "home" else "a").alias("id")).alias("team"), F.col(side).alias("players")).alias(side)
+    body = n.select(F.lit("2024-05-01").alias("dt"), F.to_json(F.struct(F.concat(F.lit("g"), F.col("game").cast("string")).alias("gamePk"), F.struct(team("home"), team("away")).alias("teams"))).alias("body_text"))
+    return sv.mlb_boxscore(body, "batting").select("game_id", "team_id", "player_id", "ab", "h", "rbi")
 
 
 @query("SELECT vec_id, CAST(i AS INTEGER) AS nth, round(embedding[i + 1], 4) AS a, CASE WHEN i < 3 THEN round(embedding[i + 5], 4) END AS b FROM embeddings, range(4) g(i)")
@@ -761,12 +775,13 @@ def E_guarded_sql(spark, sf_dir):
 
 # Insights -----------------------------------------------------------------------------------------------
 
-@query(EV + """, u AS (SELECT user_id, count(*) FILTER (WHERE dt >= '2024-01-17') AS n1, count(*) FILTER (WHERE dt < '2024-01-17') AS n0, sum(CASE WHEN dt >= '2024-01-17' THEN value END) AS v1, sum(CASE WHEN dt < '2024-01-17' THEN value END) AS v0 FROM ev GROUP BY 1)
-SELECT user_id, round((v1 / n1 - v0 / n0) / (80.0 * sqrt(1.0 / n1 + 1.0 / n0)), 4) AS z FROM u WHERE n1 >= 10 AND n0 >= 10""")
+@query(EV + """, u AS (SELECT user_id, count(*) FILTER (WHERE dt >= '2024-01-17') AS n1, count(*) FILTER (WHERE dt < '2024-01-17') AS n0, sum(CASE WHEN dt >= '2024-01-17' THEN value END) AS v1, sum(CASE WHEN dt < '2024-01-17' THEN value END) AS v0 FROM ev WHERE dt <= '2024-01-30' GROUP BY 1)
+SELECT user_id, round(abs((v1 / n1 - v0 / n0) / (80.0 * sqrt(1.0 / n1 + 1.0 / n0))), 3) AS score, n1 AS sample_size FROM u WHERE n1 >= 10 AND n0 >= 10""")
 def I02_z_scores(spark, sf_dir):
-    late = F.col("dt") >= "2024-01-17"
-    u = events(spark, sf_dir).groupBy("user_id").agg(F.count_if(late).alias("n1"), F.count_if(~late).alias("n0"), F.sum(F.when(late, F.col("value"))).alias("v1"), F.sum(F.when(~late, F.col("value"))).alias("v0")).where("n1 >= 10 and n0 >= 10")
-    return u.select("user_id", F.round(fx.mean_z(fx.ratio("v1", "n1"), F.col("n1"), fx.ratio("v0", "n0"), F.col("n0"), 80.0), 4).alias("z"))
+    """Changes against a baseline, as candidates."""
+    daily = events(spark, sf_dir).select("dt", F.col("user_id").cast("string").alias("player_id"), F.lit("MLB").alias("league_code"), F.lit(1).alias("pa"), F.col("value").alias("woba_value"), F.lit(1).alias("woba_den"))
+    found = insights.change_vs_baseline(daily, "2024-01-30", {"recent_days": 14, "min_recent_pa": 10, "min_baseline_pa": 10, "min_abs_z": 0.0, "woba_sd_per_pa": 80.0})
+    return found.select(F.col("subject_id").cast("long").alias("user_id"), "score", "sample_size")
 
 
 @query(EV + """, w AS (SELECT event_type, CAST((day(ts) - 1) // 10 AS INTEGER) AS part, count(*) AS n, count(*) FILTER (WHERE value > 100) AS x FROM ev GROUP BY ALL), l AS (SELECT *, lag(n) OVER o AS pn, lag(x) OVER o AS px, lead(n) OVER o IS NULL AS newest FROM w WINDOW o AS (PARTITION BY event_type ORDER BY part))
@@ -995,23 +1010,31 @@ def T01_plate_appearances(spark, sf_dir):
 _SPANS = EV + ", s AS (SELECT user_id, event_type, count(*) FILTER (WHERE dt < '2024-01-16') AS early_n, count(*) FILTER (WHERE dt >= '2024-01-16') AS recent_n, sum(CASE WHEN dt < '2024-01-16' THEN value ELSE 0 END) AS early_v, sum(CASE WHEN dt >= '2024-01-16' THEN value ELSE 0 END) AS recent_v FROM ev GROUP BY ALL)"
 
 
-def _spans(spark, sf_dir) -> DataFrame:
-    rows = events(spark, sf_dir).select("dt", F.col("user_id").alias("player_id"), F.col("event_type").alias("pitch_type"), F.lit(1).alias("pitches"), (F.col("value") > 20).cast("int").alias("swings"), (F.col("value") > 100).cast("int").alias("whiffs"), F.col("value").alias("velo_sum"), F.lit(1).alias("velo_n"), F.col("value").alias("xwoba_value"), F.lit(1).alias("woba_den"))
-    return insights.pitcher_spans(rows, "2024-01-30", 15)
+def _thrown(spark, sf_dir) -> DataFrame:
+    """Events as pitches of their type."""
+    return events(spark, sf_dir).select("dt", F.col("user_id").cast("string").alias("player_id"), F.col("event_type").alias("pitch_type"), F.lit(1).alias("pitches"), (F.col("value") > 20).cast("int").alias("swings"), (F.col("value") > 100).cast("int").alias("whiffs"), F.col("value").alias("velo_sum"), F.lit(1).alias("velo_n"), F.col("value").alias("xwoba_value"), F.lit(1).alias("woba_den"))
+
+
+@query(_SPANS + " SELECT CAST(user_id AS VARCHAR) AS player_id, event_type AS pitch_type, CAST(early_n AS BIGINT) AS early_pitches, CAST(recent_n AS BIGINT) AS recent_pitches, round(early_v, 4) AS early_velo_sum, round(recent_v, 4) AS recent_velo_sum FROM s")
+def A08_pitcher_spans(spark, sf_dir):
+    """Sums of two spans side by side."""
+    s = insights.pitcher_spans(_thrown(spark, sf_dir), "2024-01-30", 15)
+    return s.select("player_id", "pitch_type", "early_pitches", "recent_pitches", *[F.round(c, 4).alias(c) for c in ("early_velo_sum", "recent_velo_sum")])
 
 
-@query(_SPANS + ", w AS (SELECT *, sum(early_n) OVER p AS e, sum(recent_n) OVER p AS r FROM s WINDOW p AS (PARTITION BY user_id)) SELECT user_id AS player_id, event_type AS pitch_type, round(CAST(early_n AS DOUBLE) / nullif(e, 0), 6) AS share_early, round(CAST(recent_n AS DOUBLE) / nullif(r, 0), 6) AS share_recent FROM w")
+@query(_SPANS + """, x AS (SELECT user_id, count(*) FILTER (WHERE dt < '2024-01-16' AND value > 20) AS s0, count(*) FILTER (WHERE dt >= '2024-01-16' AND value > 20) AS s1 FROM ev GROUP BY 1), w AS (SELECT *, sum(early_n) OVER p AS e, sum(recent_n) OVER p AS r FROM s WINDOW p AS (PARTITION BY user_id))
+SELECT CAST(user_id AS VARCHAR) AS player_id, 'pitch_share:' || event_type AS metric, round(CAST(recent_n AS DOUBLE) / r, 4) AS value, round(CAST(early_n AS DOUBLE) / e, 4) AS baseline FROM w JOIN x USING (user_id) WHERE e >= 1 AND r >= 1 AND s0 > 0 AND s1 > 0 AND early_n * 5 <= e AND recent_n * 10 >= r * 3""")
 def I06_pitch_shares(spark, sf_dir):
-    w = Window.partitionBy("player_id")
-    s = _spans(spark, sf_dir)
-    return s.select("player_id", "pitch_type", *[F.round(fx.ratio(f"{n}_pitches", F.sum(f"{n}_pitches").over(w)), 6).alias(f"share_{n}") for n in ("early", "recent")])
+    """Pitches that were rare and are no more, as candidates."""
+    limits = {"recent_days": 15, "min_early_pitches": 1, "min_recent_pitches": 1, "max_early_share": 0.2, "min_recent_share": 0.3, "min_xwoba_improvement": -1e9}
+    found = insights.new_pitch(_thrown(spark, sf_dir), "2024-01-30", limits)
+    return found.select(F.col("subject_id").alias("player_id"), "metric", "value", "baseline")
 
 
-@query(_SPANS + " SELECT user_id AS player_id, event_type AS pitch_type, round(recent_v / recent_n - early_v / early_n, 4) AS change FROM s WHERE event_type IN ('click', 'view') AND early_n >= 3 AND recent_n >= 3 AND abs(recent_v / recent_n - early_v / early_n) >= 15")
+@query(_SPANS + " SELECT CAST(user_id AS VARCHAR) AS player_id, 'velo:' || event_type AS metric, round(recent_v / recent_n - early_v / early_n, 4) AS change FROM s WHERE event_type IN ('click', 'view') AND early_n >= 3 AND recent_n >= 3 AND abs(recent_v / recent_n - early_v / early_n) >= 15")
 def I07_velocity_change(spark, sf_dir):
-    change = fx.ratio("recent_velo_sum", "recent_velo_n") - fx.ratio("early_velo_sum", "early_velo_n")
-    s = _spans(spark, sf_dir).where("pitch_type in ('click', 'view') and early_velo_n >= 3 and recent_velo_n >= 3")
-    return s.withColumn("c", change).where(F.abs("c") >= 15).select("player_id", "pitch_type", F.round("c", 4).alias("change"))
+    found = insights.velocity_change(_thrown(spark, sf_dir), "2024-01-30", {"recent_days": 15, "pitch_types": ["click", "view"], "min_pitches": 3, "min_abs_mph": 15})
+    return found.select(F.col("subject_id").alias("player_id"), "metric", F.col("delta").alias("change"))
 
 
 @query("SELECT user_id AS player_id, round(sum(value) / count(*) - sum(least(value, 100)) / count(*), 4) AS gap FROM events GROUP BY user_id HAVING count(*) >= 20 AND abs(sum(value) / count(*) - sum(least(value, 100)) / count(*)) >= 4")
