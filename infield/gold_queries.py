@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from infield.operators import entities as en
-from infield.operators import gold
+from infield.operators import gold, plays
 from infield.plans import dashboard as db
 from infield.plans import semantic as sem
-from infield.registry import events, query, t
+from infield.registry import events, id_sql, query, t
 from infield.sources import lake
 
 _CODES = ["1B", "2B", "3B", "HR", "BB", "HBP", "K", "OUT", "SF", "SH", "TRUNCATED", "DP"]
@@ -207,6 +207,131 @@ def E10_run_expectancy_of_season(spark, sf_dir):
     return db.run_expectancy_of_season(matrix, 2024).select("dt", "league_code", "base_state", "outs", "pa_count", "runs")
 
 
+# Facts and dimensions -----------------------------------------------------------------------------------
+
+def _known(value: str, entity: str, source: str, known: str) -> str:
+    """SQL of the bridge's id where ``known`` holds, else of the derived one."""
+    derived = id_sql("'" + f"{entity}:source:{source}:" + "' || " + value)
+    return f"CASE WHEN {value} IS NULL THEN NULL WHEN {known} THEN '{entity[0].upper()}' || {value} ELSE {derived} END"
+
+
+def _bridge(spark, sf_dir, source: str) -> DataFrame:
+    """Even teams, and players whose number has no rest by three, are known."""
+    entry = lambda kind, ids: ids.select(F.lit(kind).alias("entity_type"), F.lit(source).alias("source"), F.col("id").cast("string").alias("source_id"), F.concat(F.lit(kind[0].upper()), F.col("id").cast("string")).alias("canonical_id"))
+    teams = t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("id")).where("id % 2 = 0")
+    players = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")).where("id % 3 = 0")
+    return entry("team", teams).unionByName(entry("player", players))
+
+
+def _silver_games(spark, sf_dir) -> DataFrame:
+    key, c = F.col("o_orderkey"), F.col("o_custkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    team = lambda x: F.when(x < 23, x).cast("string")
+    return t(spark, sf_dir, "orders").select(
+        key.cast("string").alias("game_id"), F.when(key % 4 > 0, day).otherwise("").alias("game_date"), team(c % 25).alias("home_team_id"), team(key % 24).alias("away_team_id"), F.concat(F.lit("N"), (c % 25).cast("string")).alias("home_team_name"), F.concat(F.lit("N"), (key % 24).cast("string")).alias("away_team_name"),
+        (c % 7).alias("home_score"), (key % 6).alias("away_score"), F.lit("park").alias("venue"), F.when(key % 5 > 0, F.col("o_orderstatus")).otherwise("").alias("status"), _pick(_TYPES, c % 4).alias("game_type"), day.alias("dt"),
+    )
+
+
+_HOME, _AWAY = "CASE WHEN o_custkey % 25 < 23 THEN CAST(o_custkey % 25 AS VARCHAR) END", "CASE WHEN o_orderkey % 24 < 23 THEN CAST(o_orderkey % 24 AS VARCHAR) END"
+
+
+@query(f"""WITH g AS (SELECT *, {_HOME} AS ht, {_AWAY} AS aw, strftime(o_orderdate, '%Y-%m-%d') AS dt FROM orders) SELECT {id_sql("'game:mlb_statsapi:' || o_orderkey")} AS game_id, {id_sql("'season:MLB:' || substr(dt, 1, 4)")} AS season_id, dt AS game_date, {_known("ht", "team", "mlb_statsapi", "CAST(ht AS INTEGER) % 2 = 0")} AS home_team_id,
+{_known("aw", "team", "mlb_statsapi", "CAST(aw AS INTEGER) % 2 = 0")} AS away_team_id, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus ELSE 'unknown' END AS status, {_TYPES}[o_custkey % 4 + 1] AS game_type, CAST(o_custkey % 7 AS BIGINT) AS home_score, CAST(o_orderkey AS VARCHAR) AS source_game_id FROM g""")
+def P20_fact_game(spark, sf_dir):
+    found = gold.fact_game({("mlb_statsapi", "games"): _silver_games(spark, sf_dir)}, _bridge(spark, sf_dir, "mlb_statsapi"))
+    return found.select("game_id", "season_id", "game_date", "home_team_id", "away_team_id", "status", "game_type", "home_score", "source_game_id")
+
+
+def _silver_pitches(spark, sf_dir) -> DataFrame:
+    k, n, p, s = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
+    return t(spark, sf_dir, "lineitem").select(k.cast("string").alias("game_pk"), n.cast("long").alias("at_bat_number"), p.cast("long").alias("pitch_number"), (p % 90).cast("string").alias("batter_id"), s.cast("string").alias("pitcher_id"), (n % 4).alias("balls"), (n % 3).alias("strikes"), _pick(_KIND, p % 4).alias("pitch_type"), F.col("l_quantity").alias("release_speed"), F.lit(0.5).alias("plate_x"), F.lit(1.5).alias("plate_z"), _pick(_WHAT, k % 6).alias("description"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("dt"))
+
+
+@query(f"""WITH l AS (SELECT *, CAST(l_partkey % 90 AS VARCHAR) AS b, CAST(l_suppkey AS VARCHAR) AS p FROM lineitem) SELECT {id_sql("'pitch:mlb_statcast:' || l_orderkey || ':' || l_linenumber || ':' || l_partkey")} AS pitch_id, {id_sql("'pa:mlb_statcast:' || l_orderkey || ':' || l_linenumber")} AS pa_id,
+{_known("b", "player", "mlb_statsapi", "l_partkey % 90 % 3 = 0")} AS batter_id, {_known("p", "player", "mlb_statsapi", "l_suppkey % 3 = 0 AND l_suppkey <= (SELECT max(c_custkey) FROM customer)")} AS pitcher_id, {_KIND}[l_partkey % 4 + 1] AS pitch_type, {_WHAT}[l_orderkey % 6 + 1] AS result FROM l""")
+def P21_fact_pitch(spark, sf_dir):
+    return gold.fact_pitch(_silver_pitches(spark, sf_dir), _bridge(spark, sf_dir, "mlb_statsapi")).select("pitch_id", "pa_id", "batter_id", "pitcher_id", "pitch_type", "result")
+
+
+@query(f"""WITH r AS (SELECT DISTINCT strftime(o_orderdate, '%Y-%m-%d') AS dt, CAST(o_orderkey % 23 AS VARCHAR) AS t, CAST(o_custkey AS VARCHAR) AS p FROM orders WHERE o_orderstatus <> 'P') SELECT {_known("t", "team", "npb_spaia", "CAST(t AS INTEGER) % 2 = 0")} AS team_id, {_known("p", "player", "npb_spaia", "CAST(p AS INTEGER) % 3 = 0")} AS player_id, {id_sql("'season:NPB:' || substr(dt, 1, 4)")} AS season_id, dt FROM r""")
+def P21_fact_roster(spark, sf_dir):
+    """Rosters without staff, each player and team of a day once."""
+    rows = t(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt"), (F.col("o_orderkey") % 23).cast("string").alias("team_id"), F.col("o_custkey").cast("string").alias("player_id"), F.when(F.col("o_orderstatus") == "P", "coach").otherwise("player").alias("role"))
+    return gold.fact_roster({("npb_spaia", "rosters"): rows.unionByName(rows)}, _bridge(spark, sf_dir, "npb_spaia")).select("team_id", "player_id", "season_id", "dt")
+
+
+@query(f"""WITH l AS (SELECT *, CAST(l_suppkey % 23 AS VARCHAR) AS t, CAST(l_partkey % 90 AS VARCHAR) AS p FROM lineitem) SELECT {id_sql("'game:mlb_statsapi:' || l_orderkey")} AS game_id, {_known("t", "team", "mlb_statsapi", "l_suppkey % 23 % 2 = 0")} AS team_id, {_known("p", "player", "mlb_statsapi", "l_partkey % 90 % 3 = 0")} AS player_id,
+CAST(l_linenumber + 2 AS BIGINT) AS ab, CAST(l_linenumber AS BIGINT) AS h, CAST(NULL AS BIGINT) AS hr FROM l""")
+def P22_fact_boxscore(spark, sf_dir):
+    """Batting lines of a source; statistics that it lacks are null."""
+    li = t(spark, sf_dir, "lineitem")
+    lines = li.select(F.col("l_orderkey").cast("string").alias("game_id"), (F.col("l_suppkey") % 23).cast("string").alias("team_id"), (F.col("l_partkey") % 90).cast("string").alias("player_id"), (F.col("l_linenumber") + 2).alias("ab"), F.col("l_linenumber").alias("h"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("dt"))
+    return gold.fact_boxscore({("mlb_statsapi", "boxscore_batting"): lines}, _bridge(spark, sf_dir, "mlb_statsapi"), "boxscore_batting").select("game_id", "team_id", "player_id", "ab", "h", "hr")
+
+
+@query(f"""WITH y AS (SELECT DISTINCT year(o_orderdate) AS y FROM orders), s AS (SELECT unnest(['MLB', 'NPB', 'INDY', 'KBO', 'LMB']) AS c, unnest(['03-01', '03-01', '04-01', '03-01', '03-01']) AS a, unnest(['11-30', '11-30', '10-31', '10-31', '09-30']) AS b)
+SELECT {id_sql("'season:' || c || ':' || y")} AS season_id, c AS league_code, CAST(y AS INTEGER) AS season_year, y || '-' || a AS season_start_dt, y || '-' || b AS season_end_dt FROM y, s""")
+def P23_dim_season(spark, sf_dir):
+    years = t(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year")).distinct().withColumn("dt", F.lit("2024-01-01"))
+    return gold.dim_season(years).select("season_id", "league_code", "season_year", "season_start_dt", "season_end_dt")
+
+
+@query("""WITH r AS (SELECT 'MLB' AS league, CAST(o_custkey AS VARCHAR) AS id, min(o_orderpriority) AS name FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey) SELECT 'p' || id AS player, CASE WHEN CAST(id AS INTEGER) % 50 = 0 THEN 'manual' ELSE 'exact_id' END AS match_method, CASE WHEN CAST(id AS INTEGER) % 50 = 0 THEN 1.0::DOUBLE ELSE 0.9::DOUBLE END AS confidence, CAST(id AS INTEGER) % 50 = 0 AS manual_override FROM r""")
+def N01_identity(spark, sf_dir):
+    """The bridge of one day's rosters with overrides by hand, one row a player whatever lists name them."""
+    o = t(spark, sf_dir, "orders")
+    rosters = o.where("o_orderstatus <> 'P'").select(F.lit("2024-01-01").alias("dt"), F.col("o_custkey").cast("string").alias("player_id"), F.col("o_orderpriority").alias("player_name"), F.lit("t1").alias("team_id"))
+    overrides = o.where("o_custkey % 50 = 0").select(F.lit("player").alias("entity_type"), F.lit("mlb_statsapi").alias("source"), F.col("o_custkey").cast("string").alias("source_id"), F.lit("BY-HAND").alias("canonical_id")).distinct()
+    found = gold.resolve(gold.collected({("mlb_statsapi", "rosters"): rosters}), overrides)
+    return found.select(F.concat(F.lit("p"), "source_id").alias("player"), "match_method", "confidence", "manual_override")
+
+
+@query("SELECT DISTINCT 'p' || o_custkey AS player, 'manual_override' AS match_method, dt FROM orders, (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS dt FROM events) WHERE o_custkey % 50 = 0 AND o_orderstatus = 'F'")
+def N01_merge_events(spark, sf_dir):
+    """The audit of overrides, on each day they are applied to; those without an id are none."""
+    o = t(spark, sf_dir, "orders").where("o_custkey % 50 = 0")
+    overrides = o.select(F.lit("player").alias("entity_type"), F.lit("s").alias("source"), F.concat(F.lit("p"), F.col("o_custkey").cast("string")).alias("source_id"), F.when(F.col("o_orderstatus") == "F", "ID").alias("canonical_id"))
+    return gold.merge_events(overrides, events(spark, sf_dir)).select(F.col("source_id").alias("player"), "match_method", "dt")
+
+
+_FLAGS = ["single", "double", "triple", "hr", "walk", "k", "othout"]
+
+
+@query(f"""WITH e AS (SELECT *, event_id % 7 AS f FROM events) SELECT {id_sql("'pa:retrosheet:g' || user_id || ':' || event_id")} AS pa_id, CAST(event_id % 9 + 1 AS BIGINT) AS inning, event_id % 2 = 0 AS is_top_inning, ['1B', '2B', '3B', 'HR', 'BB', 'K', 'OUT'][f + 1] AS event_type, CAST((event_id % 2) + 2 * CAST(event_id % 3 = 1 AS INTEGER) AS BIGINT) AS base_state_before, CAST(event_id % 3 AS BIGINT) AS outs_before, CAST(event_id % 2 AS BIGINT) AS outs_on_play FROM e""")
+def T03_play_file(spark, sf_dir):
+    """Plate appearances of a play file whose results are flags."""
+    i = F.col("event_id")
+    on = lambda c: F.when(c, "r").otherwise("")
+    rows = t(spark, sf_dir, "events").select(
+        F.concat(F.lit("g"), F.col("user_id").cast("string")).alias("game_id"), i.cast("string").alias("event_id"), (i % 9 + 1).cast("string").alias("inning"), (i % 2).cast("string").alias("top_bottom"), *[F.when(i % 7 == n, "1").otherwise("0").alias(c) for n, c in enumerate(_FLAGS)], F.lit("b").alias("batter_id"), F.lit("p").alias("pitcher_id"), F.lit("t").alias("batting_team_id"), F.lit("u").alias("pitching_team_id"),
+        on(i % 2 == 1).alias("br1_pre"), on(i % 3 == 1).alias("br2_pre"), F.lit("").alias("br3_pre"), *[F.lit("").alias(f"br{n}_post") for n in (1, 2, 3)], (i % 3).cast("string").alias("outs_pre"), (i % 3 + i % 2).cast("string").alias("outs_post"), F.date_format("ts", "yyyy-MM-dd").alias("dt"),
+    )
+    found = plays.from_play_file(rows, spark.createDataFrame([], gold.BRIDGE))
+    return found.select("pa_id", "inning", "is_top_inning", "event_type", "base_state_before", "outs_before", "outs_on_play")
+
+
+@query(f"""WITH e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n, lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS later FROM events), q AS (SELECT *, later IS NOT NULL AND n % 3 > 0 AS goes_on, n % 3 = 0 AND event_id % 11 = 0 AS cut FROM e)
+SELECT {id_sql("'pa:npb:' || user_id || ':' || ((n - 1) // 6 + 1) || ':' || (((n - 1) // 3) % 2 + 1) || ':' || ((n - 1) % 3 + 1)")} AS pa_id, CAST((n - 1) // 6 + 1 AS BIGINT) AS inning, ((n - 1) // 3) % 2 = 0 AS is_top_inning, CASE WHEN cut THEN 'TRUNCATED' ELSE ['K', 'BB', 'HR', '2B'][event_id % 4 + 1] END AS event_type, CAST((n - 1) % 3 AS BIGINT) AS outs_before,
+CAST(CASE WHEN goes_on THEN n % 3 WHEN cut AND later IS NULL THEN 2 ELSE 3 END AS BIGINT) AS outs_after, CAST([0, 1, 3][event_id % 3 + 1] AS BIGINT) AS base_state_before, CAST(CASE WHEN goes_on THEN [0, 1, 3][later % 3 + 1] WHEN cut AND later IS NULL THEN NULL ELSE 0 END AS BIGINT) AS base_state_after, CAST(0 AS BIGINT) AS runs_scored_on_play FROM q""")
+def T02_text_plays(spark, sf_dir):
+    """Plate appearances from play-by-play text: headers, pitches and results; some halves end without one."""
+    i = F.col("event_id")
+    n = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
+    e = t(spark, sf_dir, "events").withColumn("n", n)
+    header = F.concat(_pick(["無死", "一死", "二死"], (F.col("n") - 1) % 3), _pick(["走者なし", "一塁", "一二塁"], i % 3))
+    parts = F.array(F.struct(F.lit("6").alias("kind"), header.alias("text")), F.struct(F.lit("0").alias("kind"), F.lit("ストライク").alias("text")), F.struct(F.lit("1").alias("kind"), _pick(["空振り三振", "四球", "本塁打", "二塁打"], i % 4).alias("text")))
+    rows = e.select("*", F.posexplode(parts).alias("step", "x")).where(~((F.col("step") == 2) & (F.col("n") % 3 == 0) & (i % 11 == 0)))
+    whole = lambda c, k: F.floor(c / k).cast("long")
+    at = F.col("n") * 10 + F.col("step")
+    plays_in = rows.select(
+        F.col("user_id").cast("string").alias("game_id"), (whole(F.col("n") - 1, 6) + 1).alias("inning"), (whole(F.col("n") - 1, 3) % 2 + 1).cast("string").alias("top_bottom"), ((F.col("n") - 1) % 3 + 1).cast("long").alias("play_ab"), at.cast("long").alias("play_seq_no"), at.cast("string").alias("event_id"), F.lit("9").alias("play_player_id"),
+        F.col("x.text").alias("text_info_text"), F.to_json(F.struct(F.col("x.kind").alias("TextInfo_Bat_Text_Sec"))).alias("raw_event_json"), F.date_format("ts", "yyyy-MM-dd").alias("dt"),
+    )
+    found = plays.from_text(plays_in, spark.createDataFrame([], gold.BRIDGE))
+    return found.select("pa_id", "inning", "is_top_inning", "event_type", "outs_before", "outs_after", "base_state_before", "base_state_after", "runs_scored_on_play")
+
+
 # Entities -----------------------------------------------------------------------------------------------
 
 def _batched(spark, sf_dir) -> DataFrame:

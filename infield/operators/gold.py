@@ -71,6 +71,13 @@ def resolve(records: DataFrame, overrides: DataFrame | None = None) -> DataFrame
     )
 
 
+def merge_events(overrides: DataFrame, days: DataFrame) -> DataFrame:
+    """The audit of ids that were merged by hand: each override with an id, on every day of ``days`` (dt) that it was applied to."""
+    notes = F.col("notes").cast("string") if "notes" in overrides.columns else F.lit(None).cast("string")
+    given = overrides.where(fx.present("canonical_id")).select("entity_type", "source", "source_id", "canonical_id", F.lit("manual_override").alias("match_method"), notes.alias("notes")).distinct()
+    return given.crossJoin(days.select("dt").distinct())  # overrides are a short list kept by hand, and days are a range of them
+
+
 def game_sides(games: DataFrame) -> DataFrame:
     """Home and away teams of games, one row a side."""
     sides = F.array(*[F.struct(F.col(f"{s}_team_id").cast("string").alias("source_id"), F.col(f"{s}_team_name").alias("name")) for s in ("home", "away")])

@@ -21,7 +21,7 @@ from infield.operators import relational as r
 from infield.operators import silver as sv
 from infield.plans import checks, publish
 from infield.plans import semantic as sem
-from infield.registry import EV, Query, events, query, t
+from infield.registry import EV, Query, events, id_sql, query, t
 from infield.sources import lake
 
 # Scans --------------------------------------------------------------------------------------------------
@@ -182,18 +182,7 @@ def W13_topk(spark, sf_dir):
 
 # Identity and joins -------------------------------------------------------------------------------------
 
-def _id_sql(key: str) -> str:
-    """The canonical id in SQL: five bits at a time of the hash's hexadecimal digits."""
-    digit = lambda i: f"(strpos('0123456789abcdef', substr(h, {i + 1}, 1)) - 1)"
-    parts = []
-    for k in range(26):
-        bit = 5 * k
-        at, shift = bit // 4, 3 - bit % 4
-        parts.append(f"substr('0123456789ABCDEFGHJKMNPQRSTVWXYZ', CAST((({digit(at)} * 16 + {digit(at + 1)}) >> {shift}) & 31 AS INTEGER) + 1, 1)")
-    return f"(SELECT {' || '.join(parts)} FROM (SELECT sha256({key} || '|infield') AS h))"
-
-
-@query(f"SELECT c_custkey, {_id_sql(chr(39) + 'player:source:tpch:' + chr(39) + ' || c_custkey')} AS player_id FROM customer")
+@query(f"SELECT c_custkey, {id_sql(chr(39) + 'player:source:tpch:' + chr(39) + ' || c_custkey')} AS player_id FROM customer")
 def X01_canonical_id(spark, sf_dir):
     return t(spark, sf_dir, "customer").select("c_custkey", fx.canonical_id(F.concat(F.lit("player:source:tpch:"), F.col("c_custkey").cast("string")), salt="infield").alias("player_id"))
 
@@ -203,7 +192,7 @@ def X02_short_hash(spark, sf_dir):
     return t(spark, sf_dir, "customer").select(fx.short_hash("c_custkey", "c_name").alias("id"), "c_custkey")
 
 
-@query(f"SELECT o_orderkey, coalesce(c_name, {_id_sql(chr(39) + 'player:source:tpch:' + chr(39) + ' || o_custkey')}) AS player FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o_custkey = c_custkey")
+@query(f"SELECT o_orderkey, coalesce(c_name, {id_sql(chr(39) + 'player:source:tpch:' + chr(39) + ' || o_custkey')}) AS player FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON o_custkey = c_custkey")
 def J01_bridge_or_hash(spark, sf_dir):
     """Ids of the bridge, else derived ones."""
     bridge = t(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.lit("player").alias("entity_type"), F.lit("tpch").alias("source"), F.col("c_custkey").cast("string").alias("source_id"), F.col("c_name").alias("canonical_id"))
@@ -999,7 +988,7 @@ def _tracked(spark, sf_dir) -> DataFrame:
 s AS (SELECT *, x IS NOT NULL AND x.inning = f.inning AND x.half = f.half AS same FROM n),
 c AS (SELECT *, CASE WHEN z.code = 'UNKNOWN' AND NOT same AND f.outs = 2 THEN 'TRUNCATED' ELSE z.code END AS event_type FROM s),
 o AS (SELECT *, CASE WHEN x IS NULL AND event_type = 'TRUNCATED' THEN 3 WHEN x IS NULL THEN least(3, f.outs + CASE event_type WHEN 'K' THEN 1 WHEN 'OUT' THEN 1 WHEN 'DP' THEN 2 ELSE 0 END) WHEN same THEN x.outs ELSE 3 END AS outs_after FROM c)
-SELECT {_id_sql("'game:mlb_statsapi:' || g")} AS game_id, ab AS play_order, event_type, f.outs AS outs_before, CAST(outs_after AS BIGINT) AS outs_after, CAST(f.bases AS BIGINT) AS base_before, CAST(CASE WHEN x IS NULL THEN CASE WHEN outs_after = 3 THEN 0 END WHEN same THEN x.bases ELSE 0 END AS BIGINT) AS base_after,
+SELECT {id_sql("'game:mlb_statsapi:' || g")} AS game_id, ab AS play_order, event_type, f.outs AS outs_before, CAST(outs_after AS BIGINT) AS outs_after, CAST(f.bases AS BIGINT) AS base_before, CAST(CASE WHEN x IS NULL THEN CASE WHEN outs_after = 3 THEN 0 END WHEN same THEN x.bases ELSE 0 END AS BIGINT) AS base_after,
 CASE WHEN same THEN x.score ELSE z.score + 1 END - f.score AS runs FROM o""")
 def T01_plate_appearances(spark, sf_dir):
     bridge = spark.createDataFrame([], gold.BRIDGE)

@@ -33,3 +33,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 EV = "WITH ev AS (SELECT *, strftime(ts, '%Y-%m-%d') AS dt FROM events)"
+
+
+def id_sql(key: str) -> str:
+    """The canonical id in SQL: five bits at a time of the hash's hexadecimal digits."""
+    digit = lambda i: f"(strpos('0123456789abcdef', substr(h, {i + 1}, 1)) - 1)"
+    parts = []
+    for k in range(26):
+        bit = 5 * k
+        at, shift = bit // 4, 3 - bit % 4
+        parts.append(f"substr('0123456789ABCDEFGHJKMNPQRSTVWXYZ', CAST((({digit(at)} * 16 + {digit(at + 1)}) >> {shift}) & 31 AS INTEGER) + 1, 1)")
+    return f"(SELECT {' || '.join(parts)} FROM (SELECT sha256({key} || '|infield') AS h))"
