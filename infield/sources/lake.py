@@ -210,18 +210,18 @@ def append_new(df: DataFrame, root: str, table: str, checksum: str = "response_c
 def write_days(df: DataFrame, root: str, table: str, covered: Sequence[str], force: bool = True) -> None:
     """Replaces the days ``covered`` of a table by ``df``, in one job; a covered day without rows ends up empty.
 
-    Without ``force`` days that exist stay as they are. Dynamic overwrite leaves days without new rows alone, so
-    those are deleted by name, after the write. Which days have rows is found before it, as ``df`` may read this very
-    table.
+    Without ``force`` days that exist stay as they are. ``df`` is evaluated once, and may read this very table: which days
+    have rows is observed by the job that writes. Dynamic overwrite leaves days without new rows alone, so those are deleted
+    by name after it; until then, readers see their old rows, and a call that fails in between has to be made again.
     """
     spark = df.sparkSession
     there = read(spark, root, table)
     existing = set() if there is None else {r.dt for r in there.select("dt").distinct().collect()}
     wanted = [d for d in covered if force or d not in existing]
     rows = df.where(F.col("dt").isin(wanted)).withColumn("ingested_at_utc", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    made = {r.dt for r in rows.select("dt").distinct().collect()}
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(f"{root}/{table}")
-    _empty_days(spark, root, table, set(wanted) & existing - made)
+    made = Observation()
+    rows.observe(made, F.collect_set("dt").alias("days")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(f"{root}/{table}")
+    _empty_days(spark, root, table, set(wanted) & existing - set(made.get["days"]))
 
 
 def publish_range(layer: DataFrame, root: str, table: str, start: str, end: str) -> None:
