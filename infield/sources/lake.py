@@ -207,6 +207,40 @@ def append_new(df: DataFrame, root: str, table: str, checksum: str = "response_c
     return fresh
 
 
+RAW = "source string, entity string, dt string, url string, status_code int, fetched_at_utc string, response_checksum string, body_text string"
+
+
+def write_raw(responses: DataFrame, root: str, force: bool = False) -> DataFrame:
+    """Responses as compressed JSON by source, entity and day; gives the number written, as one row.
+
+    A response is known by the SHA-256 of its text. One that is there already is left out, unless ``force`` says to keep it
+    again; of equal ones in ``responses`` the first fetched counts. Nothing that is there is rewritten.
+    """
+    spark = responses.sparkSession
+    keys = ["source", "entity", "dt", "response_checksum"]
+    told = responses.withColumn("response_checksum", F.sha2(F.coalesce("body_text", F.lit("")), 256))
+    fresh = told.groupBy(*keys).agg(F.min_by(F.struct("url", "status_code", "fetched_at_utc", "body_text"), F.struct("fetched_at_utc", "url")).alias("r")).select(*keys, "r.*")
+    if not force:
+        there = raw(spark, root)
+        fresh = fresh if there is None else fresh.join(there.select(*keys), keys, "left_anti")
+    before = Observation()
+    fresh.observe(before, F.count("*").alias("rows")).write.mode("append").partitionBy("source", "entity", "dt").option("compression", "gzip").json(f"{root}/bronze")
+    return spark.createDataFrame([(before.get["rows"],)], "written long")
+
+
+def raw(spark: SparkSession, root: str, source: str | None = None, entity: str | None = None) -> DataFrame | None:
+    """Bronze responses, of one source or entity if given; None if there are none."""
+    try:
+        df = spark.read.schema(RAW).json(f"{root}/bronze")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    for column, value in (("source", source), ("entity", entity)):
+        df = df if value is None else df.where(F.col(column) == value)
+    return df
+
+
 def write_days(df: DataFrame, root: str, table: str, covered: Sequence[str], force: bool = True) -> None:
     """Replaces the days ``covered`` of a table by ``df``, in one job; a covered day without rows ends up empty.
 
