@@ -154,25 +154,24 @@ def scan_versions(versions: DataFrame, ledger_path: str | None = None, rules: Se
     A row is a version of a path; its other columns name it (path, commit and so on) and need not be unique. The ledger at
     ``ledger_path`` is read and appended to; without a path it is begun anew in the shared folder. Null texts are empty ones,
     and have no findings. Texts are scanned whole. An empty table has an empty result, and appends nothing. Columns called
-    blob or spans are refused. A run that fails before its end leaves the ledger as it was, or with whole rows that are right.
+    blob or spans are replaced by the scan's, others stay. A run that fails before its end leaves the ledger as it was, or with whole rows that are right.
     """
     spark = versions.sparkSession
+    versions = versions.drop("blob", "spans")
     names = [c for c in versions.columns if c != text]
-    if clash := {"blob", "spans", "tag"} & set(names):
-        raise ValueError(f"columns whose names the scan gives itself: {sorted(clash)}")
     if len({r.kind for r in rules}) < len(rules):
         raise ValueError("a rule is there in two versions")
     path = ledger_path or f"{shared_dir(spark)}/infield-ledger-{uuid.uuid4().hex}"
-    addressed = stored(versions.select(*names, address(text).alias("blob"), _tag(versions, text).alias("tag")))
+    addressed = stored(versions.select(*names, address(text).alias("blob"), _tag(versions, text).alias("_secret_tag")))
     known = read_ledger(spark, ledger_path)
-    new = update(versions, addressed.select("blob", "tag"), known, path, rules, text)
+    new = update(versions, addressed.select("blob", F.col("_secret_tag").alias("tag")), known, path, rules, text)
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))])
     current = F.filter("spans", lambda s: s["rule"].isin([r.name for r in rules]))
     found = known.unionByName(new).withColumn("spans", current).where(F.size("spans") > 0)
     # an older run and this one may each have some rules' spans of a blob, never the same rule's twice
     found = found.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"))
     found = stored(found.withColumn("spans", F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), order[s["rule"]].alias("at"), s["rule"].alias("rule"), s["end"].alias("end"))))))
-    rows = addressed.drop("tag")
+    rows = addressed.drop("_secret_tag")
     total = rows.count()
     hot = rows.groupBy("blob").count().where(F.col("count") > max(total // HOT, 1)).join(found, "blob", "left").select("blob", "spans", F.lit(True).alias("_hot"))
     hot = stored(hot)

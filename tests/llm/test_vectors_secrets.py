@@ -167,8 +167,9 @@ def test_scan_gives_every_version_its_findings(spark):
         assert base == plain_spans(text[r.blob])
     kinds = {s.kind for r in found for s in r.spans}
     assert kinds == {r.kind for r in RULES}
-    with pytest.raises(ValueError):
-        scan_versions(df.withColumnRenamed("_text", "blob"))
+    clash = scan_versions(df.withColumns({"blob": F.lit("x"), "spans": F.lit(1), "tag": F.lit("mine"), "seen": F.lit(1), "count": F.lit(2)}))
+    assert clash.columns == ["doc_id", "_text", "missing", "tag", "seen", "count", "blob", "spans"]
+    assert sorted((r.blob, len(r.spans)) for r in clash.collect()) == sorted((r.blob, len(r.spans)) for r in found) and {r.tag for r in clash.collect()} == {"mine"}
     assert scan_versions(df.limit(0)).count() == 0
 
 
