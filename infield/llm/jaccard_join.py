@@ -19,7 +19,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,11 +139,6 @@ def _loose_links(table: pa.Table) -> dict | None:
 LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def _equal_share(a: Column | str, b: Column | str) -> Column:
-    """Share of the places at which two arrays of MinHash values agree."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / F.lit(float(VALUES))
-
-
 def _listed(df: DataFrame) -> DataFrame:
     """``df`` to be broadcast if it has MAX_BROADCAST_KEYS rows at most."""
     return F.broadcast(df) if df.limit(MAX_BROADCAST_KEYS + 1).count() <= MAX_BROADCAST_KEYS else df
@@ -162,7 +157,7 @@ def loose_links(sets: DataFrame) -> DataFrame:
             if large.isEmpty():
                 break
             large = s.keep(sets.join(_listed(large), "doc"))
-            beside = cut(beside_pivots(large).withColumn("share", _equal_share("values", "pivot.values")).withColumn("pivot", F.col("pivot.doc")))
+            beside = cut(beside_pivots(large))
             found.append(beside.where((F.col("share") >= LOOSE) & (F.col("doc") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("doc").alias("b")))
             rest = beside.where(F.col("share") < CLOSE)
             if level + 1 < LEVELS:
@@ -174,16 +169,36 @@ def loose_links(sets: DataFrame) -> DataFrame:
 
 
 def beside_pivots(large: DataFrame) -> DataFrame:
-    """Rows (node, size, doc, values and more) of large nodes, each with its node's pivot (doc, values).
+    """Rows (node, size, doc, values and more) of large nodes with their node's pivot, the least doc, and share, that of equal values.
 
-    A node's rows are dealt into parts of about PART by their id, and its pivot goes to each part: however many sets a
-    node holds, no task gets them all.
+    A node's rows are dealt into parts of about PART by their id, and its pivot goes to each part ahead of them: however
+    many sets a node holds, no task gets them all, and a part streams past its pivot.
     """
-    pivots = large.groupBy("node").agg(F.min_by(F.struct("doc", "values"), "doc").alias("pivot"), F.first("size").alias("_size"))
-    parts = F.ceil(F.col("_size") / PART).cast("int")
-    dealt = pivots.select("node", "pivot", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
-    own = F.pmod(F.xxhash64("doc"), F.ceil(F.col("size") / PART).cast("int")).cast("int")
-    return large.withColumn("_part", own).join(dealt, ["node", "_part"]).drop("_part")
+    pivots = large.groupBy("node").agg(F.min_by(F.struct("doc", "values"), "doc").alias("p"), F.first("size").alias("size"))
+    parts = F.ceil(F.col("size") / PART).cast("int")
+    first = pivots.select("node", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"), F.lit(0).alias("_turn"), "p.doc", "p.values")
+    own = large.withColumns({"_part": F.pmod(F.xxhash64("doc"), parts).cast("int"), "_turn": F.lit(1)})
+    dealt = own.unionByName(first, allowMissingColumns=True).repartition("node", "_part").sortWithinPartitions("node", "_part", "_turn")
+    columns = large.columns
+    schema = T.StructType([*large.schema.fields, T.StructField("pivot", T.LongType()), T.StructField("share", T.DoubleType())])
+
+    @tidy
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, values = np.zeros(1, np.int64), np.zeros((1, VALUES), np.uint32)  # the last pivot of the batches before
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            docs = np.concatenate([doc, batch.column("doc").to_numpy()])
+            rows = np.concatenate([values, _values(batch.column("values"))])
+            leads = np.concatenate([[True], batch.column("_turn").to_numpy() == 0])
+            at = np.maximum.accumulate(np.where(leads, np.arange(len(leads)), 0))
+            doc, values = docs[at[-1:]], rows[at[-1:]]
+            keep = np.flatnonzero(~leads)
+            share = (rows[keep] == rows[at[keep]]).mean(axis=1) if len(keep) else np.zeros(0)
+            take = pa.array(keep - 1)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(take) for c in columns], pa.array(docs[at[keep]]), pa.array(share)], names=schema.names)
+
+    return dealt.mapInArrow(run, schema)
 
 
 def block_pairs(rows: DataFrame, block: int) -> DataFrame:

@@ -90,6 +90,14 @@ def test_components(spark):
 
 def test_each_row_of_a_large_node_meets_its_pivot_once(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PART", 7)
-    rows = [(1, 50, doc, [doc]) for doc in range(50)] + [(2, 3, doc, [doc]) for doc in range(90, 93)]
-    found = jaccard_join.beside_pivots(spark.createDataFrame(rows, "node long, size long, doc long, values array<int>")).collect()
-    assert sorted((r.node, r.doc, r.pivot.doc) for r in found) == sorted((n, d, 0 if n == 1 else 90) for n, _, d, _ in rows)
+    values = lambda doc: [0] * (64 - doc % 60) + [doc] * (doc % 60)
+    rows = [(1, 50, doc, values(doc)) for doc in range(50)] + [(2, 3, doc, values(doc)) for doc in range(90, 93)]
+    want = sorted((n, d, 0 if n == 1 else 90, sum(a == b for a, b in zip(v, values(0 if n == 1 else 90), strict=True)) / 64) for n, _, d, v in rows)
+    for size in (3, 10_000):  # a part may come in several batches
+        monkeypatch.setattr(jaccard_join, "PART", 7 if size > 3 else 1000)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            found = jaccard_join.beside_pivots(spark.createDataFrame(rows, "node long, size long, doc long, values array<int>").repartition(5)).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert sorted((r.node, r.doc, r.pivot, r.share) for r in found) == want
