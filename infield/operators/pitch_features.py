@@ -93,7 +93,8 @@ def fields(pitches: DataFrame) -> DataFrame:
     if "release_speed" in pitches.columns:
         number["release_speed"] = F.when(F.col("release_speed").isNotNull(), F.col("release_speed").try_cast("double")).otherwise(number["release_speed"])
     text = {c: F.coalesce(F.nullif(own(c), F.lit("")) if c in ("description", "pitch_type", "events") else F.lit(None).cast("string"), F.col(f"r.{c}"), F.lit("")) for c in TEXTS}
-    rows = rows.withColumn("f", F.struct(*[v.alias(k) for k, v in (number | text).items()])).drop("r")
+    # exploding once more keeps the casts from being repeated in every component
+    rows = rows.select("*", F.explode(F.array(F.struct(*[v.alias(k) for k, v in (number | text).items()]))).alias("f")).drop("r")
     f = lambda c: F.col(f"f.{c}")
     in_play = (f("description") == "hit_into_play") | (f("bb_type") != "")
     angle = F.degrees(F.atan2(f("hc_x") - 125.42, 198.27 - f("hc_y")))
@@ -102,7 +103,7 @@ def fields(pitches: DataFrame) -> DataFrame:
         "swing": f("description").isin(*FEATURE_SWINGS), "whiff": f("description").isin(*fx.WHIFFS), "in_zone": f("zone").between(1, 9), "out_zone": f("zone") >= 11,
         "in_play": in_play, "pull_side": in_play & F.when(right_handed, angle < -15).otherwise(angle > 15), "counted": f("woba_denom") != 0,
     }
-    return rows.withColumn("f", F.struct("f.*", *[v.alias(k) for k, v in told.items()]))
+    return rows.select(*[c for c in rows.columns if c != "f"], F.explode(F.array(F.struct("f.*", *[v.alias(k) for k, v in told.items()]))).alias("f"))
 
 
 def pitch_components(pitches: DataFrame, components: Sequence[Component] = (*COMPONENTS, *SPEED, *CONTACT)) -> DataFrame:
