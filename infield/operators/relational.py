@@ -84,9 +84,13 @@ def interleave(df: DataFrame, side: str, score: str, tie: str, out: str = "posit
     return placed.withColumn(out, F.row_number().over(Window.orderBy("_round", F.desc("_best"), side))).drop("_round", "_best")
 
 
-def latest_snapshot(df: DataFrame, by: str = "dt") -> DataFrame:
-    """The rows of the newest ``by``, found with one aggregate instead of a global window."""
-    return df.join(F.broadcast(df.agg(F.max(by).alias(by))), by, "left_semi")
+def latest_snapshot(df: DataFrame, by: str = "dt", groups: Sequence[str] = ()) -> DataFrame:
+    """The rows of the newest ``by``, of each group if there are any, found with one aggregate instead of a window."""
+    if not groups:
+        return df.join(F.broadcast(df.agg(F.max(by).alias(by))), by, "left_semi")
+    newest = df.groupBy(*[F.col(c).alias(f"_{i}") for i, c in enumerate(groups)]).agg(F.max(by).alias("_newest"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{i}")) for i, c in enumerate(groups)]
+    return df.join(newest, reduce(lambda a, b: a & b, same, F.col(by) == F.col("_newest")), "left_semi")
 
 
 def latest_fetch(df: DataFrame, groups: Cols, checksum: str, fetched: str) -> DataFrame:

@@ -61,9 +61,11 @@ def S17_range_scan(spark, sf_dir):
     return lake.between(events(spark, sf_dir), "2024-01-10", "2024-01-16").select("event_id", "dt", "user_id", "value")
 
 
-@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS dt FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)")
+@query("WITH o AS (SELECT c_mktsegment, o_orderkey, o_orderdate, max(o_orderdate) OVER (PARTITION BY c_mktsegment) AS m FROM orders JOIN customer ON o_custkey = c_custkey) SELECT c_mktsegment, o_orderkey, o_orderdate FROM o WHERE o_orderdate = m")
 def S18_latest_snapshot(spark, sf_dir):
-    return lake.as_of(t(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("dt")))
+    """The newest orders of each market segment."""
+    o = t(spark, sf_dir, "orders").join(t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return r.latest_snapshot(o.select("c_mktsegment", "o_orderkey", "o_orderdate"), "o_orderdate", ["c_mktsegment"])
 
 
 @query(EV + " SELECT event_id, user_id FROM ev WHERE dt = (SELECT max(dt) FROM ev)")
