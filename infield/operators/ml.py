@@ -75,7 +75,7 @@ def windows_of(as_of: str, cfg: Breakout) -> dict[str, tuple[str, str]]:
 
 
 def _rate(a: Column, b: Column) -> Column:
-    return F.round(fx.ratio(a, b), 6)
+    return fx.rounded(fx.ratio(a, b), 6)
 
 
 def split_of(day: Column, s: Splits) -> Column:
@@ -159,10 +159,10 @@ def _examples(daily: DataFrame, published: DataFrame, days: DataFrame, first: st
     before = F.explode(F.transform(F.sequence(F.lit(1), F.lit(cfg.label_days)), lambda n: F.date_sub(F.to_date("dt"), n).cast("string")))
     complete = published.select("dt").distinct().select(before.alias("dt")).groupBy("dt").agg((F.count("*") == cfg.label_days).alias("_done"))
     rows = rows.join(F.broadcast(complete.where("_done")), "dt", "left")  # a row a day
-    done, delta = F.coalesce("_done", F.lit(False)), F.round(F.col("_woba") - F.col("f_base_woba"), 6)
+    done, delta = F.coalesce("_done", F.lit(False)), fx.rounded(F.col("_woba") - F.col("f_base_woba"), 6)
     labelled = done & (F.col("_pa") >= cfg.min_label_pa) & delta.isNotNull()
     return rows.withColumns({
-        "f_base_woba_vs_league": F.round(F.col("f_base_woba") - F.col("f_league_base_woba"), 6), "baseline_days": F.lit(cfg.baseline_days), "recent_days": F.lit(cfg.recent_days), "label_days": F.lit(cfg.label_days), "label_window_end": F.date_add(F.to_date("dt"), cfg.label_days).cast("string"),
+        "f_base_woba_vs_league": fx.rounded(F.col("f_base_woba") - F.col("f_league_base_woba"), 6), "baseline_days": F.lit(cfg.baseline_days), "recent_days": F.lit(cfg.recent_days), "label_days": F.lit(cfg.label_days), "label_window_end": F.date_add(F.to_date("dt"), cfg.label_days).cast("string"),
         "label_status": F.when(~done, "pending").when(labelled, "labeled").otherwise("insufficient_pa"), "label_pa": F.when(done, F.col("_pa")), "label_woba": F.when(done, F.col("_woba")), "label_woba_delta": F.when(done, delta), "label_breakout": F.when(labelled, delta >= cfg.margin_woba - 1e-9),
         "split": embargoed_split_of(F.col("dt"), splits), "definition_version": F.lit(cfg.version),
     }).drop("_pa", "_woba", "_done")

@@ -2,7 +2,12 @@
 
 import datetime
 
+import duckdb
+from pyspark.sql import functions as F
+
 from infield import queries
+from infield.functions import columns as fx
+from infield.operators import ml
 from infield.operators import relational as r
 
 
@@ -21,3 +26,20 @@ def test_newest_orders_are_those_of_every_segment(spark, tmp_path):
     assert {tuple(x) for x in found} == {("X", 10), ("Y", 11), ("Y", 12)}
 
 
+
+
+def test_rounding_is_in_units_of_the_last_place(spark):
+    values = [0.2580375, -0.2580375, 0.47575, 2.5, None, float("inf"), 1e308, 0.1]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    six, four = zip(*[tuple(x) for x in df.select(fx.rounded("x", 6), fx.rounded("x", 4)).collect()], strict=True)
+    assert six == (0.258037, -0.258037, 0.47575, 2.5, None, float("inf"), 1e308, 0.1)
+    assert duckdb.sql("SELECT round(0.47575::DOUBLE, 4), round(0.2580375::DOUBLE, 6)").fetchall() == [(four[2], six[0])]
+
+
+def test_rates_at_a_tie_equal_their_sql(spark):
+    """Eight plate appearances whose mean is half a unit of the last place."""
+    daily = spark.createDataFrame([("2024-01-10", "p", "MLB", 8, 2.0643)], "dt string, player_id string, league_code string, pa long, woba_value double")
+    lines = daily.withColumns({c: F.lit(0).cast("long") for c in ml.STATS if c not in daily.columns and c != "woba_den"}).withColumn("woba_den", F.col("pa"))
+    cfg = ml.Breakout(baseline_days=8, recent_days=3, label_days=5, min_baseline_pa=1, min_label_pa=1, margin_woba=0.05)
+    row = ml.example_range(lines, daily.select("dt"), "2024-01-10", "2024-01-10", cfg, ml.Splits("2024-01-12", "2024-01-20", 5)).first()
+    assert (row.f_base_woba, row.f_recent_woba, row.f_league_base_woba) == (0.258037,) * 3
