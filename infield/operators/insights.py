@@ -34,8 +34,8 @@ RATES = {"k_rate": "so", "bb_rate": "bb", "hr_rate": "hr"}
 def candidate(rows: DataFrame, detector: str, as_of: str, league: Column, subject_type: str, subject: Column, metric: Column, value: Column, baseline: Column | None, size: Column, score: Column, facts: Mapping[str, Column], evidence: Column, *proofs: Column) -> DataFrame:
     none = F.lit(None).cast("double")
     return rows.select(
-        fx.short_hash(F.lit(detector), F.lit(as_of), league, subject, metric).alias("insight_id"), F.lit(detector).alias("detector"), league.alias("league_code"), F.lit(subject_type).alias("subject_type"), subject.alias("subject_id"), metric.alias("metric"), F.round(value.cast("double"), 4).alias("value"),
-        (none if baseline is None else F.round(baseline.cast("double"), 4)).alias("baseline"), (none if baseline is None else F.round(value.cast("double") - baseline, 4)).alias("delta"), size.cast("long").alias("sample_size"), F.round(score.cast("double"), 3).alias("score"),
+        fx.short_hash(F.lit(detector), F.lit(as_of), league, subject, metric).alias("insight_id"), F.lit(detector).alias("detector"), league.alias("league_code"), F.lit(subject_type).alias("subject_type"), subject.alias("subject_id"), metric.alias("metric"), fx.rounded(value, 4).alias("value"),
+        (none if baseline is None else fx.rounded(baseline, 4)).alias("baseline"), (none if baseline is None else fx.rounded(value.cast("double") - baseline, 4)).alias("delta"), size.cast("long").alias("sample_size"), F.round(score.cast("double"), 3).alias("score"),
         F.to_json(F.struct(*[c.alias(k) for k, c in sorted(facts.items())])).alias("facts_json"), evidence.alias("evidence_sql"), F.array(*proofs).alias("evidence"), F.lit(as_of).alias("dt"),
     )
 
@@ -76,7 +76,9 @@ def hitting_streaks(daily: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
 def change_vs_baseline(daily: DataFrame, as_of: str, cfg: Mapping) -> DataFrame:
     start, split = _days(as_of, cfg["recent_days"])
     recent = F.col("dt") >= split
-    part = lambda c, when: F.sum(F.when(when, F.col(c)).otherwise(0))
+    # daily values have six places by definition, so their sums are exact as decimals, whatever the order of the rows
+    exact = lambda c: F.col(c).cast("decimal(38,6)") if c == "woba_value" else F.col(c)
+    part = lambda c, when: F.sum(F.when(when, exact(c)).otherwise(0))
     sums = daily.where(F.col("dt").between(start, as_of)).groupBy("player_id", "league_code").agg(*[part(c, w).alias(f"{n}_{c}") for n, w in (("recent", recent), ("base", ~recent)) for c in ("pa", "woba_value", "woba_den")])
     now, was = fx.ratio("recent_woba_value", "recent_woba_den"), fx.ratio("base_woba_value", "base_woba_den")
     z = fx.mean_z(now, F.nullif(F.col("recent_woba_den"), F.lit(0)), was, F.nullif(F.col("base_woba_den"), F.lit(0)), cfg["woba_sd_per_pa"])

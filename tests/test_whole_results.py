@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from infield import queries
 from infield.functions import columns as fx
-from infield.operators import ml
+from infield.operators import insights, ml
 from infield.operators import relational as r
 
 
@@ -43,3 +43,17 @@ def test_rates_at_a_tie_equal_their_sql(spark):
     cfg = ml.Breakout(baseline_days=8, recent_days=3, label_days=5, min_baseline_pa=1, min_label_pa=1, margin_woba=0.05)
     row = ml.example_range(lines, daily.select("dt"), "2024-01-10", "2024-01-10", cfg, ml.Splits("2024-01-12", "2024-01-20", 5)).first()
     assert (row.f_base_woba, row.f_recent_woba, row.f_league_base_woba) == (0.258037,) * 3
+
+
+def test_changes_do_not_hang_on_the_order_of_the_rows(spark):
+    """Days whose sum in doubles depends on their order: the exact sum's mean is a tie of the fourth place."""
+    values = [0.1, 0.2, 0.3, 1e9, -1e9, 0.00035, 0.1, 0.2]
+    row = lambda i, v: (f"2024-01-{20 + i:02d}", "p", 1, v)
+    base = [("2024-01-02", "p", 1, 5.0)]
+    cfg = {"recent_days": 14, "min_recent_pa": 1, "min_baseline_pa": 1, "min_abs_z": 0.0, "woba_sd_per_pa": 0.5}
+    found = set()
+    for order in (values, values[::-1], sorted(values)):
+        rows = base + [row(i, v) for i, v in enumerate(order)]
+        daily = spark.createDataFrame(rows, "dt string, player_id string, woba_den long, woba_value double").coalesce(1).withColumns({"pa": F.col("woba_den"), "league_code": F.lit("MLB")})
+        found.add(insights.change_vs_baseline(daily, "2024-01-30", cfg).first().value)
+    assert found == {0.1125}
