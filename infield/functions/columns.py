@@ -18,10 +18,10 @@ def _col(c: Column | str) -> Column:
 def canonical_id(key: Column | str, salt: str | None = None) -> Column:
     """A 26-character identifier of ``key``: the top 130 bits of SHA-256 in Crockford's base 32. Null for null."""
     digest = F.sha2(F.concat(_col(key), F.lit("|" + (salt if salt is not None else os.environ.get(SALT, "infield")))), 256)
-    to32 = lambda start, length: F.conv(F.substring(digest, start, length), 16, 32)
-    chunks = [F.lpad(to32(5 * i + 1, 5), 4, "0") for i in range(6)]
-    last = F.conv(F.shiftright(F.conv(F.substring(digest, 31, 3), 16, 10).cast("int"), 2).cast("string"), 10, 32)
-    return F.translate(F.concat(*chunks, F.lpad(last, 2, "0")), "IJKLMNOPQRSTUV", "JKMNPQRSTVWXYZ")
+    # 60, 60 and 20 bits at a time, as many as a long holds; of the last ones the top 10 count
+    to32 = lambda start, length, digits: F.lpad(F.conv(F.substring(digest, start, length), 16, 32), digits, "0")
+    text = F.substring(F.concat(to32(1, 15, 12), to32(16, 15, 12), to32(31, 5, 4)), 1, 26)
+    return F.translate(text, "IJKLMNOPQRSTUV", "JKMNPQRSTVWXYZ")
 
 
 def present(c: Column | str) -> Column:

@@ -1,6 +1,7 @@
 """Results that rounding or a narrower statement once changed."""
 
 import datetime
+import hashlib
 
 import duckdb
 from pyspark.sql import functions as F
@@ -57,3 +58,16 @@ def test_changes_do_not_hang_on_the_order_of_the_rows(spark):
         daily = spark.createDataFrame(rows, "dt string, player_id string, woba_den long, woba_value double").coalesce(1).withColumns({"pa": F.col("woba_den"), "league_code": F.lit("MLB")})
         found.add(insights.change_vs_baseline(daily, "2024-01-30", cfg).first().value)
     assert found == {0.1125}
+
+
+def test_canonical_ids_take_few_conversions(spark):
+    """Equal to five bits at a time of the hash, with a conversion for each long instead of one for each four digits."""
+    keys = [f"player:source:s:{i}" for i in range(2000)] + ["", "é漢", None]
+    frame = spark.createDataFrame([(k,) for k in keys], "k string").select("k", fx.canonical_id("k", "infield").alias("id"))
+    for row in frame.collect():
+        if row.k is None:
+            assert row.id is None
+            continue
+        bits = int(hashlib.sha256(f"{row.k}|infield".encode()).hexdigest(), 16) >> 126
+        assert row.id == "".join("0123456789ABCDEFGHJKMNPQRSTVWXYZ"[bits >> (125 - 5 * i) & 31] for i in range(26))
+    assert frame._jdf.queryExecution().optimizedPlan().toString().count("conv(") == 3
