@@ -89,6 +89,7 @@ def check_findings(findings: DataFrame, candidates: DataFrame, checked: DataFram
     values, sizes, facts and dates, as they are, without sign or as percentages, rounded to the places that it writes. Its
     subjects are named in it and in what it cites, and are not among ``taken``. A ranking word needs an insight that is the
     first of its detector. Data that begin after a season's opening (``since``) carry no word on the season.
+    Problems of what is cited, of numbers and of subjects come first, those of the post's form after them.
     """
     numbers = lambda c: F.transform(F.regexp_extract_all(c, F.lit(_NUMBER), F.lit(1)), lambda x: x.cast("double"))
     told = F.array_compact(F.array(*[F.col(c).cast("double") for c in ("value", "baseline", "delta", "sample_size")]))
@@ -124,4 +125,4 @@ def check_findings(findings: DataFrame, candidates: DataFrame, checked: DataFram
         each(F.filter("_subjects", lambda s: (F.trim(s) != "") & ~F.array_contains(F.col("_names"), F.lower(F.trim(s)))), "subject not in the evidence: "), each(F.filter("_subjects", lambda s: (F.trim(s) != "") & ~F.contains(post, F.lower(F.trim(s)))), "subject not named: "),
         each(F.filter("_subjects", lambda s: F.lower(F.trim(s)).isin(covered) if covered else F.lit(False)), "already covered: "),
     ]
-    return rows.withColumn("problems", F.concat(one, *lists)).select(*findings.columns, "problems")
+    return rows.withColumn("problems", F.concat(*lists, one)).select(*findings.columns, "problems")

@@ -895,7 +895,7 @@ def I11_finding_checks(spark, sf_dir):
     kind, name = F.col("subject_id").cast("long") % 4, F.coalesce("subject_name", F.lit("nobody"))
     # names end in digits, which are no statement: posts name subjects without them
     plain = known.withColumn("subject_name", F.regexp_replace("subject_name", "#.*", ""))
-    number = F.when(kind == 1, "0.9999").otherwise(F.col("value").cast("string"))
+    number = F.when(kind == 1, "0.9999").otherwise(F.col("value").cast("decimal(38,4)").cast("string"))  # a double's text may have an exponent
     post = F.concat(F.regexp_replace(name, "#.*", ""), F.lit(" stands at "), number, F.when(kind == 2, " #wow").otherwise(""))
     posts = known.select("subject_id", "subject_name", F.col("insight_id").alias("finding_id"), post.alias("post"), F.array(F.regexp_replace(name, "#.*", "")).alias("subjects"), F.array("insight_id").alias("cites"))
     return evidence.check_findings(posts, plain, evidence.verified(found, sources)).select("subject_id", "subject_name", "problems")

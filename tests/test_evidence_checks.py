@@ -4,9 +4,11 @@ import json
 import random
 from datetime import date, timedelta
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from infield import queries
 from infield.operators import evidence, insights
 from infield.plans import checks as ck
 
@@ -138,3 +140,17 @@ def test_silver_audit(spark):
     found = {(r.table_name, r.measure): r.value for r in ck.silver_audit({"t": (df, ["k"], ["k", "v"]), "e": (df.limit(0), ["k"], ["v"])}).collect()}
     assert found["t", "days"] == 2 and found["t", "rows"] == 4 and found["t", "repeated"] == 1 and found["t", "null:v"] == 0.75 and found["t", "null:k"] == 0.25 and found["t", "last_dt"] - found["t", "first_dt"] == 1
     assert found["e", "rows"] == 0 and found["e", "null:v"] is None and json.dumps(found["e", "days"]) == "0.0"
+
+
+def test_finding_checks_equal_the_sql_for_unnamed_players_and_small_values(spark, tmp_path):
+    rows = []
+    for player in range(8):  # players 4 to 7 are no customers; the newer days' values are below a thousandth
+        rows += [f"({player * 100 + n}, TIMESTAMP '2024-01-{'05' if n < 20 else '20'} 12:00:00', {player}, 'click', {90.0 + n if n < 20 else 0.03 + 0.01 * player}, '')" for n in range(40)]
+    con = duckdb.connect()
+    con.sql(f"CREATE TABLE events AS SELECT event_id, ts, user_id, event_type, CAST(value AS DOUBLE) AS value, props FROM (VALUES {', '.join(rows)}) v(event_id, ts, user_id, event_type, value, props)")
+    con.sql("CREATE TABLE customer AS SELECT i AS c_custkey, 'Customer#' || i AS c_name FROM range(4) r(i)")
+    for name in ("events", "customer"):
+        con.sql(f"COPY {name} TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+    want = con.execute(queries.oracle_sql()["I11_finding_checks"]).fetchall()
+    found = queries.queries()["I11_finding_checks"](spark, str(tmp_path)).collect()
+    assert len(want) == 8 and sorted((r.subject_id, r.subject_name, r.problems) for r in found) == sorted(want, key=lambda x: x[0])
