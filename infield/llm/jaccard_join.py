@@ -3,8 +3,8 @@
 Texts are sets of hashed five-word shingles; equal sets form a class, of which one text goes on. Each set is
 embedded as MinHash values, so that two sets share a fraction of values that is their similarity. In each of RUNS
 independent runs a set walks down a tree: at each node it goes to the children of the values that the node's hash
-function selects, 1 / THRESHOLD of them on average. Nodes with few sets are compared by brute force; larger ones are
-split further. Within a large node every set is first compared with one pivot, and leaves if it is nearly equal
+function selects, 1 / THRESHOLD of them on average. Nodes of up to SMALL sets are compared by brute force; larger ones
+are split further. Within a large node every set is first compared with one pivot, and leaves if it is nearly equal
 to it: whatever is similar enough to it is then linked to the pivot, too.
 
 What the tree finds are loose links, on MinHash values. Their components hold every text near another. All sets of
@@ -34,7 +34,9 @@ VALUES = 64  #: MinHash values of a set
 #: 0.999. Pairs above the threshold, and those in nodes higher up, are found more often.
 RUNS = 24
 LEVELS = 4
-SMALL = 96  #: sets of a node that are compared by brute force
+#: Sets of a node that are compared by brute force, all with all: links that the tree might miss are found, too. A common
+#: line puts thousands of sets into a node; each further level would cost rows that such a node's comparison saves.
+SMALL = 2048
 LOOSE = 0.6  #: share of equal values that makes a loose link; 4 standard deviations below the threshold
 CLOSE = 0.9  #: share that makes a set leave a large node
 PART = 1024  #: sets of a large node that meet its pivot in one task
@@ -113,15 +115,24 @@ def descend(rows: DataFrame, first: bool) -> DataFrame:
 
 def _roots(linked: np.ndarray) -> np.ndarray:
     """The least member of each one's component in a small symmetric matrix of links."""
-    label = np.arange(len(linked))
+    label = np.arange(len(linked), dtype=np.int32)
     while True:
-        least = np.minimum(label, np.where(linked, label[None, :], len(label)).min(axis=1))
+        least = np.minimum(label, np.where(linked, label[None, :], np.int32(len(label))).min(axis=1))
         least = least[least]
         if (least == label).all():
             return label
         label = least
 
 
+def _agreeing(sketch: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """At how many places each row of bytes agrees with one, eight places at a time: VALUES are few enough for a byte."""
+    words = (sketch == one).view(np.uint64)
+    total = words[:, 0].copy()
+    for k in range(1, words.shape[1]):
+        total += words[:, k]
+    return (total * np.uint64(0x0101010101010101)) >> np.uint64(56)
+
+
 def _loose_links(table: pa.Table) -> dict | None:
     """A spanning forest of the sets of one small node whose sketches agree at LOOSE of their places."""
     docs = table.column("doc").to_numpy()
@@ -130,7 +141,7 @@ def _loose_links(table: pa.Table) -> dict | None:
     docs, sketch = docs[by], sketch[by]
     linked = np.zeros((len(docs), len(docs)), bool)
     for i in range(len(docs)):
-        linked[i] = (sketch == sketch[i]).mean(axis=1) >= LOOSE
+        linked[i] = _agreeing(sketch, sketch[i]) >= LOOSE * VALUES
     root = _roots(linked)
     off = root != np.arange(len(docs))
     return {"a": docs[root[off]], "b": docs[off]} if off.any() else None
@@ -163,7 +174,7 @@ def loose_links(sets: DataFrame) -> DataFrame:
             if level + 1 < LEVELS:
                 rows = cut(descend(rest.select("node", "doc", "values"), False))
             else:  # what is left of large nodes is compared in pairs of blocks
-                pairs = block_pairs(rest.select(F.col("node").alias("group"), F.col("size").alias("members"), "doc", "sketch"), SMALL)
+                pairs = block_pairs(rest.select(F.col("node").alias("group"), F.col("size").alias("members"), "doc", "sketch"), SMALL // 2)
                 found.append(each_group(pairs.withColumnRenamed("pair", "node"), "node", _loose_links, LINK))
         return cut(reduce(DataFrame.unionByName, found).distinct())
 

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from infield.llm import jaccard_join
@@ -101,3 +102,26 @@ def test_each_row_of_a_large_node_meets_its_pivot_once(spark, monkeypatch):
         finally:
             spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         assert sorted((r.node, r.doc, r.pivot, r.share) for r in found) == want
+
+
+def test_a_common_line_is_compared_at_once_and_nothing_is_lost_in_the_tree(spark, monkeypatch):
+    rng = random.Random(4)
+    line = [rng.choice(WORDS) for _ in range(30)]
+    data = []
+    for base in range(150):  # 600 texts share a line; four of each are near copies
+        words = line + [rng.choice(WORDS) for _ in range(50)]
+        data += [(base * 4 + k, varied(rng, words, k % 2)) for k in range(4)]
+    df, met, whole = spark.createDataFrame(data, "doc_id long, text string"), [], jaccard_join.beside_pivots
+    monkeypatch.setattr(jaccard_join, "beside_pivots", lambda large: met.append(large.count()) or whole(large))
+    found = lambda: {r.doc_id: (r.class_id, r.n_links, r.group_id) for r in jaccard_join.similar(df).collect()}
+    want = brute_force(data)
+    assert found() == want and not met
+    monkeypatch.setattr(jaccard_join, "SMALL", 32)  # the same texts by the tree
+    assert found() == want and met
+
+
+def test_agreeing_places():
+    rng = np.random.default_rng(1)
+    sketch = rng.integers(0, 2, (50, jaccard_join.VALUES)).astype(np.uint8)
+    sketch[7] = sketch[3]
+    assert (jaccard_join._agreeing(sketch, sketch[3]) == (sketch == sketch[3]).sum(axis=1)).all()
