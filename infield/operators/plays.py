@@ -78,10 +78,15 @@ def from_text(events: DataFrame, bridge: DataFrame) -> DataFrame:
     result counting; pitches (0) are skipped. Only the last header of a half may lack a result: it is TRUNCATED.
     """
     game = ["game_id"]
-    e = events.withColumns({"_at": F.coalesce(fx.to_long("event_id"), F.lit(0)), "_kind": F.coalesce(F.get_json_object("raw_event_json", "$.TextInfo_Bat_Text_Sec"), F.lit("")), "_text": F.coalesce("text_info_text", F.lit("")), "_half": F.col("top_bottom").cast("string")})
-    order = ["_at", "play_seq_no", "_kind"]
+    kind, text = F.coalesce(F.get_json_object("raw_event_json", "$.TextInfo_Bat_Text_Sec"), F.lit("")), F.coalesce("text_info_text", F.lit(""))
     mark = r"^\s*(?:試合開始\s*)?\d+回[表裏]\s*(\S)\s*\d+-\d+\s*(\S)"
-    w = Window.partitionBy(*game).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # all that follows runs on rows sorted once by game and order, so these are kept narrow: what only headers tell stays
+    # with them, and a pitch has no text unless it names the teams
+    of_header = lambda c: F.when(kind == "6", F.col(c)).alias(c)
+    e = events.select("game_id", "inning", F.col("top_bottom").cast("string").alias("_half"), "play_ab", "play_seq_no", F.coalesce(fx.to_long("event_id"), F.lit(0)).alias("_at"), kind.alias("_kind"), F.when((kind != "0") | text.rlike(mark), text).otherwise("").alias("_text"), of_header("play_player_id"), of_header("dt"))
+    order = ["_at", "play_seq_no", "_kind"]
+    by_game = Window.partitionBy(*game).orderBy(*order)
+    w = by_game.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     marked = F.col("_text").rlike(mark)
     home = F.first(F.when(marked, F.regexp_extract("_text", mark, 1)), ignorenulls=True).over(w)
     away = F.first(F.when(marked, F.regexp_extract("_text", mark, 2)), ignorenulls=True).over(w)
@@ -93,26 +98,21 @@ def from_text(events: DataFrame, bridge: DataFrame) -> DataFrame:
     nil = F.struct(F.lit(0).cast("long").alias("h"), F.lit(0).cast("long").alias("a"))
     e = e.withColumns({"_s1": F.coalesce(filled_forward(new, game, order), nil), "_s0": F.coalesce(filled_forward(new, game, order, inclusive=False), nil)})
     e = segments(e, F.col("_kind") == "6", game, order, "_n").where("_n > 0")
-    head = Window.partitionBy("game_id", "_n").orderBy(*order)
     row = F.struct("inning", "_half", "play_ab", "_text", "_s0", "play_player_id", "dt", "_at")
-    e = e.withColumn("_head", F.first(row).over(head)).withColumn("_step", F.row_number().over(head))
-    same_half = F.col("inning").eqNullSafe(F.col("_head.inning")) & F.col("_half").eqNullSafe(F.col("_head._half"))
-    same = same_half & F.col("play_ab").eqNullSafe(F.col("_head.play_ab"))
-    last = lambda value, when: F.max_by(F.when(when, value), F.when(when, F.col("_step")))
-    seen = fx.outs_in_text("_text")
-    pas = e.groupBy("game_id", "_n").agg(
-        F.first("_head").alias("p"),
-        last(F.col("_s1"), same_half).alias("score_after"),
-        last(F.struct(F.col("_text").alias("t")), (F.col("_kind") == "1") & same).alias("result"),
-        last(seen, ~F.col("_kind").isin("0", "6") & same_half & seen.isNotNull()).alias("outs_seen"),
-    )
-    by_game = Window.partitionBy("game_id").orderBy("_n")
+    e = e.withColumn("p", filled_forward(F.when(F.col("_kind") == "6", row), game, order))
     half = F.struct(F.col("p.inning").alias("i"), F.col("p._half").alias("h"))
+    same_half = F.col("inning").eqNullSafe(F.col("p.inning")) & F.col("_half").eqNullSafe(F.col("p._half"))
+    same = same_half & F.col("play_ab").eqNullSafe(F.col("p.play_ab"))
+    seen = fx.outs_in_text("_text")
+    # the last of each so far, with its plate appearance: what the last row of a plate appearance has of its own
+    last = lambda value, when: filled_forward(F.when(when, F.struct(F.col("_n").alias("n"), value.alias("v"))), game, order)
+    e = e.withColumns({"_score": last(F.col("_s1"), same_half), "_result": last(F.col("_text"), (F.col("_kind") == "1") & same), "_seen": last(seen, ~F.col("_kind").isin("0", "6") & same_half & seen.isNotNull()), "_later": F.lead("_n").over(by_game)})
+    own = lambda c: F.when(F.col(f"{c}.n") == F.col("_n"), F.col(f"{c}.v"))
+    result = F.when(F.col("_result.n") == F.col("_n"), F.struct(F.col("_result.v").alias("t"))).alias("result")
+    pas = e.where(F.col("_later").isNull() | (F.col("_later") > F.col("_n"))).select("game_id", *order, "_n", "p", own("_score").alias("score_after"), result, own("_seen").alias("outs_seen"))
     pas = pas.withColumn("_next", F.lead(half).over(by_game)).where(F.col("result").isNotNull() | F.col("_next").isNull() | ~F.col("_next").eqNullSafe(half))
     pas = pas.withColumn("n", F.lead(F.struct(half.alias("half"), F.col("p._text").alias("text"))).over(by_game))
     cast = lambda c: F.coalesce(c.cast("string"), F.lit("None"))
-    key = F.concat_ws(":", F.lit("pa:npb"), cast(F.col("game_id")), cast(F.col("p.inning")), cast(F.col("p._half")), cast(F.col("p.play_ab")))
-    pas = ordinal_suffix(pas, key, ["game_id", "p.inning", "p._half", "p.play_ab"], ["_n"], "_key")
     continues = F.col("n").isNotNull() & F.col("n.half").eqNullSafe(half)
     before = fx.header_outs("p._text")
     truncated = F.col("result").isNull()
@@ -122,26 +122,32 @@ def from_text(events: DataFrame, bridge: DataFrame) -> DataFrame:
     top = F.when(F.col("p._half") == "1", True).when(F.col("p._half") == "2", False)
     after = F.coalesce("score_after", "p._s0")
     runs = F.when(top, after["a"] - F.col("p._s0.a")).when(~top, after["h"] - F.col("p._s0.h"))
-    pas = with_entity(pas.withColumn("_player", F.col("p.play_player_id")), bridge, "player", "npb_spaia", "_player", "batter_id")
+    pas = pas.select(
+        "game_id", "_n", F.col("p.inning").alias("inning"), F.col("p._half").alias("_half"), F.col("p.play_ab").alias("play_ab"), F.col("p.play_player_id").alias("_player"), F.col("p.dt").alias("dt"), top.alias("is_top_inning"), F.when(truncated, "TRUNCATED").otherwise(fx.result_code("result.t")).alias("event_type"),
+        runs.alias("runs_scored_on_play"), fx.header_bases("p._text").alias("base_state_before"), "outs_before", bases.cast("long").alias("base_state_after"), "outs_after",
+    )
+    key = F.concat_ws(":", F.lit("pa:npb"), *[cast(F.col(c)) for c in ("game_id", "inning", "_half", "play_ab")])
+    pas = ordinal_suffix(pas, key, ["game_id", "inning", "_half", "play_ab"], ["_n"], "_key")
+    pas = with_entity(pas, bridge, "player", "npb_spaia", "_player", "batter_id")
     text = F.lit(None).cast("string")
     return pas.select(
         fx.canonical_id("_key").alias("pa_id"),
         fx.canonical_id(F.concat(F.lit("game:npb_spaia:"), F.col("game_id").cast("string"))).alias("game_id"),
-        fx.to_long_truncated("p.inning").alias("inning"),
-        top.alias("is_top_inning"),
+        fx.to_long_truncated("inning").alias("inning"),
+        "is_top_inning",
         text.alias("batting_team_id"),
         text.alias("fielding_team_id"),
         "batter_id",
         text.alias("pitcher_id"),
-        F.when(truncated, "TRUNCATED").otherwise(fx.result_code("result.t")).alias("event_type"),
+        "event_type",
         F.lit(None).cast("long").alias("rbi"),
-        runs.alias("runs_scored_on_play"),
+        "runs_scored_on_play",
         (F.col("outs_after") - F.col("outs_before")).alias("outs_on_play"),
-        fx.header_bases("p._text").alias("base_state_before"),
+        "base_state_before",
         "outs_before",
-        bases.cast("long").alias("base_state_after"),
+        "base_state_after",
         "outs_after",
-        F.col("p.dt").alias("dt"),
+        "dt",
         F.lit("npb_spaia").alias("source"),
         F.col("_n").cast("long").alias("play_order"),
     )

@@ -190,3 +190,9 @@ def test_suffix_sum_equals_a_loop(spark):
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "source string, game_id string, inning long, is_top_inning boolean, play_order long, runs_scored_on_play long, outs_after long")
     assert {r.play_order: r.runs_to_end_of_inning for r in plays.with_runs_to_end(df).collect()} == want
+
+
+def test_play_by_play_text_is_sorted_once_and_its_plate_appearances_once(spark):
+    lines = spark.createDataFrame([told(1, "6", "無死走者なし", 1), told(2, "1", "空振り三振", 1)], TEXT)
+    found = plays.from_text(lines, spark.createDataFrame([], gold.BRIDGE))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Sort [game_id") == 2
