@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from infield.llm.common import mix, tidy
+from infield.llm.common import mix, pieces, short_batches, tidy
 
 BITS = 12
 SPACE = 32
@@ -102,14 +102,20 @@ class Counter:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         keys = np.concatenate([k for k, _ in self.parts])
         n = np.concatenate([c for _, c in self.parts])
+        self.parts = []
         by = np.argsort(keys, kind="stable")
-        keys, n = keys[by], n[by]
+        keys = keys[by]
+        n = n[by]
+        del by
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
         merged = keys[first], np.add.reduceat(n, first) if len(keys) else n
         self.parts, self.size = [merged], len(first)
         return merged
 
 
+MOST = 2_000_000  #: counts that a task holds, about, before it sends the largest models' on
+
+
 def count_grams(df: DataFrame, model: str, text: str, order: int, table: Callable[[], np.ndarray]) -> DataFrame:
     """(bucket, model, gram, n): how often each n-gram occurs in all texts of a model. Counted in each task, then added up."""
     src = df.select(F.col(model).cast("string").alias("model"), F.col(text).alias("text"))
@@ -126,7 +132,7 @@ def count_grams(df: DataFrame, model: str, text: str, order: int, table: Callabl
                     k = keys[a : a + 200_000]
                     yield pa.RecordBatch.from_arrays([pa.array(bucket_of((k >> BITS) & mask(2))), pa.array([name] * len(k), pa.string()), pa.array(k, pa.int64()), pa.array(n[a : a + 200_000].astype(np.int64))], names=["bucket", "model", "gram", "n"])
 
-        for batch in batches:
+        for batch in pieces(batches):
             found: dict[str, list[np.ndarray]] = {}
             size = 0
             for name, value in zip(batch.column("model").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -134,15 +140,20 @@ def count_grams(df: DataFrame, model: str, text: str, order: int, table: Callabl
                     made = grams(symbols(np.frombuffer(value.encode("utf-32-le", "surrogatepass"), "<u4"), to_symbol), order)
                     found.setdefault(name, []).append(made)
                     size += len(made)
-                    if size > 1_000_000:
+                    if size > 500_000:
                         for key, parts in found.items():
                             counters.setdefault(key, Counter()).add(np.concatenate(parts))
                         found, size = {}, 0
             for key, parts in found.items():
                 counters.setdefault(key, Counter()).add(np.concatenate(parts))
-            yield from flush([k for k, c in counters.items() if c.size > 2_000_000])
+            if sum(c.size for c in counters.values()) > MOST:  # of all models together: there may be many
+                for c in counters.values():
+                    c.compact()
+                while sum(c.size for c in counters.values()) > MOST // 2:
+                    yield from flush([max(counters, key=lambda k: counters[k].size)])
         yield from flush(list(counters))
 
+    short_batches(df.sparkSession)
     made = src.mapInArrow(run, "bucket int, model string, gram long, n long")
     return made.groupBy("bucket", "model", "gram").agg(F.sum("n").alias("n"))
 

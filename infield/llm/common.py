@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 #: A set of keys up to this many rows is broadcast to filter a large table; beyond it, the join shuffles.
 MAX_BROADCAST_KEYS = 2_000_000
 BATCH_ROWS = 1_000  #: of an Arrow batch
+BATCH_BYTES = 4 << 20  #: of an Arrow batch, about: rows of 100 KB fill it before BATCH_ROWS do
 CUT_ROWS = 100_000  #: in a file of a checkpoint of a small table
 
 
@@ -24,10 +25,14 @@ def scan(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Has Spark hand texts to Python by BATCH_ROWS rows, where the session has its own default: 10,000 long ones fill memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) == 10_000:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Has Spark hand rows to Python by BATCH_ROWS and BATCH_BYTES, where the session has its own defaults: 10,000 long texts fill memory.
+
+    A batch is held twice, by the executor outside its heap and by the Python worker.
+    """
+    for name, default, value in (("maxRecordsPerBatch", "10000", BATCH_ROWS), ("maxBytesPerBatch", "67108864b", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, str(value))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -25,9 +25,10 @@ from pyspark.sql import types as T
 from infield.llm.char_lm import BITS, BUCKETS, SortedModel, bucket_of, discounts, extend, grams, mask, merged, symbols
 from infield.llm.common import codepoints, cut, each_group, pieces, short_batches, text_list, tidy
 
-HELD = 3_000_000  #: symbols of texts in a chunk, about
+HELD = 2_000_000  #: symbols of texts in a chunk, about
 TEXTS = 60_000  #: in a chunk at most, so that their numbers fit 16 bits
 PIECE = 65_536  #: places of n-grams in a row that is sent, about: some 100 KB
+BLOCK = 250_000  #: places whose shards are worked out at once
 GRAMS = 1_000_000  #: n-grams of the count tables in a shard, about
 MODEL, TEXT, HEAD = 0, 1, 2  #: kinds of rows: counts; n-grams of a chunk; digests and lengths of its texts
 
@@ -162,20 +163,26 @@ def _text_rows(df: DataFrame, text: str, order: int, table: Callable[[], np.ndar
 
         def close() -> Iterator[pa.RecordBatch]:
             by = np.argsort([(x & mask(1)).mean() if len(x) else 0.0 for x in keys], kind="stable")
-            key, lengths = np.concatenate([keys[i] for i in by]), np.array([len(keys[i]) for i in by], np.int64)
+            lengths = np.array([len(keys[i]) for i in by], np.int64)
+            key, at = np.empty(lengths.sum(), np.int64), 0
+            for i, n in zip(by, lengths.tolist(), strict=True):
+                key[at : at + n] = keys[i]
+                keys[i], at = None, at + n
             copy = chunk % copies
             yield _rows([chunk % shards * copies + copy], HEAD, chunk, [b"".join([digests[i] for i in by])], lengths.tobytes())
             keys.clear()
             if not len(key):
                 return
-            key = _turned(key, order)
             by = np.argsort(key, kind="stable")
             key, owner = key[by], np.repeat(np.arange(len(lengths), dtype=np.uint16), lengths)[by]
             del by
-            shard = (bucket_of(key >> (BITS * (order - 2))) % shards).astype(np.uint16)
+            shard = np.empty(len(key), np.uint16)
+            for a in range(0, len(key), BLOCK):
+                shard[a : a + BLOCK] = bucket_of(key[a : a + BLOCK] >> (BITS * (order - 2))) % shards
             if shards > 1:
                 by = np.argsort(shard, kind="stable")
                 key, owner, shard = key[by], owner[by], shard[by]
+                del by
             first = np.concatenate([[True], key[1:] != key[:-1]])
             gap = owner.copy()
             gap[1:] -= np.where(first[1:], np.uint16(0), owner[:-1])
@@ -199,7 +206,7 @@ def _text_rows(df: DataFrame, text: str, order: int, table: Callable[[], np.ndar
                 if name in met:
                     continue
                 met.add(name)
-                keys.append(grams(symbols(codepoints(value), to_symbol), order))
+                keys.append(_turned(grams(symbols(codepoints(value), to_symbol), order), order))
                 digests.append(name)
                 held += len(keys[-1])
                 if held >= HELD or len(keys) == TEXTS:
@@ -221,13 +228,15 @@ def _shares(rows: DataFrame, tables: Tables) -> DataFrame:
 
     def made(parts: list[list[tuple[np.ndarray, np.ndarray]]]) -> list[SortedModel]:
         out = []
-        for i, own in enumerate(parts):
+        for i in range(width):
+            own, parts[i] = parts[i], []
             levels = [merged(np.concatenate([g for g, _ in own]), np.concatenate([n for _, n in own]).astype(np.float64)) if own else (np.zeros(0, np.int64), np.zeros(0))]
             for k in range(order - 1, 2, -1):
                 levels.insert(0, merged(np.sort(levels[0][0] & mask(k)), np.ones(len(levels[0][0]))))
             model = SortedModel(list(low[i].grams), list(low[i].logp), list(low[i].contexts), list(low[i].weight), low[i].floor)
-            for (g, n), d in zip(levels, off[i], strict=True):
-                extend(model, g, n, d)
+            del own
+            for d in off[i]:
+                extend(model, *levels.pop(0), d)
             out.append(model)
         return out
 

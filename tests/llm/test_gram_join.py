@@ -1,10 +1,12 @@
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from infield.llm import char_lm, gram_join, language_id, quality
+from infield.llm import char_lm, common, gram_join, language_id, quality
 from infield.llm.common import codepoints
 
 DATA = "/root/testdata/sf0.1"
@@ -78,3 +80,36 @@ def test_texts_of_a_language_that_was_not_learned_are_rejected(spark, left_out):
     print(left_out, len(foreign), sum(foreign), len(known), sum(known))
     assert len(foreign) > 10 and sum(foreign) <= 0.05 * len(foreign)
     assert sum(known) >= 0.98 * len(known)
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark):
+    """Rows of 100 KB, as n-grams by shard are: 1,000 of them made one batch, held by the executor and by its worker."""
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+    common.short_batches(spark)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "size": [b.nbytes]})
+
+    rows = spark.range(0, 400, 1, 1).selectExpr("repeat(cast(id % 10 as string), 100000) as data")
+    found = rows.mapInArrow(sizes, "rows long, size long").collect()
+    assert sum(r["rows"] for r in found) == 400
+    assert max(r["size"] for r in found) <= common.BATCH_BYTES + 200_000
+    short = spark.range(0, 5_000, 1, 1).mapInArrow(sizes, "rows long, size long").collect()
+    assert {r["rows"] for r in short} == {common.BATCH_ROWS}
+
+
+def test_counts_of_many_models_are_held_within_one_bound(spark, monkeypatch):
+    monkeypatch.setattr(char_lm, "MOST", 2_000)
+    texts = random_texts(3, 300, 200)
+    rows = [(f"m{i % 40}", t) for i, t in enumerate(texts)]
+    plain = Counter()
+    for model, t in rows:
+        plain.update((model, int(g)) for g in char_lm.grams(char_lm.symbols(codepoints(t), char_lm.letter_table()), 4))
+    monkeypatch.setattr(common, "BATCH_ROWS", 10)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    counted = char_lm.count_grams(spark.createDataFrame(rows, "model string, text string").coalesce(1), "model", "text", 4, char_lm.letter_table)
+    got = {(r.model, r.gram): r.n for r in counted.collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == dict(plain)
